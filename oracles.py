@@ -121,3 +121,448 @@ SELECT department,
   CAST(count(*) AS BIGINT) AS n
 FROM panel WHERE department IS NOT NULL AND performance_band IS NOT NULL
 GROUP BY department""")
+
+# --- shared CTE fragments -------------------------------------------------------
+QK = ("CAST(split_part(quarter_label, '-Q', 1) AS INTEGER) * 10 "
+      "+ CAST(split_part(quarter_label, '-Q', 2) AS INTEGER)")
+SPLIT = CLEAN + f""",
+sp AS (SELECT *, CASE WHEN {QK} < 20001 THEN 'train' ELSE 'test' END AS split FROM clean),
+train AS (SELECT * EXCLUDE (split) FROM sp WHERE split = 'train'),
+test AS (SELECT * EXCLUDE (split) FROM sp WHERE split = 'test')"""
+TARGET = ("CASE performance_band WHEN 'Low' THEN 0 WHEN 'Medium' THEN 1 "
+          "WHEN 'High' THEN 2 END")
+PSEUDO = CLEAN + f""",
+ps AS (SELECT *, CASE WHEN goal_achievement_pct >= 85 THEN 2 WHEN goal_achievement_pct < 50 THEN 0
+                      ELSE 1 END AS prediction, {TARGET} AS label FROM clean)"""
+TIER = ("CASE WHEN experience_years > -1 AND experience_years <= 3 THEN 'Junior (0–3 yrs)' "
+        "WHEN experience_years > 3 AND experience_years <= 8 THEN 'Mid (4–8 yrs)' "
+        "WHEN experience_years > 8 AND experience_years <= 100 THEN 'Senior (9+ yrs)' END")
+IMPUTE = ["training_hours", "overtime_hours", "peer_score", "goal_achievement_pct"]
+NUMERIC = ["age", "experience_years", "salary", "training_hours", "attendance_rate",
+           "overtime_hours", "projects_completed", "manager_rating", "peer_score",
+           "goal_achievement_pct"]
+CATS = ["department", "education", "role"]
+FEATURES = NUMERIC + [f"{c}_enc" for c in CATS]
+COERCE = NUMERIC + ["performance_score"]
+
+
+def union_all(parts):
+    return "\nUNION ALL\n".join(parts)
+
+
+# --- scalar ---------------------------------------------------------------------
+ORACLES["kpi_score"] = with_panel(
+    f"SELECT employee_id, quarter_label, CASE WHEN {_KPI} IS NULL THEN NULL "
+    f"ELSE {rnd(clip(_KPI, '10.0e0', '100.0e0'), 2)} END AS kpi FROM clean", CLEAN)
+ORACLES["performance_band"] = with_panel(
+    "SELECT employee_id, quarter_label, performance_score, CASE WHEN performance_score >= 75 THEN 'High' "
+    "WHEN performance_score >= 50 THEN 'Medium' WHEN performance_score IS NOT NULL THEN 'Low' END AS band "
+    "FROM clean", CLEAN)
+ORACLES["quarter_start"] = with_panel(
+    "SELECT DISTINCT review_year, review_quarter, make_date(review_year, (review_quarter - 1) * 3 + 1, 1) "
+    "AS quarter_start FROM panel")
+ORACLES["quarter_label"] = with_panel(
+    "SELECT DISTINCT review_year, review_quarter, CAST(review_year AS VARCHAR) || '-Q' || "
+    "CAST(review_quarter AS VARCHAR) AS label FROM panel")
+ORACLES["quarter_key"] = with_panel(
+    f"SELECT DISTINCT quarter_label, CAST({QK} AS INTEGER) AS quarter_key FROM panel")
+ORACLES["employee_code"] = ("SELECT s_suppkey, 'EMP' || lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(4, "
+                            "length(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0') AS employee_id FROM supplier")
+ORACLES["tenure_offset_date"] = (
+    "SELECT s_suppkey, CAST(DATE '1995-01-01' - CAST(30 * (s_suppkey % 36) AS INTEGER) AS DATE) AS join_date, "
+    "strftime(CAST(DATE '1995-01-01' - CAST(30 * (s_suppkey % 36) AS INTEGER) AS DATE), '%Y-%m-%d') "
+    "AS join_date_text FROM supplier")
+ORACLES["numeric_coerce"] = with_panel(
+    "SELECT employee_id, quarter_label, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in COERCE)
+    + " FROM panel")
+ORACLES["drop_missing_target"] = with_panel("SELECT * FROM panel WHERE performance_band IS NOT NULL")
+ORACLES["encode_target"] = with_panel(
+    f"SELECT employee_id, quarter_label, performance_band, {TARGET} AS target FROM panel")
+ORACLES["decode_band"] = with_panel(
+    "SELECT employee_id, quarter_label, prediction, (['Low', 'Medium', 'High'])[prediction + 1] AS band "
+    "FROM ps", PSEUDO)
+ORACLES["experience_tier"] = with_panel(
+    f"SELECT employee_id, quarter_label, experience_years, {TIER} AS experience_tier FROM clean", CLEAN)
+ORACLES["quality_profile"] = with_panel(
+    "SELECT column_name, CAST(null_count AS BIGINT) AS null_count, null_count / CAST(n AS DOUBLE) AS null_rate, "
+    "CAST(rep AS BIGINT) AS repeated_keys FROM ("
+    + union_all([f"SELECT '{c}' AS column_name, count_if({c} IS NULL) AS null_count FROM panel" for c in IMPUTE])
+    + ") nc, (SELECT count(*) AS n, count(*) - count(DISTINCT (employee_id, review_year, review_quarter)) AS rep "
+      "FROM panel) k")
+ORACLES["append_rows"] = with_panel("SELECT * FROM panel")
+
+# --- preparation ------------------------------------------------------------------
+ORACLES["time_split"] = with_panel("SELECT employee_id, quarter_label, split FROM sp", SPLIT)
+ORACLES["distinct_quarters"] = with_panel("SELECT DISTINCT split, quarter_label FROM sp", SPLIT)
+ORACLES["fit_median_imputer"] = with_panel(
+    union_all([f"SELECT '{c}' AS column_name, median({c}) AS median FROM train" for c in IMPUTE]), SPLIT)
+MEDIANS = "med AS (SELECT " + ", ".join(f"median({c}) AS m_{c}" for c in IMPUTE) + " FROM train)"
+ORACLES["apply_median_imputer"] = with_panel(
+    "SELECT employee_id, quarter_label, " + ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in IMPUTE)
+    + " FROM sp, med", SPLIT + ",\n" + MEDIANS)
+
+
+def encoder_cte(src: str, name: str = "enc") -> str:
+    parts = union_all([f"SELECT DISTINCT '{c}' AS column_name, coalesce(CAST({c} AS VARCHAR), 'nan') AS value "
+                       f"FROM {src}" for c in CATS])
+    return (f"{name} AS (SELECT column_name, value, CAST(dense_rank() OVER (PARTITION BY column_name "
+            f"ORDER BY value) - 1 AS INTEGER) AS code FROM ({parts}) u)")
+
+
+ORACLES["fit_label_encoder"] = with_panel("SELECT * FROM enc", SPLIT + ",\n" + encoder_cte("train"))
+
+
+def encoded_select(src: str, zero: bool = False) -> str:
+    cols, joins = [], []
+    for i, c in enumerate(CATS):
+        a = f"e{i}"
+        cols.append(f"coalesce({a}.code, 0) AS {c}_enc" if zero else f"{a}.code AS {c}_enc")
+        kind = "LEFT JOIN" if zero else "JOIN"
+        joins.append(f"{kind} enc {a} ON {a}.column_name = '{c}' AND {a}.value = coalesce(CAST(t.{c} AS VARCHAR), 'nan')")
+    return cols, " ".join(joins)
+
+
+_c, _j = encoded_select("test")
+ORACLES["apply_label_encoder"] = with_panel(
+    f"SELECT t.employee_id, t.quarter_label, {', '.join(_c)} FROM test t {_j}",
+    SPLIT + ",\n" + encoder_cte("train"))
+_c, _j = encoded_select("clean", zero=True)
+ORACLES["encode_or_zero"] = with_panel(
+    f"SELECT t.employee_id, t.quarter_label, {', '.join(_c)} FROM clean t {_j}",
+    CLEAN + ",\nsub AS (SELECT * FROM clean WHERE experience_years < 10),\n" + encoder_cte("sub"))
+
+
+def prepared_ctes() -> str:
+    """train/test imputed + encoded (tr_e, te_e) and scaler stats (sc)."""
+    imp = lambda src: ("SELECT * REPLACE (" + ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in IMPUTE)
+                       + f") FROM {src}, med")
+    c1, j1 = encoded_select("x")
+    enc = lambda src: f"SELECT t.*, {', '.join(c1)} FROM {src} t {j1}"
+    stats = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS mean_{c}, "
+                      f"CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN 1.0e0 ELSE stddev_pop(CAST({c} AS DOUBLE)) END AS std_{c}"
+                      for c in FEATURES)
+    return (SPLIT + ",\n" + MEDIANS + f",\ntr_i AS ({imp('train')}),\nte_i AS ({imp('test')}),\n"
+            + encoder_cte("tr_i") + f",\ntr_e AS ({enc('tr_i')}),\nte_e AS ({enc('te_i')}),\n"
+            f"sc AS (SELECT {stats} FROM tr_e)")
+
+
+ORACLES["fit_standard_scaler"] = with_panel(
+    union_all([f"SELECT '{c}' AS column_name, {rnd(f'mean_{c}', 6)} AS mean, {rnd(f'std_{c}', 6)} AS std FROM sc"
+               for c in FEATURES]), prepared_ctes())
+_scaled = ", ".join(f"{rnd(f'(CAST({c} AS DOUBLE) - mean_{c}) / std_{c}', 6)} AS {c}" for c in FEATURES)
+ORACLES["apply_standard_scaler"] = with_panel(
+    f"SELECT employee_id, quarter_label, {_scaled} FROM te_e, sc", prepared_ctes())
+ORACLES["prep_pipeline"] = with_panel(
+    f"SELECT employee_id, quarter_label, 'train' AS split, {TARGET} AS label, {_scaled} FROM tr_e, sc "
+    f"UNION ALL SELECT employee_id, quarter_label, 'test' AS split, {TARGET} AS label, {_scaled} FROM te_e, sc",
+    prepared_ctes())
+ORACLES["class_balance"] = with_panel(
+    f"SELECT {TARGET} AS target, count(*) AS n FROM train GROUP BY 1", SPLIT)
+ORACLES["balanced_class_weights"] = with_panel(
+    f"SELECT label, n_c, {rnd('sum(n_c) OVER () / (count(*) OVER () * n_c)', 6)} AS weight "
+    f"FROM (SELECT {TARGET} AS label, count(*) AS n_c FROM train GROUP BY 1) c", SPLIT)
+
+# --- insights ---------------------------------------------------------------------
+_bands = ["High", "Medium", "Low"]
+ORACLES["band_distribution"] = with_panel(
+    union_all([f"SELECT '{b}' AS band, {i} AS band_order, CAST(c{i} AS BIGINT) AS n, "
+               f"{rnd(f'c{i} * 100.0e0 / total', 1)} AS pct FROM c" for i, b in enumerate(_bands)]),
+    "c AS (SELECT count(*) AS total, " + ", ".join(
+        f"sum(CASE WHEN performance_band = '{b}' THEN 1 END) AS c{i}" for i, b in enumerate(_bands)) + " FROM panel)")
+ORACLES["quarterly_trend"] = with_panel(
+    f"SELECT quarter_label, {rnd('avg(performance_score)', 6)} AS mean_score, count(performance_score) AS n, "
+    f"CAST({QK} AS INTEGER) AS quarter_key FROM panel WHERE quarter_label IS NOT NULL GROUP BY quarter_label")
+ORACLES["dept_band_counts"] = with_panel(
+    "SELECT department, performance_band, count(*) AS n FROM panel "
+    "WHERE department IS NOT NULL AND performance_band IS NOT NULL GROUP BY ALL")
+_means = ["training_hours", "attendance_rate", "goal_achievement_pct", "manager_rating", "peer_score",
+          "overtime_hours", "experience_years"]
+ORACLES["band_feature_means"] = with_panel(
+    "SELECT performance_band, " + ", ".join(f"{rnd(f'avg({c})', 2)} AS mean_{c}" for c in _means)
+    + " FROM panel WHERE performance_band IS NOT NULL GROUP BY performance_band")
+_desc = ["age", "experience_years", "salary", "review_year", "review_quarter", "training_hours",
+         "attendance_rate", "overtime_hours", "projects_completed", "manager_rating", "peer_score",
+         "goal_achievement_pct", "performance_score"]
+ORACLES["describe_numeric"] = with_panel(union_all([
+    f"SELECT '{c}' AS column_name, count({c}) AS count, {rnd(f'avg(CAST({c} AS DOUBLE))', 2)} AS mean, "
+    f"{rnd(f'stddev_samp(CAST({c} AS DOUBLE))', 2)} AS std, {rnd(f'min(CAST({c} AS DOUBLE))', 2)} AS min, "
+    f"{rnd(f'quantile_cont(CAST({c} AS DOUBLE), 0.25)', 2)} AS p25, "
+    f"{rnd(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)', 2)} AS p50, "
+    f"{rnd(f'quantile_cont(CAST({c} AS DOUBLE), 0.75)', 2)} AS p75, "
+    f"{rnd(f'max(CAST({c} AS DOUBLE))', 2)} AS max FROM panel" for c in _desc]))
+_panel_types = [("employee_id", "string"), ("department", "string"), ("education", "string"),
+                ("role", "string"), ("age", "int"), ("experience_years", "int"), ("salary", "int"),
+                ("join_date", "date"), ("review_year", "int"), ("review_quarter", "int"),
+                ("quarter_label", "string"), ("review_date", "date"), ("training_hours", "double"),
+                ("attendance_rate", "double"), ("overtime_hours", "double"), ("projects_completed", "int"),
+                ("manager_rating", "double"), ("peer_score", "double"), ("goal_achievement_pct", "double"),
+                ("performance_score", "double"), ("performance_band", "string")]
+ORACLES["null_counts"] = with_panel(
+    "SELECT * FROM (" + union_all([f"SELECT '{c}' AS column_name, '{t}' AS dtype, count_if({c} IS NULL) AS null_count "
+                                   f"FROM panel" for c, t in _panel_types]) + ") WHERE null_count > 0")
+_corr = ["training_hours", "attendance_rate", "goal_achievement_pct", "manager_rating", "peer_score",
+         "overtime_hours", "experience_years", "salary", "projects_completed", "performance_score"]
+
+
+def corr_sql(lower_only: bool = False) -> str:
+    parts = []
+    for i, a in enumerate(_corr):
+        for j, b in enumerate(_corr):
+            if lower_only and not i > j:
+                continue
+            x, y = (a, b) if i <= j else (b, a)
+            r = f"corr(CAST({x} AS DOUBLE), CAST({y} AS DOUBLE))"
+            parts.append(f"SELECT {i} AS i, {j} AS j, '{a}' AS feature_x, '{b}' AS feature_y, "
+                         f"CASE WHEN isnan({r}) THEN NULL ELSE {rnd(r, 6)} END AS corr FROM panel")
+    return with_panel(union_all(parts))
+
+
+ORACLES["correlation_matrix"] = corr_sql()
+ORACLES["lower_triangle"] = corr_sql(lower_only=True)
+ORACLES["pair_correlation"] = with_panel(
+    f"SELECT {rnd('corr(training_hours, performance_score)', 6)} AS corr, "
+    "count(CASE WHEN training_hours IS NOT NULL AND performance_score IS NOT NULL THEN 1 END) AS n_pairs FROM panel")
+ORACLES["paired_nonnull"] = with_panel(
+    "SELECT employee_id, quarter_label, training_hours, performance_score FROM panel "
+    "WHERE training_hours IS NOT NULL AND performance_score IS NOT NULL")
+_regr = ("regr_slope(performance_score, training_hours) AS slope, "
+         "regr_intercept(performance_score, training_hours) AS intercept, "
+         "CAST(regr_count(performance_score, training_hours) AS BIGINT) AS n_pairs")
+ORACLES["trend_line"] = with_panel(
+    f"SELECT CASE WHEN n_pairs > 10 THEN {rnd('slope', 6)} END AS slope, "
+    f"CASE WHEN n_pairs > 10 THEN {rnd('intercept', 6)} END AS intercept, n_pairs FROM (SELECT {_regr} FROM panel)")
+_xv = "(lo + (hi - lo) * idx / 99)"
+ORACLES["trend_line_points"] = with_panel(
+    f"SELECT CAST(idx AS INTEGER) AS idx, {rnd(_xv, 6)} AS x, {rnd(f'slope * {_xv} + intercept', 6)} AS y "
+    f"FROM (SELECT {_regr}, min(training_hours) AS lo, max(training_hours) AS hi FROM panel) g, range(0, 100) r(idx) "
+    "WHERE n_pairs > 10")
+_hist = ["training_hours", "attendance_rate", "goal_achievement_pct", "manager_rating", "peer_score",
+         "overtime_hours"]
+_long = union_all([f"SELECT '{c}' AS feature, performance_band AS band, CAST({c} AS DOUBLE) AS value FROM panel "
+                   f"WHERE performance_band IS NOT NULL AND {c} IS NOT NULL" for c in _hist])
+ORACLES["feature_histogram"] = with_panel(
+    f"""SELECT g.feature, g.band, CAST(g.bin AS INTEGER) AS bin,
+  {rnd('g.lo + g.bin * g.width', 6)} AS bin_start, {rnd('g.lo + (g.bin + 1) * g.width', 6)} AS bin_end,
+  CAST(coalesce(c.n, 0) AS BIGINT) AS n, {rnd('coalesce(c.n, 0) / (g.n_group * g.width)', 6)} AS density
+FROM (SELECT r.*, b.bin FROM rng r, range(0, 20) b(bin)) g
+LEFT JOIN (SELECT l.feature, l.band, CAST(least(floor((value - lo) / width), 19) AS INTEGER) AS bin, count(*) AS n
+           FROM lng l JOIN rng r ON l.feature = r.feature AND l.band = r.band GROUP BY ALL) c
+  ON g.feature = c.feature AND g.band = c.band AND g.bin = c.bin""",
+    f"""lng AS ({_long}),
+rng AS (SELECT feature, band, count(*) AS n_group,
+          CASE WHEN min(value) = max(value) THEN min(value) - 0.5e0 ELSE min(value) END AS lo,
+          (CASE WHEN min(value) = max(value) THEN max(value) + 0.5e0 ELSE max(value) END
+           - CASE WHEN min(value) = max(value) THEN min(value) - 0.5e0 ELSE min(value) END) / 20 AS width
+        FROM lng GROUP BY ALL)""")
+ORACLES["performer_shortlists"] = with_panel(
+    """SELECT list_band, CAST(rank AS INTEGER) AS rank, employee_id, department, experience_years,
+  goal_achievement_pct, manager_rating, score FROM (
+  SELECT (['Low', 'Medium', 'High'])[prediction + 1] AS list_band, employee_id, department, experience_years,
+    goal_achievement_pct, manager_rating, """ + rnd("performance_score", 6) + """ AS score,
+    row_number() OVER (PARTITION BY prediction ORDER BY performance_score DESC, employee_id, review_year,
+                       review_quarter) AS rank
+  FROM ps WHERE prediction IN (0, 2)) WHERE rank <= 10""", PSEUDO)
+ORACLES["preview"] = with_panel("SELECT * FROM panel ORDER BY employee_id, review_year, review_quarter LIMIT 5")
+
+# --- decisions ----------------------------------------------------------------------
+
+
+def decision_cte(src: str, band: str = "performance_band", drop: tuple = ()) -> str:
+    """Rule columns over ``src`` (band column = prediction, confidence 1.0).
+    Columns listed in ``drop`` are treated as absent (rule defaults)."""
+    defaults = {"salary": "50000", "overtime_hours": "10.0e0"}
+
+    def f(c):
+        return defaults[c] if c in drop else c
+    th, att, ot, ga = "training_hours", "attendance_rate", f("overtime_hours"), "goal_achievement_pct"
+    mr, ps, pc, ex, sal = "manager_rating", "peer_score", "projects_completed", "experience_years", f("salary")
+
+    def t(cond):
+        return f"coalesce({cond}, false)"
+    low_goal, low_mgr = t(f"{ga} < 50"), t(f"{mr} < 2.5")
+    high_ot, low_att = t(f"{ot} > 30"), t(f"{att} < 0.8e0")
+    is_low, is_med, is_high = t(f"{band} = 'Low'"), t(f"{band} = 'Medium'"), t(f"{band} = 'High'")
+    topics = (f"list_filter([CASE WHEN {t(f'{th} < 15')} THEN 'Technical skills bootcamp for the current role' END, "
+              f"CASE WHEN {low_goal} THEN 'Goal-setting and OKR workshop' END, "
+              f"CASE WHEN {t(f'{ps} < 2.5')} THEN 'Collaboration and communication training' END, "
+              f"CASE WHEN {low_mgr} AND {t(f'{ex} < 10')} THEN 'Leadership readiness programme' END], lambda x: x IS NOT NULL)")
+    promo = f"({is_high} AND {t(f'{ga} >= 85')} AND {t(f'{mr} >= 4.0e0')} AND {t(f'{ex} >= 5')} AND {t(f'{pc} >= 4')})"
+    goals = (f"list_filter([CASE WHEN {low_goal} THEN 'Raise goal achievement from ' || "
+             f"CAST(CAST(round_even(CAST({ga} AS DOUBLE), 0) AS BIGINT) AS VARCHAR) || '% to at least 70% within 90 days' END, "
+             f"CASE WHEN {low_mgr} THEN 'Lift manager rating from ' || printf('%.1f', round_even(CAST({mr} AS DOUBLE), 1)) "
+             f"|| ' to at least 3.0 with bi-weekly check-ins' END, "
+             f"CASE WHEN {t(f'{pc} < 2')} THEN 'Complete at least 3 projects per quarter with a quality sign-off' END], "
+             f"lambda x: x IS NOT NULL)")
+    points = (f"(CASE WHEN {is_low} THEN 3 ELSE 0 END + CASE WHEN {t(f'{sal} < 40000')} THEN 2 ELSE 0 END + "
+              f"CASE WHEN {low_goal} THEN 1 ELSE 0 END + CASE WHEN {low_mgr} THEN 2 ELSE 0 END + "
+              f"CASE WHEN {high_ot} THEN 1 ELSE 0 END)")
+    ot_msg = (f"'Overtime of ' || CAST(CAST(round_even(CAST({ot} AS DOUBLE), 0) AS BIGINT) AS VARCHAR) || "
+              f"' h per quarter is above a healthy level: review the workload'")
+    att_msg = (f"'Attendance of ' || CAST(CAST(round_even(CAST({att} AS DOUBLE) * 100, 0) AS BIGINT) AS VARCHAR) || "
+               f"'% is critically low: offer a confidential wellbeing session'")
+    quick = (f"CASE WHEN {is_med} THEN CASE WHEN {t(f'{th} >= 15')} AND {t(f'{ga} >= 70')} "
+             f"THEN 'Close to the High band: consider a stretch project' "
+             f"ELSE 'Targeted skills development could lift performance next quarter' END END")
+    return f"""d1 AS (
+  SELECT *, {band} AS predicted_band, round_even(1.0e0 * 100, 1) AS confidence_pct,
+    {topics} AS topics, {promo} AS promotion_ready, {is_low} AS pip_required,
+    CASE WHEN {is_low} THEN (CASE WHEN len({goals}) = 0 THEN ['Agree a 90-day recovery plan with measurable KPIs']
+         ELSE {goals} END) ELSE []::VARCHAR[] END AS goals,
+    {points} AS retention_points, ({high_ot} OR {low_att}) AS wellbeing_flag,
+    {high_ot} AS _hot, {low_att} AS _lat, {quick} AS _quick, {is_med} AS _med
+  FROM {src}),
+d2 AS (
+  SELECT *, len(topics) > 0 AS training_needed,
+    CASE WHEN retention_points >= 5 THEN 'High' WHEN retention_points >= 3 THEN 'Medium' ELSE 'Low' END AS retention_risk
+  FROM d1),
+d3 AS (
+  SELECT *, list_filter(flatten([
+      CASE WHEN promotion_ready THEN ['Open a promotion discussion with the department head', 'Document a succession plan'] ELSE []::VARCHAR[] END,
+      CASE WHEN pip_required THEN ['Hold a PIP review meeting within two weeks', 'Assign a performance coach or mentor'] ELSE []::VARCHAR[] END,
+      CASE WHEN retention_risk = 'High' THEN ['High attrition risk: escalate to the HR business partner now', 'Hold a stay interview within one week']
+           WHEN retention_risk = 'Medium' THEN ['Moderate retention risk: plan a quarterly engagement check-in'] ELSE []::VARCHAR[] END,
+      [CASE WHEN _hot THEN {ot_msg} END, CASE WHEN _lat THEN {att_msg} END, _quick]]), lambda x: x IS NOT NULL)[1:6] AS actions,
+    CASE WHEN pip_required OR retention_risk = 'High' OR wellbeing_flag THEN 'Urgent'
+         WHEN _med AND training_needed THEN 'Medium' ELSE 'Normal' END AS priority
+  FROM d2),
+dec AS (
+  SELECT *, '[' || priority || '] ' || predicted_band || ' performer (' || CAST(confidence_pct AS VARCHAR) || '% confidence). '
+    || CASE WHEN training_needed THEN 'Training: ' || array_to_string(topics[1:2], '; ') || '. ' ELSE '' END
+    || CASE WHEN promotion_ready THEN 'Promotion candidate.' ELSE '' END
+    || CASE WHEN pip_required THEN 'PIP required.' ELSE '' END
+    || 'Retention risk: ' || retention_risk || '.' AS hr_summary
+  FROM d3)"""
+
+
+DEC = CLEAN + ",\n" + decision_cte("clean")
+ORACLES["training_needs"] = with_panel(
+    "SELECT employee_id, quarter_label, training_needed, array_to_string(topics, '; ') AS training_topics FROM dec", DEC)
+ORACLES["promotion_ready"] = with_panel("SELECT employee_id, quarter_label, promotion_ready FROM dec", DEC)
+ORACLES["pip_plan"] = with_panel(
+    "SELECT employee_id, quarter_label, pip_required, array_to_string(goals, '; ') AS pip_goals, "
+    "CAST(len(goals) AS INTEGER) AS n_goals FROM dec", DEC)
+ORACLES["retention_risk"] = with_panel(
+    "SELECT employee_id, quarter_label, retention_points, retention_risk FROM dec", DEC)
+ORACLES["wellbeing_flag"] = with_panel("SELECT employee_id, quarter_label, wellbeing_flag FROM dec", DEC)
+ORACLES["medium_quick_win"] = with_panel(
+    "SELECT employee_id, quarter_label, actions[len(actions)] AS quick_win FROM dec WHERE predicted_band = 'Medium'", DEC)
+ORACLES["priority"] = with_panel("SELECT employee_id, quarter_label, priority FROM dec", DEC)
+ORACLES["decision_summary"] = with_panel("SELECT employee_id, quarter_label, hr_summary FROM dec", DEC)
+ORACLES["action_list"] = with_panel(
+    "SELECT employee_id, quarter_label, array_to_string(actions, '; ') AS recommended_actions, "
+    "CAST(len(actions) AS INTEGER) AS n_actions FROM dec", DEC)
+ORACLES["cap_list"] = with_panel(
+    "SELECT employee_id, quarter_label, array_to_string(topics[1:2], '; ') AS first_topics, "
+    "CAST(len(actions[1:6]) AS INTEGER) AS n_actions FROM dec", DEC)
+REPORT_SELECT = ("SELECT employee_id, quarter_label, predicted_band, confidence_pct, training_needed, "
+                 "array_to_string(topics, '; ') AS training_topics, promotion_ready, pip_required, "
+                 "array_to_string(goals, '; ') AS pip_goals, retention_risk, wellbeing_flag, "
+                 "array_to_string(actions, '; ') AS recommended_actions, priority, hr_summary FROM dec")
+ORACLES["decision_report"] = with_panel(REPORT_SELECT, DEC)
+ORACLES["rule_feature_defaults"] = with_panel(
+    "SELECT employee_id, quarter_label, retention_points, wellbeing_flag FROM dec",
+    CLEAN + ",\n" + decision_cte("clean", drop=("salary", "overtime_hours")))
+ORACLES["priority_counts"] = with_panel("SELECT priority, count(*) AS n FROM dec GROUP BY priority", DEC)
+ORACLES["attach_decisions"] = with_panel(
+    "SELECT employee_id, quarter_label, predicted_band, training_needed, promotion_ready FROM dec", DEC)
+
+# --- metrics --------------------------------------------------------------------------
+
+
+def metric_ctes(pred_expr: str, p: str = "") -> str:
+    return f"""{p}sc AS (SELECT {TARGET} AS label, {pred_expr} AS prediction FROM clean),
+{p}cc AS (SELECT label, prediction, count(*) AS n FROM {p}sc GROUP BY ALL),
+{p}pc0 AS (
+  SELECT k.cls, coalesce(t.support, 0) AS support, coalesce(pr.predicted, 0) AS predicted, coalesce(tp.tp, 0) AS tp
+  FROM (SELECT label AS cls FROM {p}cc UNION SELECT prediction FROM {p}cc) k
+  LEFT JOIN (SELECT label AS cls, sum(n) AS support FROM {p}cc GROUP BY 1) t ON k.cls = t.cls
+  LEFT JOIN (SELECT prediction AS cls, sum(n) AS predicted FROM {p}cc GROUP BY 1) pr ON k.cls = pr.cls
+  LEFT JOIN (SELECT label AS cls, n AS tp FROM {p}cc WHERE label = prediction) tp ON k.cls = tp.cls),
+{p}pc1 AS (SELECT *, CASE WHEN predicted > 0 THEN tp / CAST(predicted AS DOUBLE) ELSE 0.0e0 END AS precision,
+              CASE WHEN support > 0 THEN tp / CAST(support AS DOUBLE) ELSE 0.0e0 END AS recall FROM {p}pc0),
+{p}pc AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+              ELSE 0.0e0 END AS f1 FROM {p}pc1),
+{p}sm AS (SELECT {rnd('sum(tp) / CAST(sum(support) AS DOUBLE)', 4)} AS accuracy, {rnd('avg(f1)', 4)} AS f1_macro,
+              {rnd('sum(f1 * support) / sum(support)', 4)} AS f1_weighted, CAST(sum(support) AS BIGINT) AS n FROM {p}pc)"""
+
+
+PSEUDO_PRED = "CASE WHEN goal_achievement_pct >= 85 THEN 2 WHEN goal_achievement_pct < 50 THEN 0 ELSE 1 END"
+MET = CLEAN + ",\n" + metric_ctes(PSEUDO_PRED)
+ORACLES["accuracy"] = with_panel("SELECT accuracy FROM sm", MET)
+ORACLES["f1_macro"] = with_panel("SELECT f1_macro FROM sm", MET)
+ORACLES["f1_weighted"] = with_panel("SELECT f1_weighted FROM sm", MET)
+ORACLES["confusion_matrix"] = with_panel(
+    "SELECT CAST(l.label AS INTEGER) AS label, CAST(p.prediction AS INTEGER) AS prediction, "
+    "CAST(coalesce(cc.n, 0) AS BIGINT) AS n FROM range(0, 3) l(label) CROSS JOIN range(0, 3) p(prediction) "
+    "LEFT JOIN cc ON cc.label = l.label AND cc.prediction = p.prediction", MET)
+ORACLES["classification_report"] = with_panel(f"""
+SELECT (['Low', 'Medium', 'High'])[cls + 1] AS row_name, CAST(cls AS INTEGER) AS row_order,
+  {rnd('precision', 4)} AS precision, {rnd('recall', 4)} AS recall, {rnd('f1', 4)} AS f1,
+  CAST(support AS BIGINT) AS support FROM pc
+UNION ALL SELECT 'accuracy', 10, NULL, NULL, {rnd('sum(tp) / CAST(sum(support) AS DOUBLE)', 4)},
+  CAST(sum(support) AS BIGINT) FROM pc
+UNION ALL SELECT 'macro avg', 11, {rnd('avg(precision)', 4)}, {rnd('avg(recall)', 4)}, {rnd('avg(f1)', 4)},
+  CAST(sum(support) AS BIGINT) FROM pc
+UNION ALL SELECT 'weighted avg', 12, {rnd('sum(precision * support) / sum(support)', 4)},
+  {rnd('sum(recall * support) / sum(support)', 4)}, {rnd('sum(f1 * support) / sum(support)', 4)},
+  CAST(sum(support) AS BIGINT) FROM pc""", MET)
+_pm = [("goal_85_50", 85, 50), ("goal_80_45", 80, 45), ("goal_90_55", 90, 55)]
+_cmp = CLEAN + "".join(
+    ",\n" + metric_ctes(f"CASE WHEN goal_achievement_pct >= {hi} THEN 2 WHEN goal_achievement_pct < {lo} THEN 0 ELSE 1 END",
+                        f"m{i}_") for i, (_, hi, lo) in enumerate(_pm))
+_cmp += ",\ncmp AS (" + union_all([f"SELECT '{n}' AS model, {i} AS model_order, accuracy, f1_macro, f1_weighted "
+                                   f"FROM m{i}_sm" for i, (n, _, _) in enumerate(_pm)]) + ")"
+ORACLES["select_best"] = with_panel(
+    "SELECT * FROM cmp ORDER BY f1_macro DESC, model_order LIMIT 1", _cmp)
+
+# --- fairness ---------------------------------------------------------------------------
+GRP = PSEUDO + """,
+grp AS (SELECT department AS group_name, count(*) AS n_employees,
+          avg(CASE WHEN prediction = 2 THEN 1 ELSE 0 END) AS p,
+          avg(CASE WHEN performance_band IS NULL THEN NULL WHEN performance_band = 'High' THEN 1 ELSE 0 END) AS a
+        FROM ps WHERE department IS NOT NULL GROUP BY department),
+aud AS (SELECT group_name, n_employees, """ + rnd("p * 100.0e0", 1) + """ AS predicted_high_pct,
+          """ + rnd("a * 100.0e0", 1) + """ AS actual_high_pct, """ + rnd("(p - a) * 100.0e0", 1) + """ AS gap_pts
+        FROM grp),
+aud2 AS (SELECT *, CASE WHEN max(predicted_high_pct) OVER () > 0 THEN
+          """ + rnd("predicted_high_pct / max(predicted_high_pct) OVER ()", 3) + """ END AS adverse_impact_ratio FROM aud),
+aud3 AS (SELECT *, CASE WHEN adverse_impact_ratio IS NULL THEN 'NOT_ASSESSABLE' WHEN adverse_impact_ratio < 0.8e0
+          THEN 'INVESTIGATE' ELSE 'OK' END AS bias_flag FROM aud2)"""
+ORACLES["selection_rate"] = with_panel(
+    f"SELECT {rnd('avg(CASE WHEN prediction = 2 THEN 1.0e0 ELSE 0.0e0 END)', 6)} AS selection_rate FROM ps", PSEUDO)
+ORACLES["audit_by_group"] = with_panel(
+    "SELECT group_name, n_employees, predicted_high_pct, actual_high_pct, gap_pts FROM aud3", GRP)
+ORACLES["adverse_impact"] = with_panel("SELECT group_name, adverse_impact_ratio, bias_flag FROM aud3", GRP)
+ORACLES["bias_detected"] = with_panel(
+    "SELECT coalesce(bool_or(bias_flag = 'INVESTIGATE'), false) AS bias_detected FROM aud3", GRP)
+ORACLES["fairness_chart_data"] = with_panel(
+    "SELECT group_name, predicted_high_pct, actual_high_pct FROM aud3", GRP)
+ORACLES["sort_reports"] = with_panel(
+    "SELECT CAST(row_number() OVER (ORDER BY predicted_high_pct DESC, group_name) AS INTEGER) AS pos, "
+    "group_name, predicted_high_pct FROM aud3", GRP)
+ORACLES["audit_by_experience"] = with_panel(f"""
+SELECT experience_tier, count(*) AS n_employees,
+  {rnd('avg(CASE WHEN prediction = 2 THEN 1 ELSE 0 END) * 100.0e0', 1)} AS predicted_high_pct,
+  {rnd("avg(CASE WHEN performance_band IS NULL THEN NULL WHEN performance_band = 'High' THEN 1 ELSE 0 END) * 100.0e0", 1)} AS actual_high_pct,
+  CASE experience_tier WHEN 'Junior (0–3 yrs)' THEN 0 WHEN 'Mid (4–8 yrs)' THEN 1 ELSE 2 END AS tier_order
+FROM (SELECT *, {TIER} AS experience_tier FROM ps) WHERE experience_tier IS NOT NULL GROUP BY experience_tier""", PSEUDO)
+ORACLES["statistical_parity"] = with_panel(f"""
+SELECT group_name, {rnd('r * 100.0e0', 1)} AS high_rate_pct, {rnd('r - ref', 3)} AS spd,
+  CASE WHEN r - ref IS NULL THEN 'NOT_ASSESSABLE' WHEN abs(r - ref) > 0.1e0 THEN 'REVIEW' ELSE 'OK' END AS fairness_flag
+FROM (SELECT *, max(CASE WHEN group_name = 'EUROPE' THEN r END) OVER () AS ref FROM (
+  SELECT department AS group_name, avg(CASE WHEN prediction = 2 THEN 1 ELSE 0 END) AS r
+  FROM ps WHERE department IS NOT NULL GROUP BY department))""", PSEUDO)
+
+# --- joins --------------------------------------------------------------------------------
+ORACLES["lookup_constants"] = with_panel("SELECT * EXCLUDE (sk) FROM dim")
+ORACLES["densify_panel"] = with_panel("""
+SELECT e.employee_id, e.department, e.education, e.role, e.age, e.experience_years, e.salary, e.join_date,
+  CAST(t // 4 AS INTEGER) AS review_year, CAST(t % 4 + 1 AS INTEGER) AS review_quarter,
+  CAST(t // 4 AS VARCHAR) || '-Q' || CAST(t % 4 + 1 AS VARCHAR) AS quarter_label,
+  make_date(CAST(t // 4 AS INTEGER), CAST((t % 4) * 3 + 1 AS INTEGER), 1) AS review_date,
+  f.training_hours, f.attendance_rate, f.overtime_hours, f.projects_completed, f.manager_rating, f.peer_score,
+  f.goal_achievement_pct, f.performance_score, f.performance_band
+FROM (SELECT DISTINCT employee_id, department, education, role, age, experience_years, salary, join_date FROM clean) e
+CROSS JOIN range(1995 * 4, 2001 * 4 + 4) r(t)
+LEFT JOIN clean f ON f.employee_id = e.employee_id AND f.review_year = t // 4 AND f.review_quarter = t % 4 + 1""",
+    CLEAN)

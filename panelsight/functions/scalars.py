@@ -48,7 +48,7 @@ def kpi_score(goal, manager, peer, attendance, training, projects, overtime) ->
            + 0.10 * F.least(training / 30, F.lit(1.0)) * 100
            + 0.05 * F.least(projects / 6, F.lit(1.0)) * 100
            + 0.05 * (1 - overtime / 50) * 100)
-    return rnd(clip(raw, 10.0, 100.0), 2)
+    return F.when(raw.isNotNull(), rnd(clip(raw, 10.0, 100.0), 2))
 
 
 def performance_band(score) -> Column:

@@ -214,16 +214,19 @@ def feature_histogram(df: DataFrame, cols: list[str] = HIST_FEATURES, bins: int
            .withColumn("lo", F.when(F.col("vmin") == F.col("vmax"), F.col("vmin") - 0.5).otherwise(F.col("vmin")))
            .withColumn("hi", F.when(F.col("vmin") == F.col("vmax"), F.col("vmax") + 0.5).otherwise(F.col("vmax")))
            .withColumn("width", (F.col("hi") - F.col("lo")) / bins))
-    binned = long.join(rng, ["feature", "band"]).select(
-        "feature", "band", "lo", "width", "n_group",
+    binned = long.join(rng.select("feature", "band", "lo", "width"), ["feature", "band"]).select(
+        "feature", "band",
         F.least(F.floor((F.col("value") - F.col("lo")) / F.col("width")), F.lit(bins - 1)).cast("int").alias("bin"))
-    return (binned.groupBy("feature", "band", "bin", "lo", "width", "n_group")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select("feature", "band", "bin",
+    counts = binned.groupBy("feature", "band", "bin").agg(F.count(F.lit(1)).alias("n"))
+    # every bin of every (feature, band) group, empty ones with n = 0
+    grid = rng.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return (grid.join(counts, ["feature", "band", "bin"], "left")
+            .select("feature", "band", F.col("bin").cast("int").alias("bin"),
                     rnd(F.col("lo") + F.col("bin") * F.col("width"), REPORT_DP).alias("bin_start"),
                     rnd(F.col("lo") + (F.col("bin") + 1) * F.col("width"), REPORT_DP).alias("bin_end"),
-                    "n",
-                    rnd(F.col("n") / (F.col("n_group") * F.col("width")), REPORT_DP).alias("density")))
+                    F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
+                    rnd(F.coalesce(F.col("n"), F.lit(0)) / (F.col("n_group") * F.col("width")), REPORT_DP)
+                    .alias("density")))
 
 
 def distinct_quarters(df: DataFrame, split_col: str = "split") -> DataFrame:

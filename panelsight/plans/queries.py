@@ -57,3 +57,528 @@ def q_dedup(spark, sf_dir):
 @register("dept_band_pct")
 def q_dept_band_pct(spark, sf_dir):
     return I.dept_band_pct(raw_panel(spark, sf_dir))
+
+
+# --- shared building blocks ------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from panelsight import functions as S  # noqa: E402
+from panelsight.operators import decisions as D  # noqa: E402
+from panelsight.operators import fairness as FA  # noqa: E402
+from panelsight.operators import metrics as M  # noqa: E402
+from panelsight.operators import prep as P  # noqa: E402
+from panelsight.schema import DEFAULT_CUTOFF, FEATURE_COLS, IMPUTE_COLS  # noqa: E402
+from panelsight.sources.panel import read_table  # noqa: E402
+
+CUTOFF = "2000-Q1"          # split point for the warehouse-derived panel
+PARITY_REFERENCE = "EUROPE"
+
+
+def pseudo_predict(df, goal_col: str = "goal_achievement_pct"):
+    """Deterministic stand-in for a model (for SQL-oracled rule/metric/fairness
+    checks): High if goal >= 85, Low if goal < 50, else (and NULL) Medium."""
+    g = F.col(goal_col)
+    pred = F.when(g >= 85, 2).when(g < 50, 0).otherwise(1)
+    return df.withColumns({
+        "prediction": pred,
+        "predicted_band": S.decode_band(pred),
+        "label": S.encode_target("performance_band"),
+        "confidence": F.lit(1.0),
+    })
+
+
+def split_frames(spark, sf_dir):
+    return P.time_split(clean_panel(spark, sf_dir), CUTOFF)
+
+
+def prepared(spark, sf_dir):
+    """(train, test, stats) with the model-ready ``features`` vector."""
+    return P.prep_pipeline(clean_panel(spark, sf_dir), CUTOFF)
+
+
+# --- scalar expressions ------------------------------------------------------------
+
+@register("kpi_score")
+def q_kpi(spark, sf_dir):
+    p = clean_panel(spark, sf_dir)
+    return p.select("employee_id", "quarter_label", S.kpi_score(
+        "goal_achievement_pct", "manager_rating", "peer_score", "attendance_rate",
+        "training_hours", "projects_completed", "overtime_hours").alias("kpi"))
+
+
+@register("performance_band")
+def q_band(spark, sf_dir):
+    p = clean_panel(spark, sf_dir)
+    return p.select("employee_id", "quarter_label", "performance_score",
+                    S.performance_band("performance_score").alias("band"))
+
+
+@register("quarter_start")
+def q_quarter_start(spark, sf_dir):
+    return (raw_panel(spark, sf_dir).select("review_year", "review_quarter").distinct()
+            .select("review_year", "review_quarter",
+                    S.quarter_start("review_year", "review_quarter").alias("quarter_start")))
+
+
+@register("quarter_label")
+def q_quarter_label(spark, sf_dir):
+    return (raw_panel(spark, sf_dir).select("review_year", "review_quarter").distinct()
+            .select("review_year", "review_quarter",
+                    S.quarter_label("review_year", "review_quarter").alias("label")))
+
+
+@register("quarter_key")
+def q_quarter_key(spark, sf_dir):
+    return (raw_panel(spark, sf_dir).select("quarter_label").distinct()
+            .select("quarter_label", S.quarter_key("quarter_label").alias("quarter_key")))
+
+
+@register("employee_code")
+def q_employee_code(spark, sf_dir):
+    s = read_table(spark, sf_dir, "supplier")
+    return s.select(F.col("s_suppkey"), S.employee_code("s_suppkey").alias("employee_id"))
+
+
+@register("tenure_offset_date")
+def q_tenure(spark, sf_dir):
+    s = read_table(spark, sf_dir, "supplier")
+    return s.select("s_suppkey", S.tenure_offset_date("1995-01-01", F.pmod("s_suppkey", F.lit(36)))
+                    .alias("join_date"),
+                    F.date_format(S.tenure_offset_date("1995-01-01", F.pmod("s_suppkey", F.lit(36))),
+                                  "yyyy-MM-dd").alias("join_date_text"))
+
+
+@register("numeric_coerce")
+def q_numeric_coerce(spark, sf_dir):
+    p = C.string_typed(raw_panel(spark, sf_dir))
+    return C.numeric_coerce(p).select("employee_id", "quarter_label", *[c for c in C.COERCE_COLS])
+
+
+@register("drop_missing_target")
+def q_drop_missing(spark, sf_dir):
+    return C.drop_missing_target(raw_panel(spark, sf_dir))
+
+
+@register("encode_target")
+def q_encode_target(spark, sf_dir):
+    return C.encode_target(raw_panel(spark, sf_dir)).select("employee_id", "quarter_label",
+                                                            "performance_band", "target")
+
+
+@register("decode_band")
+def q_decode_band(spark, sf_dir):
+    p = pseudo_predict(clean_panel(spark, sf_dir))
+    return p.select("employee_id", "quarter_label", "prediction",
+                    S.decode_band("prediction").alias("band"))
+
+
+@register("experience_tier")
+def q_experience_tier(spark, sf_dir):
+    return clean_panel(spark, sf_dir).select("employee_id", "quarter_label", "experience_years",
+                                             S.experience_tier("experience_years").alias("experience_tier"))
+
+
+@register("quality_profile")
+def q_quality(spark, sf_dir):
+    return C.quality_profile(raw_panel(spark, sf_dir), IMPUTE_COLS)
+
+
+@register("append_rows")
+def q_append(spark, sf_dir):
+    from panelsight.sources.panel import load_panel as lp
+    once = lp(spark, sf_dir, with_repeats=False)
+    dup_keys = (raw_panel(spark, sf_dir).groupBy("employee_id", "review_year", "review_quarter")
+                .agg(F.count(F.lit(1)).alias("k")).where("k > 1").drop("k"))
+    repeats = once.join(dup_keys, ["employee_id", "review_year", "review_quarter"], "left_semi")
+    return C.append_rows(once, repeats)
+
+
+# --- preparation -------------------------------------------------------------------
+
+@register("time_split")
+def q_time_split(spark, sf_dir):
+    return (P.label_split(clean_panel(spark, sf_dir), CUTOFF)
+            .select("employee_id", "quarter_label", "split"))
+
+
+@register("distinct_quarters")
+def q_distinct_quarters(spark, sf_dir):
+    return I.distinct_quarters(P.label_split(clean_panel(spark, sf_dir), CUTOFF))
+
+
+@register("fit_median_imputer")
+def q_fit_median(spark, sf_dir):
+    train, _ = split_frames(spark, sf_dir)
+    return P.median_table(train)
+
+
+@register("apply_median_imputer")
+def q_apply_median(spark, sf_dir):
+    train, test = split_frames(spark, sf_dir)
+    med = P.fit_median_imputer(train)
+    both = train.unionByName(test)
+    return P.apply_median_imputer(both, med).select("employee_id", "quarter_label", *IMPUTE_COLS)
+
+
+@register("fit_label_encoder")
+def q_fit_encoder(spark, sf_dir):
+    train, _ = split_frames(spark, sf_dir)
+    return P.encoder_table(train)
+
+
+@register("apply_label_encoder")
+def q_apply_encoder(spark, sf_dir):
+    train, test = split_frames(spark, sf_dir)
+    labels = P.fit_label_encoder(train)
+    return P.apply_label_encoder(test, labels).select(
+        "employee_id", "quarter_label", "department_enc", "education_enc", "role_enc")
+
+
+@register("encode_or_zero")
+def q_encode_or_zero(spark, sf_dir):
+    p = clean_panel(spark, sf_dir)
+    labels = P.fit_label_encoder(p.where(F.col("experience_years") < 10))
+    return P.apply_label_encoder(p, labels, unseen="zero").select(
+        "employee_id", "quarter_label", "department_enc", "education_enc", "role_enc")
+
+
+def _encoded_train_test(spark, sf_dir):
+    train, test = split_frames(spark, sf_dir)
+    med = P.fit_median_imputer(train)
+    train, test = P.apply_median_imputer(train, med), P.apply_median_imputer(test, med)
+    labels = P.fit_label_encoder(train)
+    return P.apply_label_encoder(train, labels), P.apply_label_encoder(test, labels)
+
+
+@register("fit_standard_scaler")
+def q_fit_scaler(spark, sf_dir):
+    train, _ = _encoded_train_test(spark, sf_dir)
+    return P.scaler_table(train, FEATURE_COLS).select(
+        "column_name", S.rnd("mean", 6).alias("mean"), S.rnd("std", 6).alias("std"))
+
+
+@register("apply_standard_scaler")
+def q_apply_scaler(spark, sf_dir):
+    train, test = _encoded_train_test(spark, sf_dir)
+    means, stds = P.fit_standard_scaler(train, FEATURE_COLS)
+    sc = P.apply_standard_scaler(test, means, stds)
+    return sc.select("employee_id", "quarter_label", *[S.rnd(f"{c}_sc", 6).alias(c) for c in FEATURE_COLS])
+
+
+@register("prep_pipeline")
+def q_prep_pipeline(spark, sf_dir):
+    train, test, _ = prepared(spark, sf_dir)
+    from pyspark.ml.functions import vector_to_array
+    out = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    arr = vector_to_array("features")
+    return out.select("employee_id", "quarter_label", "split", F.col("label").cast("int").alias("label"),
+                      *[S.rnd(arr[i], 6).alias(c) for i, c in enumerate(FEATURE_COLS)])
+
+
+@register("class_balance")
+def q_class_balance(spark, sf_dir):
+    train, _ = split_frames(spark, sf_dir)
+    return P.class_balance(train)
+
+
+@register("balanced_class_weights")
+def q_class_weights(spark, sf_dir):
+    train, _ = split_frames(spark, sf_dir)
+    t = C.encode_target(train, out="label")
+    return P.balanced_class_weights(t).select(F.col("label").cast("int").alias("label"), "n_c",
+                                              S.rnd("weight", 6).alias("weight"))
+
+
+# --- insights ----------------------------------------------------------------------
+
+@register("band_distribution")
+def q_band_distribution(spark, sf_dir):
+    return I.band_distribution(raw_panel(spark, sf_dir))
+
+
+@register("quarterly_trend")
+def q_quarterly_trend(spark, sf_dir):
+    return I.quarterly_trend(raw_panel(spark, sf_dir))
+
+
+@register("dept_band_counts")
+def q_dept_band_counts(spark, sf_dir):
+    return I.dept_band_counts(raw_panel(spark, sf_dir))
+
+
+@register("band_feature_means")
+def q_band_feature_means(spark, sf_dir):
+    return I.band_feature_means(raw_panel(spark, sf_dir))
+
+
+@register("describe_numeric")
+def q_describe(spark, sf_dir):
+    return I.describe_numeric(raw_panel(spark, sf_dir))
+
+
+@register("null_counts")
+def q_null_counts(spark, sf_dir):
+    return I.null_counts(raw_panel(spark, sf_dir))
+
+
+@register("correlation_matrix")
+def q_corr(spark, sf_dir):
+    return I.correlation_matrix(raw_panel(spark, sf_dir))
+
+
+@register("lower_triangle")
+def q_lower(spark, sf_dir):
+    return I.lower_triangle(I.correlation_matrix(raw_panel(spark, sf_dir)))
+
+
+@register("pair_correlation")
+def q_pair_corr(spark, sf_dir):
+    return I.pair_correlation(raw_panel(spark, sf_dir))
+
+
+@register("paired_nonnull")
+def q_paired(spark, sf_dir):
+    return I.paired_nonnull(raw_panel(spark, sf_dir), "training_hours", "performance_score").select(
+        "employee_id", "quarter_label", "training_hours", "performance_score")
+
+
+@register("trend_line")
+def q_trend_line(spark, sf_dir):
+    return I.trend_line(raw_panel(spark, sf_dir))
+
+
+@register("trend_line_points")
+def q_trend_points(spark, sf_dir):
+    return I.trend_line_points(raw_panel(spark, sf_dir))
+
+
+@register("feature_histogram")
+def q_histogram(spark, sf_dir):
+    return I.feature_histogram(raw_panel(spark, sf_dir))
+
+
+@register("performer_shortlists")
+def q_shortlists(spark, sf_dir):
+    p = pseudo_predict(clean_panel(spark, sf_dir)).withColumn("p_rank_score", F.col("performance_score"))
+    return I.performer_shortlists(p)
+
+
+@register("preview")
+def q_preview(spark, sf_dir):
+    return I.preview(raw_panel(spark, sf_dir).orderBy("employee_id", "review_year", "review_quarter"), 5)
+
+
+# --- decisions (actual band as the prediction, fixed confidence) -------------------
+
+def _decided(spark, sf_dir):
+    p = clean_panel(spark, sf_dir).withColumns({"predicted_band": F.col("performance_band"),
+                                                "confidence": F.lit(1.0)})
+    return D.decide(p)
+
+
+@register("training_needs")
+def q_training_needs(spark, sf_dir):
+    return _decided(spark, sf_dir).select("employee_id", "quarter_label", "training_needed",
+                                          F.array_join("training_topics_arr", "; ").alias("training_topics"))
+
+
+@register("promotion_ready")
+def q_promotion(spark, sf_dir):
+    return _decided(spark, sf_dir).select("employee_id", "quarter_label", "promotion_ready")
+
+
+@register("pip_plan")
+def q_pip(spark, sf_dir):
+    return _decided(spark, sf_dir).select("employee_id", "quarter_label", "pip_required",
+                                          F.array_join("pip_goals_arr", "; ").alias("pip_goals"),
+                                          F.size("pip_goals_arr").alias("n_goals"))
+
+
+@register("retention_risk")
+def q_retention(spark, sf_dir):
+    return _decided(spark, sf_dir).select("employee_id", "quarter_label", "retention_points", "retention_risk")
+
+
+@register("wellbeing_flag")
+def q_wellbeing(spark, sf_dir):
+    return _decided(spark, sf_dir).select("employee_id", "quarter_label", "wellbeing_flag")
+
+
+@register("medium_quick_win")
+def q_quick_win(spark, sf_dir):
+    d = _decided(spark, sf_dir)
+    return d.where(F.col("predicted_band") == "Medium").select(
+        "employee_id", "quarter_label", F.element_at("actions_arr", -1).alias("quick_win"))
+
+
+@register("priority")
+def q_priority(spark, sf_dir):
+    return _decided(spark, sf_dir).select("employee_id", "quarter_label", "priority")
+
+
+@register("decision_summary")
+def q_summary(spark, sf_dir):
+    return _decided(spark, sf_dir).select("employee_id", "quarter_label", "hr_summary")
+
+
+@register("action_list")
+def q_actions(spark, sf_dir):
+    return _decided(spark, sf_dir).select("employee_id", "quarter_label",
+                                          F.array_join("actions_arr", "; ").alias("recommended_actions"),
+                                          F.size("actions_arr").alias("n_actions"))
+
+
+@register("cap_list")
+def q_cap_list(spark, sf_dir):
+    d = _decided(spark, sf_dir)
+    return d.select("employee_id", "quarter_label",
+                    F.array_join(F.slice("training_topics_arr", 1, 2), "; ").alias("first_topics"),
+                    F.size(F.slice("actions_arr", 1, 6)).alias("n_actions"))
+
+
+@register("decision_report")
+def q_decision_report(spark, sf_dir):
+    p = clean_panel(spark, sf_dir).withColumns({"predicted_band": F.col("performance_band"),
+                                                "confidence": F.lit(1.0)})
+    return D.decision_report(p)
+
+
+@register("rule_feature_defaults")
+def q_rule_defaults(spark, sf_dir):
+    p = (clean_panel(spark, sf_dir).drop("salary", "overtime_hours")
+         .withColumns({"predicted_band": F.col("performance_band"), "confidence": F.lit(1.0)}))
+    return D.decide(p).select("employee_id", "quarter_label", "retention_points", "wellbeing_flag")
+
+
+@register("priority_counts")
+def q_priority_counts(spark, sf_dir):
+    return D.priority_counts(q_decision_report(spark, sf_dir))
+
+
+# --- metrics on the pseudo-prediction -----------------------------------------------
+
+def _pseudo_scored(spark, sf_dir):
+    return pseudo_predict(clean_panel(spark, sf_dir))
+
+
+@register("accuracy")
+def q_accuracy(spark, sf_dir):
+    return M.summary_metrics(_pseudo_scored(spark, sf_dir)).select("accuracy")
+
+
+@register("f1_macro")
+def q_f1_macro(spark, sf_dir):
+    return M.summary_metrics(_pseudo_scored(spark, sf_dir)).select("f1_macro")
+
+
+@register("f1_weighted")
+def q_f1_weighted(spark, sf_dir):
+    return M.summary_metrics(_pseudo_scored(spark, sf_dir)).select("f1_weighted")
+
+
+@register("confusion_matrix")
+def q_confusion(spark, sf_dir):
+    return M.confusion_matrix(_pseudo_scored(spark, sf_dir))
+
+
+@register("classification_report")
+def q_class_report(spark, sf_dir):
+    return M.classification_report(_pseudo_scored(spark, sf_dir))
+
+
+PSEUDO_MODELS = [("goal_85_50", 85, 50), ("goal_80_45", 80, 45), ("goal_90_55", 90, 55)]
+
+
+def _pseudo_comparison(spark, sf_dir):
+    p = clean_panel(spark, sf_dir).withColumn("label", S.encode_target("performance_band"))
+    rows = None
+    for i, (name, hi, lo) in enumerate(PSEUDO_MODELS):
+        g = F.col("goal_achievement_pct")
+        s = p.withColumn("prediction", F.when(g >= hi, 2).when(g < lo, 0).otherwise(1))
+        m = M.summary_metrics(s).select(F.lit(name).alias("model"), F.lit(i).alias("model_order"),
+                                        "accuracy", "f1_macro", "f1_weighted")
+        rows = m if rows is None else rows.unionByName(m)
+    return rows
+
+
+@register("select_best")
+def q_select_best(spark, sf_dir):
+    return M.select_best(_pseudo_comparison(spark, sf_dir))
+
+
+# --- fairness on the pseudo-prediction ----------------------------------------------
+
+@register("selection_rate")
+def q_selection_rate(spark, sf_dir):
+    return FA.selection_rate(_pseudo_scored(spark, sf_dir)).select(S.rnd("selection_rate", 6).alias("selection_rate"))
+
+
+@register("audit_by_group")
+def q_audit_group(spark, sf_dir):
+    return FA.audit_by_group(_pseudo_scored(spark, sf_dir)).select(
+        "group_name", "n_employees", "predicted_high_pct", "actual_high_pct", "gap_pts")
+
+
+@register("adverse_impact")
+def q_adverse(spark, sf_dir):
+    return FA.audit_by_group(_pseudo_scored(spark, sf_dir)).select(
+        "group_name", "adverse_impact_ratio", "bias_flag")
+
+
+@register("audit_by_experience")
+def q_audit_exp(spark, sf_dir):
+    return FA.audit_by_experience(_pseudo_scored(spark, sf_dir))
+
+
+@register("statistical_parity")
+def q_parity(spark, sf_dir):
+    return FA.statistical_parity(_pseudo_scored(spark, sf_dir), "department", PARITY_REFERENCE)
+
+
+@register("bias_detected")
+def q_bias(spark, sf_dir):
+    return FA.bias_detected(FA.audit_by_group(_pseudo_scored(spark, sf_dir)))
+
+
+@register("fairness_chart_data")
+def q_fair_chart(spark, sf_dir):
+    return FA.fairness_chart_data(FA.audit_by_group(_pseudo_scored(spark, sf_dir)))
+
+
+@register("sort_reports")
+def q_sort_reports(spark, sf_dir):
+    a = FA.audit_by_group(_pseudo_scored(spark, sf_dir))
+    return a.orderBy(F.col("predicted_high_pct").desc(), "group_name").select(
+        F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy(
+            F.col("predicted_high_pct").desc(), "group_name")).alias("pos"),
+        "group_name", "predicted_high_pct")
+
+
+# --- joins ----------------------------------------------------------------------------
+
+@register("lookup_constants")
+def q_lookup(spark, sf_dir):
+    from panelsight.sources.panel import employee_dim
+    return employee_dim(read_table(spark, sf_dir, "supplier"), read_table(spark, sf_dir, "nation"),
+                        read_table(spark, sf_dir, "region")).drop("sk")
+
+
+@register("densify_panel")
+def q_densify(spark, sf_dir):
+    from panelsight.sources.panel import densify_panel
+    return densify_panel(clean_panel(spark, sf_dir), 1995, 2001)
+
+
+@register("attach_decisions")
+def q_attach(spark, sf_dir):
+    p = clean_panel(spark, sf_dir).withColumns({"predicted_band": F.col("performance_band"),
+                                                "confidence": F.lit(1.0)})
+    rep = D.decision_report(p).select("employee_id", "quarter_label", "training_needed", "promotion_ready")
+    scored = p.select("employee_id", "quarter_label", "predicted_band")
+    return scored.join(rep, ["employee_id", "quarter_label"], "left")
+
+
+def flagship(spark, sf_dir):
+    """Placeholder flagship until the model path is registered."""
+    return q_audit_group(spark, sf_dir)

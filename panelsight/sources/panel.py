@@ -136,5 +136,5 @@ def densify_panel(panel: DataFrame, start_year: int, end_year: int) -> DataFrame
             .withColumn("review_date", quarter_start("review_year", "review_quarter"))
             .drop("_t"))
     measures = [c for c in PANEL_COLS if c not in emp_cols + ["quarter_label", "review_date"]]
-    facts = panel.select(*measures).dropDuplicates(["employee_id", "review_year", "review_quarter"])
+    facts = panel.select("employee_id", *measures).dropDuplicates(["employee_id", "review_year", "review_quarter"])
     return grid.join(facts, ["employee_id", "review_year", "review_quarter"], "left").select(*PANEL_COLS)
