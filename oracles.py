@@ -566,3 +566,94 @@ FROM (SELECT DISTINCT employee_id, department, education, role, age, experience_
 CROSS JOIN range(1995 * 4, 2001 * 4 + 4) r(t)
 LEFT JOIN clean f ON f.employee_id = e.employee_id AND f.review_year = t // 4 AND f.review_quarter = t % 4 + 1""",
     CLEAN)
+
+# --- sources / sinks ---------------------------------------------------------------------
+ORACLES["scan_panel_csv"] = with_panel("SELECT * FROM panel")
+ORACLES["sink_panel_csv"] = with_panel("SELECT * FROM panel")
+ORACLES["sink_reports"] = with_panel(REPORT_SELECT, DEC)
+ORACLES["load_report"] = with_panel(
+    "SELECT group_name, n_employees, predicted_high_pct, actual_high_pct, gap_pts, adverse_impact_ratio, bias_flag "
+    "FROM aud3", GRP)
+ORACLES["scan_batch_csv"] = with_panel(
+    "SELECT employee_id, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in NUMERIC)
+    + ", department, education, role FROM test", SPLIT)
+ORACLES["id_column_resolution"] = with_panel("SELECT employee_id, quarter_label FROM test", SPLIT)
+ORACLES["missing_feature_defaults"] = with_panel(
+    "SELECT employee_id, quarter_label, 0.0e0 AS salary, "
+    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in IMPUTE) + " FROM test, med",
+    SPLIT + ",\n" + MEDIANS)
+
+# --- explanation with the fixed KPI weights --------------------------------------------------
+KPI_W = {"goal_achievement_pct": 0.30, "manager_rating": 0.20, "peer_score": 0.15, "attendance_rate": 0.15,
+         "training_hours": 0.10, "projects_completed": 0.05, "overtime_hours": -0.05}
+RAW_OF = {f: f for f in NUMERIC} | {f"{c}_enc": c for c in CATS}
+
+
+def contrib_cte() -> str:
+    parts = []
+    for i, f in enumerate(FEATURES):
+        w = KPI_W.get(f, 0.0)
+        parts.append(f"SELECT employee_id, quarter_label, {i} AS i, '{f}' AS name, "
+                     f"{w!r}e0 * ((CAST({f} AS DOUBLE) - mean_{f}) / std_{f}) AS c, "
+                     f"CAST({RAW_OF[f]} AS VARCHAR) AS raw FROM te_e, sc")
+    return prepared_ctes() + ",\nlc AS (" + union_all(parts) + ")"
+
+
+ORACLES["local_contributions"] = with_panel(
+    f"SELECT employee_id, quarter_label, i AS feature_index, {rnd('c', 6)} AS contribution FROM lc", contrib_cte())
+_RANKED = """,
+pos AS (SELECT *, row_number() OVER (PARTITION BY employee_id, quarter_label ORDER BY c DESC, i) AS rk
+        FROM lc WHERE c > 0),
+neg AS (SELECT *, row_number() OVER (PARTITION BY employee_id, quarter_label ORDER BY c DESC, i) AS rk,
+               count(*) OVER (PARTITION BY employee_id, quarter_label) AS m
+        FROM lc WHERE c < 0),
+tp AS (SELECT employee_id, quarter_label, string_agg(name, '; ' ORDER BY rk) AS drivers, {pos_msg}
+       FROM pos WHERE rk <= 3 GROUP BY ALL),
+tn AS (SELECT employee_id, quarter_label, string_agg(name, '; ' ORDER BY rk) AS drivers, {neg_msg}
+       FROM neg WHERE rk > m - 3 GROUP BY ALL)"""
+
+
+def _msg_case(positive: bool) -> str:
+    from panelsight.operators.explain import FEATURE_MESSAGES
+    k = 0 if positive else 1
+    whens = " ".join(f"WHEN '{f}' THEN '{FEATURE_MESSAGES[f][k]}'" for f in FEATURES)
+    return (f"string_agg((CASE name {whens} END) || ' [value: ' || coalesce(raw, 'N/A') || ']', "
+            f"'{{sep}}' ORDER BY rk)")
+
+
+def explain_ctes() -> str:
+    pm = _msg_case(True)
+    nm = _msg_case(False)
+    return contrib_cte() + _RANKED.format(
+        pos_msg=pm.format(sep=" | ") + " AS msgs, " + pm.format(sep="; ") + " AS msgs2",
+        neg_msg=nm.format(sep=" | ") + " AS msgs, " + nm.format(sep="; ") + " AS msgs2")
+
+
+ORACLES["top_positive_drivers"] = with_panel(
+    "SELECT t.employee_id, t.quarter_label, coalesce(tp.drivers, '') AS drivers FROM te_e t "
+    "LEFT JOIN tp ON tp.employee_id = t.employee_id AND tp.quarter_label = t.quarter_label", explain_ctes())
+ORACLES["top_negative_drivers"] = with_panel(
+    "SELECT t.employee_id, t.quarter_label, coalesce(tn.drivers, '') AS drivers FROM te_e t "
+    "LEFT JOIN tn ON tn.employee_id = t.employee_id AND tn.quarter_label = t.quarter_label", explain_ctes())
+ORACLES["explain_rows"] = with_panel(
+    """SELECT t.employee_id, t.quarter_label,
+  CASE WHEN goal_achievement_pct >= 85 THEN 'High' WHEN goal_achievement_pct < 50 THEN 'Low' ELSE 'Medium' END
+    AS predicted_band,
+  coalesce(tp.msgs, '') AS strengths, coalesce(tn.msgs, '') AS concerns,
+  'Predicted performance: ' || upper(CASE WHEN goal_achievement_pct >= 85 THEN 'High'
+     WHEN goal_achievement_pct < 50 THEN 'Low' ELSE 'Medium' END) || '. Strengths: ' || coalesce(tp.msgs2, '')
+    || '. Concerns: ' || coalesce(tn.msgs2, '') || '.' AS summary
+FROM te_e t
+LEFT JOIN tp ON tp.employee_id = t.employee_id AND tp.quarter_label = t.quarter_label
+LEFT JOIN tn ON tn.employee_id = t.employee_id AND tn.quarter_label = t.quarter_label""", explain_ctes())
+
+
+def _messages_values() -> str:
+    from panelsight.operators.explain import FEATURE_MESSAGES
+    rows = ", ".join(f"('{f}', '{FEATURE_MESSAGES[f][0]}', '{FEATURE_MESSAGES[f][1]}')" for f in FEATURES)
+    return f"msg(feature, positive, negative) AS (VALUES {rows})"
+
+
+ORACLES["feature_messages"] = with_panel(
+    "SELECT m.feature, m.positive, m.negative FROM msg m WHERE m.feature IN (SELECT DISTINCT name FROM lc WHERE c <> 0)",
+    contrib_cte() + ",\n" + _messages_values())

@@ -99,3 +99,22 @@ def select_best(comparison: DataFrame, metric: str = "f1_macro", order_col: str
     """Highest metric; the earlier model wins ties."""
     w = Window.partitionBy().orderBy(F.col(metric).desc(), F.col(order_col).asc())
     return comparison.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
+
+
+def macro_f1_by(scored: DataFrame, group_cols: list[str], label_col: str = "label",
+                pred_col: str = "prediction") -> DataFrame:
+    """Macro F1 per group (e.g. per (feature, repeat) of a permutation test),
+    from one grouped confusion count."""
+    g = list(group_cols)
+    c = (scored.groupBy(*g, F.col(label_col).cast("int").alias("label"),
+                        F.col(pred_col).cast("int").alias("prediction"))
+         .agg(F.count(F.lit(1)).alias("n")))
+    truth = c.groupBy(*g, F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
+    pred = c.groupBy(*g, F.col("prediction").alias("cls")).agg(F.sum("n").alias("predicted"))
+    tp = c.where(F.col("label") == F.col("prediction")).select(*g, F.col("label").alias("cls"), F.col("n").alias("tp"))
+    k = (truth.join(pred, g + ["cls"], "full").join(tp, g + ["cls"], "left")
+         .na.fill(0, ["support", "predicted", "tp"]))
+    prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
+    rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
+    f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
+    return k.withColumn("f1", f1).groupBy(*g).agg(F.avg("f1").alias("f1_macro"))

@@ -580,5 +580,327 @@ def q_attach(spark, sf_dir):
 
 
 def flagship(spark, sf_dir):
-    """Placeholder flagship until the model path is registered."""
-    return q_audit_group(spark, sf_dir)
+    """Panel -> prep -> logistic regression -> decisions -> department audit."""
+    from panelsight.plans.pipeline import flagship_slice
+    return flagship_slice(spark, sf_dir)
+
+
+# --- models, scoring, explanation (model-dependent: rows-only checks) -----------------
+
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from panelsight.operators import explain as X  # noqa: E402
+from panelsight.operators import models as MD  # noqa: E402
+from panelsight.operators import scoring as SC  # noqa: E402
+from panelsight.sources import files as FS  # noqa: E402
+from panelsight.sources import model_store as MS  # noqa: E402
+
+# Registry training settings: the full forest / linear settings; boosted trees
+# use the package default of 50 rounds per class.
+REGISTRY_PARAMS = MD.TrainParams()
+_FITTED: dict = {}
+
+
+def fitted(spark, sf_dir, name: str = "logistic_regression"):
+    """(model, stats, train, test) fitted on the panel's training period,
+    memoised per session and data folder so several queries share one fit."""
+    key = (id(spark), sf_dir, name)
+    if key not in _FITTED:
+        train, test, stats = prepared(spark, sf_dir)
+        train, test = train.cache(), test.cache()
+        fm = MD.TRAINERS[name](train, REGISTRY_PARAMS)
+        _FITTED[key] = (fm, stats, train, test)
+    return _FITTED[key]
+
+
+def _pred_rows(spark, sf_dir, name):
+    fm, _, _, test = fitted(spark, sf_dir, name)
+    return MD.predict(fm, test).select("employee_id", "quarter_label", "prediction", "predicted_band",
+                                       "probs", "confidence_pct")
+
+
+@register("train_logreg")
+def q_train_logreg(spark, sf_dir):
+    return _pred_rows(spark, sf_dir, "logistic_regression")
+
+
+@register("train_random_forest")
+def q_train_rf(spark, sf_dir):
+    return _pred_rows(spark, sf_dir, "random_forest")
+
+
+@register("train_boosted_trees")
+def q_train_gbt(spark, sf_dir):
+    return _pred_rows(spark, sf_dir, "boosted_trees")
+
+
+@register("predict")
+def q_predict(spark, sf_dir):
+    return _pred_rows(spark, sf_dir, "logistic_regression")
+
+
+@register("confidence_pct")
+def q_confidence(spark, sf_dir):
+    return _pred_rows(spark, sf_dir, "logistic_regression").select("employee_id", "quarter_label", "confidence_pct")
+
+
+@register("argmax_class")
+def q_argmax(spark, sf_dir):
+    return _pred_rows(spark, sf_dir, "logistic_regression").select(
+        "employee_id", "quarter_label", S.argmax_class("probs").alias("argmax_class"))
+
+
+@register("probability_breakdown")
+def q_prob_breakdown(spark, sf_dir):
+    fm, _, _, test = fitted(spark, sf_dir, "logistic_regression")
+    return MD.probability_breakdown(MD.predict(fm, test), ["employee_id", "quarter_label"])
+
+
+@register("compare_models")
+def q_compare(spark, sf_dir):
+    fms = [fitted(spark, sf_dir, n)[0] for n in MD.MODEL_ORDER]
+    test = fitted(spark, sf_dir, "logistic_regression")[3]
+    return MD.compare_models(fms, test)
+
+
+@register("feature_vector")
+def q_feature_vector(spark, sf_dir):
+    _, _, _, test = fitted(spark, sf_dir, "logistic_regression")
+    return test.select("employee_id", "quarter_label", vector_to_array("features").alias("features"))
+
+
+@register("tree_importance")
+def q_tree_importance(spark, sf_dir):
+    fm, stats, _, _ = fitted(spark, sf_dir, "random_forest")
+    return X.importance_table(spark, fm, stats.features)
+
+
+@register("linear_importance")
+def q_linear_importance(spark, sf_dir):
+    fm, stats, _, _ = fitted(spark, sf_dir, "logistic_regression")
+    return X.importance_table(spark, fm, stats.features)
+
+
+@register("top_k_importance")
+def q_top_k(spark, sf_dir):
+    fm, stats, _, _ = fitted(spark, sf_dir, "random_forest")
+    return X.top_k_importance(X.importance_table(spark, fm, stats.features), 12)
+
+
+@register("permutation_importance")
+def q_permutation(spark, sf_dir):
+    fm, stats, _, test = fitted(spark, sf_dir, "logistic_regression")
+    return X.permutation_importance(fm, test, stats.features)
+
+
+def _shapley(spark, sf_dir):
+    fm, stats, train, test = fitted(spark, sf_dir, "logistic_regression")
+    bg = X.background_sample(train, 100)
+    return X.shapley_contributions(fm, test, bg, len(stats.features)), stats
+
+
+@register("shapley_contributions")
+def q_shapley(spark, sf_dir):
+    return _shapley(spark, sf_dir)[0]
+
+
+@register("shapley_global")
+def q_shapley_global(spark, sf_dir):
+    c, stats = _shapley(spark, sf_dir)
+    return X.shapley_global(c, stats.features)
+
+
+def _batch_file(spark, sf_dir):
+    """The test period written as a scoring CSV (14 columns) and read back."""
+    _, test = split_frames(spark, sf_dir)
+    from panelsight.session import work_dir
+    path = work_dir(spark, "batch-input")
+    test.select(*FS.BATCH_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
+    return FS.read_batch_csv(spark, path, strict=True)
+
+
+@register("scan_batch_csv")
+def q_scan_batch(spark, sf_dir):
+    return _batch_file(spark, sf_dir)
+
+
+@register("id_column_resolution")
+def q_id_resolution(spark, sf_dir):
+    _, test = split_frames(spark, sf_dir)
+    renamed = test.select(F.col("employee_id").alias("Employee ID"), "quarter_label")
+    return FS.resolve_id(renamed).select("employee_id", "quarter_label")
+
+
+@register("missing_feature_defaults")
+def q_missing_defaults(spark, sf_dir):
+    train, test = split_frames(spark, sf_dir)
+    med = P.fit_median_imputer(train)
+    return P.missing_feature_defaults(test.drop("salary"), fill=med).select(
+        "employee_id", "quarter_label", "salary", "training_hours", "overtime_hours", "peer_score",
+        "goal_achievement_pct")
+
+
+@register("score_batch")
+def q_score_batch(spark, sf_dir):
+    fm, stats, _, _ = fitted(spark, sf_dir, "logistic_regression")
+    return SC.scored_report(SC.score_batch(_batch_file(spark, sf_dir), fm, stats)).drop("row_key")
+
+
+@register("scored_summary")
+def q_scored_summary(spark, sf_dir):
+    fm, stats, _, _ = fitted(spark, sf_dir, "logistic_regression")
+    return SC.scored_summary(SC.score_batch(_batch_file(spark, sf_dir), fm, stats))
+
+
+@register("score_one")
+def q_score_one(spark, sf_dir):
+    """Every test row scored through the one-record plan shape (a
+    DataFrame with the record's columns), checked row for row."""
+    fm, stats, _, _ = fitted(spark, sf_dir, "logistic_regression")
+    _, test = split_frames(spark, sf_dir)
+    rows = test.select(*FS.BATCH_COLUMNS)
+    return SC.scored_report(SC.score_batch(rows, fm, stats)).drop("row_key")
+
+
+@register("model_store")
+def q_model_store(spark, sf_dir):
+    from panelsight.session import work_dir
+    fm, stats, _, test = fitted(spark, sf_dir, "logistic_regression")
+    path = MS.save_bundle(spark, fm, stats, work_dir(spark, "bundle"))
+    fm2, _ = MS.load_bundle(spark, path)
+    a = MD.predict(fm, test).select("employee_id", "quarter_label", F.col("prediction").alias("p1"))
+    b = MD.predict(fm2, test).select("employee_id", "quarter_label", F.col("prediction").alias("p2"))
+    return a.join(b, ["employee_id", "quarter_label"]).withColumn("same", F.col("p1") == F.col("p2"))
+
+
+@register("feature_manifest")
+def q_manifest(spark, sf_dir):
+    from panelsight.session import work_dir
+    fm, stats, _, _ = fitted(spark, sf_dir, "logistic_regression")
+    path = MS.save_bundle(spark, fm, stats, work_dir(spark, "bundle"))
+    names = MS.feature_manifest(spark, path)
+    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "position int, feature string")
+
+
+@register("sink_scored_csv")
+def q_sink_scored(spark, sf_dir):
+    from panelsight.session import work_dir
+    fm, stats, _, _ = fitted(spark, sf_dir, "logistic_regression")
+    path = work_dir(spark, "scored")
+    FS.write_scored(SC.scored_report(SC.score_batch(_batch_file(spark, sf_dir), fm, stats)), path)
+    return spark.read.option("header", True).csv(path)
+
+
+# --- file round trips with SQL oracles ----------------------------------------------------
+
+@register("scan_panel_csv")
+def q_scan_panel_csv(spark, sf_dir):
+    from panelsight.session import work_dir
+    path = work_dir(spark, "panel-csv")
+    FS.write_panel(raw_panel(spark, sf_dir), path, fmt="csv")
+    return FS.read_panel_csv(spark, path)
+
+
+@register("sink_panel_csv")
+def q_sink_panel(spark, sf_dir):
+    from panelsight.schema import PANEL_COLS
+    from panelsight.session import work_dir
+    path = work_dir(spark, "panel-parquet")
+    FS.write_panel(raw_panel(spark, sf_dir), path, fmt="parquet", partition_by="review_year")
+    return spark.read.parquet(path).select(*PANEL_COLS)
+
+
+REPORT_SCHEMA = ("employee_id string, quarter_label string, predicted_band string, confidence_pct double, "
+                 "training_needed boolean, training_topics string, promotion_ready boolean, "
+                 "pip_required boolean, pip_goals string, retention_risk string, wellbeing_flag boolean, "
+                 "recommended_actions string, priority string, hr_summary string")
+AUDIT_SCHEMA = ("group_name string, n_employees bigint, predicted_high_pct double, actual_high_pct double, "
+                "gap_pts double, adverse_impact_ratio double, bias_flag string")
+
+
+@register("sink_reports")
+def q_sink_reports(spark, sf_dir):
+    from panelsight.session import work_dir
+    out = work_dir(spark, "reports")
+    path = FS.write_report(q_decision_report(spark, sf_dir), "decisions", out)
+    return FS.read_report(spark, path, REPORT_SCHEMA).na.fill("", ["training_topics", "pip_goals",
+                                                                   "recommended_actions"])
+
+
+@register("load_report")
+def q_load_report(spark, sf_dir):
+    from panelsight.session import work_dir
+    out = work_dir(spark, "reports")
+    path = FS.write_report(FA.audit_by_group(_pseudo_scored(spark, sf_dir)), "fairness_department", out)
+    return FS.read_report(spark, path, AUDIT_SCHEMA)
+
+
+# --- explanation with fixed KPI weights (SQL-oracled) -----------------------------------------
+
+# FIXED VALUES: the KPI roll-up weights used as a linear attribution vector
+KPI_WEIGHTS = {"goal_achievement_pct": 0.30, "manager_rating": 0.20, "peer_score": 0.15,
+               "attendance_rate": 0.15, "training_hours": 0.10, "projects_completed": 0.05,
+               "overtime_hours": -0.05}
+
+
+def _kpi_contrib(spark, sf_dir):
+    train, test, stats = prepared(spark, sf_dir)
+    w = [KPI_WEIGHTS.get(f, 0.0) for f in stats.features]
+    x = vector_to_array("features")
+    return test.withColumn("contrib", X.local_contributions(x, w)), stats
+
+
+@register("local_contributions")
+def q_local_contrib(spark, sf_dir):
+    df, stats = _kpi_contrib(spark, sf_dir)
+    return df.select("employee_id", "quarter_label", F.posexplode("contrib").alias("feature_index", "c")).select(
+        "employee_id", "quarter_label", F.col("feature_index").cast("int").alias("feature_index"),
+        S.rnd("c", 6).alias("contribution"))
+
+
+def _names(features):
+    return F.array(*[F.lit(f) for f in features])
+
+
+@register("top_positive_drivers")
+def q_top_pos(spark, sf_dir):
+    df, stats = _kpi_contrib(spark, sf_dir)
+    names = _names(stats.features)
+    return df.select("employee_id", "quarter_label", F.array_join(
+        F.transform(X.top_positive(F.col("contrib")), lambda i: F.element_at(names, i + 1)), "; ").alias("drivers"))
+
+
+@register("top_negative_drivers")
+def q_top_neg(spark, sf_dir):
+    df, stats = _kpi_contrib(spark, sf_dir)
+    names = _names(stats.features)
+    return df.select("employee_id", "quarter_label", F.array_join(
+        F.transform(X.top_negative(F.col("contrib")), lambda i: F.element_at(names, i + 1)), "; ").alias("drivers"))
+
+
+RAW_FOR_FEATURES = ["age", "experience_years", "salary", "training_hours", "attendance_rate", "overtime_hours",
+                    "projects_completed", "manager_rating", "peer_score", "goal_achievement_pct",
+                    "department", "education", "role"]
+
+
+@register("explain_rows")
+def q_explain_rows(spark, sf_dir):
+    df, stats = _kpi_contrib(spark, sf_dir)
+    df = pseudo_predict(df)
+    e = X.explain_rows(df, stats.features, "contrib", RAW_FOR_FEATURES, probs_col=None)
+    return e.select("employee_id", "quarter_label", "predicted_band",
+                    F.array_join("strengths_arr", " | ").alias("strengths"),
+                    F.array_join("concerns_arr", " | ").alias("concerns"), "summary")
+
+
+@register("feature_messages")
+def q_feature_messages(spark, sf_dir):
+    """The message pair of every feature that carries a contribution in the
+    test rows (the whole test period is scanned)."""
+    df, stats = _kpi_contrib(spark, sf_dir)
+    names = _names(stats.features)
+    used = (df.select(F.posexplode("contrib").alias("i", "c")).where(F.col("c") != 0)
+            .select(F.element_at(names, F.col("i") + 1).alias("feature")).distinct())
+    return used.select("feature",
+                       F.element_at(X.feature_messages_map(stats.features, True), F.col("feature")).alias("positive"),
+                       F.element_at(X.feature_messages_map(stats.features, False), F.col("feature")).alias("negative"))
