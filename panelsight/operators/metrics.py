@@ -16,6 +16,19 @@ from panelsight.schema import BANDS
 N_CLASSES = len(BANDS)
 
 
+def _class_counts(df: DataFrame, label_col: str, pred_col: str, group_cols=()) -> DataFrame:
+    """One aggregate (per group) with, for every class k, the number of rows
+    with label k (support), prediction k and both (tp) -- 9 conditional
+    counts, map-side combined."""
+    lab, pred = F.col(label_col).cast("int"), F.col(pred_col).cast("int")
+    aggs = []
+    for k in range(N_CLASSES):
+        aggs += [F.count_if(lab == k).alias(f"s{k}"), F.count_if(pred == k).alias(f"p{k}"),
+                 F.count_if((lab == k) & (pred == k)).alias(f"t{k}")]
+    g = df.groupBy(*group_cols) if group_cols else df.groupBy()
+    return g.agg(*aggs)
+
+
 def confusion_counts(df: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
     """M8 (sparse): counts per observed (label, prediction)."""
     return (df.groupBy(F.col(label_col).cast("int").alias("label"),
@@ -24,37 +37,36 @@ def confusion_counts(df: DataFrame, label_col: str = "label", pred_col: str = "p
 
 
 def confusion_matrix(df: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
-    """M8: dense 3x3 counts (labels fixed 0, 1, 2).
-
-    The observed counts are pivoted on the prediction with explicit values,
-    then every label row is guaranteed by a left join onto the fixed label
-    list (3 rows).
-    """
-    c = confusion_counts(df, label_col, pred_col)
-    piv = (c.groupBy("label").pivot("prediction", list(range(N_CLASSES))).agg(F.sum("n")))
-    labels = df.sparkSession.range(N_CLASSES).select(F.col("id").cast("int").alias("label"))
-    full = labels.join(F.broadcast(piv), "label", "left")
-    stack = ", ".join(f"{j}, `{j}`" for j in range(N_CLASSES))
-    return (full.selectExpr("label", f"stack({N_CLASSES}, {stack}) AS (prediction, n)")
-            .select("label", F.col("prediction").cast("int").alias("prediction"),
-                    F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
-
-
-def per_class(df: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
-    """Per class: support, tp, predicted count, precision, recall, F1 (0 when undefined)."""
-    c = confusion_counts(df, label_col, pred_col)
-    truth = c.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
-    pred = c.groupBy(F.col("prediction").alias("cls")).agg(F.sum("n").alias("predicted"))
-    tp = c.where(F.col("label") == F.col("prediction")).select(F.col("label").alias("cls"), F.col("n").alias("tp"))
-    k = truth.join(pred, "cls", "full").join(tp, "cls", "left").na.fill(0, ["support", "predicted", "tp"])
+    """M8: dense 3x3 counts (labels fixed 0, 1, 2): one aggregate with a
+    conditional count per cell, unpivoted with ``stack``."""
+    lab, pred = F.col(label_col).cast("int"), F.col(pred_col).cast("int")
+    cells = [(i, j) for i in range(N_CLASSES) for j in range(N_CLASSES)]
+    wide = df.agg(*[F.count_if((lab == i) & (pred == j)).alias(f"c{i}_{j}") for i, j in cells])
+    stack = ", ".join(f"{i}, {j}, c{i}_{j}" for i, j in cells)
+    return (wide.selectExpr(f"stack({len(cells)}, {stack}) AS (label, prediction, n)")
+            .select(F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
+                    F.col("n").cast("bigint").alias("n")))
+
+
+def _per_class_from_counts(wide: DataFrame, group_cols=()) -> DataFrame:
+    """Long form (per group, per class seen in truth or prediction) with
+    precision, recall and F1 (0 when undefined)."""
+    stack = ", ".join(f"{k}, s{k}, p{k}, t{k}" for k in range(N_CLASSES))
+    long = wide.selectExpr(*group_cols, f"stack({N_CLASSES}, {stack}) AS (cls, support, predicted, tp)")
+    long = long.where((F.col("support") > 0) | (F.col("predicted") > 0))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
-    return (k.withColumn("precision", prec).withColumn("recall", rec)
+    return (long.withColumn("precision", prec).withColumn("recall", rec)
             .withColumn("f1", F.when(F.col("precision") + F.col("recall") > 0,
                                      2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
                         .otherwise(0.0)))
 
 
+def per_class(df: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
+    """Per class: support, tp, predicted count, precision, recall, F1 (0 when undefined)."""
+    return _per_class_from_counts(_class_counts(df, label_col, pred_col))
+
+
 def summary_metrics(df: DataFrame, label_col: str = "label", pred_col: str = "prediction",
                     digits: int = 4) -> DataFrame:
     """M5 + M6 + M7 in one row: accuracy, macro F1 (over classes seen in truth
@@ -104,17 +116,7 @@ def select_best(comparison: DataFrame, metric: str = "f1_macro", order_col: str
 def macro_f1_by(scored: DataFrame, group_cols: list[str], label_col: str = "label",
                 pred_col: str = "prediction") -> DataFrame:
     """Macro F1 per group (e.g. per (feature, repeat) of a permutation test),
-    from one grouped confusion count."""
+    from one grouped aggregate of conditional counts."""
     g = list(group_cols)
-    c = (scored.groupBy(*g, F.col(label_col).cast("int").alias("label"),
-                        F.col(pred_col).cast("int").alias("prediction"))
-         .agg(F.count(F.lit(1)).alias("n")))
-    truth = c.groupBy(*g, F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
-    pred = c.groupBy(*g, F.col("prediction").alias("cls")).agg(F.sum("n").alias("predicted"))
-    tp = c.where(F.col("label") == F.col("prediction")).select(*g, F.col("label").alias("cls"), F.col("n").alias("tp"))
-    k = (truth.join(pred, g + ["cls"], "full").join(tp, g + ["cls"], "left")
-         .na.fill(0, ["support", "predicted", "tp"]))
-    prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
-    rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
-    f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
-    return k.withColumn("f1", f1).groupBy(*g).agg(F.avg("f1").alias("f1_macro"))
+    pc = _per_class_from_counts(_class_counts(scored, label_col, pred_col, g), g)
+    return pc.groupBy(*g).agg(F.avg("f1").alias("f1_macro"))

@@ -220,11 +220,27 @@ def assemble(df: DataFrame, stats: PrepStats, out: str = "features") -> DataFram
 
 # --- C11: full preparation ------------------------------------------------------------
 
+def fit_median_and_labels(train: DataFrame, impute_cols: list[str] = IMPUTE_COLS,
+                          cat_cols: list[str] = CATEGORICAL_FEATURES) -> tuple[dict, dict]:
+    """C3 + C5 in a single aggregation pass over the training rows."""
+    icols = [c for c in impute_cols if c in train.columns]
+    ccols = [c for c in cat_cols if c in train.columns]
+    row = train.agg(*[F.median(F.col(c).cast("double")).alias(f"m_{c}") for c in icols],
+                    *[F.array_sort(F.collect_set(_cat(c))).alias(f"l_{c}") for c in ccols]).first()
+    labels = {}
+    for c in ccols:
+        vals = list(row[f"l_{c}"] or [])
+        if len(vals) > MAX_CATEGORY_LABELS:
+            raise ValueError(f"{c}: {len(vals)} categories exceed the encoder limit")
+        labels[c] = vals
+    return {c: row[f"m_{c}"] for c in icols}, labels
+
+
 def fit_prep(train_clean: DataFrame) -> PrepStats:
-    """Fit imputer, encoder and scaler on the cleaned training rows only."""
-    medians = fit_median_imputer(train_clean)
+    """Fit imputer, encoder and scaler on the cleaned training rows only
+    (two aggregation passes: medians + label sets, then mean/std)."""
+    medians, labels = fit_median_and_labels(train_clean)
     imputed = apply_median_imputer(train_clean, medians)
-    labels = fit_label_encoder(imputed)
     encoded = apply_label_encoder(imputed, labels)
     features = [c for c in FEATURE_COLS if c in encoded.columns]
     means, stds = fit_standard_scaler(encoded, features)

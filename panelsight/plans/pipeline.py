@@ -12,29 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelsight.operators import clean as C
 from panelsight.operators import decisions as D
 from panelsight.operators import fairness as FA
 from panelsight.operators import models as MD
 from panelsight.operators import prep as P
-from panelsight.session import work_dir
-from panelsight.sources.panel import load_panel
-
-
-def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it back."""
-    spark = df.sparkSession
-    path = work_dir(spark, name)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-    return spark.read.parquet(path)
+from panelsight.sources.stored import stored_clean_panel as _stored_clean
 
 
 def stored_clean_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = C.clean_panel(load_panel(spark, sf_dir))
-    return materialize(clean, "clean-panel", partition_by="review_year")
+    return _stored_clean(spark, sf_dir)
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, cutoff: str = "2000-Q1",
@@ -59,7 +45,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, cutoff: str = "2000-Q1",
 def flagship_slice(spark: SparkSession, sf_dir: str, cutoff: str = "2000-Q1",
                    reference: str = "EUROPE") -> DataFrame:
     """Panel -> prep -> logistic regression -> decisions -> department audit."""
-    clean = C.clean_panel(load_panel(spark, sf_dir)).cache()
+    clean = _stored_clean(spark, sf_dir)
     train, test = P.time_split(clean, cutoff)
     stats = P.fit_prep(train)
     tr = P.transform_prep(train, stats)

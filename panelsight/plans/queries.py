@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from panelsight.operators import clean as C
 from panelsight.operators import insights as I
 from panelsight.sources.panel import load_panel
+from panelsight.sources.stored import stored_clean_panel, stored_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -28,23 +29,27 @@ def register(name: str):
 
 
 def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_panel(spark, sf_dir)
+    """The review panel, built from the line items once per session and read
+    back from the shared checkpoint folder (see ``sources.stored``)."""
+    return stored_panel(spark, sf_dir)
 
 
 def clean_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.clean_panel(load_panel(spark, sf_dir))
+    return stored_clean_panel(spark, sf_dir)
 
 
 # --- panel and cleaning ------------------------------------------------------
 
 @register("review_panel")
 def q_review_panel(spark, sf_dir):
-    return raw_panel(spark, sf_dir)
+    """The panel build itself, straight from the warehouse tables."""
+    return load_panel(spark, sf_dir)
 
 
 @register("clean_panel")
 def q_clean_panel(spark, sf_dir):
-    return clean_panel(spark, sf_dir)
+    """Cleaning over the freshly built panel (dedup -> drop -> coerce)."""
+    return C.clean_panel(load_panel(spark, sf_dir))
 
 
 @register("dedup_reviews")
@@ -186,8 +191,7 @@ def q_quality(spark, sf_dir):
 
 @register("append_rows")
 def q_append(spark, sf_dir):
-    from panelsight.sources.panel import load_panel as lp
-    once = lp(spark, sf_dir, with_repeats=False)
+    once = load_panel(spark, sf_dir, with_repeats=False)
     dup_keys = (raw_panel(spark, sf_dir).groupBy("employee_id", "review_year", "review_quarter")
                 .agg(F.count(F.lit(1)).alias("k")).where("k > 1").drop("k"))
     repeats = once.join(dup_keys, ["employee_id", "review_year", "review_quarter"], "left_semi")
