@@ -152,7 +152,9 @@ def union_all(parts):
 
 # --- scalar ---------------------------------------------------------------------
 ORACLES["kpi_score"] = with_panel(
-    f"SELECT employee_id, quarter_label, CASE WHEN {_KPI} IS NULL THEN NULL "
+    "SELECT employee_id, quarter_label, CASE WHEN goal_achievement_pct IS NULL OR manager_rating IS NULL "
+    "OR peer_score IS NULL OR attendance_rate IS NULL OR training_hours IS NULL OR projects_completed IS NULL "
+    "OR overtime_hours IS NULL THEN NULL "
     f"ELSE {rnd(clip(_KPI, '10.0e0', '100.0e0'), 2)} END AS kpi FROM clean", CLEAN)
 ORACLES["performance_band"] = with_panel(
     "SELECT employee_id, quarter_label, performance_score, CASE WHEN performance_score >= 75 THEN 'High' "

@@ -37,7 +37,8 @@ def nan_to_null(x) -> Column:
 
 
 def kpi_score(goal, manager, peer, attendance, training, projects, overtime) -> Column:
-    """Weighted KPI roll-up with per-term caps, clipped to [10, 100], 2 dp."""
+    """Weighted KPI roll-up with per-term caps, clipped to [10, 100], 2 dp;
+    NULL when any input is NULL."""
     goal, manager, peer = _c(goal), _c(manager), _c(peer)
     attendance, training = _c(attendance), _c(training)
     projects, overtime = _c(projects), _c(overtime)
@@ -48,7 +49,10 @@ def kpi_score(goal, manager, peer, attendance, training, projects, overtime) ->
            + 0.10 * F.least(training / 30, F.lit(1.0)) * 100
            + 0.05 * F.least(projects / 6, F.lit(1.0)) * 100
            + 0.05 * (1 - overtime / 50) * 100)
-    return F.when(raw.isNotNull(), rnd(clip(raw, 10.0, 100.0), 2))
+    # least/greatest skip NULLs, so test the inputs: any NULL input -> NULL score
+    complete = (goal.isNotNull() & manager.isNotNull() & peer.isNotNull() & attendance.isNotNull()
+                & training.isNotNull() & projects.isNotNull() & overtime.isNotNull())
+    return F.when(complete, rnd(clip(raw, 10.0, 100.0), 2))
 
 
 def performance_band(score) -> Column:
