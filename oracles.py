@@ -33,8 +33,8 @@ agg AS (
          CAST(sum(l_quantity) AS BIGINT) AS qty,
          count(*) FILTER (WHERE l_returnflag = 'R') AS r,
          count(*) FILTER (WHERE l_linestatus = 'F') AS f,
-         sum(CAST(round(l_tax * 100) AS INTEGER)) AS tx,
-         sum(CAST(round(l_discount * 100) AS INTEGER)) AS ds
+         sum(CAST(floor(l_tax * 100 + 0.5e0) AS INTEGER)) AS tx,
+         sum(CAST(floor(l_discount * 100 + 0.5e0) AS INTEGER)) AS ds
   FROM lineitem WHERE l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL
   GROUP BY ALL
 ),
@@ -659,3 +659,16 @@ def _messages_values() -> str:
 ORACLES["feature_messages"] = with_panel(
     "SELECT m.feature, m.positive, m.negative FROM msg m WHERE m.feature IN (SELECT DISTINCT name FROM lc WHERE c <> 0)",
     contrib_cte() + ",\n" + _messages_values())
+
+ORACLES["numeric_profile_cols"] = with_panel(
+    "SELECT employee_id, quarter_label, age, experience_years, salary, training_hours, attendance_rate, "
+    "overtime_hours, projects_completed, manager_rating, peer_score, goal_achievement_pct FROM panel")
+ORACLES["fairness_report"] = with_panel(
+    """SELECT (SELECT count(*) FROM aud3) AS n_groups,
+  (SELECT coalesce(bool_or(bias_flag = 'INVESTIGATE'), false) FROM aud3) AS bias_detected,
+  (SELECT coalesce(bool_or(abs(r - ref) > 0.1e0), false) FROM (
+     SELECT r, max(CASE WHEN g = 'EUROPE' THEN r END) OVER () AS ref FROM (
+       SELECT department AS g, avg(CASE WHEN prediction = 2 THEN 1 ELSE 0 END) AS r
+       FROM ps WHERE department IS NOT NULL GROUP BY department))) AS parity_flagged,
+  (SELECT count(DISTINCT experience_tier) FROM (SELECT """ + TIER + """ AS experience_tier FROM ps)
+   WHERE experience_tier IS NOT NULL) AS n_tiers""", GRP)

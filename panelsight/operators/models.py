@@ -32,6 +32,7 @@ class TrainParams:
     """Hyper-parameters (defaults mirror the reproduced models)."""
     lr_c: float = 1.0
     lr_max_iter: int = 1000
+    lr_tol: float = 1e-4          # same tolerance default as the original solver
     rf_trees: int = 300
     rf_depth: int = 8
     rf_min_leaf: int = 10
@@ -62,8 +63,27 @@ def classes_present(train: DataFrame, label_col: str = "label") -> list:
     return sorted(int(r[0]) for r in train.select(label_col).distinct().collect())
 
 
+ROWS_PER_PARTITION = 200_000
+
+
+def training_frame(train: DataFrame, weighted: bool = True) -> DataFrame:
+    """The columns an iterative estimator reads, in a compact cached frame.
+
+    Iterative fits (L-BFGS, tree levels, boosting rounds) scan the training
+    set once per step, so its partitioning matters: one partition per core,
+    or one per ``ROWS_PER_PARTITION`` rows when that is more. This avoids both
+    thousands of tiny tasks per step (small files) and oversized partitions.
+    """
+    cols = ["features", "label"] + (["weight"] if weighted else [])
+    t = with_class_weights(train, "label", "weight") if weighted else train
+    t = with_label_meta(t.select(*cols))
+    n = t.count()
+    parts = max(train.sparkSession.sparkContext.defaultParallelism, -(-n // ROWS_PER_PARTITION))
+    return t.repartition(parts).cache()
+
+
 def _weighted(train: DataFrame) -> DataFrame:
-    return with_label_meta(with_class_weights(train, "label", "weight"))
+    return training_frame(train, weighted=True)
 
 
 def train_logreg(train: DataFrame, p: TrainParams = TrainParams()) -> FittedModel:
@@ -77,7 +97,7 @@ def train_logreg(train: DataFrame, p: TrainParams = TrainParams()) -> FittedMode
     n = t.agg(F.sum("weight")).first()[0]
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
                             family="multinomial", maxIter=p.lr_max_iter, regParam=1.0 / (p.lr_c * n),
-                            elasticNetParam=0.0, standardization=False, tol=1e-6)
+                            elasticNetParam=0.0, standardization=False, tol=p.lr_tol)
     return FittedModel("logistic_regression", lr.fit(t), classes_present(t))
 
 
@@ -94,7 +114,7 @@ def train_random_forest(train: DataFrame, p: TrainParams = TrainParams()) -> Fit
 def train_boosted_trees(train: DataFrame, p: TrainParams = TrainParams()) -> FittedModel:
     """M3: one-vs-rest gradient-boosted trees (Spark GBT is binary); the three
     binary fits run concurrently (``parallelism``)."""
-    t = _weighted(train) if p.gbt_weighted else with_label_meta(train)
+    t = training_frame(train, weighted=p.gbt_weighted)
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=p.gbt_rounds,
                         maxDepth=p.gbt_depth, stepSize=p.gbt_step, subsamplingRate=p.gbt_subsample,
                         featureSubsetStrategy="0.8", seed=p.seed)

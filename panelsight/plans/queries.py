@@ -908,3 +908,64 @@ def q_feature_messages(spark, sf_dir):
     return used.select("feature",
                        F.element_at(X.feature_messages_map(stats.features, True), F.col("feature")).alias("positive"),
                        F.element_at(X.feature_messages_map(stats.features, False), F.col("feature")).alias("negative"))
+
+
+# --- remaining helpers of the inventory -------------------------------------------------------
+
+@register("numeric_profile_cols")
+def q_numeric_profile_cols(spark, sf_dir):
+    """The wanted numeric columns that exist in the panel, in order (an
+    absent name in the wanted list is skipped)."""
+    wanted = ["age", "experience_years", "salary", "tenure_months", "training_hours", "attendance_rate",
+              "overtime_hours", "projects_completed", "manager_rating", "peer_score", "goal_achievement_pct"]
+    p = raw_panel(spark, sf_dir)
+    return p.select("employee_id", "quarter_label", *I._present(p, wanted))
+
+
+@register("align_predictions")
+def q_align(spark, sf_dir):
+    """``model.transform`` keeps every input column on its row -- the
+    prediction is aligned with the row by construction, no positional join."""
+    fm, _, _, test = fitted(spark, sf_dir, "logistic_regression")
+    return MD.predict(fm, test).select("employee_id", "quarter_label", "department", "performance_band",
+                                       "predicted_band")
+
+
+@register("fairness_report")
+def q_fairness_report(spark, sf_dir):
+    """the three audit tables written as reports (S4) plus the flags, read
+    back and summarised in one row."""
+    from panelsight.session import work_dir
+    rep = FA.fairness_report(_pseudo_scored(spark, sf_dir), "prediction", PARITY_REFERENCE)
+    out = work_dir(spark, "fairness")
+    paths = {k: FS.write_report(rep[k], f"fairness_{k}", out) for k in ("department", "experience", "parity")}
+    dept = FS.read_report(spark, paths["department"], AUDIT_SCHEMA)
+    par = FS.read_report(spark, paths["parity"], "group_name string, high_rate_pct double, spd double, "
+                                                 "fairness_flag string")
+    tiers = spark.read.option("header", True).csv(paths["experience"])
+    nb, nl = F.lit(None).cast("boolean"), F.lit(None).cast("bigint")
+    d = dept.agg(F.count(F.lit(1)).alias("n_groups"),
+                 F.coalesce(F.bool_or(F.col("bias_flag") == "INVESTIGATE"), F.lit(False)).alias("bias_detected"),
+                 nb.alias("parity_flagged"), nl.alias("n_tiers"))
+    p = par.agg(nl.alias("n_groups"), nb.alias("bias_detected"),
+                F.coalesce(F.bool_or(F.col("fairness_flag") == "REVIEW"), F.lit(False)).alias("parity_flagged"),
+                nl.alias("n_tiers"))
+    t = tiers.agg(nl.alias("n_groups"), nb.alias("bias_detected"), nb.alias("parity_flagged"),
+                  F.count(F.lit(1)).alias("n_tiers"))
+    # three one-row summaries stacked, then folded into one row
+    return d.unionByName(p).unionByName(t).agg(
+        F.max("n_groups").alias("n_groups"), F.bool_or("bias_detected").alias("bias_detected"),
+        F.bool_or("parity_flagged").alias("parity_flagged"), F.max("n_tiers").alias("n_tiers"))
+
+
+@register("stream_score")
+def q_stream_score(spark, sf_dir):
+    """The batch file of the test period scored through Structured Streaming."""
+    from panelsight.session import work_dir
+    from panelsight.streaming import score_landing_folder
+    fm, stats, _, _ = fitted(spark, sf_dir, "logistic_regression")
+    _, test = split_frames(spark, sf_dir)
+    landing, out, ckpt = (work_dir(spark, n) for n in ("landing", "stream-out", "stream-ckpt"))
+    test.select(*FS.BATCH_COLUMNS).write.mode("overwrite").option("header", True).csv(landing)
+    score_landing_folder(spark, landing, out, ckpt, fm, stats)
+    return spark.read.parquet(out)
