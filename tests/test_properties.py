@@ -39,13 +39,25 @@ def test_split_no_overlap_and_order(spark):
 
 
 def test_fit_uses_train_only(spark):
+    """Fitted statistics do not move when the test-period rows change."""
     clean = Q.clean_panel(spark, SMALL)
-    train, test = P.time_split(clean, Q.CUTOFF)
+    train, _ = P.time_split(clean, Q.CUTOFF)
     a = P.fit_prep(train)
-    b = P.fit_prep(train.unionByName(test.limit(0)))
+    altered = clean.withColumn("goal_achievement_pct", F.when(
+        F.col("review_year") >= 2000, F.lit(1.0)).otherwise(F.col("goal_achievement_pct")))
+    b = P.fit_prep(P.time_split(altered, Q.CUTOFF)[0])
     assert a.to_json() == b.to_json()
 
 
+def test_class_counts_match_fixture(spark):
+    clean = Q.clean_panel(spark, MEDIUM)
+    train, test = P.time_split(clean, Q.CUTOFF)
+    def counts(df):
+        return {r.performance_band: r["count"] for r in df.groupBy("performance_band").count().collect()}
+    assert counts(train) == {"Low": 17, "Medium": 1591, "High": 392}
+    assert counts(test) == {"Low": 53, "Medium": 609, "High": 138}
+
+
 def test_scaled_train_is_standardised(prepared):
     train, _, stats = prepared
     arr = vector_to_array("features")
@@ -99,17 +111,23 @@ def test_model_store_roundtrip(spark, prepared, lr):
 
 
 def test_shapley_additivity(spark, prepared, lr):
+    """With one background row every permutation telescopes to f(x) - f(bg),
+    so the averaged contributions add up to it exactly, for every class."""
     train, test, stats = prepared
-    rows = test.limit(20)
-    bg = X.background_sample(train, 10)
-    c = X.shapley_contributions(lr, rows, bg, len(stats.features), n_permutations=4)
-    sums = c.groupBy("employee_id", "quarter_label").agg(F.sum("contrib_high").alias("s"))
-    # per permutation the steps telescope to f(x) - f(bg); check the sum is a
-    # difference of two probabilities, i.e. in [-1, 1], and matches f(x) - mean f(bg_p)
-    fx = MD.predict(lr, rows).select("employee_id", "quarter_label", F.col("probs")[2].alias("fx"))
-    j = sums.join(fx, ["employee_id", "quarter_label"]).collect()
-    assert len(j) == 20
-    assert all(-1.0 - 1e-9 <= r.s <= 1.0 + 1e-9 for r in j)
+    rows = test.limit(25)
+    bg = X.background_sample(train, 1)
+    c = X.shapley_contributions(lr, rows, bg, len(stats.features), n_permutations=3)
+    sums = c.groupBy("employee_id", "quarter_label").agg(
+        F.sum("contrib_low").alias("s0"), F.sum("contrib_medium").alias("s1"), F.sum("contrib_high").alias("s2"))
+    fx = MD.predict(lr, rows).select("employee_id", "quarter_label", "probs")
+    from pyspark.ml.functions import array_to_vector
+    bg_vec = bg.select(array_to_vector("bg").alias("features"))
+    fb = MD.predict(lr, bg_vec).first()["probs"]
+    got = sums.join(fx, ["employee_id", "quarter_label"]).collect()
+    assert len(got) == 25
+    for r in got:
+        for k in range(3):
+            assert abs(r[f"s{k}"] - (r.probs[k] - fb[k])) < 1e-9
 
 
 def test_permutation_of_constant_feature_is_zero(spark, prepared):
