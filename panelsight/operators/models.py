@@ -189,9 +189,17 @@ def compare_models(models: list[FittedModel], test: DataFrame) -> DataFrame:
 
 
 def train_and_compare(train: DataFrame, test: DataFrame, p: TrainParams = TrainParams(),
-                      names: list[str] = MODEL_ORDER) -> tuple[dict, DataFrame, str]:
-    """Train each model, compare on test, pick the best by macro F1."""
-    models = {n: TRAINERS[n](train, p) for n in names}
+                      names: list[str] = MODEL_ORDER, parallelism: int = 3) -> tuple[dict, DataFrame, str]:
+    """Train each model, compare on test, pick the best by macro F1.
+
+    The fits are independent Spark jobs; like ``CrossValidator(parallelism=)``
+    they are submitted from ``parallelism`` driver threads so that one model's
+    small per-iteration jobs do not leave the cluster idle.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(names)))) as pool:
+        futures = {n: pool.submit(TRAINERS[n], train, p) for n in names}
+        models = {n: futures[n].result() for n in names}
     cmp = compare_models(list(models.values()), test).cache()
     best = M.select_best(cmp).first()["model"]
     return models, cmp, best

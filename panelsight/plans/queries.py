@@ -552,11 +552,12 @@ def q_fair_chart(spark, sf_dir):
 
 @register("sort_reports")
 def q_sort_reports(spark, sf_dir):
+    """Report order (selection rate desc, name tie-break) as a position
+    column; the keyless window runs over the aggregated groups only."""
+    from pyspark.sql import Window
     a = FA.audit_by_group(_pseudo_scored(spark, sf_dir))
-    return a.orderBy(F.col("predicted_high_pct").desc(), "group_name").select(
-        F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy(
-            F.col("predicted_high_pct").desc(), "group_name")).alias("pos"),
-        "group_name", "predicted_high_pct")
+    w = Window.orderBy(F.col("predicted_high_pct").desc(), "group_name")
+    return a.select(F.row_number().over(w).alias("pos"), "group_name", "predicted_high_pct")
 
 
 # --- joins ----------------------------------------------------------------------------
