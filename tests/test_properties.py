@@ -166,3 +166,26 @@ def test_time_split_prunes_year_partitions(spark):
     train, _ = P.time_split(clean, Q.CUTOFF)
     plan = train._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(review_year" in plan or "review_year#" in plan
+
+
+def test_batch_id_alias_nulls_and_unseen_error(spark, prepared, lr):
+    import pytest as _pt
+    _, _, stats = prepared
+    df = spark.createDataFrame(
+        [("7", 30.0, None, 35000.0, None, 0.75, 35.0, 1.0, 2.1, None, 42.0, "EUROPE", None, "FRANCE")],
+        "id string, age double, experience_years double, salary double, training_hours double, "
+        "attendance_rate double, overtime_hours double, projects_completed double, manager_rating double, "
+        "peer_score double, goal_achievement_pct double, department string, education string, role string")
+    r = SC.score_batch(df, lr, stats).first()
+    assert r.employee_id == "7" and r.predicted_band in ("Low", "Medium", "High")
+    assert abs(sum(r.probs) - 1.0) < 1e-9
+    with _pt.raises(Exception):
+        P.apply_label_encoder(df, stats.labels, unseen="error").collect()
+
+
+def test_panel_scan_prunes_and_pushes(spark):
+    from panelsight.sources.panel import load_panel
+    plan = load_panel(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(l_suppkey), IsNotNull(l_shipdate)]" in plan
+    assert "ReadSchema: struct<l_suppkey:bigint,l_quantity:double,l_discount:double,l_tax:double," in plan
+    assert "l_extendedprice" not in plan and "l_orderkey" not in plan
