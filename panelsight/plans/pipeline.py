@@ -57,3 +57,56 @@ def flagship_slice(spark: SparkSession, sf_dir: str, cutoff: str = "2000-Q1",
     urgent = decided.groupBy(F.col("department").alias("group_name")).agg(
         F.count_if(F.col("priority") == "Urgent").alias("urgent_decisions"))
     return audit.join(urgent, "group_name", "left")
+
+
+def save_outputs(spark: SparkSession, out: dict, out_dir: str, permutation: bool = True) -> dict:
+    """S4 + S6: write the report tables and the fitted model bundles.
+
+    Reports: decisions, model comparison, feature importance of the best
+    model, permutation importance, the three fairness tables. Bundles: one per
+    model plus ``best`` (a copy of the best model's bundle).
+    """
+    from panelsight.operators import explain as X
+    from panelsight.sources import files as FS
+    from panelsight.sources import model_store as MS
+    out_dir = out_dir.rstrip("/")
+    best = out["models"][out["best"]]
+    feats = out["stats"].features
+    reports = {
+        "decisions": out["decisions"],
+        "model_comparison": out["comparison"],
+        "feature_importance": X.importance_table(spark, best, feats),
+        "fairness_department": out["fairness"]["department"],
+        "fairness_experience": out["fairness"]["experience"],
+        "fairness_parity": out["fairness"]["parity"],
+    }
+    if permutation:
+        reports["permutation_importance"] = X.permutation_importance(best, out["test"], feats)
+    paths = {name: FS.write_report(df, name, f"{out_dir}/reports") for name, df in reports.items()}
+    for name, fm in out["models"].items():
+        paths[f"model:{name}"] = MS.save_bundle(spark, fm, out["stats"], f"{out_dir}/models/{name}")
+    paths["model:best"] = MS.save_bundle(spark, best, out["stats"], f"{out_dir}/models/best")
+    return paths
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Command line: run the pipeline over a folder of warehouse tables."""
+    import argparse
+    import json
+
+    from panelsight.session import get_spark
+    ap = argparse.ArgumentParser(description="panel -> models -> decisions -> fairness")
+    ap.add_argument("--sf-dir", required=True, help="folder with lineitem/supplier/nation/region parquet")
+    ap.add_argument("--out", required=True, help="output folder (reports/ and models/)")
+    ap.add_argument("--cutoff", default="2000-Q1")
+    ap.add_argument("--reference", default="EUROPE")
+    ap.add_argument("--models", default=",".join(MD.MODEL_ORDER))
+    a = ap.parse_args(argv)
+    spark = get_spark()
+    res = run_pipeline(spark, a.sf_dir, a.cutoff, models=a.models.split(","), reference=a.reference)
+    paths = save_outputs(spark, res, a.out)
+    print(json.dumps({"best": res["best"], "outputs": paths}))
+
+
+if __name__ == "__main__":
+    main()
