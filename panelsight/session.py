@@ -16,6 +16,10 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # wide single-pass aggregates (55 pairwise correlations, per-column
+    # describe structs) exceed the default 100-field limit and would fall
+    # back from whole-stage codegen to interpreted aggregation
+    "spark.sql.codegen.maxFields": "1000",
 }
 
 

@@ -2,7 +2,7 @@
 
 Compares row count, column names and an order-insensitive hash of the values
 (columns sorted by name; floats compared after rounding to 9 significant
-digits, dates/timestamps as ISO text).
+digits -- or exactly with ORACLE_EXACT=1 --, dates/timestamps as ISO text).
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ def _norm(v):
             return "NULL"
         if v == 0:
             return "0"
-        return f"{v:.9g}"
+        return repr(v) if os.environ.get("ORACLE_EXACT") else f"{v:.9g}"
     if isinstance(v, (list, tuple)):
         return "[" + ",".join(_norm(x) for x in v) + "]"
     if hasattr(v, "tolist") and not isinstance(v, (str, bytes)):
