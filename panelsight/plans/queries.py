@@ -10,11 +10,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from panelsight import functions as S
 from panelsight.operators import clean as C
+from panelsight.operators import decisions as D
+from panelsight.operators import explain as X
+from panelsight.operators import fairness as FA
 from panelsight.operators import insights as I
-from panelsight.sources.panel import load_panel
+from panelsight.operators import metrics as M
+from panelsight.operators import models as MD
+from panelsight.operators import prep as P
+from panelsight.operators import scoring as SC
+from panelsight.schema import FEATURE_COLS, IMPUTE_COLS
+from panelsight.sources import files as FS
+from panelsight.sources import model_store as MS
+from panelsight.sources.panel import load_panel, read_table
 from panelsight.sources.stored import stored_clean_panel, stored_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,15 +79,6 @@ def q_dept_band_pct(spark, sf_dir):
 
 # --- shared building blocks ------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from panelsight import functions as S  # noqa: E402
-from panelsight.operators import decisions as D  # noqa: E402
-from panelsight.operators import fairness as FA  # noqa: E402
-from panelsight.operators import metrics as M  # noqa: E402
-from panelsight.operators import prep as P  # noqa: E402
-from panelsight.schema import DEFAULT_CUTOFF, FEATURE_COLS, IMPUTE_COLS  # noqa: E402
-from panelsight.sources.panel import read_table  # noqa: E402
 
 CUTOFF = "2000-Q1"          # split point for the warehouse-derived panel
 PARITY_REFERENCE = "EUROPE"
@@ -592,13 +596,6 @@ def flagship(spark, sf_dir):
 
 # --- models, scoring, explanation (model-dependent: rows-only checks) -----------------
 
-from pyspark.ml.functions import vector_to_array  # noqa: E402
-
-from panelsight.operators import explain as X  # noqa: E402
-from panelsight.operators import models as MD  # noqa: E402
-from panelsight.operators import scoring as SC  # noqa: E402
-from panelsight.sources import files as FS  # noqa: E402
-from panelsight.sources import model_store as MS  # noqa: E402
 
 # Registry training settings: the full forest / linear settings; boosted trees
 # use the package default of 50 rounds per class.
