@@ -63,22 +63,30 @@ def classes_present(train: DataFrame, label_col: str = "label") -> list:
     return sorted(int(r[0]) for r in train.select(label_col).distinct().collect())
 
 
-ROWS_PER_PARTITION = 200_000
+ROWS_PER_PARTITION = 200_000      # upper bound of rows per partition
+MIN_ROWS_PER_PARTITION = 10_000   # below this a task costs more than it computes
+
+
+def training_partitions(n: int, cores: int) -> int:
+    """Partitions for an iterative fit over ``n`` rows: at most
+    ``ROWS_PER_PARTITION`` rows each, and no more partitions than cores while
+    partitions would hold fewer than ``MIN_ROWS_PER_PARTITION`` rows."""
+    return max(1, -(-n // ROWS_PER_PARTITION), min(cores, -(-n // MIN_ROWS_PER_PARTITION)))
 
 
 def training_frame(train: DataFrame, weighted: bool = True) -> DataFrame:
     """The columns an iterative estimator reads, in a compact cached frame.
 
     Iterative fits (L-BFGS, tree levels, boosting rounds) scan the training
-    set once per step, so its partitioning matters: one partition per core,
-    or one per ``ROWS_PER_PARTITION`` rows when that is more. This avoids both
-    thousands of tiny tasks per step (small files) and oversized partitions.
+    set once per step, so its partitioning matters: partitions are sized by
+    rows (see ``training_partitions``), which avoids both thousands of tiny
+    tasks per step and oversized partitions.
     """
     cols = ["features", "label"] + (["weight"] if weighted else [])
     t = with_class_weights(train, "label", "weight") if weighted else train
     t = with_label_meta(t.select(*cols))
     n = t.count()
-    parts = max(train.sparkSession.sparkContext.defaultParallelism, -(-n // ROWS_PER_PARTITION))
+    parts = training_partitions(n, train.sparkSession.sparkContext.defaultParallelism)
     return t.repartition(parts).cache()
 
 
