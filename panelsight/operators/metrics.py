@@ -83,28 +83,48 @@ def summary_metrics(df: DataFrame, label_col: str = "label", pred_col: str = "pr
 
 def classification_report(df: DataFrame, label_col: str = "label", pred_col: str = "prediction",
                           digits: int = 4) -> DataFrame:
-    """M9: precision / recall / F1 / support per class seen in truth or prediction, plus
-    accuracy, macro avg and weighted avg rows."""
-    pc = per_class(df, label_col, pred_col)
-    names = F.element_at(F.array(*[F.lit(b) for b in BANDS]), F.col("cls") + 1)
-    rows = pc.select(
-        names.alias("row_name"), F.col("cls").cast("int").alias("row_order"),
-        rnd("precision", digits).alias("precision"), rnd("recall", digits).alias("recall"),
-        rnd("f1", digits).alias("f1"), F.col("support").cast("bigint").alias("support"))
-    n = F.sum("support")
-    macro = pc.agg(F.lit("macro avg").alias("row_name"), F.lit(11).alias("row_order"),
-                   rnd(F.avg("precision"), digits).alias("precision"),
-                   rnd(F.avg("recall"), digits).alias("recall"),
-                   rnd(F.avg("f1"), digits).alias("f1"), n.cast("bigint").alias("support"))
-    weighted = pc.agg(F.lit("weighted avg").alias("row_name"), F.lit(12).alias("row_order"),
-                      rnd(F.sum(F.col("precision") * F.col("support")) / n, digits).alias("precision"),
-                      rnd(F.sum(F.col("recall") * F.col("support")) / n, digits).alias("recall"),
-                      rnd(F.sum(F.col("f1") * F.col("support")) / n, digits).alias("f1"),
-                      n.cast("bigint").alias("support"))
-    acc = pc.agg(F.lit("accuracy").alias("row_name"), F.lit(10).alias("row_order"),
-                 F.lit(None).cast("double").alias("precision"), F.lit(None).cast("double").alias("recall"),
-                 rnd(F.sum("tp") / n, digits).alias("f1"), n.cast("bigint").alias("support"))
-    return rows.unionByName(acc).unionByName(macro).unionByName(weighted)
+    """M9: precision / recall / F1 / support per class seen in truth or
+    prediction, plus accuracy, macro avg and weighted avg rows.
+
+    One pass: the 9 conditional counts come from a single aggregate; the six
+    report rows are built from that one row with array functions and
+    ``inline`` (no second scan of the scored rows).
+    """
+    wide = _class_counts(df, label_col, pred_col)
+    cls = []
+    for k in range(N_CLASSES):
+        s_, p_, t_ = F.col(f"s{k}"), F.col(f"p{k}"), F.col(f"t{k}")
+        prec = F.when(p_ > 0, t_ / p_).otherwise(0.0)
+        rec = F.when(s_ > 0, t_ / s_).otherwise(0.0)
+        f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
+        cls.append(F.struct(F.lit(BANDS[k]).alias("row_name"), F.lit(k).alias("row_order"),
+                            prec.alias("precision"), rec.alias("recall"), f1.alias("f1"),
+                            s_.alias("support"), t_.alias("tp"), ((s_ > 0) | (p_ > 0)).alias("seen")))
+    seen = F.filter(F.array(*cls), lambda c: c["seen"])
+    n = F.aggregate(seen, F.lit(0).cast("bigint"), lambda a, c: a + c["support"])
+    k = F.size(seen)
+
+    def total(field, weighted=False):
+        return F.aggregate(seen, F.lit(0.0), lambda a, c: a + (c[field] * c["support"] if weighted else c[field]))
+
+    def row(name, order, prec, rec, f1, support):
+        return F.struct(F.lit(name).alias("row_name"), F.lit(order).alias("row_order"),
+                        prec.alias("precision"), rec.alias("recall"), f1.alias("f1"), support.alias("support"))
+
+    per_class = F.transform(seen, lambda c: row(None, None, rnd(c["precision"], digits), rnd(c["recall"], digits),
+                                                rnd(c["f1"], digits), c["support"]).withField(
+        "row_name", c["row_name"]).withField("row_order", c["row_order"]))
+    tp = F.aggregate(seen, F.lit(0).cast("bigint"), lambda a, c: a + c["tp"])
+    extra = F.array(
+        row("accuracy", 10, F.lit(None).cast("double"), F.lit(None).cast("double"), rnd(tp / n, digits), n),
+        row("macro avg", 11, rnd(total("precision") / k, digits), rnd(total("recall") / k, digits),
+            rnd(total("f1") / k, digits), n),
+        row("weighted avg", 12, rnd(total("precision", True) / n, digits), rnd(total("recall", True) / n, digits),
+            rnd(total("f1", True) / n, digits), n))
+    return (wide.select(F.inline(F.concat(per_class, extra)))
+            .select(F.col("row_name").cast("string").alias("row_name"),
+                    F.col("row_order").cast("int").alias("row_order"),
+                    "precision", "recall", "f1", F.col("support").cast("bigint").alias("support")))
 
 
 def select_best(comparison: DataFrame, metric: str = "f1_macro", order_col: str = "model_order") -> DataFrame:
