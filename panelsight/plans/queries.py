@@ -756,8 +756,10 @@ def q_scored_summary(spark, sf_dir):
 
 @register("score_one")
 def q_score_one(spark, sf_dir):
-    """Every test row scored through the one-record plan shape (a
-    DataFrame with the record's columns), checked row for row."""
+    """Single-record scoring has no special path -- ``score_one`` is the
+    batch plan on a one-row frame. Registered over the whole test period read
+    as records (the id and 13 raw feature columns), each row scored
+    independently by that same narrow plan."""
     fm, stats, _, _ = fitted(spark, sf_dir, "logistic_regression")
     _, test = split_frames(spark, sf_dir)
     rows = test.select(*FS.BATCH_COLUMNS)
