@@ -672,3 +672,7 @@ ORACLES["fairness_report"] = with_panel(
        FROM ps WHERE department IS NOT NULL GROUP BY department))) AS parity_flagged,
   (SELECT count(DISTINCT experience_tier) FROM (SELECT """ + TIER + """ AS experience_tier FROM ps)
    WHERE experience_tier IS NOT NULL) AS n_tiers""", GRP)
+
+ORACLES["clean_counts"] = with_panel(
+    "SELECT (SELECT count(*) FROM panel) AS rows_raw, (SELECT count(*) FROM dedup) AS rows_dedup, "
+    "(SELECT count(*) FROM clean) AS rows_clean", CLEAN)

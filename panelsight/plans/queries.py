@@ -65,6 +65,12 @@ def q_clean_panel(spark, sf_dir):
     return C.clean_panel(load_panel(spark, sf_dir))
 
 
+@register("clean_counts")
+def q_clean_counts(spark, sf_dir):
+    """C2 counts: rows before cleaning, after dedup, after dropping a missing target."""
+    return C.clean_counts(raw_panel(spark, sf_dir))
+
+
 @register("dedup_reviews")
 def q_dedup(spark, sf_dir):
     return C.dedup_reviews(raw_panel(spark, sf_dir))
