@@ -53,6 +53,7 @@ GENERIC_POSITIVE = "A high {f} contributed positively"
 GENERIC_NEGATIVE = "A low {f} contributed negatively"
 TOP_DRIVERS = 3
 TOP_GLOBAL = 12
+MAX_BROADCAST_BACKGROUND = 100_000  # rows of 13 doubles (~15 MB) at most are broadcast
 
 
 # --- X1 / X2 / W1 ---------------------------------------------------------------
@@ -166,7 +167,10 @@ def shapley_contributions(fm: FittedModel, rows: DataFrame, background: DataFram
                         lambda j: F.struct(F.xxhash64("_rid", "p", j, F.lit(seed)).alias("h"), j.alias("j")))
     pe = (pe.withColumn("perm", F.transform(F.array_sort(order), lambda s: s["j"]))
           .withColumn("_bi", F.pmod(F.xxhash64("_rid", "p", F.lit(seed + 1)), F.lit(nb))))
-    pe = pe.join(F.broadcast(background), "_bi")   # background has n_background rows (bounded)
+    # the background has exactly ``nb`` rows (counted above): broadcast it
+    # only under a row bound, else let the planner pick a shuffle join
+    bg_side = F.broadcast(background) if nb <= MAX_BROADCAST_BACKGROUND else background
+    pe = pe.join(bg_side, "_bi")
     steps = pe.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_features))).alias("k"))
     # position of feature j in the permutation; features placed before step k come from the row
     hybrid = F.transform(F.sequence(F.lit(0), F.lit(n_features - 1)),

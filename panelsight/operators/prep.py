@@ -71,17 +71,23 @@ class PrepStats:
 
 # --- C3 / C4: median imputer ---------------------------------------------------
 
-def fit_median_imputer(train: DataFrame, cols: list[str] = IMPUTE_COLS) -> dict:
+def _median(c: str, approx: bool):
+    x = F.col(c).cast("double")
+    return F.percentile_approx(x, 0.5, 100_000) if approx else F.median(x)
+
+
+def fit_median_imputer(train: DataFrame, cols: list[str] = IMPUTE_COLS, approx: bool = False) -> dict:
     """Exact median of each column on the training rows (one aggregate).
 
     Spark's ``median`` keeps a count per distinct value and merges partial
     states, so the work is distributed; the panel measures have a bounded set
-    of distinct values (rounded, clipped).
+    of distinct values (rounded, clipped). ``approx=True`` uses a bounded
+    quantile sketch instead, for columns with an unbounded value domain.
     """
     cols = [c for c in cols if c in train.columns]
     if not cols:
         return {}
-    row = train.agg(*[F.median(F.col(c).cast("double")).alias(c) for c in cols]).first()
+    row = train.agg(*[_median(c, approx).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
@@ -221,11 +227,12 @@ def assemble(df: DataFrame, stats: PrepStats, out: str = "features") -> DataFram
 # --- C11: full preparation ------------------------------------------------------------
 
 def fit_median_and_labels(train: DataFrame, impute_cols: list[str] = IMPUTE_COLS,
-                          cat_cols: list[str] = CATEGORICAL_FEATURES) -> tuple[dict, dict]:
+                          cat_cols: list[str] = CATEGORICAL_FEATURES,
+                          approx: bool = False) -> tuple[dict, dict]:
     """C3 + C5 in a single aggregation pass over the training rows."""
     icols = [c for c in impute_cols if c in train.columns]
     ccols = [c for c in cat_cols if c in train.columns]
-    row = train.agg(*[F.median(F.col(c).cast("double")).alias(f"m_{c}") for c in icols],
+    row = train.agg(*[_median(c, approx).alias(f"m_{c}") for c in icols],
                     *[F.array_sort(F.collect_set(_cat(c))).alias(f"l_{c}") for c in ccols]).first()
     labels = {}
     for c in ccols:

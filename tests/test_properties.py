@@ -189,3 +189,21 @@ def test_panel_scan_prunes_and_pushes(spark):
     assert "PushedFilters: [IsNotNull(l_suppkey), IsNotNull(l_shipdate)]" in plan
     assert "ReadSchema: struct<l_suppkey:bigint,l_quantity:double,l_discount:double,l_tax:double," in plan
     assert "l_extendedprice" not in plan and "l_orderkey" not in plan
+
+
+def test_stream_scorer_scores_each_file_once(spark, prepared, lr):
+    """A restarted stream over the same landing folder and checkpoint only
+    scores files that arrived since the previous run."""
+    from panelsight.session import work_dir
+    from panelsight.sources.files import BATCH_COLUMNS
+    from panelsight.streaming import score_landing_folder
+    _, _, stats = prepared
+    _, test = P.time_split(Q.clean_panel(spark, SMALL), Q.CUTOFF)
+    rows = test.select(*BATCH_COLUMNS).orderBy("employee_id")
+    landing, out, ckpt = (work_dir(spark, n) for n in ("t-landing", "t-out", "t-ckpt"))
+    rows.limit(10).write.option("header", True).csv(f"{landing}/batch-1")
+    score_landing_folder(spark, f"{landing}/*", out, ckpt, lr, stats)
+    assert spark.read.parquet(out).count() == 10
+    rows.limit(7).write.option("header", True).csv(f"{landing}/batch-2")
+    score_landing_folder(spark, f"{landing}/*", out, ckpt, lr, stats)
+    assert spark.read.parquet(out).count() == 17
