@@ -96,13 +96,30 @@ def permutation_importance(fm: FittedModel, test: DataFrame, features: list[str]
     """Drop in macro F1 when one feature's values are shuffled across rows.
 
     Every (feature, repeat) pair shuffles independently. Rows are spread over
-    hash buckets of ~``bucket_rows`` rows; inside a bucket a receiver order and
-    a donor order (two independent hashes) are paired, so each row receives
-    the value of a random other row of the same bucket -- a uniform random
-    permutation per bucket, with windows bounded by the bucket size. All
-    13 x repeats variants are scored in one ``transform`` and reduced by a
-    grouped confusion count.
+    hash buckets of ~``bucket_rows`` rows and put in a random order inside
+    each bucket (a second hash); every row then takes the feature value of the
+    next row in that order, the last one that of the first (a random cyclic
+    shift). One window per (feature, repeat, bucket) does this -- bounded by
+    the bucket size, no self-join. All 13 x repeats variants are scored in one
+    ``transform`` and reduced by a grouped confusion count.
     """
+    perm = shuffled_feature_rows(test, features, keys, n_repeats, seed, bucket_rows)
+    scored = predict(fm, perm.select("f", "r", "label", "features"))
+    f1 = M.macro_f1_by(scored, ["f", "r"])
+    # baseline macro F1 of the unshuffled rows: one number, computed by Spark
+    base_f1 = M.summary_metrics(predict(fm, test), digits=12).first()["f1_macro"]
+    names = F.element_at(F.array(*[F.lit(x) for x in features]), F.col("f") + 1)
+    return (f1.withColumn("drop", F.lit(base_f1) - F.col("f1_macro"))
+            .groupBy("f").agg(F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("std"))
+            .select(names.alias("feature"), "importance", "std")
+            .orderBy(F.col("importance").desc(), "feature"))
+
+
+def shuffled_feature_rows(test: DataFrame, features: list[str],
+                          keys: list[str] = ("employee_id", "quarter_label"), n_repeats: int = 10,
+                          seed: int = 42, bucket_rows: int = 50_000) -> DataFrame:
+    """Rows x (feature f, repeat r) with feature f replaced by another row's
+    value (``_v`` original, ``_donor`` received, ``features`` the new vector)."""
     keys = list(keys)
     base = test.select(*keys, "label", vector_to_array("features").alias("x")).withColumn("_rid", _row_id(keys))
     n = base.count()
@@ -111,24 +128,14 @@ def permutation_importance(fm: FittedModel, test: DataFrame, features: list[str]
         F.flatten(F.array(*[F.array_repeat(F.lit(j), n_repeats) for j in range(len(features))])).alias("f"),
         F.flatten(F.array_repeat(F.sequence(F.lit(0), F.lit(n_repeats - 1)), len(features))).alias("r")))
     ex = base.select("*", fr.alias("_fr")).select("*", F.col("_fr.f").alias("f"), F.col("_fr.r").alias("r")).drop("_fr")
-    ex = ex.withColumn("_b", F.pmod(F.xxhash64("_rid", "f", "r", F.lit(seed)), F.lit(buckets)))
-    w_recv = Window.partitionBy("f", "r", "_b").orderBy(F.xxhash64("_rid", "f", "r", F.lit(seed), F.lit(1)), "_rid")
-    w_don = Window.partitionBy("f", "r", "_b").orderBy(F.xxhash64("_rid", "f", "r", F.lit(seed), F.lit(2)), "_rid")
-    recv = ex.withColumn("_pos", F.row_number().over(w_recv))
-    donor = ex.select("f", "r", "_b", F.row_number().over(w_don).alias("_pos"),
-                      F.element_at("x", F.col("f") + 1).alias("_donor"))
-    perm = recv.join(donor, ["f", "r", "_b", "_pos"])
+    ex = (ex.withColumn("_b", F.pmod(F.xxhash64("_rid", "f", "r", F.lit(seed)), F.lit(buckets)))
+          .withColumn("_v", F.element_at("x", F.col("f") + 1)))
+    w = Window.partitionBy("f", "r", "_b").orderBy(F.xxhash64("_rid", "f", "r", F.lit(seed), F.lit(1)), "_rid")
+    donor = F.coalesce(F.lead("_v").over(w), F.first("_v").over(w))
+    perm = ex.withColumn("_donor", donor)
     perm = perm.withColumn("features", array_to_vector(
         F.transform("x", lambda v, i: F.when(i == F.col("f"), F.col("_donor")).otherwise(v))))
-    scored = predict(fm, perm.select("f", "r", "label", "features"))
-    f1 = M.macro_f1_by(scored, ["f", "r"])
-    # baseline macro F1 of the unshuffled rows: one number, computed by Spark
-    base_f1 = M.summary_metrics(predict(fm, test), digits=12).first()["f1_macro"]
-    names = F.element_at(F.array(*[F.lit(x) for x in features]), F.col("f") + 1)
-    return (f1.withColumn("drop", F.lit(base_f1) - F.col("f1_macro"))
-            .groupBy("f").agg(F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("std"))
-            .select(names.alias("feature"), "importance", "std")
-            .orderBy(F.col("importance").desc(), "feature"))
+    return perm
 
 
 # --- X4 / X5 sampling Shapley ---------------------------------------------------------

@@ -207,3 +207,19 @@ def test_stream_scorer_scores_each_file_once(spark, prepared, lr):
     rows.limit(7).write.option("header", True).csv(f"{landing}/batch-2")
     score_landing_folder(spark, f"{landing}/*", out, ckpt, lr, stats)
     assert spark.read.parquet(out).count() == 17
+
+
+def test_permutation_is_a_shuffle_of_each_feature(prepared):
+    """Per (feature, repeat) the received values are a rearrangement of the
+    originals (same multiset), and most rows get another row's value."""
+    _, test, stats = prepared
+    sh = X.shuffled_feature_rows(test, stats.features, n_repeats=2, bucket_rows=300)
+    g = sh.groupBy("f", "r").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sort_array(F.collect_list("_v")).alias("a"), F.sort_array(F.collect_list("_donor")).alias("b"),
+        F.count_if(F.col("_rid") == F.col("_rid")).alias("rows"))
+    bad = g.where(F.col("a") != F.col("b")).count()
+    assert bad == 0
+    assert g.count() == 2 * len(stats.features)
+    n = test.count()
+    assert g.agg(F.min("n"), F.max("n")).first() == (n, n)
