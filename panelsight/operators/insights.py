@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelsight.functions.scalars import quarter_key, rnd
+from panelsight.operators.joins import sized_broadcast
 from panelsight.schema import BAND_DISPLAY_ORDER, TARGET_COL
 
 # FIXED VALUES: column groups used by the insight reports
@@ -201,8 +202,8 @@ def feature_histogram(df: DataFrame, cols: list[str] = HIST_FEATURES, bins: int
     """Equal-width histogram (density) per (feature, band), NULLs dropped.
 
     Data are unpivoted to (feature, band, value) with ``stack``; the per-group
-    min/max come from one aggregate and are joined back on the group key (a
-    few rows per feature x band, broadcast by size). The last bin is closed on
+    min/max come from one aggregate and are joined back on the group key (one
+    row per feature x band, broadcast after a size check). The last bin is closed on
     the right; a zero-width range becomes [v-0.5, v+0.5].
     """
     cols = _present(df, cols)
@@ -214,8 +215,12 @@ def feature_histogram(df: DataFrame, cols: list[str] = HIST_FEATURES, bins: int
            .agg(F.min("value").alias("vmin"), F.max("value").alias("vmax"), F.count(F.lit(1)).alias("n_group"))
            .withColumn("lo", F.when(F.col("vmin") == F.col("vmax"), F.col("vmin") - 0.5).otherwise(F.col("vmin")))
            .withColumn("hi", F.when(F.col("vmin") == F.col("vmax"), F.col("vmax") + 0.5).otherwise(F.col("vmax")))
-           .withColumn("width", (F.col("hi") - F.col("lo")) / bins))
-    binned = long.join(rng.select("feature", "band", "lo", "width"), ["feature", "band"]).select(
+           .withColumn("width", (F.col("hi") - F.col("lo")) / bins)
+           .cache())  # tiny; the size check below materialises it once for both uses
+    # one row per (feature, band): broadcast after a size check -- a shuffle
+    # join on this key would send each group's values to a single task
+    ranges = sized_broadcast(rng.select("feature", "band", "lo", "width"))
+    binned = long.join(ranges, ["feature", "band"]).select(
         "feature", "band",
         F.least(F.floor((F.col("value") - F.col("lo")) / F.col("width")), F.lit(bins - 1)).cast("int").alias("bin"))
     counts = binned.groupBy("feature", "band", "bin").agg(F.count(F.lit(1)).alias("n"))

@@ -15,6 +15,7 @@ from panelsight.functions.scalars import (
     clip, employee_code, kpi_score, performance_band, quarter_label,
     quarter_start, rnd, tenure_offset_date,
 )
+from panelsight.operators.joins import sized_broadcast
 from panelsight.schema import EDUCATION_LEVELS, PANEL_COLS
 
 LINEITEM_COLS = ["l_suppkey", "l_shipdate", "l_quantity", "l_tax", "l_discount",
@@ -52,6 +53,9 @@ def employee_dim(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> D
     geo = (nation.select("n_nationkey", "n_name", "n_regionkey")
            .join(region.select("r_regionkey", "r_name"),
                  F.col("n_regionkey") == F.col("r_regionkey")))
+    # one row per nation: broadcast after a size check, so that suppliers are
+    # never hash-partitioned on a key with a couple of dozen values
+    geo = sized_broadcast(geo)
     sk = F.col("s_suppkey")
     edu = F.element_at(F.array(*[F.lit(e) for e in EDUCATION_LEVELS]),
                        (F.pmod(sk, F.lit(len(EDUCATION_LEVELS))) + 1).cast("int"))
