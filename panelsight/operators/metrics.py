@@ -140,3 +140,15 @@ def macro_f1_by(scored: DataFrame, group_cols: list[str], label_col: str = "labe
     g = list(group_cols)
     pc = _per_class_from_counts(_class_counts(scored, label_col, pred_col, g), g)
     return pc.groupBy(*g).agg(F.avg("f1").alias("f1_macro"))
+
+
+def summary_metrics_by(scored: DataFrame, group_cols: list[str], label_col: str = "label",
+                       pred_col: str = "prediction", digits: int = 4) -> DataFrame:
+    """M5-M7 per group (e.g. per model) from one grouped aggregate."""
+    g = list(group_cols)
+    pc = _per_class_from_counts(_class_counts(scored, label_col, pred_col, g), g)
+    agg = pc.groupBy(*g).agg(F.sum("support").alias("n"), F.sum("tp").alias("correct"),
+                             F.avg("f1").alias("f1_macro"),
+                             (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1_weighted"))
+    return agg.select(*g, rnd(F.col("correct") / F.col("n"), digits).alias("accuracy"),
+                      rnd("f1_macro", digits).alias("f1_macro"), rnd("f1_weighted", digits).alias("f1_weighted"))

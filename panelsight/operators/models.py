@@ -184,16 +184,18 @@ def probability_breakdown(scored: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def compare_models(models: list[FittedModel], test: DataFrame) -> DataFrame:
-    """One row per model with accuracy / macro F1 / weighted F1 (4 dp)."""
-    rows = None
+    """One row per model with accuracy / macro F1 / weighted F1 (4 dp).
+
+    The models' predictions are stacked (label, prediction, model) and reduced
+    by one grouped aggregate of conditional counts -- one shuffle for all models.
+    """
+    stacked = None
     for fm in models:
-        s = predict(fm, test)
-        m = M.summary_metrics(s).select(
-            F.lit(fm.name).alias("model"),
-            F.lit(MODEL_ORDER.index(fm.name) if fm.name in MODEL_ORDER else 99).alias("model_order"),
-            "accuracy", "f1_macro", "f1_weighted")
-        rows = m if rows is None else rows.unionByName(m)
-    return rows
+        order = MODEL_ORDER.index(fm.name) if fm.name in MODEL_ORDER else 99
+        s = predict(fm, test).select(F.lit(fm.name).alias("model"), F.lit(order).alias("model_order"),
+                                     "label", "prediction")
+        stacked = s if stacked is None else stacked.unionByName(s)
+    return M.summary_metrics_by(stacked, ["model", "model_order"])
 
 
 def train_and_compare(train: DataFrame, test: DataFrame, p: TrainParams = TrainParams(),
