@@ -13,7 +13,6 @@ import os
 import sys
 
 import duckdb
-import pandas as pd
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 if ROOT not in sys.path:
