@@ -243,10 +243,11 @@ def fit_median_and_labels(train: DataFrame, impute_cols: list[str] = IMPUTE_COLS
     return {c: row[f"m_{c}"] for c in icols}, labels
 
 
-def fit_prep(train_clean: DataFrame) -> PrepStats:
+def fit_prep(train_clean: DataFrame, approx_median: bool = False) -> PrepStats:
     """Fit imputer, encoder and scaler on the cleaned training rows only
-    (two aggregation passes: medians + label sets, then mean/std)."""
-    medians, labels = fit_median_and_labels(train_clean)
+    (two aggregation passes: medians + label sets, then mean/std).
+    ``approx_median=True`` uses a quantile sketch for the medians."""
+    medians, labels = fit_median_and_labels(train_clean, approx=approx_median)
     imputed = apply_median_imputer(train_clean, medians)
     encoded = apply_label_encoder(imputed, labels)
     features = [c for c in FEATURE_COLS if c in encoded.columns]
@@ -265,10 +266,10 @@ def transform_prep(df: DataFrame, stats: PrepStats, unseen: str = "error",
     return assemble(out, stats) if vector else out
 
 
-def prep_pipeline(clean: DataFrame, cutoff: str = DEFAULT_CUTOFF):
+def prep_pipeline(clean: DataFrame, cutoff: str = DEFAULT_CUTOFF, approx_median: bool = False):
     """C11: split -> fit on train -> transform both. Returns (train, test, stats)."""
     train, test = time_split(clean, cutoff)
-    stats = fit_prep(train)
+    stats = fit_prep(train, approx_median=approx_median)
     return transform_prep(train, stats), transform_prep(test, stats), stats
 
 

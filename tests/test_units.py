@@ -54,3 +54,19 @@ def test_describe_exact_and_approx(spark):
     assert (exact["count"], exact.mean, exact.p25, exact.p50, exact.p75) == (4, 2.5, 1.75, 2.5, 3.25)
     approx = I.describe_numeric(df, ["age"], approx=True).first()
     assert approx.p50 in (2.0, 3.0) and approx.min == 1.0 and approx.max == 4.0
+
+
+def test_prep_with_approximate_medians(spark):
+    from panelsight.operators import prep as P
+    from panelsight.plans import queries as Q
+    from tests.conftest import SMALL
+    clean = Q.clean_panel(spark, SMALL)
+    train, _ = P.time_split(clean, Q.CUTOFF)
+    exact = P.fit_prep(train)
+    approx = P.fit_prep(train, approx_median=True)
+    assert set(approx.medians) == set(exact.medians)
+    # a sketch median is one of the observed values, next to the exact one
+    for c, m in exact.medians.items():
+        lo, hi = train.agg(F.min(c), F.max(c)).first()
+        assert lo <= approx.medians[c] <= hi
+        assert abs(approx.medians[c] - m) <= (hi - lo) * 0.1
