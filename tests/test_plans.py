@@ -36,3 +36,13 @@ def test_shortlist_limits_before_shuffle(spark):
 def test_metrics_single_pass(spark):
     plan = _plan(E.queries()["confusion_matrix"](spark, SMALL))
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+
+
+def test_model_comparison_is_one_shuffle(spark):
+    plan = _plan(E.queries()["compare_models"](spark, SMALL))
+    assert len([ln for ln in plan.splitlines() if "Exchange" in ln and "Broadcast" not in ln]) <= 1
+
+
+def test_permutation_importance_has_no_join(spark):
+    plan = _plan(E.queries()["permutation_importance"](spark, SMALL))
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan and "ShuffledHashJoin" not in plan
