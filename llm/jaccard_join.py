@@ -7,12 +7,13 @@ shingle and size band. In a tile only sets whose sizes allow a link meet:
 
 1. each tile links its members to the first one of their size range; these
    pairs are verified, and their components are found;
-2. what is left are members of one tile in different components. They are
-   compared by parity bitmaps: the differing bits bound the symmetric
-   difference from below, hence the overlap from above. Tiles beyond
-   ``TILE_ROWS`` are cut into blocks, and each pair of blocks is a task row.
+2. what is left are members of one tile in different components; they are
+   compared within blocks. Tiles beyond ``TILE_ROWS`` are cut into blocks, and
+   each pair of blocks stands alone.
 
-Survivors are verified by intersecting the sorted hash arrays. Nothing is
+Pairs are compared by parity bitmaps: the differing bits bound the symmetric
+difference from below, hence the overlap from above. Survivors are verified
+by intersecting the sorted hash arrays. Nothing is
 lost: a linked pair shares a tile, and is either already in one component or
 compared in step 2.
 
@@ -40,7 +41,9 @@ SAMPLE = 64  # one document in 64 tells which shingles are common
 COMMON = 8  # a shingle in so many sampled documents is common
 MOST_COMMON = 65_536  # common shingles that are broadcast (512 KB); others only cost time
 TILE_ROWS = 4096
-BITS = 512
+BITS = 512  # of the smallest bitmap
+MOST_BROADCAST = 2_000_000  # document ids (16 MB); more are joined by a shuffle
+TILE_SHARE = 50_000  # tile rows with bitmaps for each shuffle partition
 ENTRIES = 1_000_000  # tile entries for each shuffle partition
 
 
@@ -56,12 +59,23 @@ def _sid(u: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(u.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def bitmap(u: np.ndarray) -> bytes:
+    """Parity of the shingles that fall on each bit; the first power of two from the set's size on, BITS at least."""
+    bits = max(BITS, 1 << (len(u) - 1).bit_length())
+    return np.packbits((np.bincount((u >> np.uint64(7)) & np.uint64(bits - 1), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(x: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps (rows of 64-bit words) brought to ``width`` words: what they would be with so many bits."""
+    return np.bitwise_xor.reduce(x.reshape(len(x), -1, width), axis=1)
+
+
 def _describe(batches):
     for b in W.slices(batches, "text"):
-        found = [(len(u), _sid(u)) for _, u in _sets(b)]
+        found = [(len(u), _sid(u), bitmap(u)) for _, u in _sets(b)]
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array([n for n, _ in found], pa.int64()), pa.array([s for _, s in found], pa.int64())],
-            ["doc_id", "n_shingles", "sid"])
+            [b.column("doc_id"), *(pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary())))],
+            ["doc_id", "n_shingles", "sid", "bitmap"])
 
 
 def _spread(batches):
@@ -138,16 +152,10 @@ def _shared(batches):
 
 
 def _contents(batches):
-    """(sid, n, bitmap, shingles): parity of the shingles that fall on each bit; the sorted hashes."""
+    """(sid, sorted shingle hashes)."""
     for b in W.slices(batches, "text"):
-        out = {}
-        for _, u in _sets(b):
-            if len(u):
-                bits = (np.bincount((u >> np.uint64(7)) % np.uint64(BITS), minlength=BITS) & 1).astype(np.uint8)
-                out[_sid(u)] = len(u), np.packbits(bits).tobytes(), u.tobytes()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(out), pa.int64()), pa.array([v[0] for v in out.values()], pa.int32()), pa.array([v[1] for v in out.values()], pa.binary()), pa.array([v[2] for v in out.values()], pa.binary())],
-            ["sid", "n", "bitmap", "shingles"])
+        out = {_sid(u): u.tobytes() for _, u in _sets(b) if len(u)}
+        yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())], ["sid", "shingles"])
 
 
 def overlap(x: np.ndarray, y: np.ndarray) -> int:
@@ -167,67 +175,75 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
 
 
-def possible(xor_bits: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Whether sets of n shingles together can link if their parity bitmaps differ in so many bits."""
-    return 9 * (n - xor_bits) >= 8 * n  # twice the overlap is at most n - xor_bits
+def _may_link(xs: list[bytes], ys: list[bytes], n: np.ndarray) -> np.ndarray:
+    """Whether the bitmaps of each pair, whose sets have n shingles together, allow a link."""
+    width = np.minimum(np.fromiter(map(len, xs), np.int64, len(xs)), np.fromiter(map(len, ys), np.int64, len(ys)))
+    out = np.zeros(len(xs), bool)
+    for w in np.unique(width):
+        at = np.flatnonzero(width == w)
+        for i in range(0, len(at), max(1, (1 << 24) // int(w))):
+            k = at[i : i + max(1, (1 << 24) // int(w))]
+            x, y = (np.concatenate([folded(np.frombuffer(v[j], np.uint64)[None], int(w) // 8) for j in k]) for v in (xs, ys))
+            differ = np.bitwise_count(x ^ y).sum(1).astype(np.int64)
+            out[k] = 9 * (n[k] - differ) >= 8 * n[k]  # twice the overlap is at most n - differ
+    return out
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` that link, by bitmaps first and then exactly."""
-    bits = sets.select("sid", "n", *[F.conv(F.hex(F.substring("bitmap", 8 * i + 1, 8)), 16, -10).cast("long").alias(f"w{i}") for i in range(BITS // 64)])
-    x, y = (bits.select([F.col(c).alias(f"{c}_{k}") for c in bits.columns]) for k in "xy")
-    differ = sum((F.bit_count(F.col(f"w{i}_x").bitwiseXOR(F.col(f"w{i}_y"))) for i in range(1, BITS // 64)), F.bit_count(F.col("w0_x").bitwiseXOR(F.col("w0_y"))))
-    both = F.col("n_x").cast("long") + F.col("n_y")
-    near = (pairs.join(x, pairs.a == x.sid_x).join(y, F.col("b") == y.sid_y)
-            .filter((5 * F.least("n_x", "n_y") >= 4 * F.greatest("n_x", "n_y")) & (9 * (both - differ) >= 8 * both)).select("a", "b"))
+def _allowed(batches):
+    for b in batches:
+        n = b.column("n").to_numpy().astype(np.int64) + b.column("m").to_numpy()
+        ok = pa.array(_may_link(b.column("x").to_pylist(), b.column("y").to_pylist(), n))
+        yield pa.RecordBatch.from_arrays([b.column("a").filter(ok), b.column("b").filter(ok)], ["a", "b"])
+
+
+def allowed(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` whose sizes and bitmaps allow a link."""
+    x = bitmaps.select(F.col("sid").alias("a"), F.col("n_shingles").alias("n"), F.col("bitmap").alias("x"))
+    y = bitmaps.select(F.col("sid").alias("b"), F.col("n_shingles").alias("m"), F.col("bitmap").alias("y"))
+    both = pairs.join(x, "a").join(y, "b").filter("5 * least(n, m) >= 4 * greatest(n, m)")
+    return both.select("a", "b", "n", "m", "x", "y").mapInArrow(_allowed, "a long, b long")
+
+
+def verified(pairs: DataFrame, known: DataFrame, owner: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` that link; only the texts of their sets are read again."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(owner, "sid").select("doc_id")
+    wanted = T.store(wanted, "wanted")
+    if wanted.count() <= MOST_BROADCAST:  # 8 bytes a row
+        wanted = F.broadcast(wanted)
+    sets = known.join(wanted, "doc_id", "left_semi").mapInArrow(_contents, "sid long, shingles binary").dropDuplicates(["sid"])
+    sets = T.store(sets, "contents")
     x, y = (sets.select(F.col("sid").alias(f"sid_{k}"), F.col("shingles").alias(k)) for k in "xy")
-    full = near.join(y, F.col("b") == y.sid_y).drop("sid_y").join(x, F.col("a") == x.sid_x).select("a", "b", "x", "y")
-    return full.mapInArrow(_verify, "a long, b long, ok boolean").filter("ok").select("a", "b")
+    full = pairs.join(y, F.col("b") == y.sid_y).drop("sid_y").join(x, F.col("a") == x.sid_x).select("a", "b", "x", "y")
+    links = T.store(full.mapInArrow(_verify, "a long, b long, ok boolean").filter("ok").select("a", "b"), "links")
+    T.drop(sets, wanted)
+    return links
 
 
 def _compare(batches):
-    """Pairs of a tile's rows in different components that the bitmaps allow; a partition holds whole (sorted) tiles."""
-    last: list[pa.Table] = []
-
-    def tiles():
-        for b in batches:
-            if not b.num_rows:
-                continue
-            t = pa.table(b)
-            k = np.stack([t.column(c).to_numpy() for c in ("h", "p", "q")], 1)
-            cut = np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1
-            ends = [0, *cut.tolist(), len(k)]
-            for i, j in zip(ends, ends[1:]):
-                if last and any(last[0].column(c)[0].as_py() != t.column(c)[i].as_py() for c in ("h", "p", "q")):
-                    yield pa.concat_tables(last)
-                    last.clear()
-                last.append(t.slice(i, j - i))
-        if last:
-            yield pa.concat_tables(last)
-
-    out_a, out_b = [], []
-    for t in tiles():
-        s, n, c, part = (t.column(k).to_numpy() for k in ("sid", "n", "component", "part"))
-        p, q = t.column("p")[0].as_py(), t.column("q")[0].as_py()
-        bits = np.frombuffer(b"".join(t.column("bitmap").to_pylist()), np.uint64).reshape(len(s), -1)
-        n = n.astype(np.int64)
-        for i in np.flatnonzero(part == p):
-            may = (part == q) & (c != c[i]) & (5 * np.minimum(n, n[i]) >= 4 * np.maximum(n, n[i]))
-            may[: i + 1] &= p != q  # within one block each pair once
-            j = np.flatnonzero(may)
-            if len(j):
-                j = j[possible(np.bitwise_count(bits[j] ^ bits[i]).sum(1).astype(np.int64), n[j] + n[i])]
-                out_a.append(np.full(len(j), s[i]))
-                out_b.append(s[j])
-        if sum(map(len, out_a)) > 100_000:
-            yield _pairs(out_a, out_b)
-            out_a, out_b = [], []
-    if out_a:
-        yield _pairs(out_a, out_b)
+    """Pairs of a tile's rows in different components that the bitmaps allow; a partition holds whole tiles, sorted."""
+    got = [pa.table(b) for b in batches if b.num_rows]
+    if not got:
+        return
+    t = pa.concat_tables(got)
+    h, p, q, part, n, c, s = (t.column(k).to_numpy() for k in ("h", "p", "q", "part", "n", "component", "sid"))
+    bits = t.column("bitmap").to_pylist()
+    n = n.astype(np.int64)
+    live = np.arange(len(h))
+    for d in range(1, len(h)):  # each row with the d-th after it, as long as that is in its tile and size range
+        live = live[live + d < len(h)]
+        j = live + d
+        keep = (h[live] == h[j]) & (p[live] == p[j]) & (q[live] == q[j]) & (5 * n[live] >= 4 * n[j])
+        live, j = live[keep], j[keep]
+        if not len(live):
+            return
+        new = (c[live] != c[j]) & ((p[live] == q[live]) | (part[live] != part[j]))
+        i, j = live[new], j[new]
+        if len(i):
+            ok = _may_link([bits[k] for k in i], [bits[k] for k in j], n[i] + n[j])
+            yield _pairs(s[i[ok]], s[j[ok]])
 
 
 def _pairs(a, b) -> pa.RecordBatch:
-    a, b = np.concatenate(a), np.concatenate(b)
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
@@ -236,7 +252,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     known = docs.filter("doc_id is not null")
-    rows = T.store(docs.mapInArrow(_describe, "doc_id long, n_shingles long, sid long"), "sets")
+    rows = T.store(docs.mapInArrow(_describe, "doc_id long, n_shingles long, sid long, bitmap binary"), "sets")
 
     sample = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0).mapInArrow(_spread, "h long, n long")
     often = sample.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON).orderBy(F.desc("n"), "h").limit(MOST_COMMON).collect()
@@ -246,12 +262,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     entries = known.mapInArrow(_prefixes(common), "h long, sid long, n int").repartition(T.partitions_for(spark, total, ENTRIES), "h")
     tiles = T.store(entries.mapInArrow(_shared, "h long, sid long, n int, pivot long"), "tiles")
 
-    owner = rows.filter("doc_id is not null and n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    wanted = tiles.select("sid").distinct().join(owner, "sid").select("doc_id")
-    sets = T.store(known.join(wanted, "doc_id", "left_semi").mapInArrow(_contents, "sid long, n int, bitmap binary, shingles binary").dropDuplicates(["sid"]), "contents")
+    owner = T.store(rows.filter("doc_id is not null and n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "owner")
+    inside = tiles.select("sid").distinct()
+    bitmaps = T.store(rows.filter("doc_id is not null").join(inside, "sid", "left_semi").select("sid", "n_shingles", "bitmap").dropDuplicates(["sid"]), "bitmaps")
 
     star = tiles.filter("sid <> pivot").select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct()
-    links = T.store(verified(star, sets), "links")
+    links = verified(T.store(allowed(star, bitmaps), "star"), known, owner)
     part = T.components(links)
 
     member = tiles.select("h", "sid", "n").join(part, tiles.sid == part.node, "left").select("h", "sid", "n", F.coalesce("component", "sid").alias("component"))
@@ -260,11 +276,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     cut = (member.join(open_tiles, "h").withColumn("k", k).withColumn("part", F.pmod(F.xxhash64("sid"), F.col("k")).cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
            .select("h", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "sid", "n", "component"))
-    cut = cut.join(sets.select("sid", "bitmap"), "sid")
-    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    again = (cut.select("h", "p", "q", "part", "sid", "n", "component", "bitmap").repartition(width, "h", "p", "q").sortWithinPartitions("h", "p", "q", "n", "sid")
-             .mapInArrow(_compare, "a long, b long").distinct())
-    more = T.store(verified(T.store(again, "again"), sets), "links")
+    cut = cut.join(bitmaps.select("sid", "bitmap"), "sid")
+    again = (cut.select("h", "p", "q", "part", "sid", "n", "component", "bitmap").repartition(T.partitions_for(spark, tiles.count(), TILE_SHARE), "h", "p", "q")
+             .sortWithinPartitions("h", "p", "q", "n", "sid").mapInArrow(_compare, "a long, b long").distinct())
+    more = verified(T.store(again, "again"), known, owner)
     part = T.components(links.unionByName(more))
 
     group = owner.join(part, owner.sid == part.node, "left").select("sid", "doc_id", F.coalesce("component", "sid").alias("component"))
