@@ -8,12 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import _tables as T
+from llm._ship import ship
 
 STAGES: list = []
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = T.documents(spark, sf_dir)
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

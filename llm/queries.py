@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+from llm._ship import shipped
 from llm.jaccard_join import op9_jaccard_join
+from llm.suffix_dedup import op3_suffix_array_dedup
 
-QUERIES = {
-    "op9_jaccard_join": op9_jaccard_join,
-}
+QUERIES = {f.__name__: shipped(f) for f in (op3_suffix_array_dedup, op9_jaccard_join)}
 
 ORACLES: dict[str, str] = {}
