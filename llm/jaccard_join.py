@@ -7,9 +7,10 @@ shingle and size band. In a tile only sets whose sizes allow a link meet:
 
 1. each tile links its members to the first one of their size range; these
    pairs are verified, and their components are found;
-2. what is left are members of one tile in different components; they are
-   compared within blocks. Tiles beyond ``TILE_ROWS`` are cut into blocks, and
-   each pair of blocks stands alone.
+2. what is left are members of one tile in different components. Each is
+   verified with its nearest one by bitmaps, which joins most of a large group
+   by few links, and then all that remain in different components. Tiles
+   beyond ``TILE_ROWS`` are cut into blocks; each pair of blocks stands alone.
 
 Pairs are compared by parity bitmaps: the differing bits bound the symmetric
 difference from below, hence the overlap from above. Survivors are verified
@@ -175,24 +176,11 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
 
 
-def _may_link(xs: list[bytes], ys: list[bytes], n: np.ndarray) -> np.ndarray:
-    """Whether the bitmaps of each pair, whose sets have n shingles together, allow a link."""
-    width = np.minimum(np.fromiter(map(len, xs), np.int64, len(xs)), np.fromiter(map(len, ys), np.int64, len(ys)))
-    out = np.zeros(len(xs), bool)
-    for w in np.unique(width):
-        at = np.flatnonzero(width == w)
-        for i in range(0, len(at), max(1, (1 << 24) // int(w))):
-            k = at[i : i + max(1, (1 << 24) // int(w))]
-            x, y = (np.concatenate([folded(np.frombuffer(v[j], np.uint64)[None], int(w) // 8) for j in k]) for v in (xs, ys))
-            differ = np.bitwise_count(x ^ y).sum(1).astype(np.int64)
-            out[k] = 9 * (n[k] - differ) >= 8 * n[k]  # twice the overlap is at most n - differ
-    return out
-
-
 def _allowed(batches):
     for b in batches:
         n = b.column("n").to_numpy().astype(np.int64) + b.column("m").to_numpy()
-        ok = pa.array(_may_link(b.column("x").to_pylist(), b.column("y").to_pylist(), n))
+        k = np.arange(len(n))
+        ok = pa.array(9 * (n - _Bitmaps(b.column("x").to_pylist() + b.column("y").to_pylist()).differ(k, k + len(n))) >= 8 * n)
         yield pa.RecordBatch.from_arrays([b.column("a").filter(ok), b.column("b").filter(ok)], ["a", "b"])
 
 
@@ -219,28 +207,69 @@ def verified(pairs: DataFrame, known: DataFrame, owner: DataFrame) -> DataFrame:
     return links
 
 
-def _compare(batches):
-    """Pairs of a tile's rows in different components that the bitmaps allow; a partition holds whole tiles, sorted."""
-    got = [pa.table(b) for b in batches if b.num_rows]
-    if not got:
-        return
-    t = pa.concat_tables(got)
-    h, p, q, part, n, c, s = (t.column(k).to_numpy() for k in ("h", "p", "q", "part", "n", "component", "sid"))
-    bits = t.column("bitmap").to_pylist()
-    n = n.astype(np.int64)
-    live = np.arange(len(h))
-    for d in range(1, len(h)):  # each row with the d-th after it, as long as that is in its tile and size range
-        live = live[live + d < len(h)]
-        j = live + d
-        keep = (h[live] == h[j]) & (p[live] == p[j]) & (q[live] == q[j]) & (5 * n[live] >= 4 * n[j])
-        live, j = live[keep], j[keep]
-        if not len(live):
+class _Bitmaps:
+    """Bitmaps of many sets, by width, for counting the differing bits of pairs whose widths are equal or 1 : 2."""
+
+    def __init__(self, bitmaps: list[bytes]):
+        self.width = np.fromiter(map(len, bitmaps), np.int64, len(bitmaps)) // 8
+        self.at, self.own, self.half = np.zeros(len(bitmaps), np.int64), {}, {}
+        for w in np.unique(self.width).tolist():
+            rows = np.flatnonzero(self.width == w)
+            self.at[rows] = np.arange(len(rows))
+            self.own[w] = np.frombuffer(b"".join(bitmaps[r] for r in rows), np.uint64).reshape(-1, w)
+            self.half[w] = folded(self.own[w], max(1, w // 2))
+
+    def differ(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(i), np.int64)
+        low, high = np.where(self.width[i] <= self.width[j], (i, j), (j, i))
+        for w in np.unique(self.width[low]).tolist():
+            for wide, of in ((w, self.own), (2 * w, self.half)):
+                at = np.flatnonzero((self.width[low] == w) & (self.width[high] == wide))
+                for a in range(0, len(at), max(1, (1 << 20) // w)):
+                    k = at[a : a + max(1, (1 << 20) // w)]
+                    out[k] = np.bitwise_count(self.own[w][self.at[low[k]]] ^ of[wide][self.at[high[k]]]).sum(1)
+        return out
+
+
+def _compare(nearest: bool):
+    """Pairs of a tile's rows in different components that the bitmaps allow; a partition holds whole tiles, sorted.
+
+    With ``nearest``, each row of a tile only with the row whose bitmap differs least.
+    """
+    def run(batches):
+        got = [pa.table(b) for b in batches if b.num_rows]
+        if not got:
             return
-        new = (c[live] != c[j]) & ((p[live] == q[live]) | (part[live] != part[j]))
-        i, j = live[new], j[new]
-        if len(i):
-            ok = _may_link([bits[k] for k in i], [bits[k] for k in j], n[i] + n[j])
-            yield _pairs(s[i[ok]], s[j[ok]])
+        t = pa.concat_tables(got)
+        h, p, q, part, n, c, s = (t.column(k).to_numpy() for k in ("h", "p", "q", "part", "n", "component", "sid"))
+        bits = _Bitmaps(t.column("bitmap").to_pylist())
+        n = n.astype(np.int64)
+        live = np.arange(len(h))
+        best, mate = np.ones(len(h)), np.full(len(h), -1)
+        for d in range(1, len(h)):  # each row with the d-th after it, as long as that is in its tile and size range
+            live = live[live + d < len(h)]
+            j = live + d
+            keep = (h[live] == h[j]) & (p[live] == p[j]) & (q[live] == q[j]) & (5 * n[live] >= 4 * n[j])
+            live, j = live[keep], j[keep]
+            if not len(live):
+                break
+            new = (c[live] != c[j]) & ((p[live] == q[live]) | (part[live] != part[j]))
+            i, j = live[new], j[new]
+            if not len(i):
+                continue
+            both, differ = n[i] + n[j], bits.differ(i, j)
+            ok = 9 * (both - differ) >= 8 * both  # twice the overlap is at most both - differ
+            i, j = i[ok], j[ok]
+            if nearest:
+                far = differ[ok] / both[ok]
+                for x, y in ((i, j), (j, i)):
+                    less = far < best[x]
+                    best[x[less]], mate[x[less]] = far[less], y[less]
+            elif len(i):
+                yield _pairs(s[i], s[j])
+        i = np.flatnonzero(mate >= 0)
+        yield _pairs(s[i], s[mate[i]])
+    return run
 
 
 def _pairs(a, b) -> pa.RecordBatch:
@@ -270,17 +299,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = verified(T.store(allowed(star, bitmaps), "star"), known, owner)
     part = T.components(links)
 
-    member = tiles.select("h", "sid", "n").join(part, tiles.sid == part.node, "left").select("h", "sid", "n", F.coalesce("component", "sid").alias("component"))
-    open_tiles = T.store(member.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo <> hi").select("h", "size"), "open")
-    k = F.ceil(F.col("size") / TILE_ROWS).cast("int")
-    cut = (member.join(open_tiles, "h").withColumn("k", k).withColumn("part", F.pmod(F.xxhash64("sid"), F.col("k")).cast("int"))
-           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-           .select("h", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "sid", "n", "component"))
-    cut = cut.join(bitmaps.select("sid", "bitmap"), "sid")
-    again = (cut.select("h", "p", "q", "part", "sid", "n", "component", "bitmap").repartition(T.partitions_for(spark, tiles.count(), TILE_SHARE), "h", "p", "q")
-             .sortWithinPartitions("h", "p", "q", "n", "sid").mapInArrow(_compare, "a long, b long").distinct())
-    more = verified(T.store(again, "again"), known, owner)
-    part = T.components(links.unionByName(more))
+    for nearest in (True, False):
+        member = tiles.select("h", "sid", "n").join(part, tiles.sid == part.node, "left").select("h", "sid", "n", F.coalesce("component", "sid").alias("component"))
+        open_tiles = T.store(member.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo <> hi").select("h", "size"), "open")
+        rows_left = open_tiles.agg(F.sum("size")).first()[0] or 0
+        cut = (member.join(open_tiles, "h").withColumn("k", F.ceil(F.col("size") / TILE_ROWS).cast("int")).withColumn("part", F.pmod(F.xxhash64("sid"), F.col("k")).cast("int"))
+               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+               .select("h", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "sid", "n", "component"))
+        near = (cut.join(bitmaps.select("sid", "bitmap"), "sid").select("h", "p", "q", "part", "sid", "n", "component", "bitmap")
+                .repartition(T.partitions_for(spark, rows_left, TILE_SHARE), "h", "p", "q").sortWithinPartitions("h", "p", "q", "n", "sid")
+                .mapInArrow(_compare(nearest), "a long, b long").distinct())
+        links = T.store(links.unionByName(verified(T.store(near, "near"), known, owner)), "links")
+        part = T.components(links)
 
     group = owner.join(part, owner.sid == part.node, "left").select("sid", "doc_id", F.coalesce("component", "sid").alias("component"))
     first = group.groupBy("component").agg(F.min("doc_id").alias("component_id"))
