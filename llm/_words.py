@@ -74,13 +74,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20)
             i = j
 
 
-def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first byte and end byte (in the column's bytes) of each word, and where each row's words begin."""
+def words(column: pa.Array, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first byte and end byte (in the column's bytes) of each word, and where each row's words begin.
+
+    ``gap`` tells for each byte whether it separates words.
+    """
     buf, off = raw(column)
     n = len(buf)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
-    ink = ~_SPACE[buf]
+    ink = ~gap[buf]
     edge = np.zeros(n + 1, bool)
     edge[off] = True
     starts = ink.copy()

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from llm._ship import shipped
 from llm.jaccard_join import op9_jaccard_join
+from llm.language_id import op6_language_id
+from llm.packing import op8_best_fit_packing
 from llm.suffix_dedup import op3_suffix_array_dedup
+from llm.toxicity import op10_toxicity
 
-QUERIES = {f.__name__: shipped(f) for f in (op3_suffix_array_dedup, op9_jaccard_join)}
+QUERIES = {f.__name__: shipped(f) for f in (
+    op3_suffix_array_dedup, op6_language_id, op8_best_fit_packing, op9_jaccard_join, op10_toxicity,
+)}
 
 ORACLES: dict[str, str] = {}
