@@ -24,9 +24,9 @@ from llm import _tables as T
 from llm import _words as W
 from llm.language_id import held_out
 
-SAMPLE = 12_000  # labelled rows learned from
+SAMPLE = 20_000  # labelled rows learned from
 SLOTS = 1 << 20
-ALPHA, BETA, L1, L2, PASSES = 0.1, 1.0, 2.0, 1.0, 3
+ALPHA, BETA, L1, L2, PASSES = 1.0, 1.0, 6.0, 0.0, 8
 GAP = np.ones(256, bool)  # words are runs of ASCII letters, digits and bytes beyond ASCII
 GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
@@ -43,7 +43,7 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         whose.append(row[step:][same])
     both = np.sort((np.concatenate(whose).astype(np.uint64) << np.uint64(20)) | (np.concatenate(parts) % np.uint64(SLOTS)))
     both = both[np.concatenate([[True], both[1:] != both[:-1]])] if len(both) else both
-    return (both & np.uint64(SLOTS - 1)).astype(np.int64), np.searchsorted(both >> np.uint64(20), np.arange(rows + 1).astype(np.uint64))
+    return (both & np.uint64(SLOTS - 1)).astype(np.int32), np.searchsorted(both >> np.uint64(20), np.arange(rows + 1).astype(np.uint64))
 
 
 def _sigmoid(x):
@@ -62,7 +62,7 @@ def ftrl(rows: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, float]:
 
     for _ in range(PASSES):
         for slots, label in rows:
-            at = np.append(slots, SLOTS)
+            at = np.append(slots, np.int32(SLOTS))
             w = weights(at)
             g = _sigmoid(w.sum()) - label
             root = np.sqrt(n[at])
