@@ -3,14 +3,35 @@
 from __future__ import annotations
 
 from llm._ship import shipped
+from llm.decontaminate import op5_decontamination
 from llm.jaccard_join import op9_jaccard_join
 from llm.language_id import op6_language_id
+from llm.line_dedup import op4_line_dedup
+from llm.nearest import op2_collision_counting
 from llm.packing import op8_best_fit_packing
 from llm.suffix_dedup import op3_suffix_array_dedup
 from llm.toxicity import op10_toxicity
 
 QUERIES = {f.__name__: shipped(f) for f in (
-    op3_suffix_array_dedup, op6_language_id, op8_best_fit_packing, op9_jaccard_join, op10_toxicity,
+    op2_collision_counting, op3_suffix_array_dedup, op4_line_dedup, op5_decontamination, op6_language_id,
+    op8_best_fit_packing, op9_jaccard_join, op10_toxicity,
 )}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    # line hash: first 8 hex digits of MD5; a chunk ends where 3 * previous + own divides by 4
+    "op4_line_dedup": """
+WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS i, len(parts) AS n_lines FROM docs),
+hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines),
+ends AS (SELECT *, (3 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) + h) % 4 = 0 AS last FROM hashed),
+numbered AS (SELECT *, coalesce(sum(last::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM ends),
+chunks AS (SELECT doc_id, n_lines, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS size, count(*) FILTER (WHERE line <> '') AS full_lines
+           FROM numbered GROUP BY doc_id, n_lines, chunk),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) > 1 AS again FROM chunks WHERE full_lines > 1
+           UNION ALL SELECT *, false FROM chunks WHERE full_lines <= 1),
+kept AS (SELECT doc_id, any_value(n_lines)::BIGINT AS n_lines, coalesce(sum(size) FILTER (WHERE again), 0)::BIGINT AS n_removed,
+                coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (WHERE NOT again), '') AS text FROM ranked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed, CASE WHEN d.text IS NOT NULL THEN k.text END AS text
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+""",
+}
