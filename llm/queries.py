@@ -9,12 +9,13 @@ from llm.language_id import op6_language_id
 from llm.line_dedup import op4_line_dedup
 from llm.nearest import op2_collision_counting
 from llm.packing import op8_best_fit_packing
+from llm.pii import op7_pii_surrogates
 from llm.suffix_dedup import op3_suffix_array_dedup
 from llm.toxicity import op10_toxicity
 
 QUERIES = {f.__name__: shipped(f) for f in (
     op2_collision_counting, op3_suffix_array_dedup, op4_line_dedup, op5_decontamination, op6_language_id,
-    op8_best_fit_packing, op9_jaccard_join, op10_toxicity,
+    op7_pii_surrogates, op8_best_fit_packing, op9_jaccard_join, op10_toxicity,
 )}
 
 ORACLES: dict[str, str] = {
