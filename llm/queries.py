@@ -6,6 +6,7 @@ from llm._ship import shipped
 from llm.decontaminate import op5_decontamination
 from llm.jaccard_join import op9_jaccard_join
 from llm.language_id import op6_language_id
+from llm.license_scan import op1_license_scan
 from llm.line_dedup import op4_line_dedup
 from llm.nearest import op2_collision_counting
 from llm.packing import op8_best_fit_packing
@@ -14,7 +15,7 @@ from llm.suffix_dedup import op3_suffix_array_dedup
 from llm.toxicity import op10_toxicity
 
 QUERIES = {f.__name__: shipped(f) for f in (
-    op2_collision_counting, op3_suffix_array_dedup, op4_line_dedup, op5_decontamination, op6_language_id,
+    op1_license_scan, op2_collision_counting, op3_suffix_array_dedup, op4_line_dedup, op5_decontamination, op6_language_id,
     op7_pii_surrogates, op8_best_fit_packing, op9_jaccard_join, op10_toxicity,
 )}
 
