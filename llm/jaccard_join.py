@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm import _tables as T
@@ -277,7 +277,7 @@ def _pairs(a, b) -> pa.RecordBatch:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs(doc_id, text)``: doc_id, n_shingles, component_id (smallest doc_id reachable)."""
+    """One row per row of ``docs(doc_id, text)``: doc_id, n_shingles, component_id (smallest doc_id reachable), sid (the set's hash)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     known = docs.filter("doc_id is not null")
@@ -316,8 +316,39 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = group.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_set = group.join(first, "component").select(F.col("sid").alias("set"), "component_id")
     alone = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return rows.join(of_set, (rows.sid == of_set.set) & (rows.n_shingles > 0), "left").select("doc_id", "n_shingles", alone.alias("component_id"))
+    return rows.join(of_set, (rows.sid == of_set.set) & (rows.n_shingles > 0), "left").select("doc_id", "n_shingles", alone.alias("component_id"), "sid")
+
+
+def _sids(batches):
+    for batch in batches:
+        small = pa.RecordBatch.from_arrays([batch.column("text").cast(pa.binary())], ["text"])
+        sids = [_sid(u) for b in W.slices([small], "text") for _, u in _sets(b)]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(sids, pa.int64())], ["row", "sid"])
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns: of each component the one with the smallest doc_id.
+
+    Rows without a doc_id stay. Of rows that repeat a doc_id in one component the first by text stays.
+    """
+    found = T.store(near_duplicates(docs), "near")
+    gone = T.store(found.filter("doc_id <> component_id").select("doc_id"), "gone")
+    twice = T.store(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "twice")
+    clear = T.store(gone.unionByName(twice).distinct(), "clear").withColumnRenamed("doc_id", "gone_id")
+    if clear.count() <= MOST_BROADCAST:  # 8 bytes a row
+        clear = F.broadcast(clear)
+    kept = docs.join(clear, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    if not twice.limit(1).count():
+        return kept
+    rows = docs.join(twice.withColumnRenamed("doc_id", "twice_id"), F.col("doc_id") == F.col("twice_id"), "left_semi")
+    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    rows = rows.mapInArrow(_sids, f"row {rows.schema['row'].dataType.simpleString()}, sid long")
+    told = found.select(F.col("doc_id").alias("id"), "component_id", F.col("sid").alias("set")).distinct()
+    of = Window.partitionBy("component_id").orderBy("row.text", "sid")
+    rows = (rows.join(told, (F.col("row.doc_id") == F.col("id")) & (F.col("sid") == F.col("set"))).filter("id = component_id")
+            .withColumn("nth", F.row_number().over(of)).filter("nth = 1"))
+    return kept.unionByName(rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
 
 
 def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(T.documents(spark, sf_dir))
+    return near_duplicates(T.documents(spark, sf_dir)).drop("sid")
