@@ -384,31 +384,29 @@ def decision_cte(src: str, band: str = "performance_band", drop: tuple = ()) ->
     low_goal, low_mgr = t(f"{ga} < 50"), t(f"{mr} < 2.5")
     high_ot, low_att = t(f"{ot} > 30"), t(f"{att} < 0.8e0")
     is_low, is_med, is_high = t(f"{band} = 'Low'"), t(f"{band} = 'Medium'"), t(f"{band} = 'High'")
-    topics = (f"list_filter([CASE WHEN {t(f'{th} < 15')} THEN 'Technical skills bootcamp for the current role' END, "
-              f"CASE WHEN {low_goal} THEN 'Goal-setting and OKR workshop' END, "
-              f"CASE WHEN {t(f'{ps} < 2.5')} THEN 'Collaboration and communication training' END, "
-              f"CASE WHEN {low_mgr} AND {t(f'{ex} < 10')} THEN 'Leadership readiness programme' END], lambda x: x IS NOT NULL)")
+    topics = (f"list_filter([CASE WHEN {t(f'{th} < 15')} THEN 'LEARN.training_hours' END, "
+              f"CASE WHEN {low_goal} THEN 'LEARN.goal_achievement_pct' END, "
+              f"CASE WHEN {t(f'{ps} < 2.5')} THEN 'LEARN.peer_score' END, "
+              f"CASE WHEN {low_mgr} AND {t(f'{ex} < 10')} THEN 'LEARN.manager_rating' END], lambda x: x IS NOT NULL)")
     promo = f"({is_high} AND {t(f'{ga} >= 85')} AND {t(f'{mr} >= 4.0e0')} AND {t(f'{ex} >= 5')} AND {t(f'{pc} >= 4')})"
-    goals = (f"list_filter([CASE WHEN {low_goal} THEN 'Raise goal achievement from ' || "
-             f"CAST(CAST(round_even(CAST({ga} AS DOUBLE), 0) AS BIGINT) AS VARCHAR) || '% to at least 70% within 90 days' END, "
-             f"CASE WHEN {low_mgr} THEN 'Lift manager rating from ' || printf('%.1f', round_even(CAST({mr} AS DOUBLE), 1)) "
-             f"|| ' to at least 3.0 with bi-weekly check-ins' END, "
-             f"CASE WHEN {t(f'{pc} < 2')} THEN 'Complete at least 3 projects per quarter with a quality sign-off' END], "
+    goals = (f"list_filter([CASE WHEN {low_goal} THEN 'PLAN.goal_achievement_pct:' || "
+             f"CAST(CAST(round_even(CAST({ga} AS DOUBLE), 0) AS BIGINT) AS VARCHAR) || '>=70' END, "
+             f"CASE WHEN {low_mgr} THEN 'PLAN.manager_rating:' || printf('%.1f', round_even(CAST({mr} AS DOUBLE), 1)) "
+             f"|| '>=3.0' END, "
+             f"CASE WHEN {t(f'{pc} < 2')} THEN 'PLAN.projects_completed:' || CAST(CAST(round_even(CAST({pc} AS DOUBLE), 0) AS BIGINT) AS VARCHAR) || '>=3' END], "
              f"lambda x: x IS NOT NULL)")
     points = (f"(CASE WHEN {is_low} THEN 3 ELSE 0 END + CASE WHEN {t(f'{sal} < 40000')} THEN 2 ELSE 0 END + "
               f"CASE WHEN {low_goal} THEN 1 ELSE 0 END + CASE WHEN {low_mgr} THEN 2 ELSE 0 END + "
               f"CASE WHEN {high_ot} THEN 1 ELSE 0 END)")
-    ot_msg = (f"'Overtime of ' || CAST(CAST(round_even(CAST({ot} AS DOUBLE), 0) AS BIGINT) AS VARCHAR) || "
-              f"' h per quarter is above a healthy level: review the workload'")
-    att_msg = (f"'Attendance of ' || CAST(CAST(round_even(CAST({att} AS DOUBLE) * 100, 0) AS BIGINT) AS VARCHAR) || "
-               f"'% is critically low: offer a confidential wellbeing session'")
+    ot_msg = f"'WELLBEING.overtime_hours:' || CAST(CAST(round_even(CAST({ot} AS DOUBLE), 0) AS BIGINT) AS VARCHAR)"
+    att_msg = f"'WELLBEING.attendance_pct:' || CAST(CAST(round_even(CAST({att} AS DOUBLE) * 100, 0) AS BIGINT) AS VARCHAR)"
     quick = (f"CASE WHEN {is_med} THEN CASE WHEN {t(f'{th} >= 15')} AND {t(f'{ga} >= 70')} "
-             f"THEN 'Close to the High band: consider a stretch project' "
-             f"ELSE 'Targeted skills development could lift performance next quarter' END END")
+             f"THEN 'GROW.stretch' "
+             f"ELSE 'GROW.skills' END END")
     return f"""d1 AS (
   SELECT *, {band} AS predicted_band, round_even(1.0e0 * 100, 1) AS confidence_pct,
     {topics} AS topics, {promo} AS promotion_ready, {is_low} AS pip_required,
-    CASE WHEN {is_low} THEN (CASE WHEN len({goals}) = 0 THEN ['Agree a 90-day recovery plan with measurable KPIs']
+    CASE WHEN {is_low} THEN (CASE WHEN len({goals}) = 0 THEN ['PLAN.general']
          ELSE {goals} END) ELSE []::VARCHAR[] END AS goals,
     {points} AS retention_points, ({high_ot} OR {low_att}) AS wellbeing_flag,
     {high_ot} AS _hot, {low_att} AS _lat, {quick} AS _quick, {is_med} AS _med
@@ -419,20 +417,19 @@ d2 AS (
   FROM d1),
 d3 AS (
   SELECT *, list_filter(flatten([
-      CASE WHEN promotion_ready THEN ['Open a promotion discussion with the department head', 'Document a succession plan'] ELSE []::VARCHAR[] END,
-      CASE WHEN pip_required THEN ['Hold a PIP review meeting within two weeks', 'Assign a performance coach or mentor'] ELSE []::VARCHAR[] END,
-      CASE WHEN retention_risk = 'High' THEN ['High attrition risk: escalate to the HR business partner now', 'Hold a stay interview within one week']
-           WHEN retention_risk = 'Medium' THEN ['Moderate retention risk: plan a quarterly engagement check-in'] ELSE []::VARCHAR[] END,
+      CASE WHEN promotion_ready THEN ['PROMOTION.review', 'PROMOTION.succession'] ELSE []::VARCHAR[] END,
+      CASE WHEN pip_required THEN ['PLAN.meeting', 'PLAN.mentor'] ELSE []::VARCHAR[] END,
+      CASE WHEN retention_risk = 'High' THEN ['RETAIN.escalate', 'RETAIN.interview']
+           WHEN retention_risk = 'Medium' THEN ['RETAIN.check_in'] ELSE []::VARCHAR[] END,
       [CASE WHEN _hot THEN {ot_msg} END, CASE WHEN _lat THEN {att_msg} END, _quick]]), lambda x: x IS NOT NULL)[1:6] AS actions,
     CASE WHEN pip_required OR retention_risk = 'High' OR wellbeing_flag THEN 'Urgent'
          WHEN _med AND training_needed THEN 'Medium' ELSE 'Normal' END AS priority
   FROM d2),
 dec AS (
-  SELECT *, '[' || priority || '] ' || predicted_band || ' performer (' || CAST(confidence_pct AS VARCHAR) || '% confidence). '
-    || CASE WHEN training_needed THEN 'Training: ' || array_to_string(topics[1:2], '; ') || '. ' ELSE '' END
-    || CASE WHEN promotion_ready THEN 'Promotion candidate.' ELSE '' END
-    || CASE WHEN pip_required THEN 'PIP required.' ELSE '' END
-    || 'Retention risk: ' || retention_risk || '.' AS hr_summary
+  SELECT *, concat_ws('; ', 'priority=' || priority, 'band=' || predicted_band, 'confidence=' || CAST(confidence_pct AS VARCHAR),
+    CASE WHEN training_needed THEN 'training=' || array_to_string(topics[1:2], ',') END,
+    CASE WHEN promotion_ready THEN 'promotion' END, CASE WHEN pip_required THEN 'plan' END,
+    'retention=' || retention_risk) AS hr_summary
   FROM d3)"""
 
 
@@ -616,19 +613,16 @@ tn AS (SELECT employee_id, quarter_label, string_agg(name, '; ' ORDER BY rk) AS
 
 
 def _msg_case(positive: bool) -> str:
-    from panelsight.operators.explain import FEATURE_MESSAGES
-    k = 0 if positive else 1
-    whens = " ".join(f"WHEN '{f}' THEN '{FEATURE_MESSAGES[f][k]}'" for f in FEATURES)
-    return (f"string_agg((CASE name {whens} END) || ' [value: ' || coalesce(raw, 'N/A') || ']', "
-            f"'{{sep}}' ORDER BY rk)")
+    sign = "raises:" if positive else "lowers:"
+    return f"string_agg('{sign}' || name || '=' || coalesce(raw, '?'), '{{sep}}' ORDER BY rk)"
 
 
 def explain_ctes() -> str:
     pm = _msg_case(True)
     nm = _msg_case(False)
     return contrib_cte() + _RANKED.format(
-        pos_msg=pm.format(sep=" | ") + " AS msgs, " + pm.format(sep="; ") + " AS msgs2",
-        neg_msg=nm.format(sep=" | ") + " AS msgs, " + nm.format(sep="; ") + " AS msgs2")
+        pos_msg=pm.format(sep=" | ") + " AS msgs, " + pm.format(sep=", ") + " AS msgs2",
+        neg_msg=nm.format(sep=" | ") + " AS msgs, " + nm.format(sep=", ") + " AS msgs2")
 
 
 ORACLES["top_positive_drivers"] = with_panel(
@@ -642,23 +636,16 @@ ORACLES["explain_rows"] = with_panel(
   CASE WHEN goal_achievement_pct >= 85 THEN 'High' WHEN goal_achievement_pct < 50 THEN 'Low' ELSE 'Medium' END
     AS predicted_band,
   coalesce(tp.msgs, '') AS strengths, coalesce(tn.msgs, '') AS concerns,
-  'Predicted performance: ' || upper(CASE WHEN goal_achievement_pct >= 85 THEN 'High'
-     WHEN goal_achievement_pct < 50 THEN 'Low' ELSE 'Medium' END) || '. Strengths: ' || coalesce(tp.msgs2, '')
-    || '. Concerns: ' || coalesce(tn.msgs2, '') || '.' AS summary
+  concat_ws('; ', 'band=' || CASE WHEN goal_achievement_pct >= 85 THEN 'High' WHEN goal_achievement_pct < 50 THEN 'Low'
+     ELSE 'Medium' END, tp.msgs2, tn.msgs2) AS summary
 FROM te_e t
 LEFT JOIN tp ON tp.employee_id = t.employee_id AND tp.quarter_label = t.quarter_label
 LEFT JOIN tn ON tn.employee_id = t.employee_id AND tn.quarter_label = t.quarter_label""", explain_ctes())
 
 
-def _messages_values() -> str:
-    from panelsight.operators.explain import FEATURE_MESSAGES
-    rows = ", ".join(f"('{f}', '{FEATURE_MESSAGES[f][0]}', '{FEATURE_MESSAGES[f][1]}')" for f in FEATURES)
-    return f"msg(feature, positive, negative) AS (VALUES {rows})"
-
-
 ORACLES["feature_messages"] = with_panel(
-    "SELECT m.feature, m.positive, m.negative FROM msg m WHERE m.feature IN (SELECT DISTINCT name FROM lc WHERE c <> 0)",
-    contrib_cte() + ",\n" + _messages_values())
+    "SELECT DISTINCT name AS feature, 'raises:' || name AS positive, 'lowers:' || name AS negative FROM lc WHERE c <> 0",
+    contrib_cte())
 
 ORACLES["numeric_profile_cols"] = with_panel(
     "SELECT employee_id, quarter_label, age, experience_years, salary, training_hours, attendance_rate, "

@@ -20,37 +20,6 @@ from panelsight.functions.scalars import decode_band, rnd
 from panelsight.operators import metrics as M
 from panelsight.operators.models import FittedModel, predict
 
-# FIXED VALUES: feature -> (strength text, concern text), own wording.
-FEATURE_MESSAGES = {
-    "goal_achievement_pct": ("Goals were met or exceeded this quarter",
-                             "Quarterly goals were missed; support with goal setting"),
-    "manager_rating": ("The manager rates the work highly",
-                       "The manager rating is low; schedule one-to-one coaching"),
-    "peer_score": ("Peers value the collaboration",
-                   "Peer collaboration is rated low; a team integration plan may help"),
-    "attendance_rate": ("Attendance is reliable",
-                        "Attendance is below par; consider a wellbeing check"),
-    "training_hours": ("Training investment is building skills",
-                       "Few training hours are holding back growth; enrol in learning programmes"),
-    "projects_completed": ("Many projects were delivered",
-                           "Few projects were delivered; review workload or skill gaps"),
-    "overtime_hours": ("Overtime is moderate, a sign of sustainable workload",
-                       "Overtime is high, a possible sign of stress or burnout"),
-    "experience_years": ("Long experience gives a stable base",
-                         "Experience is limited; a mentoring programme is advised"),
-    "salary": ("Pay is in line with the performance incentives",
-               "Pay may not match expectations and could affect motivation"),
-    "age": ("A seasoned professional brings stability",
-            "An early-career employee benefits from structured onboarding"),
-    "department_enc": ("The department environment supports performance",
-                       "Department-level issues may weigh on performance"),
-    "education_enc": ("The educational background fits the role",
-                      "A skills gap is visible; targeted upskilling is advised"),
-    "role_enc": ("The role is clearly defined",
-                 "The role may be unclear, which can reduce effectiveness"),
-}
-GENERIC_POSITIVE = "A high {f} contributed positively"
-GENERIC_NEGATIVE = "A low {f} contributed negatively"
 TOP_DRIVERS = 3
 TOP_GLOBAL = 12
 MAX_BROADCAST_BACKGROUND = 100_000  # rows of 13 doubles (~15 MB) at most are broadcast
@@ -239,27 +208,22 @@ def top_negative(contrib: Column, k: int = TOP_DRIVERS) -> Column:
     return F.transform(F.slice(neg, start, k), lambda s: s["i"])
 
 
-def feature_messages_map(features: list[str], positive: bool) -> Column:
-    """Feature -> text, with the generic fallback for unknown features."""
-    pairs = []
-    for f in features:
-        pos, neg = FEATURE_MESSAGES.get(f, (GENERIC_POSITIVE.format(f=f), GENERIC_NEGATIVE.format(f=f)))
-        pairs += [F.lit(f), F.lit(pos if positive else neg)]
-    return F.create_map(*pairs)
+def feature_message(feature: Column, positive: bool) -> Column:
+    """Code of a driver: the direction and the feature. Any feature has one."""
+    return F.concat(F.lit("raises:" if positive else "lowers:"), feature)
 
 
 def explain_rows(df: DataFrame, features: list[str], contrib_col: str, raw_cols: list[str],
                  probs_col: str | None = "probs", pred_col: str = "prediction") -> DataFrame:
     """Per row the predicted band, the probability map, the top-3 strength
-    and concern messages (with the raw value) and a summary text."""
+    and concern codes (with the raw value) and a one-line summary."""
     names = F.array(*[F.lit(f) for f in features])
     raw = F.array(*[F.col(c).cast("string") for c in raw_cols])
 
     def msgs(idx: Column, positive: bool) -> Column:
-        mp = feature_messages_map(features, positive)
         return F.transform(idx, lambda i: F.concat(
-            F.element_at(mp, F.element_at(names, i + 1)), F.lit(" [value: "),
-            F.coalesce(F.element_at(raw, i + 1), F.lit("N/A")), F.lit("]")))
+            feature_message(F.element_at(names, i + 1), positive), F.lit("="),
+            F.coalesce(F.element_at(raw, i + 1), F.lit("?"))))
 
     out = df.withColumns({
         "strengths_arr": msgs(top_positive(F.col(contrib_col)), True),
@@ -270,11 +234,9 @@ def explain_rows(df: DataFrame, features: list[str], contrib_col: str, raw_cols:
         out = out.withColumn("probabilities", F.map_from_arrays(
             F.array(F.lit("Low"), F.lit("Medium"), F.lit("High")),
             F.transform(probs_col, lambda p: rnd(p, 3))))
-        conf = F.concat(F.lit(" (confidence "), F.format_string("%.1f", F.bround(F.array_max(probs_col) * 100, 1)),
-                        F.lit("%)"))
+        conf = F.format_string("confidence=%.1f", F.bround(F.array_max(probs_col) * 100, 1))
     else:
-        conf = F.lit("")
-    summary = F.concat(F.lit("Predicted performance: "), F.upper("predicted_band"), conf,
-                       F.lit(". Strengths: "), F.array_join("strengths_arr", "; "),
-                       F.lit(". Concerns: "), F.array_join("concerns_arr", "; "), F.lit("."))
+        conf = F.lit(None).cast("string")
+    some = lambda c: F.when(F.size(c) > 0, F.array_join(c, ", "))
+    summary = F.concat_ws("; ", F.concat(F.lit("band="), F.col("predicted_band")), conf, some("strengths_arr"), some("concerns_arr"))
     return out.withColumn("summary", summary)

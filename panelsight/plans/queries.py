@@ -905,15 +905,14 @@ def q_explain_rows(spark, sf_dir):
 
 @register("feature_messages")
 def q_feature_messages(spark, sf_dir):
-    """The message pair of every feature that carries a contribution in the
+    """The code pair of every feature that carries a contribution in the
     test rows (the whole test period is scanned)."""
     df, stats = _kpi_contrib(spark, sf_dir)
     names = _names(stats.features)
     used = (df.select(F.posexplode("contrib").alias("i", "c")).where(F.col("c") != 0)
             .select(F.element_at(names, F.col("i") + 1).alias("feature")).distinct())
-    return used.select("feature",
-                       F.element_at(X.feature_messages_map(stats.features, True), F.col("feature")).alias("positive"),
-                       F.element_at(X.feature_messages_map(stats.features, False), F.col("feature")).alias("negative"))
+    return used.select("feature", X.feature_message(F.col("feature"), True).alias("positive"),
+                       X.feature_message(F.col("feature"), False).alias("negative"))
 
 
 # --- remaining helpers of the inventory -------------------------------------------------------

@@ -19,22 +19,21 @@ def test_low_performer_example(spark):
     # band Low, conf .72; training 8, attendance .75, overtime 35, goal 42, manager 2.1,
     # peer 2.8, projects 1, experience 3, salary 35000
     r = _one(spark, ("EMP0042", "Low", 0.72, 8.0, 0.75, 35.0, 42.0, 2.1, 2.8, 1, 3, 35000))
-    assert r["training_topics_arr"] == [D.TOPIC_TECH, D.TOPIC_GOALS, D.TOPIC_LEAD]
+    assert r["training_topics_arr"] == [D.LEARN_TRAINING, D.LEARN_GOALS, D.LEARN_LEAD]
     assert r["pip_required"] and len(r["pip_goals_arr"]) == 3
-    assert r["pip_goals_arr"][0].startswith("Raise goal achievement from 42%")
-    assert "from 2.1 " in r["pip_goals_arr"][1]
+    assert r["pip_goals_arr"] == ["PLAN.goal_achievement_pct:42>=70", "PLAN.manager_rating:2.1>=3.0", "PLAN.projects_completed:1>=3"]
     assert r["retention_points"] == 9 and r["retention_risk"] == "High"
     assert r["wellbeing_flag"]
     assert len(r["actions_arr"]) == 6
     assert r["priority"] == "Urgent"
     assert not r["promotion_ready"]
     assert r["confidence_pct"] == 72.0
-    assert r["hr_summary"].startswith("[Urgent] Low performer (72.0% confidence). Training: ")
+    assert r["hr_summary"].startswith("priority=Urgent; band=Low; confidence=72.0; training=")
 
 
 def test_generic_pip_goal(spark):
     r = _one(spark, ("E1", "Low", 0.6, 20.0, 0.95, 5.0, 70.0, 3.5, 3.5, 4, 6, 60000))
-    assert r["pip_goals_arr"] == [D.PIP_GENERIC]
+    assert r["pip_goals_arr"] == [D.PLAN_GENERAL]
     assert r["retention_risk"] == "Medium"  # 3 points for Low only
 
 
@@ -47,22 +46,22 @@ def test_promotion_boundaries(spark):
 
 def test_medium_quick_win_and_priority(spark):
     s = _one(spark, ("E4", "Medium", 0.8, 15.0, 0.9, 10.0, 70.0, 3.0, 3.0, 3, 5, 50000))
-    assert s["actions_arr"][-1] == D.ACT_STRETCH and s["priority"] == "Normal"
+    assert s["actions_arr"][-1] == D.GROW_STRETCH and s["priority"] == "Normal"
     k = _one(spark, ("E5", "Medium", 0.8, 14.9, 0.9, 10.0, 70.0, 3.0, 3.0, 3, 5, 50000))
-    assert k["actions_arr"][-1] == D.ACT_SKILLS and k["priority"] == "Medium"
+    assert k["actions_arr"][-1] == D.GROW_SKILLS and k["priority"] == "Medium"
 
 
 def test_nulls_make_rules_false(spark):
     r = _one(spark, ("E6", "Medium", 0.8, None, None, None, None, None, None, None, None, None))
     assert not r["training_needed"] and r["retention_points"] == 0 and not r["wellbeing_flag"]
-    assert r["actions_arr"] == [D.ACT_SKILLS]
+    assert r["actions_arr"] == [D.GROW_SKILLS]
 
 
 def test_absent_columns_use_rule_defaults(spark):
     df = spark.createDataFrame([("E7", "Low", 0.5)], "employee_id string, predicted_band string, confidence double")
     r = D.decide(df).first()
     # defaults: training 20, attendance .9, overtime 10, goal 60, manager 3, peer 3 -> only Low adds points
-    assert r["retention_points"] == 3 and not r["training_needed"] and r["pip_goals_arr"] == [D.PIP_GENERIC]
+    assert r["retention_points"] == 3 and not r["training_needed"] and r["pip_goals_arr"] == [D.PLAN_GENERAL]
 
 
 def test_band_and_tiers(spark):
