@@ -562,7 +562,7 @@ SELECT e.employee_id, e.department, e.education, e.role, e.age, e.experience_yea
   f.training_hours, f.attendance_rate, f.overtime_hours, f.projects_completed, f.manager_rating, f.peer_score,
   f.goal_achievement_pct, f.performance_score, f.performance_band
 FROM (SELECT DISTINCT employee_id, department, education, role, age, experience_years, salary, join_date FROM clean) e
-CROSS JOIN range(1995 * 4, 2001 * 4 + 4) r(t)
+CROSS JOIN (SELECT unnest(range(min(review_year * 4 + review_quarter - 1)::BIGINT, max(review_year * 4 + review_quarter)::BIGINT)) AS t FROM clean) r
 LEFT JOIN clean f ON f.employee_id = e.employee_id AND f.review_year = t // 4 AND f.review_quarter = t % 4 + 1""",
     CLEAN)
 
@@ -663,3 +663,65 @@ ORACLES["fairness_report"] = with_panel(
 ORACLES["clean_counts"] = with_panel(
     "SELECT (SELECT count(*) FROM panel) AS rows_raw, (SELECT count(*) FROM dedup) AS rows_dedup, "
     "(SELECT count(*) FROM clean) AS rows_clean", CLEAN)
+
+# --- the linear model of fixed coefficients -------------------------------------------------
+
+
+def fixed_model_ctes() -> str:
+    """Softmax of the fixed linear model over the prepared test rows (fp: probabilities p0-p2, prediction)."""
+    from panelsight.operators.models import fixed_coefficients
+    coefficients, intercepts = fixed_coefficients(len(FEATURES))
+    scaled = {f: f"((CAST({f} AS DOUBLE) - mean_{f}) / std_{f})" for f in FEATURES}
+    z = ", ".join("(" + " + ".join(f"{w!r}e0 * {scaled[f]}" for w, f in zip(row, FEATURES)) + f" + {b!r}e0) AS z{k}"
+                  for k, (row, b) in enumerate(zip(coefficients, intercepts)))
+    return prepared_ctes() + f""",
+fz AS (SELECT te_e.*, {z} FROM te_e, sc),
+fe AS (SELECT *, exp(z0 - greatest(z0, z1, z2)) AS e0, exp(z1 - greatest(z0, z1, z2)) AS e1, exp(z2 - greatest(z0, z1, z2)) AS e2 FROM fz),
+fp AS (SELECT *, e0 / (e0 + e1 + e2) AS p0, e1 / (e0 + e1 + e2) AS p1, e2 / (e0 + e1 + e2) AS p2,
+         CASE WHEN e0 >= e1 AND e0 >= e2 THEN 0 WHEN e1 >= e2 THEN 1 ELSE 2 END AS prediction FROM fe)"""
+
+
+FIXED = fixed_model_ctes()
+_band = "(['Low', 'Medium', 'High'])[prediction + 1]"
+_best = "greatest(p0, p1, p2)"
+ORACLES["predict"] = with_panel(
+    f"SELECT employee_id, quarter_label, CAST(prediction AS INTEGER) AS prediction, {_band} AS predicted_band, "
+    f"{rnd('p0', 6)} AS p_low, {rnd('p1', 6)} AS p_medium, {rnd('p2', 6)} AS p_high FROM fp", FIXED)
+ORACLES["confidence_pct"] = with_panel(
+    f"SELECT employee_id, quarter_label, {rnd(f'{_best} * 100', 1)} AS confidence_pct FROM fp", FIXED)
+ORACLES["argmax_class"] = with_panel(
+    "SELECT employee_id, quarter_label, CAST(prediction AS INTEGER) AS argmax_class FROM fp", FIXED)
+ORACLES["probability_breakdown"] = with_panel(
+    union_all([f"SELECT employee_id, quarter_label, {k} AS class_index, '{b}' AS band, {rnd(f'p{k}', 6)} AS probability FROM fp"
+               for k, b in enumerate(("Low", "Medium", "High"))]), FIXED)
+ORACLES["align_predictions"] = with_panel(
+    f"SELECT employee_id, quarter_label, department, performance_band, {_band} AS predicted_band FROM fp", FIXED)
+ORACLES["scored_summary"] = with_panel(
+    "SELECT count(*) FILTER (WHERE prediction = 2) AS n_high, count(*) FILTER (WHERE prediction = 1) AS n_medium, "
+    "count(*) FILTER (WHERE prediction = 0) AS n_low FROM fp", FIXED)
+ORACLES["feature_vector"] = with_panel(f"SELECT employee_id, quarter_label, {_scaled} FROM te_e, sc", prepared_ctes())
+ORACLES["model_store"] = with_panel("SELECT employee_id, quarter_label, true AS same FROM te_e", prepared_ctes())
+ORACLES["feature_manifest"] = with_panel(
+    union_all([f"SELECT {i} AS position, '{f}' AS feature, count({f}) AS n FROM te_e" for i, f in enumerate(FEATURES)]), prepared_ctes())
+
+
+def _importances() -> list[float]:
+    from panelsight.operators.models import fixed_coefficients
+    rows = fixed_coefficients(len(FEATURES))[0]
+    return [sum(abs(r[j]) for r in rows) / len(rows) for j in range(len(FEATURES))]
+
+
+ORACLES["linear_importance"] = with_panel(
+    union_all([f"SELECT '{f}' AS feature, {rnd(f'{w!r}e0', 6)} AS importance, "
+               f"{rnd(f'{w!r}e0 * stddev_pop((CAST({f} AS DOUBLE) - mean_{f}) / std_{f})', 6)} AS in_data FROM te_e, sc"
+               for f, w in zip(FEATURES, _importances())]), prepared_ctes())
+
+# the batch: input values as they are in the file, decisions on them, the model's band and confidence
+SCORED = FIXED + f""",
+sb AS (SELECT t.*, {_band} AS model_band, {_best} AS best
+       FROM test t JOIN fp ON fp.employee_id = t.employee_id AND fp.quarter_label = t.quarter_label),
+""" + decision_cte("sb", band="model_band").replace("round_even(1.0e0 * 100, 1) AS confidence_pct", "round_even(best * 100, 1) AS confidence_pct")
+_inputs = ", ".join(["employee_id"] + [f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES if not c.endswith("_enc")] + CATS)
+ORACLES["score_batch"] = with_panel(
+    f"SELECT {_inputs}, predicted_band, confidence_pct, training_needed, promotion_ready, retention_risk, priority FROM dec", SCORED)
+ORACLES["sink_scored_csv"] = ORACLES["score_batch"]

@@ -74,12 +74,11 @@ def quarter_label(year, quarter) -> Column:
 
 
 def quarter_key(label) -> Column:
-    """P5: ``2022-Q3`` -> 20223 (sortable int). Malformed labels give NULL."""
+    """P5: ``2022-Q3`` -> 20223 (sortable int). A malformed label fails the query; NULL stays NULL."""
     lab = _c(label)
-    y = F.try_to_number(F.split_part(lab, F.lit("-Q"), F.lit(1)), F.lit("9999"))
-    q = F.try_to_number(F.split_part(lab, F.lit("-Q"), F.lit(2)), F.lit("9"))
-    ok = lab.rlike(r"^[0-9]{4}-Q[1-4]$")
-    return F.when(ok, (y * 10 + q).cast("int"))
+    key = F.concat(F.substring(lab, 1, 4), F.substring(lab, 7, 1))
+    bad = F.raise_error(F.concat(F.lit("malformed quarter label: "), lab))
+    return F.when(lab.isNull(), F.lit(None)).when(lab.rlike(r"^[0-9]{4}-Q[1-4]$"), key).otherwise(bad).cast("int")
 
 
 def employee_code(num) -> Column:

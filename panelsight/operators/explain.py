@@ -2,9 +2,9 @@
 
 * X1/X2 read the fitted model (a vector of 13 numbers per class).
 * X3 permutation importance and X4 sampling Shapley are Spark jobs: the rows
-  are exploded over (feature, repeat) or (permutation, step), scored by the
-  fitted model's ``transform`` and reduced with grouped aggregates. Windows
-  only ever span a hash bucket (X3) or the 14 steps of one permutation (X4).
+  are exploded over (repeat, feature) or (permutation, step), scored by the
+  fitted model's ``transform`` and reduced with grouped aggregates. The only
+  window spans a hash bucket of one repeat (X3).
 * X6/X7 and W2/W3 are array expressions per row (no shuffle).
 """
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.classification import LogisticRegressionModel, OneVsRestModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,7 +31,6 @@ MAX_BROADCAST_BACKGROUND = 100_000  # rows of 13 doubles (~15 MB) at most are br
 def model_importance(fm: FittedModel, features: list[str]) -> list[float]:
     """X1/X2 as a Python list: impurity importance (trees; mean over the
     one-vs-rest sub-models) or the mean |coefficient| over classes (linear)."""
-    from pyspark.ml.classification import LogisticRegressionModel, OneVsRestModel
     m = fm.model
     if isinstance(m, LogisticRegressionModel):
         cm = m.coefficientMatrix.toArray()
@@ -55,26 +55,23 @@ def top_k_importance(imp: DataFrame, k: int = TOP_GLOBAL) -> DataFrame:
 
 # --- X3 permutation importance ------------------------------------------------------
 
-def _row_id(keys: list[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
+BUCKET_ROWS = 50_000  # rows that exchange values with each other
 
 
 def permutation_importance(fm: FittedModel, test: DataFrame, features: list[str],
-                           keys: list[str] = ("employee_id", "quarter_label"),
-                           n_repeats: int = 10, seed: int = 42, bucket_rows: int = 50_000) -> DataFrame:
+                           n_repeats: int = 10, seed: int = 42) -> DataFrame:
     """Drop in macro F1 when one feature's values are shuffled across rows.
 
-    Every (feature, repeat) pair shuffles independently. Rows are spread over
-    hash buckets of ~``bucket_rows`` rows and put in a random order inside
-    each bucket (a second hash); every row then takes the feature value of the
-    next row in that order, the last one that of the first (a random cyclic
-    shift). One window per (feature, repeat, bucket) does this -- bounded by
-    the bucket size, no self-join. All 13 x repeats variants are scored in one
-    ``transform`` and reduced by a grouped confusion count.
+    In each repeat every row gets a donor row (``donor_rows``: one window for
+    each repeat); each feature in turn takes the donor's value, a narrow step
+    after the window. All variants are scored in one ``transform`` and reduced
+    by a grouped confusion count.
     """
-    perm = shuffled_feature_rows(test, features, keys, n_repeats, seed, bucket_rows)
-    scored = predict(fm, perm.select("f", "r", "label", "features"))
-    f1 = M.macro_f1_by(scored, ["f", "r"])
+    donors = donor_rows(test, n_repeats, seed)
+    f = F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))).alias("f")
+    mixed = F.transform("x", lambda v, i: F.when(i == F.col("f"), F.element_at("donor", i + 1)).otherwise(v))
+    perm = donors.select("r", "label", "x", "donor", f).select("f", "r", "label", array_to_vector(mixed).alias("features"))
+    f1 = M.macro_f1_by(predict(fm, perm), ["f", "r"])
     # baseline macro F1 of the unshuffled rows: one number, computed by Spark
     base_f1 = M.summary_metrics(predict(fm, test), digits=12).first()["f1_macro"]
     names = F.element_at(F.array(*[F.lit(x) for x in features]), F.col("f") + 1)
@@ -84,27 +81,22 @@ def permutation_importance(fm: FittedModel, test: DataFrame, features: list[str]
             .orderBy(F.col("importance").desc(), "feature"))
 
 
-def shuffled_feature_rows(test: DataFrame, features: list[str],
-                          keys: list[str] = ("employee_id", "quarter_label"), n_repeats: int = 10,
-                          seed: int = 42, bucket_rows: int = 50_000) -> DataFrame:
-    """Rows x (feature f, repeat r) with feature f replaced by another row's
-    value (``_v`` original, ``_donor`` received, ``features`` the new vector)."""
-    keys = list(keys)
-    base = test.select(*keys, "label", vector_to_array("features").alias("x")).withColumn("_rid", _row_id(keys))
-    n = base.count()
-    buckets = max(1, math.ceil(n / bucket_rows))
-    fr = F.explode(F.arrays_zip(
-        F.flatten(F.array(*[F.array_repeat(F.lit(j), n_repeats) for j in range(len(features))])).alias("f"),
-        F.flatten(F.array_repeat(F.sequence(F.lit(0), F.lit(n_repeats - 1)), len(features))).alias("r")))
-    ex = base.select("*", fr.alias("_fr")).select("*", F.col("_fr.f").alias("f"), F.col("_fr.r").alias("r")).drop("_fr")
-    ex = (ex.withColumn("_b", F.pmod(F.xxhash64("_rid", "f", "r", F.lit(seed)), F.lit(buckets)))
-          .withColumn("_v", F.element_at("x", F.col("f") + 1)))
-    w = Window.partitionBy("f", "r", "_b").orderBy(F.xxhash64("_rid", "f", "r", F.lit(seed), F.lit(1)), "_rid")
-    donor = F.coalesce(F.lead("_v").over(w), F.first("_v").over(w))
-    perm = ex.withColumn("_donor", donor)
-    perm = perm.withColumn("features", array_to_vector(
-        F.transform("x", lambda v, i: F.when(i == F.col("f"), F.col("_donor")).otherwise(v))))
-    return perm
+def donor_rows(test: DataFrame, n_repeats: int = 10, seed: int = 42) -> DataFrame:
+    """Rows x repeat r: (r, label, x, donor), ``donor`` another row's features.
+
+    Rows are dealt into buckets of about BUCKET_ROWS by a hash and put in a
+    hashed order; each takes the next row of its bucket, the last one the
+    first. Buckets are the rule at every size: one where the rows fit in one.
+    The hash is of the row's contents, so equal rows may be neighbours, which
+    changes nothing; their order is settled by nothing else.
+    """
+    base = test.select("label", vector_to_array("features").alias("x"))
+    buckets = max(1, math.ceil(base.count() / BUCKET_ROWS))
+    rows = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("r"))
+    contents = F.xxhash64("x", "label", "r", F.lit(seed))
+    rows = rows.withColumn("_b", F.pmod(contents, F.lit(buckets))).withColumn("_o", F.xxhash64("x", "label", "r", F.lit(seed + 1)))
+    w = Window.partitionBy("r", "_b").orderBy("_o")
+    return rows.select("r", "label", "x", F.coalesce(F.lead("x").over(w), F.first("x").over(w)).alias("donor"))
 
 
 # --- X4 / X5 sampling Shapley ---------------------------------------------------------
@@ -128,16 +120,16 @@ def shapley_contributions(fm: FittedModel, rows: DataFrame, background: DataFram
 
     For each row and permutation p a background row is drawn; along the
     permutation the features switch one at a time from background to row
-    values (n_features + 1 hybrid vectors). All hybrids are scored by the
-    model in one ``transform``; consecutive differences (a window over the
-    n_features + 1 steps of one permutation) are the marginal contributions,
-    averaged per (row, feature). Per permutation the contributions telescope
-    to f(x) - f(background), so the average is additive.
+    values. Each feature's row holds the vector before and after its switch;
+    both are scored, and their difference is the marginal contribution,
+    averaged per (key, feature) by a partial aggregate. Nothing is shuffled
+    but the averages. Per permutation the contributions telescope to
+    f(x) - f(background), so the average is additive. Rows that repeat a key
+    draw their permutations by their contents and share one average.
     """
     keys = list(keys)
     nb = background.count()
-    rid = _row_id(keys)
-    base = rows.select(*keys, vector_to_array("features").alias("x")).withColumn("_rid", rid)
+    base = rows.select(*keys, vector_to_array("features").alias("x")).withColumn("_rid", F.xxhash64(*keys, "x"))
     pe = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_permutations - 1))).alias("p"))
     order = F.transform(F.sequence(F.lit(0), F.lit(n_features - 1)),
                         lambda j: F.struct(F.xxhash64("_rid", "p", j, F.lit(seed)).alias("h"), j.alias("j")))
@@ -146,19 +138,18 @@ def shapley_contributions(fm: FittedModel, rows: DataFrame, background: DataFram
     # the background has exactly ``nb`` rows (counted above): broadcast it
     # only under a row bound, else let the planner pick a shuffle join
     bg_side = F.broadcast(background) if nb <= MAX_BROADCAST_BACKGROUND else background
-    pe = pe.join(bg_side, "_bi")
-    steps = pe.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_features))).alias("k"))
-    # position of feature j in the permutation; features placed before step k come from the row
-    hybrid = F.transform(F.sequence(F.lit(0), F.lit(n_features - 1)),
-                         lambda j: F.when(F.array_position("perm", j) - 1 < F.col("k"),
-                                          F.element_at("x", j + 1)).otherwise(F.element_at("bg", j + 1)))
-    steps = steps.withColumn("features", array_to_vector(hybrid)).select(*keys, "_rid", "p", "k", "perm", "features")
-    scored = predict(fm, steps).select(*keys, "_rid", "p", "k", "perm", "probs")
-    w = Window.partitionBy("_rid", "p").orderBy("k")
-    diffs = (scored.withColumn("_next", F.lead("probs").over(w))
-             .where(F.col("_next").isNotNull())
-             .select(*keys, F.element_at("perm", F.col("k") + 1).alias("feature_index"),
-                     F.zip_with("_next", "probs", lambda a, b: a - b).alias("d")))
+    steps = pe.join(bg_side, "_bi").select("*", F.explode(F.sequence(F.lit(0), F.lit(n_features - 1))).alias("k"))
+
+    def hybrid(switched: Column) -> Column:
+        """The first ``switched`` features of the permutation come from the row."""
+        return array_to_vector(F.transform(F.sequence(F.lit(0), F.lit(n_features - 1)),
+                                           lambda j: F.when(F.array_position("perm", j) <= switched, F.element_at("x", j + 1))
+                                           .otherwise(F.element_at("bg", j + 1))))
+
+    place = F.element_at("perm", F.col("k") + 1).alias("feature_index")
+    steps = steps.select(*keys, place, hybrid(F.col("k")).alias("_before"), hybrid(F.col("k") + 1).alias("features"))
+    after = predict(fm, steps).select(*keys, "feature_index", F.col("_before").alias("features"), F.col("probs").alias("_after"))
+    diffs = predict(fm, after).select(*keys, "feature_index", F.zip_with("_after", "probs", lambda a, b: a - b).alias("d"))
     return (diffs.groupBy(*keys, "feature_index")
             .agg(F.avg(F.col("d")[0]).alias("contrib_low"), F.avg(F.col("d")[1]).alias("contrib_medium"),
                  F.avg(F.col("d")[2]).alias("contrib_high")))
@@ -187,6 +178,15 @@ def local_contributions(x: Column, weights: list, class_index: Column | None = N
     return F.zip_with(w, x, lambda a, b: a * b)
 
 
+def model_contributions(fm: FittedModel, class_index: Column, features_col: str = "features") -> Column:
+    """X6 by the fitted model: coefficients of the predicted class (linear) or importances (trees) times the values."""
+    x = vector_to_array(features_col)
+    if isinstance(fm.model, LogisticRegressionModel):
+        return local_contributions(x, fm.model.coefficientMatrix.toArray().tolist(), class_index)
+    return local_contributions(x, model_importance(fm, [None] * fm.model.numFeatures) if not hasattr(fm.model, "models")
+                               else model_importance(fm, [None] * fm.model.models[0].numFeatures))
+
+
 def _ranked(contrib: Column) -> Column:
     """Contributions as (neg value, index) structs sorted => descending value,
     lower feature index first on ties."""

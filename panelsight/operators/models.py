@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier,
+    GBTClassifier, LogisticRegression, LogisticRegressionModel, OneVsRest, RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from panelsight.functions.scalars import argmax_class, confidence_pct, decode_band
 from panelsight.operators import metrics as M
-from panelsight.operators.prep import with_class_weights
 from panelsight.schema import BANDS
 
 N_CLASSES = len(BANDS)
@@ -36,7 +35,7 @@ class TrainParams:
     rf_trees: int = 300
     rf_depth: int = 8
     rf_min_leaf: int = 10
-    gbt_rounds: int = 50          # 300 in the original; each round is a Spark job
+    gbt_rounds: int = 300
     gbt_depth: int = 6
     gbt_step: float = 0.05
     gbt_subsample: float = 0.8
@@ -58,40 +57,43 @@ def with_label_meta(df: DataFrame, label_col: str = "label") -> DataFrame:
     return df.withColumn(label_col, F.col(label_col).cast("double").alias(label_col, metadata=LABEL_META))
 
 
-def classes_present(train: DataFrame, label_col: str = "label") -> list:
-    # at most N_CLASSES distinct values come back
-    return sorted(int(r[0]) for r in train.select(label_col).distinct().collect())
+ROWS_PER_PARTITION = 50_000
 
 
-ROWS_PER_PARTITION = 200_000      # upper bound of rows per partition
-MIN_ROWS_PER_PARTITION = 10_000   # below this a task costs more than it computes
+def training_partitions(n: int) -> int:
+    """Partitions for an iterative fit over ``n`` rows. Bagging and subsampling
+    draw per partition, so the number depends on the rows alone, never on cores."""
+    return max(1, -(-n // ROWS_PER_PARTITION))
 
 
-def training_partitions(n: int, cores: int) -> int:
-    """Partitions for an iterative fit over ``n`` rows: at most
-    ``ROWS_PER_PARTITION`` rows each, and no more partitions than cores while
-    partitions would hold fewer than ``MIN_ROWS_PER_PARTITION`` rows."""
-    return max(1, -(-n // ROWS_PER_PARTITION), min(cores, -(-n // MIN_ROWS_PER_PARTITION)))
+def training_frame(train: DataFrame, weighted: bool = True) -> tuple[DataFrame, dict]:
+    """The columns an iterative estimator reads, in a compact cached frame, and the rows of each class.
 
-
-def training_frame(train: DataFrame, weighted: bool = True) -> DataFrame:
-    """The columns an iterative estimator reads, in a compact cached frame.
-
-    Iterative fits (L-BFGS, tree levels, boosting rounds) scan the training
-    set once per step, so its partitioning matters: partitions are sized by
-    rows (see ``training_partitions``), which avoids both thousands of tiny
-    tasks per step and oversized partitions.
+    Rows are dealt by a hash of their contents and sorted within partitions:
+    equal inputs give equal partitions, hence equal models, on any number of
+    cores. The caller releases the frame.
     """
-    cols = ["features", "label"] + (["weight"] if weighted else [])
-    t = with_class_weights(train, "label", "weight") if weighted else train
-    t = with_label_meta(t.select(*cols))
-    n = t.count()
-    parts = training_partitions(n, train.sparkSession.sparkContext.defaultParallelism)
-    return t.repartition(parts).cache()
-
-
-def _weighted(train: DataFrame) -> DataFrame:
-    return training_frame(train, weighted=True)
+    counts = {int(r["label"]): r["count"] for r in train.groupBy("label").count().collect()}  # at most N_CLASSES rows
+    n = sum(counts.values())
+    t = train.select("features", "label")
+    if weighted:
+        weight = F.lit(None).cast("double")
+        for c, k in counts.items():
+            weight = F.when(F.col("label") == c, n / (len(counts) * k)).otherwise(weight)
+        t = t.withColumn("weight", weight)
+    contents = vector_to_array("features")
+    t = (t.repartition(training_partitions(n), F.xxhash64(contents, "label"))
+         .sortWithinPartitions(contents, "label"))
+    return with_label_meta(t).cache(), counts
+
+
+def _fit(name: str, estimator, train: DataFrame, weighted: bool) -> FittedModel:
+    """``estimator(n)`` for n rows, fitted on the training frame."""
+    t, counts = training_frame(train, weighted)
+    try:
+        return FittedModel(name, estimator(sum(counts.values())).fit(t), sorted(counts))
+    finally:
+        t.unpersist()
 
 
 def train_logreg(train: DataFrame, p: TrainParams = TrainParams()) -> FittedModel:
@@ -101,28 +103,25 @@ def train_logreg(train: DataFrame, p: TrainParams = TrainParams()) -> FittedMode
     sum(w*loss)/sum(w) + regParam*||b||^2/2 with regParam = 1/(C*sum(w)); the
     balanced weights sum to n.
     """
-    t = _weighted(train)
-    n = t.agg(F.sum("weight")).first()[0]
-    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
-                            family="multinomial", maxIter=p.lr_max_iter, regParam=1.0 / (p.lr_c * n),
-                            elasticNetParam=0.0, standardization=False, tol=p.lr_tol)
-    return FittedModel("logistic_regression", lr.fit(t), classes_present(t))
+    def lr(n: int) -> LogisticRegression:
+        return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
+                                  family="multinomial", maxIter=p.lr_max_iter, regParam=1.0 / (p.lr_c * n),
+                                  elasticNetParam=0.0, standardization=False, tol=p.lr_tol)
+    return _fit("logistic_regression", lr, train, True)
 
 
 def train_random_forest(train: DataFrame, p: TrainParams = TrainParams()) -> FittedModel:
     """M2: random forest, balanced class weights, sqrt feature subsets."""
-    t = _weighted(train)
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                                 numTrees=p.rf_trees, maxDepth=p.rf_depth,
                                 minInstancesPerNode=p.rf_min_leaf, featureSubsetStrategy="sqrt",
                                 seed=p.seed)
-    return FittedModel("random_forest", rf.fit(t), classes_present(t))
+    return _fit("random_forest", lambda n: rf, train, True)
 
 
 def train_boosted_trees(train: DataFrame, p: TrainParams = TrainParams()) -> FittedModel:
     """M3: one-vs-rest gradient-boosted trees (Spark GBT is binary); the three
     binary fits run concurrently (``parallelism``)."""
-    t = training_frame(train, weighted=p.gbt_weighted)
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=p.gbt_rounds,
                         maxDepth=p.gbt_depth, stepSize=p.gbt_step, subsamplingRate=p.gbt_subsample,
                         featureSubsetStrategy="0.8", seed=p.seed)
@@ -130,7 +129,34 @@ def train_boosted_trees(train: DataFrame, p: TrainParams = TrainParams()) -> Fit
     if p.gbt_weighted:
         gbt.setWeightCol("weight")
         ovr.setWeightCol("weight")
-    return FittedModel("boosted_trees", ovr.fit(t), classes_present(t))
+    return _fit("boosted_trees", lambda n: ovr, train, p.gbt_weighted)
+
+
+def linear_model(spark, coefficients: list[list[float]], intercepts: list[float]) -> FittedModel:
+    """A multinomial linear model of given coefficients (a row for each class) as Spark's own model."""
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+
+    def doubles(values):
+        out = gateway.new_array(jvm.double, len(values))
+        for i, v in enumerate(values):
+            out[i] = float(v)
+        return out
+
+    rows, cols = len(coefficients), len(coefficients[0])
+    linalg = jvm.org.apache.spark.ml.linalg
+    matrix = linalg.DenseMatrix(rows, cols, doubles([coefficients[k][j] for j in range(cols) for k in range(rows)]))
+    made = jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        "given", matrix, linalg.DenseVector(doubles(intercepts)), rows, True)
+    model = LogisticRegressionModel(made)
+    model._resetUid("given")
+    model.setFeaturesCol("features")
+    return FittedModel("logistic_regression", model, list(range(rows)))
+
+
+def fixed_coefficients(n_features: int) -> tuple[list[list[float]], list[float]]:
+    """Coefficients and intercepts by a rule, for checks against SQL."""
+    return ([[((13 * k + 7 * j) % 11 - 5) / 10 for j in range(n_features)] for k in range(N_CLASSES)],
+            [(k - 1) / 10 for k in range(N_CLASSES)])
 
 
 TRAINERS = {"logistic_regression": train_logreg, "random_forest": train_random_forest,
@@ -210,6 +236,7 @@ def train_and_compare(train: DataFrame, test: DataFrame, p: TrainParams = TrainP
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(names)))) as pool:
         futures = {n: pool.submit(TRAINERS[n], train, p) for n in names}
         models = {n: futures[n].result() for n in names}
-    cmp = compare_models(list(models.values()), test).cache()
+    rows = compare_models(list(models.values()), test).collect()  # one row for each model
+    cmp = test.sparkSession.createDataFrame(rows)
     best = M.select_best(cmp).first()["model"]
     return models, cmp, best

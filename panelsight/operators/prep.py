@@ -13,7 +13,7 @@ import json
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelsight.functions.scalars import encode_target, quarter_key
@@ -30,26 +30,35 @@ def _key_of(label: str) -> int:
     return int(y) * 10 + int(q)
 
 
+def _split_key(df: DataFrame) -> Column:
+    """The row's quarter; a row without one, or whose columns disagree, fails the query."""
+    key = quarter_key("quarter_label")
+    if {"review_year", "review_quarter"} <= set(df.columns):
+        columns = F.col("review_year") * 10 + F.col("review_quarter")
+        key = F.when(columns.isNull() | key.eqNullSafe(columns), key).otherwise(F.raise_error(F.concat(
+            F.lit("quarter label and review columns disagree: "), F.col("quarter_label"))).cast("int"))
+    return F.coalesce(key, F.raise_error(F.lit("row without a quarter label")).cast("int"))
+
+
 def time_split(df: DataFrame, cutoff: str = DEFAULT_CUTOFF) -> tuple[DataFrame, DataFrame]:
-    """Quarter key < cutoff -> train, >= cutoff -> test.
+    """Quarter key < cutoff -> train, >= cutoff -> test; no row is lost.
 
-    The redundant predicate on ``review_year`` lets a panel stored partitioned
-    by year prune whole directories.
+    The further predicate on ``review_year`` lets a panel stored by year prune
+    directories. It passes rows without a year, whose label decides.
     """
     k = _key_of(cutoff)
-    year = k // 10
-    key = quarter_key("quarter_label")
-    train = df.where((key < k) & (F.col("review_year") <= year)) if "review_year" in df.columns \
-        else df.where(key < k)
-    test = df.where((key >= k) & (F.col("review_year") >= year)) if "review_year" in df.columns \
-        else df.where(key >= k)
-    return train, test
+    train, test = _split_key(df) < k, _split_key(df) >= k
+    if "review_year" in df.columns:
+        year = F.col("review_year")
+        return (df.where((year <= k // 10) | year.isNull()).where(train),
+                df.where((year >= k // 10) | year.isNull()).where(test))
+    return df.where(train), df.where(test)
 
 
 def label_split(df: DataFrame, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
-    """The split as a column (``train``/``test``) instead of two frames."""
-    return df.withColumn("split", F.when(quarter_key("quarter_label") < _key_of(cutoff), "train")
-                         .otherwise("test"))
+    """The two halves of ``time_split`` as one frame with a ``split`` column."""
+    train, test = time_split(df, cutoff)
+    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
 @dataclass

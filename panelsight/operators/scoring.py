@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelsight.operators import decisions as D
+from panelsight.operators import explain as X
 from panelsight.operators.models import FittedModel, predict
 from panelsight.operators.prep import (
     PrepStats, apply_label_encoder, apply_standard_scaler, assemble, missing_feature_defaults,
@@ -19,8 +20,7 @@ from panelsight.operators.prep import (
 from panelsight.schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from panelsight.sources.files import resolve_id
 
-SCORED_COLS = ["row_key", "employee_id", "predicted_band", "confidence_pct", "training_needed",
-               "promotion_ready", "retention_risk", "priority"]
+SCORED_COLS = ["predicted_band", "confidence_pct", "training_needed", "promotion_ready", "retention_risk", "priority"]
 
 
 def prepare_batch(df: DataFrame, stats: PrepStats, null_policy: str = "median") -> DataFrame:
@@ -54,9 +54,10 @@ def score_batch(df: DataFrame, fm: FittedModel, stats: PrepStats, null_policy: s
     return decided
 
 
-def scored_report(scored: DataFrame) -> DataFrame:
-    """The export shape of a scored batch."""
-    return scored.select(*[c for c in SCORED_COLS if c in scored.columns])
+def scored_report(scored: DataFrame, inputs: list[str]) -> DataFrame:
+    """The export shape of a scored batch (S5): the row key, every input column, then the results."""
+    first = ["row_key", "employee_id"]
+    return scored.select(*first, *[c for c in inputs if c not in first + SCORED_COLS], *SCORED_COLS)
 
 
 def attach_decisions(scored: DataFrame, decisions: DataFrame, key: str = "row_key") -> DataFrame:
@@ -73,7 +74,14 @@ def scored_summary(scored: DataFrame) -> DataFrame:
                       F.count_if(b == "Low").alias("n_low"))
 
 
+def score_records(df: DataFrame, fm: FittedModel, stats: PrepStats) -> DataFrame:
+    """Each record with its score, decision and explanation by the fitted model."""
+    scored = score_batch(df, fm, stats).withColumn("contrib", X.model_contributions(fm, F.col("prediction")))
+    raw = [c.removesuffix("_enc") for c in stats.features]
+    return X.explain_rows(scored, stats.features, "contrib", raw)
+
+
 def score_one(spark, record: dict, fm: FittedModel, stats: PrepStats) -> DataFrame:
-    """The same plan on a one-row DataFrame (no special path)."""
+    """``score_records`` on a single record."""
     cols = list(record)
-    return score_batch(spark.createDataFrame([tuple(record[c] for c in cols)], cols), fm, stats)
+    return score_records(spark.createDataFrame([tuple(record[c] for c in cols)], cols), fm, stats)

@@ -28,7 +28,7 @@ from panelsight.schema import FEATURE_COLS, IMPUTE_COLS
 from panelsight.sources import files as FS
 from panelsight.sources import model_store as MS
 from panelsight.sources.panel import load_panel, read_table
-from panelsight.sources.stored import stored_clean_panel, stored_panel
+from panelsight.sources.stored import inputs_stamp, stored_clean_panel, stored_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -579,19 +579,25 @@ def q_lookup(spark, sf_dir):
                         read_table(spark, sf_dir, "region")).drop("sk")
 
 
+def employees(spark, sf_dir):
+    from panelsight.sources.panel import employee_dim
+    return employee_dim(read_table(spark, sf_dir, "supplier"), read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region"))
+
+
 @register("densify_panel")
 def q_densify(spark, sf_dir):
     from panelsight.sources.panel import densify_panel
-    return densify_panel(clean_panel(spark, sf_dir), 1995, 2001)
+    return densify_panel(clean_panel(spark, sf_dir), employees(spark, sf_dir))
 
 
 @register("attach_decisions")
 def q_attach(spark, sf_dir):
-    p = clean_panel(spark, sf_dir).withColumns({"predicted_band": F.col("performance_band"),
-                                                "confidence": F.lit(1.0)})
-    rep = D.decision_report(p).select("employee_id", "quarter_label", "training_needed", "promotion_ready")
-    scored = p.select("employee_id", "quarter_label", "predicted_band")
-    return scored.join(rep, ["employee_id", "quarter_label"], "left")
+    """J1 on a row key: an employee has a row for each quarter."""
+    p = clean_panel(spark, sf_dir).withColumns({
+        "row_key": F.concat_ws("|", "employee_id", "quarter_label"),
+        "predicted_band": F.col("performance_band"), "confidence": F.lit(1.0)})
+    scored = p.select("row_key", "employee_id", "quarter_label", "predicted_band")
+    return SC.attach_decisions(scored, D.decide(p)).drop("row_key")
 
 
 def flagship(spark, sf_dir):
@@ -603,22 +609,26 @@ def flagship(spark, sf_dir):
 # --- models, scoring, explanation (model-dependent: rows-only checks) -----------------
 
 
-# Registry training settings: the full forest / linear settings; boosted trees
-# use the package default of 50 rounds per class.
 REGISTRY_PARAMS = MD.TrainParams()
 _FITTED: dict = {}
 
 
 def fitted(spark, sf_dir, name: str = "logistic_regression"):
-    """(model, stats, train, test) fitted on the panel's training period,
-    memoised per session and data folder so several queries share one fit."""
-    key = (id(spark), sf_dir, name)
-    if key not in _FITTED:
+    """(model, stats, train, test) fitted on the panel's training period; one
+    fit for each session, data folder and state of its files."""
+    key, stamp = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name), inputs_stamp(spark, sf_dir)
+    if key not in _FITTED or _FITTED[key][0] != stamp:
         train, test, stats = prepared(spark, sf_dir)
-        train, test = train.cache(), test.cache()
-        fm = MD.TRAINERS[name](train, REGISTRY_PARAMS)
-        _FITTED[key] = (fm, stats, train, test)
-    return _FITTED[key]
+        _FITTED[key] = stamp, (MD.TRAINERS[name](train, REGISTRY_PARAMS), stats, train, test)
+    return _FITTED[key][1]
+
+
+def fixed(spark, sf_dir):
+    """(model, stats, train, test): a linear model of fixed coefficients in Spark's own model class, for queries
+    whose results SQL can compute as well."""
+    train, test, stats = prepared(spark, sf_dir)
+    coefficients, intercepts = MD.fixed_coefficients(len(stats.features))
+    return MD.linear_model(spark, coefficients, intercepts), stats, train, test
 
 
 def _pred_rows(spark, sf_dir, name):
@@ -642,26 +652,32 @@ def q_train_gbt(spark, sf_dir):
     return _pred_rows(spark, sf_dir, "boosted_trees")
 
 
+def _fixed_rows(spark, sf_dir):
+    fm, _, _, test = fixed(spark, sf_dir)
+    return MD.predict(fm, test)
+
+
 @register("predict")
 def q_predict(spark, sf_dir):
-    return _pred_rows(spark, sf_dir, "logistic_regression")
+    return _fixed_rows(spark, sf_dir).select(
+        "employee_id", "quarter_label", "prediction", "predicted_band",
+        *[S.rnd(F.col("probs")[i], 6).alias(f"p_{b.lower()}") for i, b in enumerate(MD.BANDS)])
 
 
 @register("confidence_pct")
 def q_confidence(spark, sf_dir):
-    return _pred_rows(spark, sf_dir, "logistic_regression").select("employee_id", "quarter_label", "confidence_pct")
+    return _fixed_rows(spark, sf_dir).select("employee_id", "quarter_label", "confidence_pct")
 
 
 @register("argmax_class")
 def q_argmax(spark, sf_dir):
-    return _pred_rows(spark, sf_dir, "logistic_regression").select(
-        "employee_id", "quarter_label", S.argmax_class("probs").alias("argmax_class"))
+    return _fixed_rows(spark, sf_dir).select("employee_id", "quarter_label", S.argmax_class("probs").alias("argmax_class"))
 
 
 @register("probability_breakdown")
 def q_prob_breakdown(spark, sf_dir):
-    fm, _, _, test = fitted(spark, sf_dir, "logistic_regression")
-    return MD.probability_breakdown(MD.predict(fm, test), ["employee_id", "quarter_label"])
+    rows = MD.probability_breakdown(_fixed_rows(spark, sf_dir), ["employee_id", "quarter_label"])
+    return rows.withColumn("probability", S.rnd("probability", 6))
 
 
 @register("compare_models")
@@ -673,8 +689,9 @@ def q_compare(spark, sf_dir):
 
 @register("feature_vector")
 def q_feature_vector(spark, sf_dir):
-    _, _, _, test = fitted(spark, sf_dir, "logistic_regression")
-    return test.select("employee_id", "quarter_label", vector_to_array("features").alias("features"))
+    _, test, stats = prepared(spark, sf_dir)
+    vector = vector_to_array("features")
+    return test.select("employee_id", "quarter_label", *[S.rnd(vector[i], 6).alias(c) for i, c in enumerate(stats.features)])
 
 
 @register("tree_importance")
@@ -685,8 +702,13 @@ def q_tree_importance(spark, sf_dir):
 
 @register("linear_importance")
 def q_linear_importance(spark, sf_dir):
-    fm, stats, _, _ = fitted(spark, sf_dir, "logistic_regression")
-    return X.importance_table(spark, fm, stats.features)
+    """X2 weighted by the spread of the feature in the test period, so that it depends on the data."""
+    fm, stats, _, test = fixed(spark, sf_dir)
+    spread = test.agg(*[F.stddev_pop(vector_to_array("features")[i]).alias(f) for i, f in enumerate(stats.features)])
+    pairs = ", ".join(f"'{f}', `{f}`" for f in stats.features)
+    spread = spread.selectExpr(f"stack({len(stats.features)}, {pairs}) AS (feature, spread)")
+    return X.importance_table(spark, fm, stats.features).join(spread, "feature").select(
+        "feature", S.rnd("importance", 6).alias("importance"), S.rnd(F.col("importance") * F.col("spread"), 6).alias("in_data"))
 
 
 @register("top_k_importance")
@@ -748,57 +770,65 @@ def q_missing_defaults(spark, sf_dir):
         "goal_achievement_pct")
 
 
+def _scored_batch(spark, sf_dir):
+    """The batch file scored, as it is exported."""
+    fm, stats, _, _ = fixed(spark, sf_dir)
+    batch = _batch_file(spark, sf_dir)
+    return SC.scored_report(SC.score_batch(batch, fm, stats), batch.columns)
+
+
 @register("score_batch")
 def q_score_batch(spark, sf_dir):
-    fm, stats, _, _ = fitted(spark, sf_dir, "logistic_regression")
-    return SC.scored_report(SC.score_batch(_batch_file(spark, sf_dir), fm, stats)).drop("row_key")
+    return _scored_batch(spark, sf_dir).drop("row_key")
 
 
 @register("scored_summary")
 def q_scored_summary(spark, sf_dir):
-    fm, stats, _, _ = fitted(spark, sf_dir, "logistic_regression")
+    fm, stats, _, _ = fixed(spark, sf_dir)
     return SC.scored_summary(SC.score_batch(_batch_file(spark, sf_dir), fm, stats))
 
 
 @register("score_one")
 def q_score_one(spark, sf_dir):
-    """Single-record scoring has no special path -- ``score_one`` is the
-    batch plan on a one-row frame. Registered over the whole test period read
-    as records (the id and 13 raw feature columns), each row scored
-    independently by that same narrow plan."""
-    fm, stats, _, _ = fitted(spark, sf_dir, "logistic_regression")
+    """The records of the test period, each with its score, decision and explanation."""
+    fm, stats, _, _ = fixed(spark, sf_dir)
     _, test = split_frames(spark, sf_dir)
-    rows = test.select(*FS.BATCH_COLUMNS)
-    return SC.scored_report(SC.score_batch(rows, fm, stats)).drop("row_key")
+    out = SC.score_records(test.select("quarter_label", *FS.BATCH_COLUMNS), fm, stats)
+    return out.select("employee_id", "quarter_label", "predicted_band", "confidence_pct", "priority",
+                      F.array_join("strengths_arr", " | ").alias("strengths"), F.array_join("concerns_arr", " | ").alias("concerns"))
 
 
 @register("model_store")
 def q_model_store(spark, sf_dir):
     from panelsight.session import work_dir
-    fm, stats, _, test = fitted(spark, sf_dir, "logistic_regression")
+    fm, stats, _, test = fixed(spark, sf_dir)
     path = MS.save_bundle(spark, fm, stats, work_dir(spark, "bundle"))
     fm2, _ = MS.load_bundle(spark, path)
     a = MD.predict(fm, test).select("employee_id", "quarter_label", F.col("prediction").alias("p1"))
     b = MD.predict(fm2, test).select("employee_id", "quarter_label", F.col("prediction").alias("p2"))
-    return a.join(b, ["employee_id", "quarter_label"]).withColumn("same", F.col("p1") == F.col("p2"))
+    return a.join(b, ["employee_id", "quarter_label"]).select(
+        "employee_id", "quarter_label", (F.col("p1") == F.col("p2")).alias("same"))
 
 
 @register("feature_manifest")
 def q_manifest(spark, sf_dir):
+    """The bundle's features in order, with the rows of the test period that have each."""
     from panelsight.session import work_dir
-    fm, stats, _, _ = fitted(spark, sf_dir, "logistic_regression")
+    fm, stats, _, test = fixed(spark, sf_dir)
     path = MS.save_bundle(spark, fm, stats, work_dir(spark, "bundle"))
     names = MS.feature_manifest(spark, path)
-    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "position int, feature string")
+    counts = test.agg(*[F.count(F.col(n)).alias(n) for n in names])
+    pairs = ", ".join(f"{i}, '{n}', `{n}`" for i, n in enumerate(names))
+    return counts.selectExpr(f"stack({len(names)}, {pairs}) AS (position, feature, n)")
 
 
 @register("sink_scored_csv")
 def q_sink_scored(spark, sf_dir):
     from panelsight.session import work_dir
-    fm, stats, _, _ = fitted(spark, sf_dir, "logistic_regression")
     path = work_dir(spark, "scored")
-    FS.write_scored(SC.scored_report(SC.score_batch(_batch_file(spark, sf_dir), fm, stats)), path)
-    return spark.read.option("header", True).csv(path)
+    scored = _scored_batch(spark, sf_dir)
+    FS.write_scored(scored, path)
+    return FS.read_report(spark, path, scored.schema).drop("row_key")
 
 
 # --- file round trips with SQL oracles ----------------------------------------------------
@@ -833,8 +863,7 @@ def q_sink_reports(spark, sf_dir):
     from panelsight.session import work_dir
     out = work_dir(spark, "reports")
     path = FS.write_report(q_decision_report(spark, sf_dir), "decisions", out)
-    return FS.read_report(spark, path, REPORT_SCHEMA).na.fill("", ["training_topics", "pip_goals",
-                                                                   "recommended_actions"])
+    return FS.read_report(spark, path, REPORT_SCHEMA)
 
 
 @register("load_report")
@@ -931,9 +960,7 @@ def q_numeric_profile_cols(spark, sf_dir):
 def q_align(spark, sf_dir):
     """``model.transform`` keeps every input column on its row -- the
     prediction is aligned with the row by construction, no positional join."""
-    fm, _, _, test = fitted(spark, sf_dir, "logistic_regression")
-    return MD.predict(fm, test).select("employee_id", "quarter_label", "department", "performance_band",
-                                       "predicted_band")
+    return _fixed_rows(spark, sf_dir).select("employee_id", "quarter_label", "department", "performance_band", "predicted_band")
 
 
 @register("fairness_report")
@@ -947,7 +974,7 @@ def q_fairness_report(spark, sf_dir):
     dept = FS.read_report(spark, paths["department"], AUDIT_SCHEMA)
     par = FS.read_report(spark, paths["parity"], "group_name string, high_rate_pct double, spd double, "
                                                  "fairness_flag string")
-    tiers = spark.read.option("header", True).csv(paths["experience"])
+    tiers = spark.read.options(**FS.CSV).csv(paths["experience"])
     nb, nl = F.lit(None).cast("boolean"), F.lit(None).cast("bigint")
     d = dept.agg(F.count(F.lit(1)).alias("n_groups"),
                  F.coalesce(F.bool_or(F.col("bias_flag") == "INVESTIGATE"), F.lit(False)).alias("bias_detected"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,21 +40,44 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local runs, tests) do we create
-    one under the system temp folder.
+    Where it is unset, a local session gets a folder of its own; on a cluster
+    that is an error, since executors could not see a folder of the driver.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="panelsight-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    if d:
+        return d
+    context = spark.sparkContext
+    if not re.match(r"local(\[|$)", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(os.path.join(tempfile.gettempdir(), f"panelsight-{context.applicationId}"))
+    return context.getCheckpointDir()
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def input_stamp(spark: SparkSession, path: str) -> tuple:
+    """Names, lengths and times of the files under ``path``, by Spark's own file systems."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return ()
+    files = fs.listFiles(p, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``work_dir`` gave."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -31,6 +31,9 @@ def _typed(df: DataFrame, schema) -> DataFrame:
     return df.select(*cols)
 
 
+CSV = {"header": True, "emptyValue": "", "nullValue": "\\N"}  # an empty text is nothing, a NULL is \\N
+
+
 def read_panel_csv(spark: SparkSession, path: str) -> DataFrame:
     """Panel CSV with header; typed by the panel schema."""
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
@@ -49,18 +52,18 @@ def write_panel(df: DataFrame, path: str, fmt: str = "parquet", partition_by: st
 def write_report(df: DataFrame, name: str, out_dir: str) -> str:
     """One report table as CSV with header under ``out_dir/name``."""
     path = f"{out_dir.rstrip('/')}/{name}"
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV).csv(path)
     return path
 
 
-def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_report(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read a saved report back with an explicit schema."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return spark.read.options(**CSV).schema(schema).csv(path)
 
 
 def write_scored(df: DataFrame, path: str) -> None:
     """Scored batch export (CSV with header)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV).csv(path)
 
 
 def resolve_id(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ dimension joins then run on a table ~20x smaller than ``lineitem``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from panelsight.functions.scalars import (
@@ -127,18 +127,21 @@ def load_panel(spark: SparkSession, sf_dir: str, with_repeats: bool = True) -> D
                        with_repeats=with_repeats)
 
 
-def densify_panel(panel: DataFrame, start_year: int, end_year: int) -> DataFrame:
-    """Every employee x every quarter of [start_year, end_year].
+def densify_panel(panel: DataFrame, employees: DataFrame) -> DataFrame:
+    """Every employee of the panel x every quarter from the panel's first to its last.
 
-    Quarters without a review keep the employee attributes and NULL measures.
-    The calendar is generated per employee row with ``explode(sequence)`` (a
-    narrow generator bounded by the year range), then the facts are attached
-    with an equi-join on the panel key -- no cross join.
+    The attributes come from the employee dimension, the measures from the
+    panel; quarters without a review have NULL measures. The calendar is
+    generated on each employee's row, then facts are joined on the panel key.
     """
     emp_cols = ["employee_id", "department", "education", "role", "age",
                 "experience_years", "salary", "join_date"]
-    emps = panel.select(*emp_cols).dropDuplicates(["employee_id"])
-    t = F.explode(F.sequence(F.lit(start_year * 4), F.lit(end_year * 4 + 3))).alias("_t")
+    quarter = F.col("review_year") * 4 + F.col("review_quarter") - 1
+    span = panel.agg(F.min(quarter).alias("lo"), F.max(quarter).alias("hi")).first()
+    emps = employees.select(*emp_cols).join(panel.select("employee_id").distinct(), "employee_id", "left_semi")
+    if span.lo is None:
+        emps, span = emps.limit(0), Row(lo=0, hi=0)
+    t = F.explode(F.sequence(F.lit(span.lo), F.lit(span.hi))).alias("_t")
     grid = (emps.select(*emp_cols, t)
             .withColumn("review_year", F.floor(F.col("_t") / 4).cast("int"))
             .withColumn("review_quarter", (F.pmod(F.col("_t"), F.lit(4)) + 1).cast("int"))

@@ -10,46 +10,59 @@ rebuilding the panel in several branches of its plan.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelsight.session import work_dir
+from panelsight.session import input_stamp, remove, work_dir
 
 _STORE: dict = {}
 
 
-def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it back."""
+INPUTS = ("lineitem", "supplier", "nation", "region")
+ROWS_PER_FILE = 2_000_000  # of a year's rows in the stored copy
+
+
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> tuple[DataFrame, str]:
+    """Write ``df`` as parquet under the shared checkpoint folder; the copy and its path.
+
+    With ``partition_by`` rows are dealt by that column and a salt sized by
+    the row count, so that each value has a few large files.
+    """
     spark = df.sparkSession
     path = work_dir(spark, name)
-    w = df.write.mode("overwrite")
+    w = df
     if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-    out = spark.read.parquet(path)
-    return out.select(*df.columns)
+        plain = work_dir(spark, f"{name}-rows")
+        df.write.parquet(plain)
+        w = spark.read.schema(df.schema).parquet(plain)
+        salts = w.count() // ROWS_PER_FILE + 1
+        w = w.repartition(F.col(partition_by), F.pmod(F.xxhash64(*w.columns), F.lit(salts)))
+    w = w.write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    if partition_by:
+        remove(spark, plain)
+    return spark.read.parquet(path).select(*df.columns), path
 
 
-def _input_stamp(sf_dir: str) -> tuple:
-    names = ("lineitem", "supplier", "nation", "region")
-    stamp = []
-    for n in names:
-        p = f"{sf_dir.rstrip('/')}/{n}.parquet"
-        try:
-            st = os.stat(p)
-            stamp.append((n, st.st_mtime_ns, st.st_size))
-        except OSError:  # non-local file system: key on the path only
-            stamp.append((n, None, None))
-    return tuple(stamp)
+def inputs_stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """What the panel is built from, as it is now."""
+    return tuple(input_stamp(spark, f"{sf_dir.rstrip('/')}/{n}.parquet") for n in INPUTS)
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """``build(spark, sf_dir)`` written once per (session, input folder, name)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name, _input_stamp(sf_dir))
+    """``build(spark, sf_dir)``, written once for each session, input folder and state of its files."""
+    key, stamp = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name), inputs_stamp(spark, sf_dir)
+    if key in _STORE and _STORE[key][0] != stamp:
+        refresh(spark, sf_dir)
     if key not in _STORE:
-        _STORE[key] = materialize(build(spark, sf_dir), name, partition_by="review_year")
-    return _STORE[key]
+        _STORE[key] = (stamp, *materialize(build(spark, sf_dir), name, partition_by="review_year"))
+    return _STORE[key][1]
+
+
+def refresh(spark: SparkSession, sf_dir: str) -> None:
+    """Forget and remove what is stored of an input folder."""
+    for key in [k for k in _STORE if k[:2] == (spark.sparkContext.applicationId, sf_dir.rstrip("/"))]:
+        remove(spark, _STORE.pop(key)[2])
 
 
 def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

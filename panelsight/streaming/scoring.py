@@ -30,7 +30,7 @@ def scored_stream(spark: SparkSession, landing_dir: str, fm: FittedModel, stats:
     # a deterministic row key (monotonically_increasing_id is batch-only)
     src = src.withColumn("row_key", F.xxhash64(F.input_file_name(), *[F.col(c) for c in BATCH_COLUMNS]))
     scored = SC.score_batch(numeric_coerce(src, NUMERIC_FEATURES), fm, stats)
-    return SC.scored_report(scored).drop("row_key")
+    return SC.scored_report(scored, BATCH_COLUMNS).drop("row_key")
 
 
 def score_landing_folder(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint_dir: str,

@@ -4,9 +4,10 @@ and return the expected shape."""
 import pytest
 
 import __spark_entry__ as E
+from panelsight.plans.queries import REGISTRY
 from tests.conftest import SMALL
 
-ROWS_ONLY = sorted(set(E.queries()) - set(E.oracle_sql()))
+ROWS_ONLY = sorted(set(REGISTRY) - set(E.oracle_sql()))
 
 
 @pytest.mark.parametrize("name", ROWS_ONLY)

@@ -2,9 +2,12 @@
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from panelsight.functions.scalars import quarter_key
 from panelsight.operators.joins import sized_broadcast
 from panelsight.operators import insights as I
+from panelsight.operators import prep as P
 from panelsight.schema import PANEL_SCHEMA
 from panelsight.sources.panel import densify_panel
 
@@ -26,16 +29,29 @@ def test_densify_fills_missing_quarters_with_nulls(spark):
         {"employee_id": "EMP0001", "department": "ASIA", "age": 30, "review_year": 2000, "review_quarter": 3,
          "quarter_label": "2000-Q3", "training_hours": 20.0, "performance_band": "High"},
     ])
-    d = densify_panel(p, 2000, 2000).orderBy("review_quarter").collect()
-    assert [r.quarter_label for r in d] == ["2000-Q1", "2000-Q2", "2000-Q3", "2000-Q4"]
-    assert [r.training_hours for r in d] == [12.0, None, 20.0, None]
+    d = densify_panel(p, p.limit(1)).orderBy("review_quarter").collect()
+    assert [r.quarter_label for r in d] == ["2000-Q1", "2000-Q2", "2000-Q3"]
+    assert [r.training_hours for r in d] == [12.0, None, 20.0]
     assert all(r.department == "ASIA" and r.age == 30 for r in d)
     assert str(d[1].review_date) == "2000-04-01"
 
 
 def test_quarter_key_rejects_malformed_labels(spark):
-    df = spark.createDataFrame([("2022-Q3",), ("2022-Q5",), ("22-Q1",), ("x",), (None,)], "l string")
-    assert [r.k for r in df.select(quarter_key("l").alias("k")).collect()] == [20223, None, None, None, None]
+    df = spark.createDataFrame([("2022-Q3",), (None,)], "l string")
+    assert [r.k for r in df.select(quarter_key("l").alias("k")).collect()] == [20223, None]
+    for bad in ("2022-Q5", "22-Q1", "x", ""):
+        with pytest.raises(Exception, match="malformed quarter label"):
+            spark.createDataFrame([(bad,)], "l string").select(quarter_key("l")).collect()
+
+
+def test_time_split_loses_no_row(spark):
+    rows = [("1999-Q4", 1999, 4), ("2000-Q1", 2000, 1), ("1999-Q4", None, None), ("2000-Q2", None, None)]
+    df = spark.createDataFrame(rows, "quarter_label string, review_year int, review_quarter int")
+    train, test = P.time_split(df, "2000-Q1")
+    assert train.count() == 2 and test.count() == 2
+    for bad in [("1999-Q4", 2000, 4), (None, None, None), ("1999Q4", 1999, 4)]:
+        with pytest.raises(Exception, match="disagree|without a quarter|malformed"):
+            [t.collect() for t in P.time_split(spark.createDataFrame([bad], df.schema), "2000-Q1")]
 
 
 def test_sized_broadcast_checks_size(spark):
