@@ -117,7 +117,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest of ``vectors`` to each of ``queries``, both (vec_id, embedding)."""
     same = Window.partitionBy("embedding").orderBy("vec_id")
-    rows = T.store(usable(vectors).withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1).dropDuplicates(["vec_id", "embedding"]).select("dim", "vec_id", "embedding"), "vectors")
+    rows = T.store(usable(vectors).dropDuplicates(["vec_id", "embedding"]).withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1).select("dim", "vec_id", "embedding"), "vectors")
     asked = T.store(usable(queries).withColumn("query", F.xxhash64("vec_id", "embedding")).dropDuplicates(["vec_id", "query"]).select("dim", "vec_id", "query", "embedding"), "queries")
     shards, blocks = (-(-max(t.count(), 1) // size) for t, size in ((rows, SHARD), (asked, BLOCK)))
     left = (rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
