@@ -4,12 +4,12 @@ A window is as many words of a document as an item has. Windows and items are
 multisets of word 5-grams; they match at a weighted Jaccard similarity (sum of
 the lesser counts over sum of the greater) of 0.8 or more.
 
-Each item length in turn: windows that have too few of any item's 5-grams to
-match are passed over, which loses none. The others get a 128-bit SimHash.
-Fingerprints are cut into RADIUS + 1 blocks; two within RADIUS bits agree on a
-block, so looking up all blocks finds every item within the radius. What is
-found is verified on the exact counts. At similarity 0.8 fingerprints differ
-in 19 bits on average, with a deviation of 4; RADIUS is 36.
+Each item length in turn: windows that have too few 5-grams of items of that
+length to match are passed over, which loses none. The others get a 128-bit
+SimHash. Fingerprints are cut into RADIUS + 1 blocks; two within RADIUS bits
+agree on a block, so looking up all blocks finds every item within the
+radius. What is found is verified on the exact counts. At similarity 0.8
+fingerprints differ in 19 bits on average, with a deviation of 4; RADIUS is 36.
 
 Items are broadcast in blocks of at most ``ITEM_BYTES`` of text, so that a
 larger benchmark takes more passes, not more memory.
@@ -64,6 +64,7 @@ class Items:
         n_words = np.diff(first)
         self.all = np.unique(sh)
         self.by_length: dict[int, tuple] = {}
+        self.of_length: dict[int, np.ndarray] = {}
         for n in np.unique(n_words[n_words > 0]).tolist():
             rows = np.flatnonzero(n_words == n)
             parts = [sh[begin[r] : begin[r + 1]] for r in rows]
@@ -72,6 +73,7 @@ class Items:
             for r, blocks in enumerate(_blocks(prints).tolist()):
                 for b in blocks:
                     table.setdefault(b, []).append(r)
+            self.of_length[n] = np.unique(np.concatenate(parts))
             self.by_length[n] = [ids[r] for r in rows], [np.unique(p, return_counts=True) for p in parts], prints, {b: np.array(r) for b, r in table.items()}
 
 
@@ -94,9 +96,12 @@ def matches(column: pa.Array, items: Items) -> dict[tuple[int, object], tuple]:
         size, m = min(n, 5), max(1, n - 4)
         if size not in runs:
             sh = _run_hashes(h, size)
-            runs[size] = sh, np.flatnonzero(items.all[np.minimum(np.searchsorted(items.all, sh), len(items.all) - 1)] == sh)
+            runs[size] = sh, np.flatnonzero(_among(sh, items.all))
         sh, known = runs[size]
+        known = known[_among(sh[known], items.of_length[n])]
         least = -(-8 * m // 9)  # a match has so many shingles in common
+        if len(known) < least:
+            continue
         low, high = known[least - 1 :] - m + 1, known[: len(known) - least + 1]
         low = np.maximum(low, 0)
         some = low <= high
@@ -123,6 +128,11 @@ def matches(column: pa.Array, items: Items) -> dict[tuple[int, object], tuple]:
     return best
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Membership in a sorted array, which is not empty."""
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def _run_hashes(h: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` words, as ``W.shingles`` makes it."""
     out = np.full(len(h) - size + 1, W.mix(np.array([size], np.uint64))[0])
