@@ -72,11 +72,15 @@ def ftrl(rows: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, float]:
     return w[:-1], float(w[-1])
 
 
-def _fit(batches):
-    rows = []
+def _features(batches):
     for b in W.slices(batches, "text"):
         slots, begin = features(b.column("text"))
-        rows += [(i, slots[begin[r] : begin[r + 1]], y) for r, (i, y) in enumerate(zip(b.column("doc_id").to_pylist(), b.column("toxic").to_pylist()))]
+        cut = [slots[a:e].tobytes() for a, e in zip(begin, begin[1:])]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic").cast(pa.int32()), pa.array(cut, pa.binary())], ["doc_id", "toxic", "slots"])
+
+
+def _fit(batches):
+    rows = [(i, np.frombuffer(s, np.int32), y) for b in batches for i, y, s in zip(*(b.column(c).to_pylist() for c in ("doc_id", "toxic", "slots")))]
     rows.sort(key=lambda r: (W.mix(np.array([r[0]], np.int64).view(np.uint64))[0], len(r[1]), r[1].tobytes()))
     w, bias = ftrl([(s, y) for _, s, y in rows])
     at = np.flatnonzero(w)
@@ -89,7 +93,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> dict:
     share = int(min(1.0, SAMPLE / max(given.count(), 1)) * float(1 << 64)) - (1 << 63)
     sample = F.broadcast(given.filter(F.xxhash64("doc_id") <= F.lit(min(share, (1 << 63) - 1))))  # about SAMPLE rows of 12 bytes
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    found = rows.join(sample, "doc_id").coalesce(1).mapInArrow(_fit, "slot long, weight double").collect()
+    slots = rows.join(sample, "doc_id").mapInArrow(_features, "doc_id long, toxic int, slots binary")
+    found = slots.repartition(1).mapInArrow(_fit, "slot long, weight double").collect()  # the bounded sample's features
     return {r.slot: r.weight for r in found}
 
 
