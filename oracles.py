@@ -111,7 +111,15 @@ CLEAN = DEDUP + ",\nclean AS (SELECT * FROM dedup WHERE performance_band IS NOT
 ORACLES: dict[str, str] = {}
 
 ORACLES["review_panel"] = with_panel("SELECT * FROM panel")
-ORACLES["dedup_reviews"] = with_panel("SELECT * FROM dedup", DEDUP)
+_NUMBER, _QUARTER = "CAST(substr(employee_id, 4) AS BIGINT)", "(review_year * 4 + review_quarter)"
+_AGAIN = f"((7 * {_NUMBER} + {_QUARTER}) % 5 = 0)"
+FEED = DEDUP + f""",
+feed AS (SELECT dedup.* REPLACE (training_hours + i - 1 AS training_hours,
+           CASE WHEN NOT ({_AGAIN} AND {_NUMBER} % 2 = 0 AND i = 1) THEN performance_band END AS performance_band), CAST(i AS INTEGER) AS ingest
+         FROM dedup, range(1, 4) r(i) WHERE i = 1 OR {_AGAIN}),
+firsts AS (SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY employee_id, review_year, review_quarter ORDER BY ingest) = 1)"""
+ORACLES["dedup_reviews"] = with_panel("SELECT * FROM firsts", FEED)
+ORACLES["clean_feed"] = with_panel("SELECT * FROM firsts WHERE performance_band IS NOT NULL", FEED)
 ORACLES["clean_panel"] = with_panel("SELECT * FROM clean", CLEAN)
 ORACLES["dept_band_pct"] = with_panel(f"""
 SELECT department,
@@ -175,9 +183,10 @@ ORACLES["tenure_offset_date"] = (
     "strftime(CAST(DATE '1995-01-01' - CAST(30 * (s_suppkey % 36) AS INTEGER) AS DATE), '%Y-%m-%d') "
     "AS join_date_text FROM supplier")
 ORACLES["numeric_coerce"] = with_panel(
-    "SELECT employee_id, quarter_label, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in COERCE)
-    + " FROM panel")
-ORACLES["drop_missing_target"] = with_panel("SELECT * FROM panel WHERE performance_band IS NOT NULL")
+    "SELECT employee_id, quarter_label, " + ", ".join(
+        f"CASE WHEN employee_id NOT LIKE '%3' AND employee_id NOT LIKE '%5' THEN CAST({c} AS DOUBLE) END AS {c}"
+        if c == "training_hours" else f"CAST({c} AS DOUBLE) AS {c}" for c in COERCE) + " FROM panel")
+ORACLES["drop_missing_target"] = with_panel("SELECT * FROM feed WHERE performance_band IS NOT NULL", FEED)
 ORACLES["encode_target"] = with_panel(
     f"SELECT employee_id, quarter_label, performance_band, {TARGET} AS target FROM panel")
 ORACLES["decode_band"] = with_panel(
@@ -561,10 +570,10 @@ SELECT e.employee_id, e.department, e.education, e.role, e.age, e.experience_yea
   make_date(CAST(t // 4 AS INTEGER), CAST((t % 4) * 3 + 1 AS INTEGER), 1) AS review_date,
   f.training_hours, f.attendance_rate, f.overtime_hours, f.projects_completed, f.manager_rating, f.peer_score,
   f.goal_achievement_pct, f.performance_score, f.performance_band
-FROM (SELECT DISTINCT employee_id, department, education, role, age, experience_years, salary, join_date FROM clean) e
-CROSS JOIN (SELECT unnest(range(min(review_year * 4 + review_quarter - 1)::BIGINT, max(review_year * 4 + review_quarter)::BIGINT)) AS t FROM clean) r
-LEFT JOIN clean f ON f.employee_id = e.employee_id AND f.review_year = t // 4 AND f.review_quarter = t % 4 + 1""",
-    CLEAN)
+FROM (SELECT DISTINCT employee_id, department, education, role, age, experience_years, salary, join_date FROM thinned) e
+CROSS JOIN (SELECT unnest(range(min(review_year * 4 + review_quarter - 1)::BIGINT, max(review_year * 4 + review_quarter)::BIGINT)) AS t FROM thinned) r
+LEFT JOIN thinned f ON f.employee_id = e.employee_id AND f.review_year = t // 4 AND f.review_quarter = t % 4 + 1""",
+    CLEAN + f", thinned AS (SELECT * FROM clean WHERE ({_NUMBER} + {_QUARTER}) % 3 <> 0)")
 
 # --- sources / sinks ---------------------------------------------------------------------
 ORACLES["scan_panel_csv"] = with_panel("SELECT * FROM panel")
@@ -661,8 +670,8 @@ ORACLES["fairness_report"] = with_panel(
    WHERE experience_tier IS NOT NULL) AS n_tiers""", GRP)
 
 ORACLES["clean_counts"] = with_panel(
-    "SELECT (SELECT count(*) FROM panel) AS rows_raw, (SELECT count(*) FROM dedup) AS rows_dedup, "
-    "(SELECT count(*) FROM clean) AS rows_clean", CLEAN)
+    "SELECT (SELECT count(*) FROM feed) AS rows_raw, (SELECT count(*) FROM firsts) AS rows_dedup, "
+    "(SELECT count(*) FROM firsts WHERE performance_band IS NOT NULL) AS rows_clean", FEED)
 
 # --- the linear model of fixed coefficients -------------------------------------------------
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelsight.functions.scalars import quarter_key, rnd
+from panelsight.operators.ranks import quantiles
 from panelsight.operators.joins import sized_broadcast
 from panelsight.schema import BAND_DISPLAY_ORDER, TARGET_COL
 
@@ -95,25 +96,27 @@ def band_feature_means(df: DataFrame, cols: list[str] = BAND_MEAN_FEATURES) -> D
 
 def describe_numeric(df: DataFrame, cols: list[str] = DESCRIBE_COLS, approx: bool = False) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max
-    per column, 2 dp; one aggregate pass, unpivoted to one row per column."""
+    per column, 2 dp. Quartiles are exact over sorted ranges, or with ``approx``
+    from a sketch in the same pass as the rest."""
     cols = _present(df, cols)
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        q = (F.percentile_approx(x, [0.25, 0.5, 0.75], 100000) if approx
-             else F.percentile(x, [0.25, 0.5, 0.75]))
         aggs.append(F.struct(
-            F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max")).alias(f"_s{i}"))
+            F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
+            *([F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).alias("q")] if approx else []), F.max(x).alias("max")).alias(f"_s{i}"))
     stack = ", ".join(f"'{c}', _s{i}" for i, c in enumerate(cols))
     long = df.agg(*aggs).selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, s)")
+    if approx:
+        q = [F.col("s.q")[i] for i in range(3)]
+    else:
+        long = long.join(quantiles(df, cols, [0.25, 0.5, 0.75]), "column_name", "left")
+        q = [F.col(f"q{i}") for i in range(3)]
     return long.select(
         "column_name",
         F.col("s.count").alias("count"),
         rnd("s.mean", 2).alias("mean"), rnd("s.std", 2).alias("std"),
-        rnd("s.min", 2).alias("min"),
-        rnd(F.col("s.q")[0], 2).alias("p25"), rnd(F.col("s.q")[1], 2).alias("p50"),
-        rnd(F.col("s.q")[2], 2).alias("p75"), rnd("s.max", 2).alias("max"))
+        rnd("s.min", 2).alias("min"), *[rnd(x, 2).alias(n) for x, n in zip(q, ("p25", "p50", "p75"))], rnd("s.max", 2).alias("max"))
 
 
 def null_counts(df: DataFrame) -> DataFrame:

@@ -1,28 +1,27 @@
 """Preparation: time split, median imputer, label encoder, population scaler,
 feature assembly (C3-C11, P16, P19, A15, A18).
 
-Fitting is a handful of global aggregates over the *training* rows; the fitted
-statistics are tiny (a number per column, a sorted label list per category)
-and come back to the driver once, then are applied as literal column
-expressions -- no join, no shuffle when transforming train, test or new files.
+Fitting is a handful of aggregates over the *training* rows. A number per
+column (median, mean, deviation) comes back to the driver once and is applied
+as a literal; the encoder is a stored table, joined by value, of any size.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelsight.functions.scalars import encode_target, quarter_key
+from panelsight.operators.ranks import quantiles, running_total
 from panelsight.schema import (
     CATEGORICAL_FEATURES, DEFAULT_CUTOFF, FEATURE_COLS, IMPUTE_COLS, NUMERIC_FEATURES,
     TARGET_COL,
 )
-
-MAX_CATEGORY_LABELS = 100_000  # encoder label lists are driver-side; refuse absurd cardinality
+from panelsight.sources.stored import materialize
 
 
 def _key_of(label: str) -> int:
@@ -63,49 +62,41 @@ def label_split(df: DataFrame, cutoff: str = DEFAULT_CUTOFF) -> DataFrame:
 
 @dataclass
 class PrepStats:
-    """Fitted preparation state (C3, C5, C9), JSON-serialisable."""
+    """Fitted preparation state (C3, C5, C9): numbers by column as JSON, the encoder as a table."""
     medians: dict = field(default_factory=dict)
-    labels: dict = field(default_factory=dict)
     means: dict = field(default_factory=dict)
     stds: dict = field(default_factory=dict)
     features: list = field(default_factory=lambda: list(FEATURE_COLS))
+    encoder: DataFrame | None = None
 
     def to_json(self) -> str:
-        return json.dumps(asdict(self), sort_keys=True)
+        return json.dumps({k: getattr(self, k) for k in ("medians", "means", "stds", "features")}, sort_keys=True)
 
     @classmethod
-    def from_json(cls, s: str) -> "PrepStats":
-        return cls(**json.loads(s))
+    def from_json(cls, s: str, encoder: DataFrame) -> "PrepStats":
+        return cls(**json.loads(s), encoder=encoder)
 
 
 # --- C3 / C4: median imputer ---------------------------------------------------
 
-def _median(c: str, approx: bool):
-    x = F.col(c).cast("double")
-    return F.percentile_approx(x, 0.5, 100_000) if approx else F.median(x)
-
-
 def fit_median_imputer(train: DataFrame, cols: list[str] = IMPUTE_COLS, approx: bool = False) -> dict:
-    """Exact median of each column on the training rows (one aggregate).
+    """Exact median of each column on the training rows.
 
-    Spark's ``median`` keeps a count per distinct value and merges partial
-    states, so the work is distributed; the panel measures have a bounded set
-    of distinct values (rounded, clipped). ``approx=True`` uses a bounded
-    quantile sketch instead, for columns with an unbounded value domain.
+    ``approx=True`` uses a quantile sketch in one pass instead.
     """
     cols = [c for c in cols if c in train.columns]
     if not cols:
         return {}
-    row = train.agg(*[_median(c, approx).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+    if approx:
+        row = train.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 100_000).alias(c) for c in cols]).first()
+        return {c: row[c] for c in cols}
+    found = {r["column_name"]: r["median"] for r in median_table(train, cols).collect()}  # a row for each column
+    return {c: found.get(c) for c in cols}
 
 
 def median_table(train: DataFrame, cols: list[str] = IMPUTE_COLS) -> DataFrame:
-    """C3 as a DataFrame (column_name, median) for reports and oracles."""
-    cols = [c for c in cols if c in train.columns]
-    stack = ", ".join(f"'{c}', m{i}" for i, c in enumerate(cols))
-    return (train.agg(*[F.median(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)])
-            .selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, median)"))
+    """C3 as a DataFrame (column_name, median)."""
+    return quantiles(train, [c for c in cols if c in train.columns], [0.5]).select("column_name", F.col("q0").alias("median"))
 
 
 def apply_median_imputer(df: DataFrame, medians: dict) -> DataFrame:
@@ -121,56 +112,41 @@ def _cat(c: str):
     return F.coalesce(F.col(c).cast("string"), F.lit("nan"))
 
 
-def fit_label_encoder(train: DataFrame, cols: list[str] = CATEGORICAL_FEATURES) -> dict:
-    """Sorted distinct values per column (NULL becomes the text ``nan``).
+def fit_label_encoder(train: DataFrame, cols: list[str] = CATEGORICAL_FEATURES) -> DataFrame:
+    """(column_name, value, code), codes in the order of the values (NULL is the text ``nan``), as a stored table.
 
-    One aggregate computes every column's distinct set (``collect_set`` is a
-    partial aggregate; its state is bounded by the category cardinality).
+    Distinct values are ranked over sorted ranges: any number of categories,
+    none of them on the driver.
     """
     cols = [c for c in cols if c in train.columns]
-    row = train.agg(*[F.array_sort(F.collect_set(_cat(c))).alias(c) for c in cols]).first()
-    out = {}
-    for c in cols:
-        vals = list(row[c] or [])
-        if len(vals) > MAX_CATEGORY_LABELS:
-            raise ValueError(f"{c}: {len(vals)} categories exceed the encoder limit")
-        out[c] = vals
-    return out
-
-
-def encoder_table(train: DataFrame, cols: list[str] = CATEGORICAL_FEATURES) -> DataFrame:
-    """C5 as a DataFrame (column_name, value, code) computed fully in Spark."""
-    from pyspark.sql import Window
-    parts = [train.select(F.lit(c).alias("column_name"), _cat(c).alias("value")).distinct()
-             for c in cols if c in train.columns]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    w = Window.partitionBy("column_name").orderBy("value")
-    return u.withColumn("code", (F.dense_rank().over(w) - 1).cast("int"))
+    pairs = ", ".join(f"'{c}', coalesce(CAST(`{c}` AS STRING), 'nan')" for c in cols)
+    values = train.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, value)").distinct().withColumn("n", F.lit(1))
+    ranked = running_total(values, ["column_name"], ["value"], "n")
+    return materialize(ranked.select("column_name", "value", F.col("before").cast("int").alias("code")), "encoder")[0]
 
 
-def apply_label_encoder(df: DataFrame, labels: dict, unseen: str = "error") -> DataFrame:
-    """Value -> code via a literal map.
+def apply_label_encoder(df: DataFrame, encoder: DataFrame, unseen: str = "error",
+                        cols: list[str] = CATEGORICAL_FEATURES) -> DataFrame:
+    """Value -> code by a join with the encoder's table.
 
     ``unseen='error'`` fails the job on a value the encoder never saw (C6);
     ``unseen='zero'`` maps it to 0 (C7, scoring path).
     """
-    exprs = {}
-    for c, vals in labels.items():
+    for c in cols:
         if c not in df.columns:
             if unseen == "zero":
-                exprs[f"{c}_enc"] = F.lit(0)
+                df = df.withColumn(f"{c}_enc", F.lit(0))
                 continue
             raise ValueError(f"column {c} missing for encoding")
-        m = F.create_map(*[x for i, v in enumerate(vals) for x in (F.lit(v), F.lit(i))])
-        code = F.try_element_at(m, _cat(c))
+        codes = encoder.where(F.col("column_name") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        df = df.join(codes, _cat(c) == F.col("_value"), "left")
         if unseen == "zero":
-            exprs[f"{c}_enc"] = F.coalesce(code, F.lit(0))
+            code = F.coalesce("_code", F.lit(0))
         else:
-            exprs[f"{c}_enc"] = F.when(code.isNull(), F.raise_error(
-                F.concat(F.lit(f"unseen value in {c}: "), _cat(c)))).otherwise(code).cast("int")
-    return df.withColumns(exprs)
+            code = F.when(F.col("_code").isNull(), F.raise_error(
+                F.concat(F.lit(f"unseen value in {c}: "), _cat(c)))).otherwise(F.col("_code")).cast("int")
+        df = df.withColumn(f"{c}_enc", code).drop("_value", "_code")
+    return df
 
 
 # --- C9 / C10: population-std scaler ------------------------------------------------
@@ -235,40 +211,22 @@ def assemble(df: DataFrame, stats: PrepStats, out: str = "features") -> DataFram
 
 # --- C11: full preparation ------------------------------------------------------------
 
-def fit_median_and_labels(train: DataFrame, impute_cols: list[str] = IMPUTE_COLS,
-                          cat_cols: list[str] = CATEGORICAL_FEATURES,
-                          approx: bool = False) -> tuple[dict, dict]:
-    """C3 + C5 in a single aggregation pass over the training rows."""
-    icols = [c for c in impute_cols if c in train.columns]
-    ccols = [c for c in cat_cols if c in train.columns]
-    row = train.agg(*[_median(c, approx).alias(f"m_{c}") for c in icols],
-                    *[F.array_sort(F.collect_set(_cat(c))).alias(f"l_{c}") for c in ccols]).first()
-    labels = {}
-    for c in ccols:
-        vals = list(row[f"l_{c}"] or [])
-        if len(vals) > MAX_CATEGORY_LABELS:
-            raise ValueError(f"{c}: {len(vals)} categories exceed the encoder limit")
-        labels[c] = vals
-    return {c: row[f"m_{c}"] for c in icols}, labels
-
-
 def fit_prep(train_clean: DataFrame, approx_median: bool = False) -> PrepStats:
-    """Fit imputer, encoder and scaler on the cleaned training rows only
-    (two aggregation passes: medians + label sets, then mean/std).
+    """Fit imputer, encoder and scaler on the cleaned training rows only.
     ``approx_median=True`` uses a quantile sketch for the medians."""
-    medians, labels = fit_median_and_labels(train_clean, approx=approx_median)
-    imputed = apply_median_imputer(train_clean, medians)
-    encoded = apply_label_encoder(imputed, labels)
+    medians = fit_median_imputer(train_clean, approx=approx_median)
+    encoder = fit_label_encoder(train_clean)
+    encoded = apply_label_encoder(apply_median_imputer(train_clean, medians), encoder)
     features = [c for c in FEATURE_COLS if c in encoded.columns]
     means, stds = fit_standard_scaler(encoded, features)
-    return PrepStats(medians=medians, labels=labels, means=means, stds=stds, features=features)
+    return PrepStats(medians=medians, means=means, stds=stds, features=features, encoder=encoder)
 
 
 def transform_prep(df: DataFrame, stats: PrepStats, unseen: str = "error",
                    vector: bool = True) -> DataFrame:
     """Apply C4 -> C6 -> C10 (-> P19) and the target label (P10)."""
     out = apply_median_imputer(df, stats.medians)
-    out = apply_label_encoder(out, stats.labels, unseen=unseen)
+    out = apply_label_encoder(out, stats.encoder, unseen=unseen)
     out = apply_standard_scaler(out, stats.means, stats.stds)
     if TARGET_COL in out.columns:
         out = out.withColumn("label", encode_target(TARGET_COL).cast("double"))
@@ -303,10 +261,3 @@ def _all():
     from pyspark.sql import Window
     # only ever applied to an aggregated frame (one row per class)
     return Window.partitionBy()
-
-
-def with_class_weights(train: DataFrame, label_col: str = "label", weight_col: str = "weight") -> DataFrame:
-    """Attach A18 weights to the rows. The weight table has one row per class
-    (at most 3), so it is broadcast."""
-    w = balanced_class_weights(train, label_col).select(label_col, F.col("weight").alias(weight_col))
-    return train.join(F.broadcast(w), label_col, "left")

@@ -16,6 +16,7 @@ from panelsight.operators import decisions as D
 from panelsight.operators import fairness as FA
 from panelsight.operators import models as MD
 from panelsight.operators import prep as P
+from panelsight.sources.stored import materialize
 from panelsight.sources.stored import stored_clean_panel as _stored_clean
 
 
@@ -31,10 +32,10 @@ def run_pipeline(spark: SparkSession, sf_dir: str, cutoff: str = "2000-Q1",
     clean = stored_clean_panel(spark, sf_dir)
     train, test = P.time_split(clean, cutoff)
     stats = P.fit_prep(train)
-    tr = P.transform_prep(train, stats).cache()
-    te = P.transform_prep(test, stats).cache()
+    tr = materialize(P.transform_prep(train, stats), "train")[0]
+    te = materialize(P.transform_prep(test, stats), "test")[0]
     fitted, comparison, best = MD.train_and_compare(tr, te, params, models)
-    scored = MD.predict(fitted[best], te)
+    scored = materialize(MD.predict(fitted[best], te), "scored")[0]  # scored once: decisions and audits read it
     report = D.decision_report(scored)
     fair = FA.fairness_report(scored, "prediction", reference)
     return {"clean": clean, "stats": stats, "train": tr, "test": te, "models": fitted,

@@ -65,15 +65,36 @@ def q_clean_panel(spark, sf_dir):
     return C.clean_panel(load_panel(spark, sf_dir))
 
 
+def review_feed(spark, sf_dir):
+    """The panel as a feed with an ingest order: every fifth review comes three
+    times, later copies have other hours, and of every second employee's the
+    first copy lacks the target. Which rows these are follows from the keys."""
+    number, quarter = F.substring("employee_id", 4, 20).cast("long"), F.col("review_year") * 4 + F.col("review_quarter")
+    again = (7 * number + quarter) % 5 == 0
+    once = C.dedup_reviews(raw_panel(spark, sf_dir))
+    feed = once.select("*", again.alias("_again"), F.explode(F.sequence(F.lit(1), F.when(again, 3).otherwise(1))).alias("ingest"))
+    lacks = F.col("_again") & (number % 2 == 0) & (F.col("ingest") == 1)
+    return feed.withColumns({
+        "training_hours": F.col("training_hours") + F.col("ingest") - 1,
+        "performance_band": F.when(~lacks, F.col("performance_band"))}).drop("_again")
+
+
 @register("clean_counts")
 def q_clean_counts(spark, sf_dir):
     """C2 counts: rows before cleaning, after dedup, after dropping a missing target."""
-    return C.clean_counts(raw_panel(spark, sf_dir))
+    return C.clean_counts(review_feed(spark, sf_dir), "ingest")
 
 
 @register("dedup_reviews")
 def q_dedup(spark, sf_dir):
-    return C.dedup_reviews(raw_panel(spark, sf_dir))
+    """Of copies that differ the first by ingest order stays."""
+    return C.dedup_reviews(review_feed(spark, sf_dir), order_col="ingest")
+
+
+@register("clean_feed")
+def q_clean_feed(spark, sf_dir):
+    """C2 on the feed: a review whose first copy lacks the target goes, though later copies have it."""
+    return C.clean_panel(review_feed(spark, sf_dir), order_col="ingest")
 
 
 # --- insights ------------------------------------------------------------------
@@ -167,12 +188,16 @@ def q_tenure(spark, sf_dir):
 @register("numeric_coerce")
 def q_numeric_coerce(spark, sf_dir):
     p = C.string_typed(raw_panel(spark, sf_dir))
+    hours = F.col("training_hours")  # cells of a CSV that are no numbers, or padded
+    p = p.withColumn("training_hours", F.when(F.col("employee_id").endswith("3"), F.lit("n/a"))
+                     .when(F.col("employee_id").endswith("4"), F.concat(F.lit(" "), hours, F.lit(" ")))
+                     .when(F.col("employee_id").endswith("5"), F.lit("NaN")).otherwise(hours))
     return C.numeric_coerce(p).select("employee_id", "quarter_label", *[c for c in C.COERCE_COLS])
 
 
 @register("drop_missing_target")
 def q_drop_missing(spark, sf_dir):
-    return C.drop_missing_target(raw_panel(spark, sf_dir))
+    return C.drop_missing_target(review_feed(spark, sf_dir))
 
 
 @register("encode_target")
@@ -238,7 +263,7 @@ def q_apply_median(spark, sf_dir):
 @register("fit_label_encoder")
 def q_fit_encoder(spark, sf_dir):
     train, _ = split_frames(spark, sf_dir)
-    return P.encoder_table(train)
+    return P.fit_label_encoder(train)
 
 
 @register("apply_label_encoder")
@@ -587,7 +612,10 @@ def employees(spark, sf_dir):
 @register("densify_panel")
 def q_densify(spark, sf_dir):
     from panelsight.sources.panel import densify_panel
-    return densify_panel(clean_panel(spark, sf_dir), employees(spark, sf_dir))
+    # of every employee each third review is missing
+    quarter = F.col("review_year") * 4 + F.col("review_quarter")
+    gaps = (F.substring("employee_id", 4, 20).cast("long") + quarter) % 3 == 0
+    return densify_panel(clean_panel(spark, sf_dir).where(~gaps), employees(spark, sf_dir))
 
 
 @register("attach_decisions")

@@ -31,7 +31,7 @@ def _typed(df: DataFrame, schema) -> DataFrame:
     return df.select(*cols)
 
 
-CSV = {"header": True, "emptyValue": "", "nullValue": "\\N"}  # an empty text is nothing, a NULL is \\N
+CSV = {"header": True, "nullValue": "\\N"}  # an empty text is a quoted nothing, a NULL is \\N
 
 
 def read_panel_csv(spark: SparkSession, path: str) -> DataFrame:

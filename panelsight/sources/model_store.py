@@ -2,8 +2,8 @@
 
 A bundle is a folder with the Spark ML model (its own ``write().save``) and a
 one-line JSON ``meta`` (model kind, classes seen in training, preparation
-statistics, ordered feature names) written through Spark, so the bundle lives
-on the same shared file system as the data.
+statistics, ordered feature names) and the encoder's table, all written through
+Spark, so the bundle lives on the same shared file system as the data.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ def save_bundle(spark: SparkSession, fm: FittedModel, stats: PrepStats, path: st
             "features": stats.features, "kind": type(fm.model).__name__}
     spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "value string") \
         .coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+    stats.encoder.write.mode("overwrite").parquet(f"{path}/encoder")
     return path
 
 
@@ -38,7 +39,8 @@ def load_bundle(spark: SparkSession, path: str) -> tuple[FittedModel, PrepStats]
              "RandomForestClassificationModel": RandomForestClassificationModel}
     meta = read_meta(spark, path)
     model = kinds[meta["kind"]].load(f"{path.rstrip('/')}/model")
-    return FittedModel(meta["name"], model, meta["classes"]), PrepStats(**meta["stats"])
+    encoder = spark.read.parquet(f"{path.rstrip('/')}/encoder")
+    return FittedModel(meta["name"], model, meta["classes"]), PrepStats(**meta["stats"], encoder=encoder)
 
 
 def feature_manifest(spark: SparkSession, path: str) -> list[str]:

@@ -44,5 +44,10 @@ def test_model_comparison_is_one_shuffle(spark):
 
 
 def test_permutation_importance_has_no_join(spark):
-    plan = _plan(E.queries()["permutation_importance"](spark, SMALL))
+    from panelsight.operators import explain as X
+    from panelsight.plans import queries as Q
+    from panelsight.sources.stored import materialize
+    fm, stats, _, test = Q.fixed(spark, SMALL)
+    rows, _ = materialize(test.select("label", "features"), "plan-test")
+    plan = _plan(X.permutation_importance(fm, rows, stats.features))
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan and "ShuffledHashJoin" not in plan

@@ -190,7 +190,7 @@ def test_batch_id_alias_nulls_and_unseen_error(spark, prepared, lr):
     assert r.employee_id == "7" and r.predicted_band in ("Low", "Medium", "High")
     assert abs(sum(r.probs) - 1.0) < 1e-9
     with _pt.raises(Exception):
-        P.apply_label_encoder(df, stats.labels, unseen="error").collect()
+        P.apply_label_encoder(df, stats.encoder, unseen="error").collect()
 
 
 def test_panel_scan_prunes_and_pushes(spark):

@@ -8,6 +8,7 @@ from panelsight.functions.scalars import quarter_key
 from panelsight.operators.joins import sized_broadcast
 from panelsight.operators import insights as I
 from panelsight.operators import prep as P
+from panelsight.operators.ranks import quantiles
 from panelsight.schema import PANEL_SCHEMA
 from panelsight.sources.panel import densify_panel
 
@@ -86,3 +87,25 @@ def test_prep_with_approximate_medians(spark):
         lo, hi = train.agg(F.min(c), F.max(c)).first()
         assert lo <= approx.medians[c] <= hi
         assert abs(approx.medians[c] - m) <= (hi - lo) * 0.1
+
+
+def test_encoder_of_many_categories(spark):
+    """200 000 categories: codes follow the sorted values, and no task holds them all."""
+    df = spark.range(400_000).selectExpr("concat('v', lpad(id % 200000, 7, '0')) AS role", "IF(id = 0, NULL, 'x') AS department", "'e' AS education")
+    encoder = P.fit_label_encoder(df)
+    r = encoder.where("column_name = 'role'").agg(F.count("*"), F.min("code"), F.max("code"), F.count_if(F.expr("code <> cast(substr(value, 2) AS int)"))).first()
+    assert tuple(r) == (200_000, 0, 199_999, 0)
+    assert {(x.value, x.code) for x in encoder.where("column_name = 'department'").collect()} == {("nan", 0), ("x", 1)}
+    out = P.apply_label_encoder(df.limit(100), encoder)
+    assert out.where("role_enc <> cast(substr(role, 2) AS int)").count() == 0
+
+
+def test_quantiles_over_ranges(spark):
+    import numpy as np
+    rng = np.random.default_rng(0)
+    x = np.round(rng.normal(size=5000), 2)
+    df = spark.createDataFrame([(float(v), None if i % 3 else float(i)) for i, v in enumerate(x)], "a double, b double")
+    got = {r.column_name: r for r in quantiles(df, ["a", "b"], [0.0, 0.25, 0.5, 0.9, 1.0]).collect()}
+    for c, v in (("a", x), ("b", np.arange(0, 5000, 3.0))):
+        assert np.allclose([got[c][f"q{i}"] for i in range(5)], np.quantile(v, [0, 0.25, 0.5, 0.9, 1]), rtol=1e-12)
+    assert quantiles(df.limit(0), ["a"], [0.5]).count() == 0
