@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from panelsight.functions.scalars import quarter_key, rnd
 from panelsight.operators.ranks import quantiles
+from panelsight.sources.stored import materialize
 from panelsight.operators.joins import sized_broadcast
 from panelsight.schema import BAND_DISPLAY_ORDER, TARGET_COL
 
@@ -218,8 +219,8 @@ def feature_histogram(df: DataFrame, cols: list[str] = HIST_FEATURES, bins: int
            .agg(F.min("value").alias("vmin"), F.max("value").alias("vmax"), F.count(F.lit(1)).alias("n_group"))
            .withColumn("lo", F.when(F.col("vmin") == F.col("vmax"), F.col("vmin") - 0.5).otherwise(F.col("vmin")))
            .withColumn("hi", F.when(F.col("vmin") == F.col("vmax"), F.col("vmax") + 0.5).otherwise(F.col("vmax")))
-           .withColumn("width", (F.col("hi") - F.col("lo")) / bins)
-           .cache())  # tiny; the size check below materialises it once for both uses
+           .withColumn("width", (F.col("hi") - F.col("lo")) / bins))
+    rng = materialize(rng, "ranges")[0]  # one row per group, for the size check and both uses
     # one row per (feature, band): broadcast after a size check -- a shuffle
     # join on this key would send each group's values to a single task
     ranges = sized_broadcast(rng.select("feature", "band", "lo", "width"))

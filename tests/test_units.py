@@ -57,8 +57,8 @@ def test_time_split_loses_no_row(spark):
 
 def test_sized_broadcast_checks_size(spark):
     small = spark.range(10)
-    hinted = sized_broadcast(small, max_rows=10)
-    plain = sized_broadcast(small, max_rows=9)
+    hinted = sized_broadcast(small, max_bytes=80)
+    plain = sized_broadcast(small, max_bytes=79)
     big = spark.range(1000)
     j1 = big.join(hinted, "id")._jdf.queryExecution().optimizedPlan().toString()
     j2 = big.join(plain, "id")._jdf.queryExecution().optimizedPlan().toString()
