@@ -51,7 +51,7 @@ def prefix_sums(values: np.ndarray) -> np.ndarray:
 
 
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and row offsets of a binary column; nulls are empty."""
+    """Bytes and row offsets of a binary or text column; nulls are empty."""
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
@@ -61,7 +61,7 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, off - off[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the texts of each come to about ``most`` bytes; a longer text stands alone."""
     for batch in batches:
         lengths = np.diff(raw(batch.column(column))[1])

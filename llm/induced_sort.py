@@ -42,28 +42,31 @@ class Queues:
         self.file = self.file or tempfile.TemporaryFile()
         for parts in self.parts:
             for i, p in enumerate(parts):
-                if p and len(p) == 2:
+                if len(p) == 2:
                     at = self.file.seek(0, 2)
                     self.file.write(p[0].tobytes() + p[1].tobytes())
                     parts[i] = at, len(p[0]), p[0].dtype
         self.held = 0
 
     def take(self, q: int):
-        """The batches of a queue in order; those pushed meanwhile follow."""
-        parts = self.parts[q]
-        i = 0
-        while i < len(parts):
-            p, parts[i] = parts[i], None
-            i += 1
-            if len(p) == 2:
-                self.held -= p[0].nbytes + p[1].nbytes
-                yield p
-            else:
-                at, n, kind = p
-                self.file.seek(at)
-                pos = np.frombuffer(self.file.read(n * kind.itemsize), kind)
-                yield pos, np.frombuffer(self.file.read(n), np.uint8)
-        self.parts[q] = []
+        """The tuples of a queue in order, some CHUNK at a time; those pushed meanwhile follow."""
+        while self.parts[q]:
+            batch, size = [], 0
+            while size < CHUNK and len(batch) < len(self.parts[q]):
+                p = self._read(self.parts[q][len(batch)])
+                batch.append(p)
+                size += len(p[0])
+            del self.parts[q][: len(batch)]
+            yield tuple(np.concatenate(x) for x in zip(*batch))
+
+    def _read(self, p: tuple) -> tuple[np.ndarray, np.ndarray]:
+        if len(p) == 2:
+            self.held -= p[0].nbytes + p[1].nbytes
+            return p
+        at, n, kind = p
+        self.file.seek(at)
+        pos = np.frombuffer(self.file.read(n * kind.itemsize), kind)
+        return pos, np.frombuffer(self.file.read(n), np.uint8)
 
 
 def _minima(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:

@@ -8,10 +8,11 @@ have equal marks, so that shards of marks can be sorted apart.
    text) to mark shards, which return the marks that two documents have.
 2. Successive windows with one repeated mark make a string. Batches send each
    distinct string once, with the smallest id that has it, to its shard.
-3. Shards sort all suffixes of their strings by induced sorting with common
-   prefixes (``llm.induced_sort``, queues on disk beyond a memory budget).
-   Neighbours that share 50 bytes hold one window; its smallest id is known.
-   A bit for each window goes back: whether an id smaller than the string's is.
+3. A string whose mark no other string has shares no window with another. Of
+   the others shards sort all suffixes by induced sorting with common prefixes
+   (``llm.induced_sort``, queues on disk beyond a memory budget). Neighbours
+   that share 50 bytes hold one window; its smallest id is known. A bit for
+   each window goes back: whether an id smaller than the string's is.
 4. Batches cover the bytes of windows that a smaller document has.
 
 Texts are shuffled once: the three steps that read them use one exchange. A
@@ -28,6 +29,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +39,8 @@ from llm.induced_sort import suffix_array
 
 LENGTH, GRAM = 50, 20
 BATCH = 4 << 20  # bytes of text in a batch
-PIECE = 1 << 20  # windows hashed at once
-SORTED = 5 << 19  # bytes sorted at once; more only for the strings of one mark
+PIECE = 1 << 18  # windows hashed at once
+SORTED = 1 << 19  # bytes sorted at once; more only for the strings of one mark
 MEMORY = 64 << 20  # bytes of queues held in memory
 NO_ID = np.iinfo(np.int64).max
 
@@ -58,7 +60,7 @@ def _pieces(buf: np.ndarray, off: np.ndarray):
         pos = np.arange(a, a + len(m))
         r = row[a : a + len(m)]
         whole = off[r + 1] - pos >= LENGTH
-        yield pos[whole], r[whole], m[whole], h, a
+        yield pos[whole], r[whole], W.mix(m[whole]), h, a  # least hashes crowd at 0; mixed again, shards are even
 
 
 def _runs(pos, row, mark):
@@ -83,6 +85,14 @@ def _blob(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x).tobytes()
 
 
+def _squeezed(x: bytes) -> bytes:
+    return zstandard.compress(x, 1)
+
+
+def _unsqueezed(x: bytes) -> bytes:
+    return zstandard.decompress(x)
+
+
 def _ordered(t: pa.Table) -> pa.Table:
     return t.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
@@ -177,7 +187,7 @@ def _strings(count: int):
         for i in np.flatnonzero(np.diff(cut)):
             x = d[cut[i] : cut[i + 1]]
             data = b"".join(bufs[k][a : a + n].tobytes() for k, a, n in zip(s.slice[x].tolist(), s.start[x].tolist(), s.length[x].tolist()))
-            out.append((int(i), key[0].as_py(), data, _blob(s.length[x].astype(np.int32)), _blob(s.mark[x]), _blob(s.id[x])))
+            out.append((int(i), key[0].as_py(), _squeezed(data), _squeezed(_blob(s.length[x].astype(np.int32))), _blob(s.mark[x]), _squeezed(_blob(s.id[x]))))
         return pa.table([list(x) for x in zip(*out)] or [[]] * 6, schema=STRINGS)
     return run
 
@@ -207,9 +217,9 @@ def _sorted(t):
     mark: list[int] = []
     rows = []
     for data, lens, marks, owners in zip(*(t.column(c).to_pylist() for c in ("data", "lens", "marks", "owners"))):
-        a, which = 0, []
-        own = np.frombuffer(owners, np.int64)
-        for n, m, o in zip(np.frombuffer(lens, np.int32).tolist(), np.frombuffer(marks, np.uint64).tolist(), own.tolist()):
+        a, which, data = 0, [], _unsqueezed(data)
+        own = np.frombuffer(_unsqueezed(owners), np.int64)
+        for n, m, o in zip(np.frombuffer(_unsqueezed(lens), np.int32).tolist(), np.frombuffer(marks, np.uint64).tolist(), own.tolist()):
             k = strings.setdefault(data[a : a + n], len(ids))
             a += n
             if k == len(ids):
@@ -219,15 +229,19 @@ def _sorted(t):
                 ids[k] = min(ids[k], o)
             which.append(k)
         rows.append((which, own))
-    texts, least = list(strings), [np.zeros(0, np.int64)] * len(ids)
-    order = np.argsort(np.array(mark, np.uint64), kind="stable").tolist()
+    texts, of, owner = list(strings), np.array(mark, np.uint64), np.array(ids, np.int64)
+    order = np.argsort(of, kind="stable")
+    shared = np.zeros(len(of), bool)  # another string has the mark; else no other one has any of the windows
+    shared[1:] = of[order][1:] == of[order][:-1]
+    shared[:-1] |= shared[1:]
+    least = {k: np.full(len(texts[k]) - LENGTH + 1, ids[k]) for k in order[~shared].tolist()}
+    order = order[shared].tolist()
     part, held = [], 0
     for j, k in enumerate(order):
         part.append(k)
         held += len(texts[k])
         if j + 1 == len(order) or (held > SORTED and mark[order[j + 1]] != mark[k]):  # equal windows have equal marks
-            for k, x in zip(part, _smaller([texts[k] for k in part], np.array([ids[k] for k in part], np.int64), MEMORY)):
-                least[k] = x
+            least.update(zip(part, _smaller([texts[k] for k in part], owner[part], MEMORY)))
             part, held = [], 0
     bits = [_blob(np.packbits(np.concatenate([least[k] < o for k, o in zip(which, own.tolist())]))) for which, own in rows]
     return pa.table([t.column("shard").to_pylist(), t.column("batch").to_pylist(), t.column("marks").to_pylist(), bits], schema=BITS)
