@@ -12,7 +12,7 @@ from __future__ import annotations
 
 def rnd(x: str, k: int) -> str:
     s = f"{10 ** k}e0"
-    return f"(floor(({x}) * {s} + 0.5e0) / {s})"
+    return f"(sign({x}) * floor(abs({x}) * {s} + 0.5e0) / {s})"
 
 
 def clip(x: str, lo: str, hi: str) -> str:
@@ -545,9 +545,6 @@ ORACLES["bias_detected"] = with_panel(
     "SELECT coalesce(bool_or(bias_flag = 'INVESTIGATE'), false) AS bias_detected FROM aud3", GRP)
 ORACLES["fairness_chart_data"] = with_panel(
     "SELECT group_name, predicted_high_pct, actual_high_pct FROM aud3", GRP)
-ORACLES["sort_reports"] = with_panel(
-    "SELECT CAST(row_number() OVER (ORDER BY predicted_high_pct DESC, group_name) AS INTEGER) AS pos, "
-    "group_name, predicted_high_pct FROM aud3", GRP)
 ORACLES["audit_by_experience"] = with_panel(f"""
 SELECT experience_tier, count(*) AS n_employees,
   {rnd('avg(CASE WHEN prediction = 2 THEN 1 ELSE 0 END) * 100.0e0', 1)} AS predicted_high_pct,
@@ -697,7 +694,7 @@ ORACLES["predict"] = with_panel(
     f"SELECT employee_id, quarter_label, CAST(prediction AS INTEGER) AS prediction, {_band} AS predicted_band, "
     f"{rnd('p0', 6)} AS p_low, {rnd('p1', 6)} AS p_medium, {rnd('p2', 6)} AS p_high FROM fp", FIXED)
 ORACLES["confidence_pct"] = with_panel(
-    f"SELECT employee_id, quarter_label, {rnd(f'{_best} * 100', 1)} AS confidence_pct FROM fp", FIXED)
+    f"SELECT employee_id, quarter_label, round_even({_best} * 100, 1) AS confidence_pct FROM fp", FIXED)
 ORACLES["argmax_class"] = with_panel(
     "SELECT employee_id, quarter_label, CAST(prediction AS INTEGER) AS argmax_class FROM fp", FIXED)
 ORACLES["probability_breakdown"] = with_panel(
@@ -734,3 +731,9 @@ _inputs = ", ".join(["employee_id"] + [f"CAST({c} AS DOUBLE) AS {c}" for c in FE
 ORACLES["score_batch"] = with_panel(
     f"SELECT {_inputs}, predicted_band, confidence_pct, training_needed, promotion_ready, retention_risk, priority FROM dec", SCORED)
 ORACLES["sink_scored_csv"] = ORACLES["score_batch"]
+_DEPARTMENTS = with_panel("SELECT group_name, predicted_high_pct FROM aud3", GRP)
+ORACLES["sort_reports"] = f"""
+SELECT 'departments' AS report, CAST(row_number() OVER (ORDER BY predicted_high_pct DESC, group_name) AS INTEGER) AS pos,
+  group_name AS name, predicted_high_pct AS value FROM ({_DEPARTMENTS})
+UNION ALL SELECT 'parity', CAST(row_number() OVER (ORDER BY spd, group_name) AS INTEGER), group_name, spd FROM ({ORACLES["statistical_parity"]})
+UNION ALL SELECT 'importance', CAST(row_number() OVER (ORDER BY in_data DESC, feature) AS INTEGER), feature, in_data FROM ({ORACLES["linear_importance"]})"""

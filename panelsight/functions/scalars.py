@@ -17,13 +17,13 @@ def _c(x) -> Column:
 
 
 def rnd(x, k: int) -> Column:
-    """Half-up rounding on the binary value: floor(x*10^k + 0.5) / 10^k.
+    """Rounding half away from zero on the binary value: sign(x) * floor(|x|*10^k + 0.5) / 10^k.
 
     Unlike ``F.round`` (half-up on the shortest decimal text) this gives the
     same double in any engine that follows IEEE arithmetic.
     """
     scale = float(10 ** k)
-    return (F.floor(_c(x) * scale + 0.5) / scale).cast("double")
+    return (F.signum(_c(x)) * F.floor(F.abs(_c(x)) * scale + 0.5) / scale).cast("double")
 
 
 def clip(x, lo, hi) -> Column:
@@ -117,8 +117,8 @@ def decode_band(label) -> Column:
 
 
 def confidence_pct(probs) -> Column:
-    """Max class probability x 100, 1 dp (probs is ARRAY<DOUBLE>)."""
-    return rnd(F.array_max(_c(probs)) * 100, 1)
+    """Max class probability x 100, 1 dp half-even (probs is ARRAY<DOUBLE>)."""
+    return F.bround(F.array_max(_c(probs)) * 100, 1)
 
 
 def argmax_class(probs) -> Column:

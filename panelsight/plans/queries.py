@@ -587,12 +587,18 @@ def q_fair_chart(spark, sf_dir):
 
 @register("sort_reports")
 def q_sort_reports(spark, sf_dir):
-    """Report order (selection rate desc, name tie-break) as a position
-    column; the keyless window runs over the aggregated groups only."""
+    """The orders of the reports (selection rate falling, parity difference
+    rising, importance falling; names break ties) as a position column. The
+    keyless windows run over aggregated groups only."""
     from pyspark.sql import Window
-    a = FA.audit_by_group(_pseudo_scored(spark, sf_dir))
-    w = Window.orderBy(F.col("predicted_high_pct").desc(), "group_name")
-    return a.select(F.row_number().over(w).alias("pos"), "group_name", "predicted_high_pct")
+
+    def ordered(report, df, name, value, order):
+        pos = F.row_number().over(Window.orderBy(order, name)).alias("pos")
+        return df.select(F.lit(report).alias("report"), pos, F.col(name).alias("name"), F.col(value).alias("value"))
+
+    return (ordered("departments", FA.audit_by_group(_pseudo_scored(spark, sf_dir)), "group_name", "predicted_high_pct", F.desc("predicted_high_pct"))
+            .unionByName(ordered("parity", REGISTRY["statistical_parity"](spark, sf_dir), "group_name", "spd", F.asc("spd")))
+            .unionByName(ordered("importance", REGISTRY["linear_importance"](spark, sf_dir), "feature", "in_data", F.desc("in_data"))))
 
 
 # --- joins ----------------------------------------------------------------------------

@@ -46,7 +46,9 @@ def write_panel(df: DataFrame, path: str, fmt: str = "parquet", partition_by: st
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:
-        (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+        if partition_by:  # a few files for each value, not one from every task
+            w = df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by)
+        w.parquet(path)
 
 
 def write_report(df: DataFrame, name: str, out_dir: str) -> str:

@@ -11,7 +11,6 @@ rebuilding the panel in several branches of its plan.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from panelsight.session import input_stamp, remove, work_dir
 
@@ -19,28 +18,20 @@ _STORE: dict = {}
 
 
 INPUTS = ("lineitem", "supplier", "nation", "region")
-ROWS_PER_FILE = 2_000_000  # of a year's rows in the stored copy
 
 
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` as parquet under the shared checkpoint folder; the copy and its path.
 
-    With ``partition_by`` rows are dealt by that column and a salt sized by
-    the row count, so that each value has a few large files.
+    With ``partition_by`` rows are first rebalanced by that column, so that
+    each value has a few files of the session's advisory partition size.
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
-    w = df
     if partition_by:
-        plain = work_dir(spark, f"{name}-rows")
-        df.write.parquet(plain)
-        w = spark.read.schema(df.schema).parquet(plain)
-        salts = w.count() // ROWS_PER_FILE + 1
-        w = w.repartition(F.col(partition_by), F.pmod(F.xxhash64(*w.columns), F.lit(salts)))
-    w = w.write.mode("overwrite")
-    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
-    if partition_by:
-        remove(spark, plain)
+        df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path).select(*df.columns), path
 
 

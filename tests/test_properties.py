@@ -229,3 +229,64 @@ def test_donors_are_a_rearrangement_of_the_rows(prepared, monkeypatch):
         assert one.select("x").exceptAll(one.select("donor")).count() == 0
         assert one.count() == test.count()
         assert one.where("x <> donor").count() > 0.9 * test.count()
+
+
+def test_forest_does_not_depend_on_input_partitions(prepared, monkeypatch):
+    """Bagging draws per partition; partitions follow from the rows alone."""
+    train, test, _ = prepared
+    monkeypatch.setattr(MD, "ROWS_PER_PARTITION", 400)
+    params = MD.TrainParams(rf_trees=8)
+    probs = []
+    for k in (1, 5):
+        fm = MD.train_random_forest(train.repartition(k), params)
+        probs.append([[round(p, 9) for p in r.probs] for r in MD.predict(fm, test).orderBy("employee_id", "quarter_label").collect()])
+    assert probs[0] == probs[1]
+
+
+def test_logistic_regression_is_at_its_optimum(prepared):
+    """The gradient of C * sum(w * loss) + |b|^2 / 2 vanishes at the fitted coefficients."""
+    import numpy as np
+    train, _, _ = prepared
+    fm = MD.train_logreg(train)
+    rows = train.select(F.col("label").cast("int"), "features").collect()
+    y, x = np.array([r[0] for r in rows]), np.array([r[1].toArray() for r in rows])
+    counts = np.bincount(y, minlength=3)
+    weights = (len(y) / ((counts > 0).sum() * np.maximum(counts, 1)))[y]
+    b, a = fm.model.coefficientMatrix.toArray(), fm.model.interceptVector.toArray()
+    z = x @ b.T + a
+    p = np.exp(z - z.max(1, keepdims=True))
+    p /= p.sum(1, keepdims=True)
+    error = (p - np.eye(3)[y]) * weights[:, None]
+    assert np.abs(error.T @ x + b).max() < 0.02 * len(y) ** 0.5
+    assert np.abs(error.sum(0)).max() < 0.02 * len(y) ** 0.5
+
+
+def test_score_one_explains_the_model(spark, prepared, lr):
+    from panelsight.operators import scoring as SC
+    _, _, stats = prepared
+    record = {"employee_id": "E1", "age": 30, "experience_years": 4, "salary": 50000, "training_hours": 12.0, "attendance_rate": 0.9,
+              "overtime_hours": 5.0, "projects_completed": 3, "manager_rating": 3.0, "peer_score": 3.0, "goal_achievement_pct": 40.0,
+              "department": "ASIA", "education": "Bachelors", "role": "CHINA"}
+    r = SC.score_one(spark, record, lr, stats).first()
+    assert abs(sum(r.probabilities.values()) - 1) < 0.01 and r.predicted_band in r.probabilities
+    assert r.summary.startswith(f"band={r.predicted_band}; confidence={r.confidence_pct}")
+    k = int(r.prediction)
+    x, w = r.features.toArray(), lr.model.coefficientMatrix.toArray()[k]
+    best = max(range(len(x)), key=lambda j: x[j] * w[j])
+    assert r.strengths_arr[0].startswith(f"raises:{stats.features[best]}=")
+    report = SC.scored_report(SC.score_batch(spark.createDataFrame([record]), lr, stats), list(record))
+    assert set(record) <= set(report.columns)
+
+
+def test_outputs_and_command_line(spark, tmp_path, monkeypatch, capsys):
+    import json
+    from panelsight.plans import pipeline
+    monkeypatch.setattr(pipeline.MD, "TrainParams", lambda: FAST)
+    pipeline.main(["--sf-dir", SMALL, "--out", str(tmp_path), "--models", "logistic_regression"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["best"] == "logistic_regression"
+    for name in ("decisions", "model_comparison", "feature_importance", "fairness_department", "permutation_importance"):
+        assert spark.read.option("header", True).csv(out["outputs"][name]).count() > 0, name
+    from panelsight.sources import model_store as MS
+    fm, stats = MS.load_bundle(spark, out["outputs"]["model:best"])
+    assert stats.encoder.count() > 0 and fm.classes

@@ -109,3 +109,23 @@ def test_quantiles_over_ranges(spark):
     for c, v in (("a", x), ("b", np.arange(0, 5000, 3.0))):
         assert np.allclose([got[c][f"q{i}"] for i in range(5)], np.quantile(v, [0, 0.25, 0.5, 0.9, 1]), rtol=1e-12)
     assert quantiles(df.limit(0), ["a"], [0.5]).count() == 0
+
+
+def test_session_without_a_configured_folder(tmp_path):
+    """An empty Spark conf folder: a local session has a folder of its own; on a cluster that is an error."""
+    import os
+    import subprocess
+    import sys
+    code = ("from panelsight.session import get_spark, ensure_checkpoint_dir, work_dir\n"
+            "from panelsight.plans.queries import REGISTRY\n"
+            "s = get_spark('local[2]', 2)\n"
+            "assert s.conf.get('spark.checkpoint.dir', None) is None\n"
+            "print('rows', REGISTRY['time_split'](s, '/root/testdata/sf0.001').count(), work_dir(s, 'x'))\n"
+            "class Cluster:\n"
+            "    conf = s.conf\n"
+            "    class sparkContext: master = 'spark://host:7077'\n"
+            "try: ensure_checkpoint_dir(Cluster)\n"
+            "except RuntimeError as e: print('refused', e)\n")
+    env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 280" in out.stdout and "refused" in out.stdout, out.stderr[-2000:]
