@@ -8,7 +8,8 @@ digits, of a given name and a surname. Each entity gets one surrogate, so that
 all its mentions agree, however they are written:
 
 * digits stay digits, letters stay letters of their script and case, marks
-  stay; country codes, top-level domains and a card's check digit hold;
+  stay; country codes, top-level domains, the prefixes of secret keys and a
+  card's check digit hold;
 * IPv4 parts stay in range; hex keys stay hex;
 * given names come from lists by script and by the title's gender, surnames
   from syllables of the script.
@@ -66,7 +67,8 @@ PATTERNS = {
     "key": r"(?<![\p{L}\p{N}_])(?:[0-9a-fA-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|sk-[0-9A-Za-z]{20,})(?![\p{L}\p{N}_])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
+    "phone": r"(?<![\p{L}\p{N}+])\+\d{1,3}[^\p{L}\p{N}\n(]{0,6}\(\d{2,4}\)[^\p{L}\p{N}\n(]{0,6}\d{3,4}[^\p{L}\p{N}\n(]{1,6}\d{3,4}(?!\d)"
+             r"|(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
              r"|(?<![\p{L}\p{N}+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\p{L}\p{N}-])\d{3}[-.]\d{3}[-.]\d{4}(?![\d-])",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\p{L}\p{N}])\d(?:[ -]?\d){12,18}(?!\d)",
@@ -131,6 +133,8 @@ def _surrogate(key: str) -> Column:
     out = F.when(kind == "phone", phone).when(kind == "ssn", digits).when(kind == "card", card).when(kind == "ip", ip).when(kind == "hex", hexed)
     out = out.when(kind == "email", _shaped(F.substring_index(canon, "@", 1), d))
     out = out.when(kind == "domain", F.concat(_shaped(F.regexp_replace(canon, r"\.[^.]+$", ""), d), F.lit("."), F.substring_index(canon, ".", -1)))
+    prefix = F.regexp_extract(canon, "^(akia|gh[pousr]_|sk-)", 1)
+    out = out.when(kind == "key", F.concat(prefix, _shaped(F.substr(canon, F.length(prefix) + 1), d)))
     out = out.when(kind == "iban", F.concat(F.substr(canon, F.lit(1), F.lit(2)), F.substr(_shaped(canon, d), F.lit(3))))
     for (script, gender), names in GIVEN.items():  # given names are few: they need not be distinct
         out = out.when(kind == f"given-{script}-{gender}", F.lower(_one_of(names, _number(d, 1))))
