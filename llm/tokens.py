@@ -15,7 +15,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
-CACHED = 1_000_000  # words (about 250 MB); then the cache starts anew
+CACHED = 600_000  # words (about 150 MB); then the cache starts anew
 
 # FIXED VALUES: the word pattern of the tokenizer's file, for texts of the characters below
 WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
