@@ -7,6 +7,7 @@ equal hashes, and different ones differ but for a chance of about 2**-64.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,6 +62,16 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, off - off[0]
 
 
+_libc = ctypes.CDLL(None)
+
+
+def release() -> None:
+    """Give freed memory back to the system: Python workers live on and serve later stages."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the texts of each come to about ``most`` bytes; a longer text stands alone."""
     for batch in batches:
@@ -72,6 +83,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20)
             j = max(i + 1, int(np.searchsorted(ends, before + most, "right")))
             yield batch.slice(i, j - i)
             i = j
+        del batch
+        release()
 
 
 def words(column: pa.Array, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

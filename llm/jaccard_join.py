@@ -150,6 +150,8 @@ def _shared(batches):
     for i in range(0, len(h), 200_000):
         j = slice(i, i + 200_000)
         yield pa.RecordBatch.from_arrays([pa.array(h[j]), pa.array(s[j]), pa.array(n[j]), pa.array(pivot[j])], ["h", "sid", "n", "pivot"])
+    del h, hh, order, twin, keep, s, n, new, near, pivot
+    W.release()
 
 
 def _contents(batches):
@@ -269,6 +271,8 @@ def _compare(nearest: bool):
                 yield _pairs(s[i], s[j])
         i = np.flatnonzero(mate >= 0)
         yield _pairs(s[i], s[mate[i]])
+        del got, t, bits
+        W.release()
     return run
 
 

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from llm import _tables as T
+from llm import _words as W
+from llm import tokens
 
 SAMPLE = 12_000  # labelled rows learned from
 WORDS, GRAMS = 30_000, 8_000
@@ -44,20 +46,25 @@ def grams(word: str, n: int) -> list[str]:
 
 
 def _counts(batches):
-    for b in batches:
+    tokens.forget()  # if this worker has packed before
+    for b in W.slices(batches, "text"):
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
             found, n = np.unique(np.array(words(text) or [""], object).astype(str), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found)), pa.array(found.tolist()), pa.array(n, pa.int64())], ["lang", "word", "n"])
 
 
 def _grams_of(batches):
-    for b in batches:
-        out: dict = {}
-        for lang, word, n in zip(*(b.column(c).to_pylist() for c in ("lang", "word", "n"))):
-            for k in range(1, LONGEST + 1):
-                for g in grams(word, k):
-                    out[lang, k, g] = out.get((lang, k, g), 0) + n
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.string()), pa.array(list(out.values()), pa.int64())], ["lang", "k", "gram", "n"])
+    for batch in batches:
+        for i in range(0, batch.num_rows, 2000):
+            b = batch.slice(i, 2000)
+            out: dict = {}
+            for lang, word, n in zip(*(b.column(c).to_pylist() for c in ("lang", "word", "n"))):
+                for k in range(1, LONGEST + 1):
+                    for g in grams(word, k):
+                        out[lang, k, g] = out.get((lang, k, g), 0) + n
+            columns = [pa.array([x[j] for x in out], t) for j, t in enumerate((pa.string(), pa.int32(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(list(out.values()), pa.int64())], ["lang", "k", "gram", "n"])
+    W.release()
 
 
 def learn(labelled: DataFrame) -> dict:
@@ -140,8 +147,9 @@ def _predict(texts: list[str | None], scores: _Scores, langs: list[str]):
 def predictions(model: dict):
     """Function for mapInArrow: (doc_id, held_out, text) -> (doc_id, held_out, lang_pred, score)."""
     def run(batches):
+        tokens.forget()
         scores = _Scores(model)
-        for b in batches:
+        for b in W.slices(batches, "text"):
             got = _predict(b.column("text").to_pylist(), scores, model["langs"])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
     return run
@@ -168,8 +176,9 @@ def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
     model = learn(labelled(docs))
 
     def run(batches):
+        tokens.forget()
         scores = _Scores(model)
-        for b in batches:
+        for b in W.slices(batches, "text"):
             got = _predict(b.column(b.schema.get_field_index("text")).to_pylist(), scores, model["langs"])
             yield b.filter(pa.array([x != UNKNOWN and p >= least for x, p in got], pa.bool_()))
 

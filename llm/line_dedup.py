@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import _tables as T
+from llm import _words as W
 
 WINDOW, DIVISOR = 2, 4
 BATCH = 4 << 20  # bytes of text in a batch
@@ -100,6 +101,7 @@ def _kept(schema: pa.Schema):
                     left += lines[a:e]
             n_lines[k] = len(lines)
             texts[k] = b"\n".join(left) if lines else None
+        W.release()
         return pa.Table.from_arrays([docs.column("__row"), *(pa.chunked_array([pa.array(x, f.type)]) for x, f in zip((texts, n_lines, n_removed), list(schema)[1:]))], schema=schema)
     return run
 

@@ -62,3 +62,9 @@ def encode(texts: list[str], path: str = FILE) -> list[bytes]:
         else:
             out.append(b"".join(map(words.__getitem__, WORD.findall(x))))
     return out
+
+
+def forget() -> None:
+    """Empty the caches; a Python worker may serve another operator next."""
+    for _, words in _loaded.values():
+        words.clear()
