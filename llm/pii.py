@@ -16,7 +16,11 @@ all its mentions agree, however they are written:
 
 Surrogates are SHA-256 digests of key, kind, entity and attempt. Entities that
 share a surrogate, or whose surrogate is an entity of the corpus, get another
-attempt, round by round, until all are distinct.
+attempt, round by round, until all are distinct. An e-mail address is judged
+whole: its local part has to differ from others of its domain, and from its
+own. Later attempts are longer by a character each (local parts, domains and
+other shaped surrogates from ``GROW``, digits from ``GROW_DIGITS`` on), so that
+a shape with more entities than values has one for each.
 
 Only texts with a mention are cut into pieces and joined with the mentions'
 replacements (distinct over the corpus, so that a mention in a third of all
@@ -35,6 +39,7 @@ from llm import _tables as T
 
 KEY = "change this key"
 ATTEMPTS = 64
+GROW, GROW_DIGITS = 3, 8  # attempts that keep the length
 
 # FIXED VALUES: titles by gender, given names by script and gender, letters and syllables by script
 TITLES = {
@@ -107,6 +112,12 @@ def _shaped(s: Column, digest: Column) -> Column:
     return _chars(s, each)
 
 
+def _grown(s: Column, attempt: Column, after: int) -> Column:
+    """``s`` with its last letter or digit again for each attempt beyond ``after``."""
+    last = F.regexp_extract(s, r"([\p{L}0-9])[^\p{L}0-9]*$", 1)
+    return F.concat(s, F.repeat(F.when(last == "", "x").otherwise(last), F.greatest(attempt - after, F.lit(0))))
+
+
 def _luhn(digits: Column) -> Column:
     """Luhn sum of a string of digits; those of valid numbers divide by 10."""
     n = F.length(digits)
@@ -122,17 +133,17 @@ def _surrogate(key: str) -> Column:
     """Surrogate of (kind, canon, attempt)."""
     kind, canon, attempt = F.col("kind"), F.col("canon"), F.col("attempt")
     d = _digest(key, kind, canon, attempt)
-    digits = _chars(canon, lambda c, i: (_number(d, i) % 10).cast("string"))
+    digits = _chars(_grown(canon, attempt, GROW_DIGITS), lambda c, i: (_number(d, i) % 10).cast("string"))
     country = F.greatest(F.length(canon) - 10, F.lit(0))
     phone = F.concat(F.substr(canon, F.lit(1), country), F.substr(digits, country + 1))
-    stem = F.substr(digits, F.lit(1), F.length(canon) - 1)
+    stem = F.substr(digits, F.lit(1), F.length(digits) - 1)
     check = ((10 - _luhn(F.concat(stem, F.lit("0"))) % 10) % 10).cast("string")
     card = F.when(_luhn(canon) % 10 == 0, F.concat(stem, check)).otherwise(digits)
     ip = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (_number(d, i * 6) % 254 + 1).cast("string")), ".")
     hexed = _chars(canon, lambda c, i: F.substr(F.lit(HEX), (_number(d, i) % 16 + 1).cast("int"), F.lit(1)))
     out = F.when(kind == "phone", phone).when(kind == "ssn", digits).when(kind == "card", card).when(kind == "ip", ip).when(kind == "hex", hexed)
-    out = out.when(kind == "email", _shaped(F.substring_index(canon, "@", 1), d))
-    out = out.when(kind == "domain", F.concat(_shaped(F.regexp_replace(canon, r"\.[^.]+$", ""), d), F.lit("."), F.substring_index(canon, ".", -1)))
+    out = out.when(kind == "email", _shaped(_grown(F.substring_index(canon, "@", 1), attempt, GROW), d))
+    out = out.when(kind == "domain", F.concat(_shaped(_grown(F.regexp_replace(canon, r"\.[^.]+$", ""), attempt, GROW), d), F.lit("."), F.substring_index(canon, ".", -1)))
     prefix = F.regexp_extract(canon, "^(akia|gh[pousr]_|sk-)", 1)
     out = out.when(kind == "key", F.concat(prefix, _shaped(F.substr(canon, F.length(prefix) + 1), d)))
     out = out.when(kind == "iban", F.concat(F.substr(canon, F.lit(1), F.lit(2)), F.substr(_shaped(canon, d), F.lit(3))))
@@ -140,21 +151,25 @@ def _surrogate(key: str) -> Column:
         out = out.when(kind == f"given-{script}-{gender}", F.lower(_one_of(names, _number(d, 1))))
     for script, syllables in SYLLABLES.items():  # one more syllable with each attempt
         out = out.when(kind == f"surname-{script}", F.array_join(F.transform(F.sequence(F.lit(1), F.least(attempt, F.lit(8)) + 3), lambda i: _one_of(syllables, _number(d, i * 6))), ""))
-    return out.otherwise(_shaped(canon, d))
+    return out.otherwise(_shaped(_grown(canon, attempt, GROW), d))
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canon, surrogate) of distinct ``entities(kind, canon)``; surrogates of a kind are distinct and no entity of it.
 
-    Given names are drawn from lists and may coincide.
+    Given names are drawn from lists and may coincide. Local parts are distinct
+    in their domain: domains have distinct surrogates, none of them real, so
+    that whole addresses are distinct and none is real.
     """
     entities = T.store(entities, "entities")
     current = T.store(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", _surrogate(key)), "surrogates")
     real = entities.select(F.col("kind").alias("k"), F.col("canon").alias("c"))
+    whole = F.when(F.col("kind") == "email", F.concat("surrogate", F.lit("@"), F.substring_index("canon", "@", -1))).otherwise(F.col("surrogate"))
     for _ in range(ATTEMPTS):
-        first = current.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "canon")).alias("winner")).select(F.col("kind").alias("k1"), F.col("surrogate").alias("s1"), "winner")
-        judged = (current.join(first, (F.col("kind") == F.col("k1")) & (F.col("surrogate") == F.col("s1")))
-                  .join(real, (F.col("kind") == F.col("k")) & (F.col("surrogate") == F.col("c")), "left"))
+        tried = current.withColumn("whole", whole)
+        first = tried.groupBy("kind", "whole").agg(F.min(F.struct("attempt", "canon")).alias("winner")).select(F.col("kind").alias("k1"), F.col("whole").alias("s1"), "winner")
+        judged = (tried.join(first, (F.col("kind") == F.col("k1")) & (F.col("whole") == F.col("s1")))
+                  .join(real, (F.col("kind") == F.col("k")) & (F.col("whole") == F.col("c")), "left"))
         listed = F.col("kind").startswith("given-")
         clash = ~listed & ((F.col("canon") != F.col("winner.canon")) | F.col("c").isNotNull())
         judged = judged.select("kind", "canon", F.when(clash, F.col("attempt") + 1).otherwise(F.col("attempt")).alias("attempt"), clash.alias("clash"))
@@ -201,9 +216,10 @@ def _mentions(found: DataFrame) -> DataFrame:
 
 
 def _refilled(mention: Column, chars: Column, kept: str) -> Column:
-    """``mention`` with its characters of class ``kept`` taken, in order, from ``chars``."""
+    """``mention`` with its characters of class ``kept`` taken, in order, from ``chars``; those left over come last."""
     place = lambda i: F.length(F.regexp_replace(F.substr(mention, F.lit(1), i), rf"[^{kept}]", ""))
-    return _chars(mention, lambda c, i: F.when(c.rlike(f"[{kept}]"), F.substr(chars, place(i), F.lit(1))).otherwise(c))
+    filled = _chars(mention, lambda c, i: F.when(c.rlike(f"[{kept}]"), F.substr(chars, place(i), F.lit(1))).otherwise(c))
+    return F.concat(filled, F.substr(chars, place(F.length(mention)) + 1))
 
 
 def _cased(like: Column, s: Column) -> Column:

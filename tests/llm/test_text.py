@@ -177,6 +177,36 @@ def test_surrogates_are_distinct_when_they_collide(spark):
     assert not {r.surrogate for r in got} & {r.canon for r in got}
 
 
+def test_surrogates_of_more_entities_than_values_of_their_shape(spark, monkeypatch):
+    """One-letter local parts at 60 domains, every one-letter domain, and every two-digit number."""
+    monkeypatch.setattr(S, "GROW_DIGITS", 1)
+    letters = S.LETTERS["latin"]
+    emails = [f"{c}@{'mail' if k else 'post'}{k}.org" for k in range(60) for c in "jh"] + [f"{c}@{d}.com" for c in letters for d in letters[:2]] + ["_@mail1.org", "_@mail2.org"]
+    pairs = [("email", e) for e in emails] + [("domain", d) for d in sorted({e.split("@")[1] for e in emails} | {f"{c}.com" for c in letters})]
+    pairs += [("ssn", f"{k:02}") for k in range(100)]
+    got = {(r.kind, r.canon): r.surrogate for r in S.surrogates(spark.createDataFrame(pairs, "kind string, canon string"), "k").collect()}
+    assert set(got) == set(pairs)
+    domains, numbers = ({c: s for (k, c), s in got.items() if k == kind} for kind in ("domain", "ssn"))
+    for of in (domains, numbers):
+        assert len(set(of.values())) == len(of) and not set(of.values()) & set(of)
+    whole = {e: f"{got['email', e]}@{domains[e.split('@')[1]]}" for e in emails}
+    assert len(set(whole.values())) == len(emails) and not set(whole.values()) & set(emails)
+    assert all(got["email", e] != e.split("@")[0] for e in emails)
+    assert all(len(got["email", f"j@mail{k}.org"]) == 1 for k in range(1, 60))  # its domain tells it apart
+    assert all(s.endswith(".com") == d.endswith(".com") for d, s in domains.items())
+
+
+def test_longer_surrogates_in_texts(spark):
+    """Every address of a letter at a letter's .com, and digits beyond those of the mention."""
+    texts = [" ".join(f"{a}@{b}.com" for b in S.LETTERS["latin"]) for a in S.LETTERS["latin"]]
+    got = {r["row"].doc_id: r.text for r in S.surrogated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").collect()}
+    real, new = ([x for i in range(26) for x in t[i].split(" ")] for t in (texts, got))
+    assert len(set(new)) == 26 * 26 and not set(new) & set(real)
+    assert all(regex.fullmatch(r"\p{Ll}+@\p{Ll}+\.com", x) for x in new)
+    number = spark.createDataFrame([("12-34", "56789")], "m string, chars string")
+    assert number.select(S._refilled(number.m, number.chars, "0-9")).first()[0] == "56-789"
+
+
 def test_surrogates_of_documents(spark, rows):
     got = {r.doc_id: r for r in S.op7_pii_surrogates(spark, SF).collect()}
     found = regex.compile(S.ANY)
