@@ -11,14 +11,15 @@ all its mentions agree, however they are written:
   stay; country codes, top-level domains, the prefixes of secret keys and a
   card's check digit hold;
 * IPv4 parts stay in range; hex keys stay hex;
-* given names come from lists by script and by the title's gender, surnames
-  from syllables of the script.
+* given names come from lists by script and by the title's gender, later
+  attempts with syllables and an ending of that gender; surnames from
+  syllables of the script.
 
 Surrogates are SHA-256 digests of key, kind, entity and attempt. Entities that
 share a surrogate, or whose surrogate is an entity of the corpus, get another
 attempt, round by round, until all are distinct. An e-mail address is judged
 whole: its local part has to differ from others of its domain, and from its
-own. Later attempts are longer by a character each (local parts, domains and
+own. A given name is none of the corpus, whatever its gender. Later attempts are longer by a character each (local parts, domains and
 other shaped surrogates from ``GROW``, digits from ``GROW_DIGITS`` on), so that
 a shape with more entities than values has one for each.
 
@@ -41,7 +42,7 @@ KEY = "change this key"
 ATTEMPTS = 64
 GROW, GROW_DIGITS = 3, 8  # attempts that keep the length
 
-# FIXED VALUES: titles by gender, given names by script and gender, letters and syllables by script
+# FIXED VALUES: titles by gender, given names and their endings by script and gender, letters and syllables by script
 TITLES = {
     "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Г-жа", "Κυρία"],
     "m": ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Г-н", "Κύριος"],
@@ -58,6 +59,11 @@ GIVEN = {
     ("greek", "m"): ["Γιώργος", "Δημήτρης", "Ηλίας", "Νίκος", "Πέτρος", "Σπύρος"],
     ("greek", "n"): ["Φώτης", "Φανή"],
 }
+ENDINGS = {
+    ("latin", "f"): ["na", "ra", "lia", "sa"], ("latin", "m"): ["no", "rt", "las", "mus"], ("latin", "n"): ["ny", "ri", "le", "kis"],
+    ("cyrillic", "f"): ["на", "ра", "лия", "са"], ("cyrillic", "m"): ["нин", "рад", "лав", "сей"], ("cyrillic", "n"): ["ни", "ре", "ли", "се"],
+    ("greek", "f"): ["να", "ρα", "λία", "νη"], ("greek", "m"): ["νος", "ρης", "λας", "κος"], ("greek", "n"): ["νι", "ρω", "λι", "σω"],
+}
 SYLLABLES = {
     "latin": ["ba", "co", "di", "fe", "gu", "la", "mo", "ni", "pe", "ru", "sa", "to", "vi", "we", "zu", "kar"],
     "cyrillic": ["ба", "во", "ди", "же", "зу", "ка", "ло", "ми", "не", "пу", "ра", "со", "ти", "фе", "ху", "чар"],
@@ -147,8 +153,10 @@ def _surrogate(key: str) -> Column:
     prefix = F.regexp_extract(canon, "^(akia|gh[pousr]_|sk-)", 1)
     out = out.when(kind == "key", F.concat(prefix, _shaped(F.substr(canon, F.length(prefix) + 1), d)))
     out = out.when(kind == "iban", F.concat(F.substr(canon, F.lit(1), F.lit(2)), F.substr(_shaped(canon, d), F.lit(3))))
-    for (script, gender), names in GIVEN.items():  # given names are few: they need not be distinct
-        out = out.when(kind == f"given-{script}-{gender}", F.lower(_one_of(names, _number(d, 1))))
+    for (script, gender), names in GIVEN.items():  # two more syllables with each attempt after the listed names
+        more = F.transform(F.sequence(F.lit(1), F.greatest(F.least(attempt, F.lit(5)) * 2 - 1, F.lit(1))), lambda i: _one_of(SYLLABLES[script], _number(d, i * 6 + 1)))
+        longer = F.concat(F.array_join(more, ""), _one_of(ENDINGS[script, gender], _number(d, 52)))
+        out = out.when(kind == f"given-{script}-{gender}", F.concat(F.lower(_one_of(names, _number(d, 1))), F.when(attempt > 0, longer).otherwise("")))
     for script, syllables in SYLLABLES.items():  # one more syllable with each attempt
         out = out.when(kind == f"surname-{script}", F.array_join(F.transform(F.sequence(F.lit(1), F.least(attempt, F.lit(8)) + 3), lambda i: _one_of(syllables, _number(d, i * 6))), ""))
     return out.otherwise(_shaped(_grown(canon, attempt, GROW), d))
@@ -157,21 +165,20 @@ def _surrogate(key: str) -> Column:
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canon, surrogate) of distinct ``entities(kind, canon)``; surrogates of a kind are distinct and no entity of it.
 
-    Given names are drawn from lists and may coincide. Local parts are distinct
-    in their domain: domains have distinct surrogates, none of them real, so
-    that whole addresses are distinct and none is real.
+    Local parts are distinct in their domain: domains have distinct surrogates,
+    none of them real, so that whole addresses are distinct and none is real.
     """
     entities = T.store(entities, "entities")
     current = T.store(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", _surrogate(key)), "surrogates")
-    real = entities.select(F.col("kind").alias("k"), F.col("canon").alias("c"))
+    among = F.regexp_replace("kind", "^(given-[a-z]+)-[a-z]$", "$1")  # given names of any gender
+    real = entities.select(among.alias("k"), F.col("canon").alias("c")).distinct()
     whole = F.when(F.col("kind") == "email", F.concat("surrogate", F.lit("@"), F.substring_index("canon", "@", -1))).otherwise(F.col("surrogate"))
     for _ in range(ATTEMPTS):
         tried = current.withColumn("whole", whole)
         first = tried.groupBy("kind", "whole").agg(F.min(F.struct("attempt", "canon")).alias("winner")).select(F.col("kind").alias("k1"), F.col("whole").alias("s1"), "winner")
         judged = (tried.join(first, (F.col("kind") == F.col("k1")) & (F.col("whole") == F.col("s1")))
-                  .join(real, (F.col("kind") == F.col("k")) & (F.col("whole") == F.col("c")), "left"))
-        listed = F.col("kind").startswith("given-")
-        clash = ~listed & ((F.col("canon") != F.col("winner.canon")) | F.col("c").isNotNull())
+                  .join(real, (among == F.col("k")) & (F.col("whole") == F.col("c")), "left"))
+        clash = (F.col("canon") != F.col("winner.canon")) | F.col("c").isNotNull()
         judged = judged.select("kind", "canon", F.when(clash, F.col("attempt") + 1).otherwise(F.col("attempt")).alias("attempt"), clash.alias("clash"))
         following = T.store(judged.withColumn("surrogate", _surrogate(key)), "surrogates")
         clashes = following.filter("clash").limit(1).count()

@@ -196,6 +196,19 @@ def test_surrogates_of_more_entities_than_values_of_their_shape(spark, monkeypat
     assert all(s.endswith(".com") == d.endswith(".com") for d, s in domains.items())
 
 
+def test_given_names_tell_people_apart(spark):
+    """People of one title and surname stay different people, and no real given name stays or comes back."""
+    own = ["Anna", "Berta", "Ida", "Olga", "Rita", *S.GIVEN["latin", "f"][1:]]
+    people = [f"{t} {g} Smith" for t, gs in (("Mrs", own), ("Dr", ["Alex", "Kim", "Lou", "Vera"]), ("Κυρία", S.GIVEN["greek", "f"]), ("Dr", S.GIVEN["greek", "n"])) for g in gs]
+    df = spark.createDataFrame([(0, "; ".join(people))], "doc_id long, text string")
+    new = S.surrogated(df, "k").first().text.split("; ")
+    assert len(set(new)) == len(people) == len(new)
+    real = {p.split(" ")[1] for p in people}
+    for a, b in zip(people, new):
+        assert a.split(" ")[0] == b.split(" ")[0] and b.split(" ")[1] not in real and regex.fullmatch(r"\p{Lu}\p{Ll}+", b.split(" ")[1])
+    assert len({b.split(" ")[2] for b in new}) == 1
+
+
 def test_longer_surrogates_in_texts(spark):
     """Every address of a letter at a letter's .com, and digits beyond those of the mention."""
     texts = [" ".join(f"{a}@{b}.com" for b in S.LETTERS["latin"]) for a in S.LETTERS["latin"]]
