@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from llm._ship import shipped
 from llm.decontaminate import op5_decontamination
+from llm.fill_middle import op13_wavelet_fill_middle
 from llm.jaccard_join import op9_jaccard_join
 from llm.language_id import op6_language_id
 from llm.license_scan import op1_license_scan
@@ -12,11 +13,13 @@ from llm.nearest import op2_collision_counting
 from llm.packing import op8_best_fit_packing
 from llm.pii import op7_pii_surrogates
 from llm.suffix_dedup import op3_suffix_array_dedup
+from llm.token_counts import op11_rank_synchronous_counts
 from llm.toxicity import op10_toxicity
+from llm.whitening import op12_polarised_whitening
 
 QUERIES = {f.__name__: shipped(f) for f in (
     op1_license_scan, op2_collision_counting, op3_suffix_array_dedup, op4_line_dedup, op5_decontamination, op6_language_id,
-    op7_pii_surrogates, op8_best_fit_packing, op9_jaccard_join, op10_toxicity,
+    op7_pii_surrogates, op8_best_fit_packing, op9_jaccard_join, op10_toxicity, op11_rank_synchronous_counts, op12_polarised_whitening, op13_wavelet_fill_middle,
 )}
 
 ORACLES: dict[str, str] = {
@@ -35,5 +38,19 @@ kept AS (SELECT doc_id, any_value(n_lines)::BIGINT AS n_lines, coalesce(sum(size
                 coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (WHERE NOT again), '') AS text FROM ranked GROUP BY doc_id)
 SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed, CASE WHEN d.text IS NOT NULL THEN k.text END AS text
 FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+""",
+    # h1 to h4: groups of 8 hex digits of the digest; a text that is whole in its form restores to itself
+    "op13_wavelet_fill_middle": """
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents),
+hashed AS (SELECT doc_id, t, length(t) AS n, ('0x' || substr(d, 1, 8))::BIGINT AS h1, ('0x' || substr(d, 9, 8))::BIGINT AS h2,
+                  ('0x' || substr(d, 17, 8))::BIGINT AS h3, ('0x' || substr(d, 25, 8))::BIGINT AS h4 FROM docs),
+cuts AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                     WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM hashed),
+parts AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM cuts)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN (b - a)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
 """,
 }
