@@ -1,16 +1,19 @@
 """Operator 7: personal data replaced by keyed surrogates, with DataFrame functions only.
 
-Mentions of e-mail addresses, IPv4 addresses, phone and card numbers, social
-security numbers, IBANs, secret keys and titled names are found by one regular
-expression. A mention holds one or two entities: the canonical form (case,
-spacing and punctuation removed) of an address and its domain, of a number's
-digits, of a given name and a surname. Each entity gets one surrogate, so that
-all its mentions agree, however they are written:
+Mentions of e-mail addresses, IP addresses (4 and 6), phone and card numbers,
+social security numbers, IBANs, secret keys and titled names are found by one
+regular expression. Names without a title are not looked for. A mention holds
+one or more entities: the canonical form (case, spacing and punctuation
+removed) of an address and its domain, of a number's digits, of each part of a
+given name and a surname (``Lee-Brown`` has two parts, ``O'Neil`` one). Each
+entity gets one surrogate, so that all its mentions agree, however they are
+written:
 
 * digits stay digits, letters stay letters of their script and case, marks
   stay; country codes, top-level domains, the prefixes of secret keys and a
   card's check digit hold;
-* IPv4 parts stay in range; hex keys stay hex;
+* IPv4 parts stay in range; hex keys stay hex; IPv6 addresses keep their shape
+  in the first attempts and have eight groups in later ones;
 * given names come from lists by script and by the title's gender, later
   attempts with syllables and an ending of that gender; surnames from
   syllables of the script.
@@ -19,27 +22,44 @@ Surrogates are SHA-256 digests of key, kind, entity and attempt. Entities that
 share a surrogate, or whose surrogate is an entity of the corpus, get another
 attempt, round by round, until all are distinct. An e-mail address is judged
 whole: its local part has to differ from others of its domain, and from its
-own. A given name is none of the corpus, whatever its gender. Later attempts are longer by a character each (local parts, domains and
-other shaped surrogates from ``GROW``, digits from ``GROW_DIGITS`` on), so that
-a shape with more entities than values has one for each.
-
-Only texts with a mention are cut into pieces and joined with the mentions'
-replacements (distinct over the corpus, so that a mention in a third of all
-texts is resolved once); others pass through.
+own. A given name is none of the corpus, whatever its gender. Later attempts
+are longer by a character each (local parts, domains and other shaped
+surrogates from ``GROW``, digits from ``GROW_DIGITS`` on), so that a shape with
+more entities than values has one for each.
+
+The key is the caller's and never a constant of this file: who has it can
+recompute the mapping. The query reads it from the session's ``KEY_SETTING``;
+where that is unset it draws a random one for the run.
+
+A cheap test (``_may``) that every text with a mention passes goes over all
+texts; only those that pass it meet the regular expression. Texts with
+mentions are cut into pieces, each with the mention that follows it, and
+joined with the mentions' replacements (distinct over the corpus). Mentions of
+a thousandth of all occurrences or more are joined by broadcast: there are at
+most a thousand of them, of ``HOT_LENGTH`` characters at most. Other texts
+pass through.
 
 Rows: null and empty texts are kept. All columns and rows are kept, repeated
-rows too; equal rows get equal texts.
+rows too; equal rows get equal texts. Very long texts are one row, as they
+are in the input; their pieces are spread by mention and meet again by row.
+An empty table gives no rows. Columns of ``docs`` travel in one struct, so
+that their names clash with nothing.
 """
 
 from __future__ import annotations
 
+import secrets
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm import _tables as T
 
-KEY = "change this key"
+KEY_SETTING = "spark.panelsight.pii.key"
 ATTEMPTS = 64
+HOT_SHARE, HOT_LENGTH = 1000, 1000  # mentions of 1 / HOT_SHARE of all occurrences are broadcast, if they are no longer than HOT_LENGTH
+ENTITIES = 2000  # entities of a task; a surrogate takes about a millisecond
 GROW, GROW_DIGITS = 3, 8  # attempts that keep the length
 
 # FIXED VALUES: titles by gender, given names and their endings by script and gender, letters and syllables by script
@@ -72,18 +92,22 @@ SYLLABLES = {
 LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшщэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 HEX = "0123456789abcdef"
 
+_H = "[0-9a-fA-F]{1,4}"
+_NAME = r"\p{Lu}[\p{L}\p{M}]*+(?:['’-](?!s(?![\p{L}\p{M}]))\p{L}[\p{L}\p{M}]*+)*"
+_TWO = r"(?=\p{Lu}(?:\p{L}|['’]\p{L}{2}))"  # a name has a part of two letters
 _TITLE = "|".join(sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True))
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,128}+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+",
     "key": r"(?<![\p{L}\p{N}_])(?:[0-9a-fA-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|sk-[0-9A-Za-z]{20,})(?![\p{L}\p{N}_])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
+    "ip6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[0-9a-fA-F:]*[0-9])(?:(?:{_H}:){{7}}{_H}|{_H}(?::{_H}){{0,5}}::(?:{_H}(?::{_H}){{0,5}})?|::{_H}(?::{_H}){{0,6}})(?![\p{{L}}\p{{N}}:])",
     "phone": r"(?<![\p{L}\p{N}+])\+\d{1,3}[^\p{L}\p{N}\n(]{0,6}\(\d{2,4}\)[^\p{L}\p{N}\n(]{0,6}\d{3,4}[^\p{L}\p{N}\n(]{1,6}\d{3,4}(?!\d)"
              r"|(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
              r"|(?<![\p{L}\p{N}+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\p{L}\p{N}-])\d{3}[-.]\d{3}[-.]\d{4}(?![\d-])",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\p{L}\p{N}])\d(?:[ -]?\d){12,18}(?!\d)",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? {_TWO}{_NAME}(?: {_TWO}{_NAME})?",
 }
 ANY = "|".join(PATTERNS.values())
 
@@ -148,6 +172,9 @@ def _surrogate(key: str) -> Column:
     ip = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: (_number(d, i * 6) % 254 + 1).cast("string")), ".")
     hexed = _chars(canon, lambda c, i: F.substr(F.lit(HEX), (_number(d, i) % 16 + 1).cast("int"), F.lit(1)))
     out = F.when(kind == "phone", phone).when(kind == "ssn", digits).when(kind == "card", card).when(kind == "ip", ip).when(kind == "hex", hexed)
+    full = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.substr(d, i * 5, F.lit(4))), ":")
+    shape = _chars(canon, lambda c, i: F.when(c == ":", c).otherwise(F.substr(F.lit(HEX), (_number(d, i) % 16 + 1).cast("int"), F.lit(1))))
+    out = out.when(kind == "ip6", F.when(attempt < GROW, shape).otherwise(full))
     out = out.when(kind == "email", _shaped(_grown(F.substring_index(canon, "@", 1), attempt, GROW), d))
     out = out.when(kind == "domain", F.concat(_shaped(_grown(F.regexp_replace(canon, r"\.[^.]+$", ""), attempt, GROW), d), F.lit("."), F.substring_index(canon, ".", -1)))
     prefix = F.regexp_extract(canon, "^(akia|gh[pousr]_|sk-)", 1)
@@ -169,7 +196,8 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     none of them real, so that whole addresses are distinct and none is real.
     """
     entities = T.store(entities, "entities")
-    current = T.store(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", _surrogate(key)), "surrogates")
+    tasks = T.partitions_for(entities.sparkSession, entities.count(), ENTITIES)
+    current = T.store(entities.repartition(tasks, "kind", "canon").withColumn("attempt", F.lit(0)).withColumn("surrogate", _surrogate(key)), "surrogates")
     among = F.regexp_replace("kind", "^(given-[a-z]+)-[a-z]$", "$1")  # given names of any gender
     real = entities.select(among.alias("k"), F.col("canon").alias("c")).distinct()
     whole = F.when(F.col("kind") == "email", F.concat("surrogate", F.lit("@"), F.substring_index("canon", "@", -1))).otherwise(F.col("surrogate"))
@@ -179,12 +207,14 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         judged = (tried.join(first, (F.col("kind") == F.col("k1")) & (F.col("whole") == F.col("s1")))
                   .join(real, (among == F.col("k")) & (F.col("whole") == F.col("c")), "left"))
         clash = (F.col("canon") != F.col("winner.canon")) | F.col("c").isNotNull()
-        judged = judged.select("kind", "canon", F.when(clash, F.col("attempt") + 1).otherwise(F.col("attempt")).alias("attempt"), clash.alias("clash"))
-        following = T.store(judged.withColumn("surrogate", _surrogate(key)), "surrogates")
+        judged = judged.select("kind", "canon", F.when(clash, F.col("attempt") + 1).otherwise(F.col("attempt")).alias("attempt"), clash.alias("clash"), "surrogate")
+        anew = F.when(F.col("clash"), _surrogate(key)).otherwise(F.col("surrogate"))
+        following = T.store(judged.repartition(tasks, "kind", "canon").withColumn("surrogate", anew), "surrogates")
         clashes = following.filter("clash").limit(1).count()
         T.drop(current)
         current = following.drop("clash")
         if not clashes:
+            T.drop(entities)
             return current.select("kind", "canon", "surrogate")
     raise ValueError(f"no distinct surrogates after {ATTEMPTS} attempts: a kind has nearly as many entities as possible surrogates")
 
@@ -193,33 +223,41 @@ def _script(s: Column) -> Column:
     return F.when(s.rlike(r"\p{IsCyrillic}"), "cyrillic").when(s.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
 
 
+PART = r"[\p{L}\p{M}]{2,}"  # of a name; single letters (O', d') stay
+
+
+def _names(mention: Column) -> tuple[Column, Column]:
+    """Given name ('' if there is none) and surname of a titled name."""
+    words = F.split(F.regexp_replace(mention, r"^\S+ ", ""), " ")
+    return F.when(F.size(words) > 1, F.element_at(words, 1)).otherwise(""), F.element_at(words, -1)
+
+
 def _mentions(found: DataFrame) -> DataFrame:
-    """(mention, kind, entities: array of (kind, canon)) of distinct mentions."""
+    """(mention, type, n, entities: array of (kind, canon)) of distinct ``found(mention, n)``."""
     m = F.col("mention")
     kind = None
     for name, pattern in PATTERNS.items():
         test = m.rlike(rf"^(?:{pattern})$")
         kind = F.when(test, name) if kind is None else kind.when(test, name)
-    rows = found.withColumn("type", kind)
+    rows = found.withColumn("type", F.coalesce(kind, F.lit("other")))
     low, digits = F.lower(m), F.regexp_replace(m, r"[^0-9]", "")
-    words = F.split(F.regexp_replace(m, r"^\S+ ", ""), " ")
     gender = F.lit("n")
     for g in "fm":
         gender = F.when(F.regexp_replace(F.substring_index(m, " ", 1), r"\.$", "").isin(TITLES[g]), g).otherwise(gender)
-    surname, given = F.element_at(words, -1), F.element_at(words, 1)
 
     def entity(k, canon):
         return F.struct((k if isinstance(k, Column) else F.lit(k)).alias("kind"), canon.alias("canon"))
 
-    last = entity(F.concat(F.lit("surname-"), _script(surname)), F.lower(surname))
-    both = F.array(last, entity(F.concat_ws("-", F.lit("given"), _script(given), gender), F.lower(given)))
+    names = _names(m)
+    given = F.transform(F.regexp_extract_all(names[0], F.lit(PART), F.lit(0)), lambda w: entity(F.concat_ws("-", F.lit("given"), _script(w), gender), F.lower(w)))
+    surname = F.transform(F.regexp_extract_all(names[1], F.lit(PART), F.lit(0)), lambda w: entity(F.concat(F.lit("surname-"), _script(w)), F.lower(w)))
     entities = (F.when(F.col("type") == "email", F.array(entity("email", low), entity("domain", F.substring_index(low, "@", -1))))
                 .when(F.col("type").isin("phone", "ssn", "card"), F.array(entity(F.col("type"), digits)))
-                .when(F.col("type") == "name", F.when(F.size(words) > 1, both).otherwise(F.array(last)))
+                .when(F.col("type") == "name", F.concat(given, surname))
                 .when((F.col("type") == "key") & m.rlike("^[0-9a-fA-F]+$"), F.array(entity("hex", low)))
                 .when(F.col("type") == "iban", F.array(entity("iban", F.lower(F.regexp_replace(m, " ", "")))))
                 .otherwise(F.array(entity(F.col("type"), low))))
-    return rows.select("mention", "type", entities.alias("entities"))
+    return rows.select("mention", "n", "type", entities.alias("entities"))
 
 
 def _refilled(mention: Column, chars: Column, kept: str) -> Column:
@@ -235,36 +273,67 @@ def _cased(like: Column, s: Column) -> Column:
 
 
 def replacements(found: DataFrame, key: str) -> DataFrame:
-    """(mention, replacement) of distinct mentions."""
+    """(mention, n, type, replacement) of distinct ``found(mention, n)``."""
     mentions = T.store(_mentions(found), "mentions")
     given = surrogates(mentions.select(F.explode("entities").alias("e")).select("e.kind", "e.canon").distinct(), key)
-    parts = mentions.select("mention", "type", F.posexplode("entities").alias("place", "e")).select("mention", "type", "place", F.col("e.kind").alias("kind"), F.col("e.canon").alias("canon"))
-    known = parts.join(given, ["kind", "canon"]).groupBy("mention", "type").agg(F.map_from_entries(F.collect_list(F.struct("place", "surrogate"))).alias("s"))
+    parts = mentions.select("mention", "n", "type", F.posexplode("entities").alias("place", "e")).select("mention", "n", "type", "place", F.col("e.kind").alias("kind"), F.col("e.canon").alias("canon"))
+    known = parts.join(given, ["kind", "canon"]).groupBy("mention", "n", "type").agg(F.map_from_entries(F.collect_list(F.struct("place", "surrogate"))).alias("s"))
     m, first, second = F.col("mention"), F.col("s")[0], F.col("s")[1]
     upper = (m == F.upper(m)) & (m != F.lower(m))
     email = F.concat(_cased(F.substring_index(m, "@", 1), first), F.lit("@"), F.when(upper, F.upper(second)).otherwise(second))
-    title = F.substring_index(m, " ", 1)
-    name = F.concat_ws(" ", title, F.initcap(second), F.initcap(first))
+    # a name is its title, and the pieces around its parts with the parts' surrogates
+    gaps = F.split(F.regexp_replace(m, r"^\S+ ", ""), PART, -1)
+    name = F.concat(F.substring_index(m, " ", 1), F.lit(" "), F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.initcap(F.col("s")[i]), F.lit("")))), ""))
     out = (F.when(F.col("type") == "email", email).when(F.col("type").isin("phone", "ssn", "card"), _refilled(m, first, "0-9"))
-           .when(F.col("type") == "iban", _refilled(m, F.upper(first), "A-Z0-9")).when(F.col("type") == "name", name).otherwise(_cased(m, first)))
-    return known.select("mention", "type", out.alias("replacement"))
+           .when(F.col("type") == "iban", _refilled(m, F.upper(first), "A-Z0-9")).when(F.col("type") == "name", name)
+           .when(F.col("type").isin("ip6", "key") & upper, F.upper(first)).otherwise(_cased(m, first)))
+    tasks = T.partitions_for(found.sparkSession, mentions.count(), ENTITIES)
+    resolved = T.store(known.repartition(tasks, "mention").select("mention", "n", "type", out.alias("replacement")), "resolved")
+    T.drop(mentions, given)
+    return resolved
+
+
+# a mention has a digit, an @, the start of a secret key, a hex key without digits, or a title
+SIGNS = ["@", "AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", *sorted({t for ts in TITLES.values() for t in ts})]
+SIGNS = [x for x in SIGNS if not any(y != x and y in x for y in SIGNS)]
+SIGN = "[0-9]|[a-fA-F]{32}"
+
+
+def _may(text: Column) -> Column:
+    """Whether ``text`` can hold a mention: false only for texts without one."""
+    return F.coalesce(reduce(lambda a, x: a | F.contains(text, F.lit(x)), SIGNS[1:], F.contains(text, F.lit(SIGNS[0]))) | text.rlike(SIGN), F.lit(False))
 
 
-def surrogated(docs: DataFrame, key: str = KEY) -> DataFrame:
+def surrogated(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` as (row: struct of all columns but text, text with surrogates, n_mentions), one row per row."""
+    if not key:
+        raise ValueError("surrogates need a key")
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
     rows = docs.select(rest, F.col("text"))
-    has = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
-    some = rows.filter(has).withColumn("uid", F.monotonically_increasing_id()).select("uid", "row", F.split("text", ANY, -1).alias("gaps"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("found"))
-    some = T.store(some, "found")
-    resolved = replacements(some.select(F.explode("found").alias("mention")).distinct(), key)
-    pieces = (some.select("uid", "row", "found", F.posexplode("gaps").alias("at", "gap"))
-              .select("uid", F.when(F.col("at") == 0, F.col("row")).alias("row"), "at", "gap", F.get("found", F.col("at")).alias("m")))
-    joined = pieces.join(resolved, F.col("m") == F.col("mention"), "left")
-    whole = joined.groupBy("uid").agg(F.max("row").alias("row"), F.array_sort(F.collect_list(F.struct("at", F.concat("gap", F.coalesce("replacement", F.lit(""))).alias("piece")))).alias("pieces"))
-    done = whole.select("row", F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("text"), (F.size("pieces") - 1).alias("n_mentions"))
-    return done.unionByName(rows.filter(~has).withColumn("n_mentions", F.lit(0)))
+    tried = rows.filter(_may(F.col("text"))).withColumn("found", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
+    gaps = F.when(F.size("found") > 0, F.split("text", ANY, -1))
+    tried = T.store(tried.select(F.monotonically_increasing_id().alias("uid"), "row", "found", gaps.alias("gaps"), F.when(F.size("found") == 0, F.col("text")).alias("text")), "found")
+    some = tried.filter(F.size("found") > 0)
+    counts = T.store(some.select(F.explode("found").alias("mention")).groupBy("mention").agg(F.count(F.lit(1)).alias("n")), "counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    resolved = replacements(counts, key)
+    T.drop(counts)
+    is_hot = (F.col("n") * HOT_SHARE >= total) & (F.length("mention") <= HOT_LENGTH)
+    # at most HOT_SHARE mentions have such a share of all occurrences
+    hot, cold = (resolved.filter(x).select(F.col("mention").alias("m"), "replacement") for x in (is_hot, ~is_hot))
+    pieces = (some.select("uid", "row", "gaps", F.posexplode("found").alias("at", "mention"))
+              .select("uid", F.when(F.col("at") == 0, F.col("row")).alias("row"), F.when(F.col("at") == 0, F.element_at("gaps", -1)).alias("tail"), "at",
+                      F.element_at("gaps", F.col("at") + 1).alias("gap"), "mention"))
+    often = pieces.join(F.broadcast(hot), F.col("mention") == F.col("m"))
+    seldom = pieces.join(F.broadcast(hot), F.col("mention") == F.col("m"), "left_anti").join(cold, F.col("mention") == F.col("m"))
+    joined = often.select("uid", "row", "tail", "at", "gap", "replacement").unionByName(seldom.select("uid", "row", "tail", "at", "gap", "replacement"))
+    whole = joined.groupBy("uid").agg(F.first("row", True).alias("row"), F.max("tail").alias("tail"),
+                                      F.array_sort(F.collect_list(F.struct("at", F.concat("gap", "replacement").alias("piece")))).alias("pieces"))
+    done = whole.select("row", F.concat(F.array_join(F.transform("pieces", lambda p: p["piece"]), ""), F.col("tail")).alias("text"), F.size("pieces").alias("n_mentions"))
+    untouched = rows.filter(~_may(F.col("text"))).unionByName(tried.filter(F.size("found") == 0).select("row", "text"))
+    return done.unionByName(untouched.withColumn("n_mentions", F.lit(0)))
 
 
 def op7_pii_surrogates(spark, sf_dir: str) -> DataFrame:
-    return surrogated(T.documents(spark, sf_dir)).select(F.col("row.doc_id").alias("doc_id"), "text", "n_mentions")
+    key = spark.conf.get(KEY_SETTING, None) or secrets.token_hex(32)
+    return surrogated(T.documents(spark, sf_dir), key).select(F.col("row.doc_id").alias("doc_id"), "text", "n_mentions")

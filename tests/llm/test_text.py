@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import regex
+from pyspark.sql import functions as F
 
 from llm import decontaminate as D
 from llm import language_id as G
@@ -233,11 +234,67 @@ def test_surrogates_of_documents(spark, rows):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_names_of_several_parts_and_addresses_of_eight_groups(spark):
+    texts = [
+        "Mrs Anna Lee-Brown met Mr O'Neil, Dr Brown, Ms Lee's aunt and Miss D’Arcy.", "Prof. McDonald-O'Brien and Mr Li", "Mr X and Dr 7 are none, Mr D'A neither",
+        "from 2001:db8::8a2e:370:7334 and 2001:DB8::8A2E:370:7334 to fe80::1, at 12:30:45 std::vector<int> ::1",
+        "1:2:3:4:5:6:7:8 or 1:2:3:4:5:6:7:8:9",
+    ]
+    got = {r["row"].doc_id: r.text for r in S.surrogated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").collect()}
+    m = regex.fullmatch(r"Mrs (\p{Lu}\p{Ll}+) (\p{Lu}\p{Ll}+)-(\p{Lu}\p{Ll}+) met Mr O'(\p{Lu}\p{Ll}+), Dr (\p{Lu}\p{Ll}+), Ms (\p{Lu}\p{Ll}+)'s aunt and Miss D’(\p{Lu}\p{Ll}+)\.", got[0])
+    assert m and m[3] == m[5] and m[2] == m[6] and len({m[k] for k in (2, 3, 4, 7)}) == 4
+    assert not regex.search("Anna|Lee|Brown|Neil|Arcy|McDonald|Brien|Li$", got[0] + got[1])
+    assert got[2] == texts[2]
+    v6 = regex.findall(r"[0-9a-fA-F]*:[0-9a-fA-F:]+", got[3])
+    assert v6[0] == v6[1].lower() and v6[1] == v6[1].upper() and "12:30:45 std::vector<int>" in got[3]
+    assert [regex.sub("[0-9a-f]", "h", x) for x in v6[:1]] == ["hhhh:hhh::hhhh:hhh:hhhh"] and "8a2e" not in got[3] and "fe80::1," not in got[3] and not got[3].endswith(" ::1")
+    assert got[4].endswith(" or 1:2:3:4:5:6:7:8:9") and not got[4].startswith("1:2:3:4:5:6:7:8")
+
+
+def test_more_short_addresses_than_their_shape_has(spark):
+    pairs = [("ip6", f"::{c}") for c in S.HEX]
+    got = {r.canon: r.surrogate for r in S.surrogates(spark.createDataFrame(pairs, "kind string, canon string"), "k").collect()}
+    assert len(set(got.values())) == 16 and not set(got) & set(got.values())
+    assert all(regex.fullmatch("(?:[0-9a-f]{4}:){7}[0-9a-f]{4}", x) for x in got.values())  # all 16 of the shape are real
+
+
+def test_cheap_test_passes_every_mention(spark, rows):
+    """Texts of the documents, and single mentions and pieces of them, in which the pattern finds something."""
+    found = regex.compile(S.ANY)
+    texts = [t for _, t in rows] + [m for _, t in rows for m in found.findall(t)]
+    texts += ["Mr Smith", "Г-жа Иванова", "Κυρία Άννα", "a@b.c", "sk-" + "a" * 20, "gho_" + "B" * 36, "AKIA" + "ABCDEFGHIJKLMNOP", "abcdef" * 6, "::1", "Sra. Gómez", "plain text", ""]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, t string")
+    may = {r.k for r in df.filter(S._may(F.col("t"))).collect()}
+    must = {k for k, t in enumerate(texts) if found.search(t)}
+    assert must <= may and len(may) < 0.5 * len(texts) + len(must)
+
+
+def test_frequent_mentions_are_joined_by_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(S, "HOT_SHARE", 4)
+    texts = ["mail to hot@example.com"] * 30 + [f"mail to cold{k}@example.com, hot@example.com" for k in range(10)] + ["no", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["row"].doc_id: (r.text, r.n_mentions) for r in S.surrogated(df, "k").collect()}
+    hot = got[0][0].split(" ")[-1]
+    assert len(got) == 42 and all(got[k] == (f"mail to {hot}", 1) for k in range(30)) and "hot@" not in hot
+    assert all(got[k][1] == 2 and got[k][0].endswith(f", {hot}") and "cold" not in got[k][0] for k in range(30, 40))
+    assert got[40] == ("no", 0) and got[41] == (None, 0)
+
+
+def test_the_key_is_the_callers(spark, awkward):
+    import pytest
+    with pytest.raises(ValueError, match="key"):
+        S.surrogated(awkward, "")
+    sql = "SELECT 1L AS doc_id, 'ann@example.com' AS text"
+    a, b, c = (S.surrogated(spark.sql(sql), k).first().text for k in ("k", "k", "l"))
+    assert a == b != c
+    assert "KEY =" not in open(S.__file__).read()
+
+
 def test_surrogates_of_awkward_rows(awkward):
-    out = S.surrogated(awkward)
+    out = S.surrogated(awkward, "k")
     assert sorted(map(str, (r.text for r in out.collect()))) == sorted(map(str, (r.text for r in awkward.collect())))
     assert out.schema["row"].dataType.names == [c for c in awkward.columns if c != "text"]
-    assert S.surrogated(awkward.limit(0)).count() == 0
+    assert S.surrogated(awkward.limit(0), "k").count() == 0
 
 
 def _check_packing(pieces, texts):
