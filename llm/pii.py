@@ -59,7 +59,7 @@ from llm import _tables as T
 KEY_SETTING = "spark.panelsight.pii.key"
 ATTEMPTS = 64
 HOT_SHARE, HOT_LENGTH = 1000, 1000  # mentions of 1 / HOT_SHARE of all occurrences are broadcast, if they are no longer than HOT_LENGTH
-ENTITIES = 2000  # entities of a task; a surrogate takes about a millisecond
+ENTITIES = 2000  # entities of a task
 GROW, GROW_DIGITS = 3, 8  # attempts that keep the length
 
 # FIXED VALUES: titles by gender, given names and their endings by script and gender, letters and syllables by script
@@ -159,10 +159,18 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), n), worth), F.lit(0), lambda a, x: a + x)
 
 
-def _surrogate(key: str) -> Column:
-    """Surrogate of (kind, canon, attempt)."""
-    kind, canon, attempt = F.col("kind"), F.col("canon"), F.col("attempt")
-    d = _digest(key, kind, canon, attempt)
+def _with_surrogates(entities: DataFrame, key: str) -> DataFrame:
+    """``entities(kind, canon, attempt, ...)`` with the surrogate of each.
+
+    The digest is a column of a projection before, so that it is computed once
+    and the expressions that take numbers from it stay small.
+    """
+    return entities.withColumn("digest", _digest(key, F.col("kind"), F.col("canon"), F.col("attempt"))).withColumn("surrogate", _surrogate()).drop("digest")
+
+
+def _surrogate() -> Column:
+    """Surrogate by (kind, canon, attempt, digest)."""
+    kind, canon, attempt, d = F.col("kind"), F.col("canon"), F.col("attempt"), F.col("digest")
     digits = _chars(_grown(canon, attempt, GROW_DIGITS), lambda c, i: (_number(d, i) % 10).cast("string"))
     country = F.greatest(F.length(canon) - 10, F.lit(0))
     phone = F.concat(F.substr(canon, F.lit(1), country), F.substr(digits, country + 1))
@@ -197,7 +205,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """
     entities = T.store(entities, "entities")
     tasks = T.partitions_for(entities.sparkSession, entities.count(), ENTITIES)
-    current = T.store(entities.repartition(tasks, "kind", "canon").withColumn("attempt", F.lit(0)).withColumn("surrogate", _surrogate(key)), "surrogates")
+    current = T.store(_with_surrogates(entities.repartition(tasks, "kind", "canon").withColumn("attempt", F.lit(0)), key), "surrogates")
     among = F.regexp_replace("kind", "^(given-[a-z]+)-[a-z]$", "$1")  # given names of any gender
     real = entities.select(among.alias("k"), F.col("canon").alias("c")).distinct()
     whole = F.when(F.col("kind") == "email", F.concat("surrogate", F.lit("@"), F.substring_index("canon", "@", -1))).otherwise(F.col("surrogate"))
@@ -208,8 +216,11 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
                   .join(real, (among == F.col("k")) & (F.col("whole") == F.col("c")), "left"))
         clash = (F.col("canon") != F.col("winner.canon")) | F.col("c").isNotNull()
         judged = judged.select("kind", "canon", F.when(clash, F.col("attempt") + 1).otherwise(F.col("attempt")).alias("attempt"), clash.alias("clash"), "surrogate")
-        anew = F.when(F.col("clash"), _surrogate(key)).otherwise(F.col("surrogate"))
-        following = T.store(judged.repartition(tasks, "kind", "canon").withColumn("surrogate", anew), "surrogates")
+        judged = T.store(judged, "judged")
+        # only those that clash get another one
+        following = T.store(_with_surrogates(judged.filter("clash").drop("surrogate").repartition(tasks, "kind", "canon"), key)
+                            .unionByName(judged.filter("not clash")), "surrogates")
+        T.drop(judged)
         clashes = following.filter("clash").limit(1).count()
         T.drop(current)
         current = following.drop("clash")
