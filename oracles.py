@@ -381,12 +381,13 @@ ORACLES["preview"] = with_panel("SELECT * FROM panel ORDER BY employee_id, revie
 def decision_cte(src: str, band: str = "performance_band", drop: tuple = ()) -> str:
     """Rule columns over ``src`` (band column = prediction, confidence 1.0).
     Columns listed in ``drop`` are treated as absent (rule defaults)."""
-    defaults = {"salary": "50000", "overtime_hours": "10.0e0"}
+    defaults = {"salary": "50000", "overtime_hours": "10.0e0", "training_hours": "20.0e0", "attendance_rate": "0.90e0", "goal_achievement_pct": "60.0e0",
+                "manager_rating": "3.0e0", "peer_score": "3.0e0", "projects_completed": "3", "experience_years": "5"}
 
     def f(c):
         return defaults[c] if c in drop else c
-    th, att, ot, ga = "training_hours", "attendance_rate", f("overtime_hours"), "goal_achievement_pct"
-    mr, ps, pc, ex, sal = "manager_rating", "peer_score", "projects_completed", "experience_years", f("salary")
+    th, att, ot, ga = f("training_hours"), f("attendance_rate"), f("overtime_hours"), f("goal_achievement_pct")
+    mr, ps, pc, ex, sal = f("manager_rating"), f("peer_score"), f("projects_completed"), f("experience_years"), f("salary")
 
     def t(cond):
         return f"coalesce({cond}, false)"
@@ -470,6 +471,11 @@ ORACLES["decision_report"] = with_panel(REPORT_SELECT, DEC)
 ORACLES["rule_feature_defaults"] = with_panel(
     "SELECT employee_id, quarter_label, retention_points, wellbeing_flag FROM dec",
     CLEAN + ",\n" + decision_cte("clean", drop=("salary", "overtime_hours")))
+ORACLES["rule_defaults_all"] = with_panel(
+    "SELECT employee_id, quarter_label, training_needed, promotion_ready, array_to_string(goals, '; ') AS pip_goals, retention_points, wellbeing_flag, "
+    "array_to_string(actions, '; ') AS actions, priority FROM dec",
+    CLEAN + ",\n" + decision_cte("clean", drop=("salary", "overtime_hours", "training_hours", "attendance_rate", "goal_achievement_pct", "manager_rating",
+                                                "peer_score", "projects_completed", "experience_years")))
 ORACLES["priority_counts"] = with_panel("SELECT priority, count(*) AS n FROM dec GROUP BY priority", DEC)
 ORACLES["attach_decisions"] = with_panel(
     "SELECT employee_id, quarter_label, predicted_band, training_needed, promotion_ready FROM dec", DEC)
@@ -477,8 +483,8 @@ ORACLES["attach_decisions"] = with_panel(
 # --- metrics --------------------------------------------------------------------------
 
 
-def metric_ctes(pred_expr: str, p: str = "") -> str:
-    return f"""{p}sc AS (SELECT {TARGET} AS label, {pred_expr} AS prediction FROM clean),
+def metric_ctes(pred_expr: str, p: str = "", src: str = "clean") -> str:
+    return f"""{p}sc AS (SELECT {TARGET} AS label, {pred_expr} AS prediction FROM {src}),
 {p}cc AS (SELECT label, prediction, count(*) AS n FROM {p}sc GROUP BY ALL),
 {p}pc0 AS (
   SELECT k.cls, coalesce(t.support, 0) AS support, coalesce(pr.predicted, 0) AS predicted, coalesce(tp.tp, 0) AS tp
@@ -673,18 +679,23 @@ ORACLES["clean_counts"] = with_panel(
 # --- the linear model of fixed coefficients -------------------------------------------------
 
 
-def fixed_model_ctes() -> str:
-    """Softmax of the fixed linear model over the prepared test rows (fp: probabilities p0-p2, prediction)."""
-    from panelsight.operators.models import fixed_coefficients
+SCALED = {f: f"((CAST({f} AS DOUBLE) - mean_{f}) / std_{f})" for f in FEATURES}
+
+
+def linear_ctes(src: str = "te_e", p: str = "f") -> str:
+    """Softmax of the fixed linear model over the rows of ``src`` (fp: probabilities p0-p2, prediction)."""
+    from panelsight.plans.fixed_models import coefficients as fixed_coefficients
     coefficients, intercepts = fixed_coefficients(len(FEATURES))
-    scaled = {f: f"((CAST({f} AS DOUBLE) - mean_{f}) / std_{f})" for f in FEATURES}
-    z = ", ".join("(" + " + ".join(f"{w!r}e0 * {scaled[f]}" for w, f in zip(row, FEATURES)) + f" + {b!r}e0) AS z{k}"
+    z = ", ".join("(" + " + ".join(f"{w!r}e0 * {SCALED[f]}" for w, f in zip(row, FEATURES)) + f" + {b!r}e0) AS z{k}"
                   for k, (row, b) in enumerate(zip(coefficients, intercepts)))
-    return prepared_ctes() + f""",
-fz AS (SELECT te_e.*, {z} FROM te_e, sc),
-fe AS (SELECT *, exp(z0 - greatest(z0, z1, z2)) AS e0, exp(z1 - greatest(z0, z1, z2)) AS e1, exp(z2 - greatest(z0, z1, z2)) AS e2 FROM fz),
-fp AS (SELECT *, e0 / (e0 + e1 + e2) AS p0, e1 / (e0 + e1 + e2) AS p1, e2 / (e0 + e1 + e2) AS p2,
-         CASE WHEN e0 >= e1 AND e0 >= e2 THEN 0 WHEN e1 >= e2 THEN 1 ELSE 2 END AS prediction FROM fe)"""
+    return f"""{p}z AS (SELECT {src}.*, {z} FROM {src}, sc),
+{p}e AS (SELECT *, exp(z0 - greatest(z0, z1, z2)) AS e0, exp(z1 - greatest(z0, z1, z2)) AS e1, exp(z2 - greatest(z0, z1, z2)) AS e2 FROM {p}z),
+{p}p AS (SELECT *, e0 / (e0 + e1 + e2) AS p0, e1 / (e0 + e1 + e2) AS p1, e2 / (e0 + e1 + e2) AS p2,
+         CASE WHEN e0 >= e1 AND e0 >= e2 THEN 0 WHEN e1 >= e2 THEN 1 ELSE 2 END AS prediction FROM {p}e)"""
+
+
+def fixed_model_ctes() -> str:
+    return prepared_ctes() + ",\n" + linear_ctes()
 
 
 FIXED = fixed_model_ctes()
@@ -712,7 +723,7 @@ ORACLES["feature_manifest"] = with_panel(
 
 
 def _importances() -> list[float]:
-    from panelsight.operators.models import fixed_coefficients
+    from panelsight.plans.fixed_models import coefficients as fixed_coefficients
     rows = fixed_coefficients(len(FEATURES))[0]
     return [sum(abs(r[j]) for r in rows) / len(rows) for j in range(len(FEATURES))]
 
@@ -737,3 +748,121 @@ SELECT 'departments' AS report, CAST(row_number() OVER (ORDER BY predicted_high_
   group_name AS name, predicted_high_pct AS value FROM ({_DEPARTMENTS})
 UNION ALL SELECT 'parity', CAST(row_number() OVER (ORDER BY spd, group_name) AS INTEGER), group_name, spd FROM ({ORACLES["statistical_parity"]})
 UNION ALL SELECT 'importance', CAST(row_number() OVER (ORDER BY in_data DESC, feature) AS INTEGER), feature, in_data FROM ({ORACLES["linear_importance"]})"""
+
+# --- the forest and the boosted trees of given numbers ---------------------------------------
+
+
+def _tree_sql(spec: dict, leaf) -> str:
+    """Value of one tree of two levels; ``leaf`` gives a leaf's number."""
+    def below(i: int) -> str:
+        return f"{SCALED[FEATURES[spec['nodes'][i]['feature']]]} < {spec['nodes'][i]['threshold']!r}e0"
+    q = [f"{leaf(v)!r}e0" for v in spec["leaves"]]
+    return f"(CASE WHEN {below(0)} THEN CASE WHEN {below(1)} THEN {q[0]} ELSE {q[1]} END ELSE CASE WHEN {below(2)} THEN {q[2]} ELSE {q[3]} END END)"
+
+
+def tree_model_ctes() -> str:
+    """fo / bo: class scores (s0-s2) of the forest and of the boosted trees over the prepared test rows."""
+    from panelsight.plans.fixed_models import stumps
+    forest, boosted = stumps(len(FEATURES), 5, 1), stumps(len(FEATURES), 4, 2)
+    fo = ", ".join("(" + " + ".join(_tree_sql(t, lambda v, k=k: v[k] / sum(v)) for t in forest) + f") AS s{k}" for k in range(3))
+    bo = ", ".join("(" + " + ".join(f"0.25e0 * {_tree_sql(t, lambda v, k=k: v[k] - 5.0)}" for t in boosted) + f") AS s{k}" for k in range(3))
+    return f"fo AS (SELECT te_e.*, {fo} FROM te_e, sc),\nbo AS (SELECT te_e.*, {bo} FROM te_e, sc)"
+
+
+_ARGMAX = "CASE WHEN s0 >= s1 AND s0 >= s2 THEN 0 WHEN s1 >= s2 THEN 1 ELSE 2 END"
+ORACLES["compare_models"] = with_panel(
+    union_all([f"SELECT '{n}' AS model, {i} AS model_order, accuracy, f1_macro, f1_weighted FROM c{i}_sm"
+               for i, n in enumerate(("logistic_regression", "random_forest", "boosted_trees"))]),
+    FIXED + ",\n" + tree_model_ctes() + ",\n" + ",\n".join(metric_ctes(e, f"c{i}_", src) for i, (e, src) in enumerate((("prediction", "fp"), (_ARGMAX, "fo"), (_ARGMAX, "bo")))))
+
+
+def _forest_importances() -> list[tuple[str, float]]:
+    """Impurity importance of the given forest: gains by feature, each tree's as shares, the eight largest."""
+    from panelsight.plans.fixed_models import stumps
+    total = [0.0] * len(FEATURES)
+    for t in stumps(len(FEATURES), 5, 1):
+        gains = sum(n["gain"] for n in t["nodes"])
+        for n in t["nodes"]:
+            total[n["feature"]] += n["gain"] / gains
+    return sorted(((f, x / sum(total)) for f, x in zip(FEATURES, total)), key=lambda r: (-r[1], r[0]))[:8]
+
+
+ORACLES["top_k_importance"] = with_panel(
+    union_all([f"SELECT '{f}' AS feature, {rnd(f'{w!r}e0', 6)} AS importance, {rnd(f'stddev_pop({SCALED[f]})', 6)} AS spread FROM te_e, sc"
+               for f, w in _forest_importances()]), prepared_ctes())
+
+# --- explanation by the fixed linear model ---------------------------------------------------
+
+
+def model_contrib_cte(raw: str) -> str:
+    """lc: coefficient of the predicted class times the value, of every row and feature; ``raw`` is where the values shown come from."""
+    from panelsight.plans.fixed_models import coefficients as fixed_coefficients
+    rows = fixed_coefficients(len(FEATURES))[0]
+    parts = []
+    for i, f in enumerate(FEATURES):
+        w = "CASE f.prediction " + " ".join(f"WHEN {k} THEN {rows[k][i]!r}e0" for k in range(3)) + " END"
+        x = f"((CAST(f.{f} AS DOUBLE) - mean_{f}) / std_{f})"
+        parts.append(f"SELECT f.employee_id, f.quarter_label, {i} AS i, '{f}' AS name, {w} * {x} AS c, CAST(r.{RAW_OF[f]} AS VARCHAR) AS raw "
+                     f"FROM fp f JOIN {raw} r ON r.employee_id = f.employee_id AND r.quarter_label = f.quarter_label, sc")
+    return "lc AS (" + union_all(parts) + ")"
+
+
+def _ranked_messages() -> str:
+    pm, nm = _msg_case(True), _msg_case(False)
+    return _RANKED.format(pos_msg=pm.format(sep=" | ") + " AS msgs, " + pm.format(sep=", ") + " AS msgs2",
+                          neg_msg=nm.format(sep=" | ") + " AS msgs, " + nm.format(sep=", ") + " AS msgs2")
+
+
+_MESSAGES = """LEFT JOIN tp ON tp.employee_id = t.employee_id AND tp.quarter_label = t.quarter_label
+LEFT JOIN tn ON tn.employee_id = t.employee_id AND tn.quarter_label = t.quarter_label"""
+ORACLES["model_contributions"] = with_panel(
+    f"SELECT employee_id, quarter_label, i AS feature_index, {rnd('c', 6)} AS contribution FROM lc", FIXED + ",\n" + model_contrib_cte("te_e"))
+ORACLES["explain_model_rows"] = with_panel(
+    f"""SELECT t.employee_id, t.quarter_label, {_band} AS predicted_band, {rnd('p0', 3)} AS p_low, {rnd('p1', 3)} AS p_medium, {rnd('p2', 3)} AS p_high,
+  coalesce(tp.msgs, '') AS strengths, coalesce(tn.msgs, '') AS concerns,
+  concat_ws('; ', 'band=' || {_band}, 'confidence=' || printf('%.1f', round_even({_best} * 100, 1)), tp.msgs2, tn.msgs2) AS summary
+FROM fp t {_MESSAGES}""", FIXED + ",\n" + model_contrib_cte("te_e") + _ranked_messages())
+ORACLES["score_one"] = with_panel(
+    f"""SELECT t.employee_id, t.quarter_label, predicted_band, confidence_pct, priority,
+  coalesce(tp.msgs, '') AS strengths, coalesce(tn.msgs, '') AS concerns
+FROM dec t {_MESSAGES}""", SCORED + ",\n" + model_contrib_cte("test") + _ranked_messages())
+ORACLES["model_shortlists"] = with_panel(
+    f"""SELECT {_band} AS list_band, CAST(rank AS INTEGER) AS rank, employee_id, department, experience_years, goal_achievement_pct, manager_rating,
+  {rnd('best', 6)} AS score FROM (
+  SELECT *, {_best} AS best, row_number() OVER (PARTITION BY prediction ORDER BY {_best} DESC, employee_id, review_year, review_quarter) AS rank
+  FROM fp WHERE prediction IN (0, 2)) WHERE rank <= 10""", FIXED)
+
+
+def _linear_weights() -> list[list[float]]:
+    from panelsight.plans.fixed_models import coefficients as fixed_coefficients
+    return fixed_coefficients(len(FEATURES))[0]
+
+
+ORACLES["shapley_linear"] = with_panel(
+    union_all([f"SELECT employee_id, quarter_label, {i} AS feature_index, " + ", ".join(
+        f"{rnd(f'{_linear_weights()[k][i]!r}e0 * {SCALED[f]}', 6)} AS {c}" for k, c in enumerate(("contrib_low", "contrib_medium", "contrib_high")))
+        + " FROM te_e, sc" for i, f in enumerate(FEATURES)]), prepared_ctes())
+ORACLES["shapley_global"] = with_panel(
+    "SELECT feature, " + rnd("m", 6) + " AS mean_abs FROM (" + union_all([
+        f"SELECT '{f}' AS feature, avg(abs({_linear_weights()[2][i]!r}e0 * {SCALED[f]})) AS m FROM te_e, sc" for i, f in enumerate(FEATURES)])
+    + ") ORDER BY m DESC, feature LIMIT 12", prepared_ctes())
+
+# fill-with-0 scoring: an absent feature and empty cells are 0, unseen categories too
+_ZC, _ZJ = encoded_select("test", zero=True)
+_ZERO = ", ".join(f"{'0.0e0' if c == 'salary' else f'coalesce({c}, 0)'} AS {c}" for c in NUMERIC)
+ORACLES["score_batch_zero"] = with_panel(
+    f"SELECT employee_id, quarter_label, {_band} AS predicted_band, round_even({_best} * 100, 1) AS confidence_pct FROM zp",
+    prepared_ctes() + f",\nte_z AS (SELECT t.* REPLACE ({_ZERO}), {', '.join(_ZC)} FROM test t {_ZJ}),\n" + linear_ctes("te_z", "z"))
+
+# --- scans with rejects, bucketed tables ------------------------------------------------------
+_KIND = f"(({_NUMBER} + {_QUARTER}) % 20)"
+ORACLES["scan_rejects"] = with_panel(
+    f"""SELECT employee_id, quarter_label, CASE WHEN {_KIND} = 4 THEN role || chr(10) || 'said "yes", twice' ELSE role END AS role, salary,
+  CASE WHEN {_KIND} <> 3 THEN goal_achievement_pct END AS goal_achievement_pct
+FROM panel WHERE {_KIND} > 2""")
+ORACLES["scan_reject_counts"] = with_panel(
+    f"""SELECT count(*) AS n_in, count(*) FILTER (WHERE {_KIND} > 2) AS n_out, count(*) FILTER (WHERE {_KIND} <= 2) AS n_rejected,
+  count(*) FILTER (WHERE {_KIND} = 3) AS n_bad_cells, count(*) FILTER (WHERE {_KIND} < 2) AS n_ragged, count(*) FILTER (WHERE {_KIND} = 2) AS n_required FROM panel""")
+ORACLES["dedup_bucketed"] = with_panel("SELECT * FROM dedup", DEDUP)
+ORACLES["attach_bucketed"] = ORACLES["attach_decisions"]
+ORACLES["densify_bucketed"] = ORACLES["densify_panel"]

@@ -1,10 +1,13 @@
 """Importance and explanation.
 
 * X1/X2 read the fitted model (a vector of 13 numbers per class).
-* X3 permutation importance and X4 sampling Shapley are Spark jobs: the rows
-  are exploded over (repeat, feature) or (permutation, step), scored by the
-  fitted model's ``transform`` and reduced with grouped aggregates. The only
-  window spans a hash bucket of one repeat (X3).
+* X3 permutation importance permutes each feature by a keyed bijection of row
+  ranks: an equi-join on rank, no window.
+* X4 has an exact form for each kind of model (tree ensembles: ``tree_shap``;
+  linear margins: coefficient times difference) and two estimators for any
+  model: sampled permutations and weighted least squares over coalitions. The
+  variants of a row are scored by the model's ``transform``, a narrow step,
+  and reduced by grouped sums.
 * X6/X7 and W2/W3 are array expressions per row (no shuffle).
 """
 
@@ -12,35 +15,52 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.classification import LogisticRegressionModel, OneVsRestModel
+import numpy as np
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelsight.functions.scalars import decode_band, rnd
+from panelsight.operators.joins import sized_broadcast
 from panelsight.operators import metrics as M
-from panelsight.operators.models import FittedModel, predict
+from panelsight.operators import permute as PM
+from panelsight.operators import tree_shap as TS
+from panelsight.operators import trees as TR
+from panelsight.operators.models import BoostedTreesModel, FittedModel, predict
+from panelsight.session import remove
 
+CONTRIBUTIONS = ["contrib_low", "contrib_medium", "contrib_high"]
 TOP_DRIVERS = 3
 TOP_GLOBAL = 12
-MAX_BROADCAST_BACKGROUND = 100_000  # rows of 13 doubles (~15 MB) at most are broadcast
 
 
 # --- X1 / X2 / W1 ---------------------------------------------------------------
 
 def model_importance(fm: FittedModel, features: list[str]) -> list[float]:
-    """X1/X2 as a Python list: impurity importance (trees; mean over the
-    one-vs-rest sub-models) or the mean |coefficient| over classes (linear)."""
+    """X1/X2 as a Python list: impurity importance (forest), mean gain of a split as a share of all features' (boosted
+    trees), or the mean |coefficient| over classes (linear)."""
     m = fm.model
     if isinstance(m, LogisticRegressionModel):
         cm = m.coefficientMatrix.toArray()
         return [float(sum(abs(cm[k][j]) for k in range(cm.shape[0])) / cm.shape[0]) for j in range(len(features))]
-    if isinstance(m, OneVsRestModel):
-        vs = [sub.featureImportances.toArray() for sub in m.models]
-        return [float(sum(v[j] for v in vs) / len(vs)) for j in range(len(features))]
+    if isinstance(m, BoostedTreesModel):
+        total, count = [0.0] * len(features), [0] * len(features)
+        for margin in m.margins:
+            for tree in TR.node_table(_session(), margin):
+                for f, gain, cover in zip(tree["feature"], tree["gain"], tree["cover"]):
+                    if f >= 0:
+                        total[f] += gain * cover
+                        count[f] += 1
+        means = [t / c if c else 0.0 for t, c in zip(total, count)]
+        return [x / (sum(means) or 1.0) for x in means]
     return [float(x) for x in m.featureImportances.toArray()]
 
 
+def _session() -> SparkSession:
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
 def importance_table(spark, fm: FittedModel, features: list[str]) -> DataFrame:
     """X1/X2 as a DataFrame (feature, importance), descending, name tie-break."""
     imp = model_importance(fm, features)
@@ -55,48 +75,46 @@ def top_k_importance(imp: DataFrame, k: int = TOP_GLOBAL) -> DataFrame:
 
 # --- X3 permutation importance ------------------------------------------------------
 
-BUCKET_ROWS = 50_000  # rows that exchange values with each other
-
-
 def permutation_importance(fm: FittedModel, test: DataFrame, features: list[str],
                            n_repeats: int = 10, seed: int = 42) -> DataFrame:
-    """Drop in macro F1 when one feature's values are shuffled across rows.
+    """Drop in macro F1 when one feature's values are permuted across rows, by an own permutation for each
+    (repeat, feature).
 
-    In each repeat every row gets a donor row (``donor_rows``: one window for
-    each repeat); each feature in turn takes the donor's value, a narrow step
-    after the window. All variants are scored in one ``transform`` and reduced
-    by a grouped confusion count.
+    Every row sends its value of each feature to the row of its image, once a
+    repeat; a row collects what it gets and is joined with itself by rank. Its
+    variants are built, scored and counted without another exchange of rows.
     """
-    donors = donor_rows(test, n_repeats, seed)
-    f = F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))).alias("f")
-    mixed = F.transform("x", lambda v, i: F.when(i == F.col("f"), F.element_at("donor", i + 1)).otherwise(v))
-    perm = donors.select("r", "label", "x", "donor", f).select("f", "r", "label", array_to_vector(mixed).alias("features"))
+    rows, _, path = donated(test, len(features), n_repeats, seed)
+    d, spark = len(features), test.sparkSession
+    mixed = F.transform("x", lambda v, i: F.when(i == F.col("f"), F.col("value")).otherwise(v))
+    perm = (rows.select("label", "x", F.inline("got"))
+            .select((F.col("k") % d).cast("int").alias("f"), F.floor(F.col("k") / d).cast("int").alias("r"), "label", "x", "value")
+            .select("f", "r", "label", array_to_vector(mixed).alias("features")))
     f1 = M.macro_f1_by(predict(fm, perm), ["f", "r"])
     # baseline macro F1 of the unshuffled rows: one number, computed by Spark
     base_f1 = M.summary_metrics(predict(fm, test), digits=12).first()["f1_macro"]
     names = F.element_at(F.array(*[F.lit(x) for x in features]), F.col("f") + 1)
-    return (f1.withColumn("drop", F.lit(base_f1) - F.col("f1_macro"))
-            .groupBy("f").agg(F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("std"))
-            .select(names.alias("feature"), "importance", "std")
-            .orderBy(F.col("importance").desc(), "feature"))
+    found = (f1.withColumn("drop", F.lit(base_f1) - F.col("f1_macro"))
+             .groupBy("f").agg(F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("std"))
+             .select(names.alias("feature"), "importance", "std").collect())  # a row for each feature
+    remove(spark, path)
+    return spark.createDataFrame(found, "feature string, importance double, std double").orderBy(F.col("importance").desc(), "feature")
 
 
-def donor_rows(test: DataFrame, n_repeats: int = 10, seed: int = 42) -> DataFrame:
-    """Rows x repeat r: (r, label, x, donor), ``donor`` another row's features.
+def donated(test: DataFrame, n_features: int, n_repeats: int = 10, seed: int = 42) -> tuple[DataFrame, int, str]:
+    """Rows as (rank, label, x, got: array of (k, value)), k = repeat * features + feature and ``value`` that feature of
+    another row by the permutation of k; the number of rows; the folder of the ranked copy.
 
-    Rows are dealt into buckets of about BUCKET_ROWS by a hash and put in a
-    hashed order; each takes the next row of its bucket, the last one the
-    first. Buckets are the rule at every size: one where the rows fit in one.
-    The hash is of the row's contents, so equal rows may be neighbours, which
-    changes nothing; their order is settled by nothing else.
+    The hashed order is of the rows' contents, so that it doesn't depend on
+    their partitions; equal rows are interchangeable.
     """
-    base = test.select("label", vector_to_array("features").alias("x"))
-    buckets = max(1, math.ceil(base.count() / BUCKET_ROWS))
-    rows = base.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("r"))
-    contents = F.xxhash64("x", "label", "r", F.lit(seed))
-    rows = rows.withColumn("_b", F.pmod(contents, F.lit(buckets))).withColumn("_o", F.xxhash64("x", "label", "r", F.lit(seed + 1)))
-    w = Window.partitionBy("r", "_b").orderBy("_o")
-    return rows.select("r", "label", "x", F.coalesce(F.lead("x").over(w), F.first("x").over(w)).alias("donor"))
+    base = test.select(F.col("label").cast("double").alias("label"), vector_to_array("features").alias("x"))
+    ranked, n, path = PM.with_ranks(base, [F.xxhash64("x", "label", F.lit(seed)), F.col("label"), F.col("x")])
+    every = F.explode(F.sequence(F.lit(0), F.lit(n_repeats * n_features - 1)))
+    sent = (ranked.select("rank", "x", every.alias("k"))
+            .select("k", PM.permuted(F.col("rank"), n, F.lit(seed), F.col("k")).alias("to"), F.element_at("x", (F.col("k") % n_features + 1).cast("int")).alias("value")))
+    got = sent.groupBy("to").agg(F.collect_list(F.struct("k", "value")).alias("got"))
+    return ranked.join(got, F.col("rank") == F.col("to")).drop("to"), n, path
 
 
 # --- X4 / X5 sampling Shapley ---------------------------------------------------------
@@ -120,10 +138,9 @@ def shapley_contributions(fm: FittedModel, rows: DataFrame, background: DataFram
 
     For each row and permutation p a background row is drawn; along the
     permutation the features switch one at a time from background to row
-    values. Each feature's row holds the vector before and after its switch;
-    both are scored, and their difference is the marginal contribution,
-    averaged per (key, feature) by a partial aggregate. Nothing is shuffled
-    but the averages. Per permutation the contributions telescope to
+    values. The d + 1 vectors on the way are scored once each: a vector counts
+    for the feature that has just switched, and against the next one. Nothing
+    is shuffled but sums by (key, feature). Per permutation the contributions telescope to
     f(x) - f(background), so the average is additive. Rows that repeat a key
     draw their permutations by their contents and share one average.
     """
@@ -135,24 +152,89 @@ def shapley_contributions(fm: FittedModel, rows: DataFrame, background: DataFram
                         lambda j: F.struct(F.xxhash64("_rid", "p", j, F.lit(seed)).alias("h"), j.alias("j")))
     pe = (pe.withColumn("perm", F.transform(F.array_sort(order), lambda s: s["j"]))
           .withColumn("_bi", F.pmod(F.xxhash64("_rid", "p", F.lit(seed + 1)), F.lit(nb))))
-    # the background has exactly ``nb`` rows (counted above): broadcast it
-    # only under a row bound, else let the planner pick a shuffle join
-    bg_side = F.broadcast(background) if nb <= MAX_BROADCAST_BACKGROUND else background
-    steps = pe.join(bg_side, "_bi").select("*", F.explode(F.sequence(F.lit(0), F.lit(n_features - 1))).alias("k"))
-
-    def hybrid(switched: Column) -> Column:
-        """The first ``switched`` features of the permutation come from the row."""
-        return array_to_vector(F.transform(F.sequence(F.lit(0), F.lit(n_features - 1)),
-                                           lambda j: F.when(F.array_position("perm", j) <= switched, F.element_at("x", j + 1))
-                                           .otherwise(F.element_at("bg", j + 1))))
-
-    place = F.element_at("perm", F.col("k") + 1).alias("feature_index")
-    steps = steps.select(*keys, place, hybrid(F.col("k")).alias("_before"), hybrid(F.col("k") + 1).alias("features"))
-    after = predict(fm, steps).select(*keys, "feature_index", F.col("_before").alias("features"), F.col("probs").alias("_after"))
-    diffs = predict(fm, after).select(*keys, "feature_index", F.zip_with("_after", "probs", lambda a, b: a - b).alias("d"))
-    return (diffs.groupBy(*keys, "feature_index")
-            .agg(F.avg(F.col("d")[0]).alias("contrib_low"), F.avg(F.col("d")[1]).alias("contrib_medium"),
-                 F.avg(F.col("d")[2]).alias("contrib_high")))
+    steps = pe.join(sized_broadcast(background), "_bi").select("*", F.explode(F.sequence(F.lit(0), F.lit(n_features))).alias("k"))
+    # the first k features of the permutation come from the row
+    hybrid = F.transform(F.sequence(F.lit(0), F.lit(n_features - 1)),
+                         lambda j: F.when(F.array_position("perm", j) <= F.col("k"), F.element_at("x", j + 1)).otherwise(F.element_at("bg", j + 1)))
+    scored = predict(fm, steps.select(*keys, "perm", "k", array_to_vector(hybrid).alias("features"))).select(*keys, "perm", "k", "probs")
+    # a vector is the state after the switch of its k-th feature and the state before that of the next one
+    switch = lambda place, sign: F.struct(F.element_at("perm", place).alias("feature_index"), F.lit(sign).alias("sign"))
+    ends = F.filter(F.array(F.when(F.col("k") > 0, switch(F.greatest("k", F.lit(1)), 1.0)),
+                            F.when(F.col("k") < n_features, switch(F.least(F.col("k") + 1, F.lit(n_features)), -1.0))), lambda s: s.isNotNull())
+    parts = scored.select(*keys, "probs", F.inline(ends))
+    count = F.sum(F.when(F.col("sign") > 0, 1))
+    return (parts.groupBy(*keys, "feature_index")
+            .agg(*[(F.sum(F.col("sign") * F.col("probs")[i]) / count).alias(c) for i, c in enumerate(CONTRIBUTIONS)]))
+
+
+def linear_contributions(fm: FittedModel, rows: DataFrame, background: list[float], keys: list[str] = ("employee_id", "quarter_label")) -> DataFrame:
+    """X4 of a linear model's margins, exact: coefficient times the difference to the background's mean."""
+    w = fm.model.coefficientMatrix.toArray()
+    x, mean = vector_to_array("features"), F.array(*[F.lit(float(v)) for v in background])
+    off = F.zip_with(x, mean, lambda a, b: a - b)
+    per = [F.zip_with(off, F.array(*[F.lit(float(v)) for v in row]), lambda a, b: a * b) for row in w]
+    both = F.arrays_zip(*[p.alias(c) for p, c in zip(per, CONTRIBUTIONS)])
+    return rows.select(*list(keys), F.posexplode(both).alias("feature_index", "c")).select(
+        *list(keys), F.col("feature_index").cast("int").alias("feature_index"), *[F.col("c")[c].alias(c) for c in CONTRIBUTIONS])
+
+
+def coalitions(n_features: int, count: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """(members, weights) of coalitions other than the empty and the full one: all of them if ``count`` allows, else
+    drawn by the kernel's weight of their size, each with its complement."""
+    d = n_features
+    if d < 2:
+        return np.zeros((0, d), bool), np.zeros(0)
+    if count >= (1 << d) - 2:
+        z = np.array([[c >> j & 1 for j in range(d)] for c in range(1, (1 << d) - 1)], bool)
+        size = z.sum(1)
+        return z, np.array([(d - 1) / (math.comb(d, s) * s * (d - s)) for s in size])
+    rng = np.random.default_rng(seed)
+    sizes = np.arange(1, d)
+    p = 1.0 / (sizes * (d - sizes))
+    found: dict[bytes, float] = {}
+    while len(found) < count:
+        z = np.zeros(d, bool)
+        z[rng.permutation(d)[: rng.choice(sizes, p=p / p.sum())]] = True
+        for one in (z, ~z):
+            found[one.tobytes()] = found.get(one.tobytes(), 0.0) + 1.0
+    return np.array([np.frombuffer(b, bool) for b in found]), np.array(list(found.values()))
+
+
+def kernel_operator(z: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weighted least squares with the sum fixed, solved once for all rows: contributions are ``per @ v + full * v_full +
+    empty * v_empty`` for the values v of the coalitions."""
+    d = z.shape[1]
+    x = z.astype(float)
+    inverse = np.linalg.pinv(x.T @ (w[:, None] * x))
+    u = inverse.sum(1) / inverse.sum()
+    per = (np.eye(d) - np.outer(u, np.ones(d))) @ inverse @ (x * w[:, None]).T
+    return per, u, -u - per.sum(1)
+
+
+def kernel_contributions(fm: FittedModel, rows: DataFrame, background: DataFrame, n_features: int, keys: list[str] = ("employee_id", "quarter_label"),
+                         n_coalitions: int = 256, seed: int = 42) -> DataFrame:
+    """X4 by weighted least squares over coalitions, for any model.
+
+    A coalition's value is the mean prediction over ``background`` with the
+    coalition's features taken from the row. All rows share the coalitions, so
+    the normal equations are solved once, and a row's contributions are sums of
+    its predictions times given numbers: one grouped aggregate.
+    """
+    keys, d, spark = list(keys), n_features, rows.sparkSession
+    nb = background.count()
+    z, w = coalitions(d, n_coalitions, seed)
+    per, full, empty = kernel_operator(z, w)
+    table = [(m.tolist(), k.tolist()) for m, k in zip(z, per.T)] + [([True] * d, full.tolist()), ([False] * d, empty.tolist())]
+    asked = spark.createDataFrame([(i, *row) for i, row in enumerate(table)], "_s int, member array<boolean>, k array<double>")
+    base = rows.select(*keys, vector_to_array("features").alias("x")).withColumn("_rid", F.xxhash64(*keys, "x"))
+    # a row has a stated number of variants: one for each coalition and background row
+    variants = (base.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(len(table) - 1)))).join(sized_broadcast(asked), "_s")
+                .withColumn("_bi", F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))).join(sized_broadcast(background), "_bi"))
+    hybrid = F.zip_with(F.zip_with("member", "x", lambda m, v: F.when(m, v)), "bg", lambda v, b: F.coalesce(v, b))
+    scored = predict(fm, variants.select(*keys, "_rid", "k", array_to_vector(hybrid).alias("features"))).select(*keys, "_rid", "k", "probs")
+    sums = scored.groupBy(*keys, "_rid").agg(*[(F.sum(F.col("k")[j] * F.col("probs")[c]) / nb).alias(f"s{j}_{c}") for j in range(d) for c in range(3)])
+    per_feature = F.array(*[F.struct(F.lit(j).alias("feature_index"), *[F.col(f"s{j}_{c}").alias(name) for c, name in enumerate(CONTRIBUTIONS)]) for j in range(d)])
+    return sums.select(*keys, F.inline(per_feature))
 
 
 def shapley_global(contribs: DataFrame, features: list[str], class_col: str = "contrib_high",
@@ -183,8 +265,28 @@ def model_contributions(fm: FittedModel, class_index: Column, features_col: str
     x = vector_to_array(features_col)
     if isinstance(fm.model, LogisticRegressionModel):
         return local_contributions(x, fm.model.coefficientMatrix.toArray().tolist(), class_index)
-    return local_contributions(x, model_importance(fm, [None] * fm.model.numFeatures) if not hasattr(fm.model, "models")
-                               else model_importance(fm, [None] * fm.model.models[0].numFeatures))
+    return local_contributions(x, model_importance(fm, [""] * fm.model.numFeatures))
+
+
+def tree_contributions(fm: FittedModel, rows: DataFrame, n_features: int, keys: list[str] = ("employee_id", "quarter_label")) -> DataFrame:
+    """X4, exact: Shapley values of a forest's probabilities or of boosted trees' margins, for all rows, features and classes.
+
+    They sum to the model's output less ``tree_expected``. A class that is absent from training has 0.
+    """
+    ensemble = tree_ensemble(fm, n_features)
+    names = CONTRIBUTIONS
+    keys = list(keys)
+    if not isinstance(fm.model, BoostedTreesModel):
+        return TS.contributions(ensemble, rows, names, keys)
+    found = TS.contributions(ensemble, rows, [names[c] for c in fm.classes], keys)
+    return found.select(*keys, "feature_index", *[F.col(c) if i in fm.classes else F.lit(0.0).alias(c) for i, c in enumerate(names)])
+
+
+def tree_ensemble(fm: FittedModel, n_features: int) -> TS.Ensemble:
+    spark = _session()
+    if isinstance(fm.model, BoostedTreesModel):
+        return TS.Ensemble([TR.node_table(spark, m) for m in fm.model.margins], n_features)
+    return TS.Ensemble([TR.node_table(spark, fm.model)], n_features, mean=True)
 
 
 def _ranked(contrib: Column) -> Column:

@@ -48,6 +48,11 @@ def audit_by_group(df: DataFrame, group_col: str = "department", pred_col: str =
     g = g.select(F.col(group_col).alias("group_name"), "n_employees",
                  _pct("_p").alias("predicted_high_pct"), _pct("_a").alias("actual_high_pct"),
                  rnd((F.col("_p") - F.col("_a")) * 100.0, 1).alias("gap_pts"))
+    return _assessed(g)
+
+
+def _assessed(g: DataFrame) -> DataFrame:
+    """Aggregated groups with their ratio to the best one and the flag."""
     best = F.max("predicted_high_pct").over(Window.partitionBy())  # over the aggregated groups only
     ratio = rnd(F.try_divide(F.col("predicted_high_pct"), best), 3)
     return (g.withColumn("adverse_impact_ratio", F.when(best > 0, ratio))
@@ -60,13 +65,17 @@ def audit_by_experience(df: DataFrame, pred_col: str = "prediction", actual_col:
                         years_col: str = "experience_years") -> DataFrame:
     """F2 without gap/ratio over experience tiers; empty tiers omitted,
     out-of-range years dropped; ``tier_order`` gives Junior -> Senior."""
-    order = F.create_map(*[x for i, (lab, _, _) in enumerate(EXPERIENCE_TIERS) for x in (F.lit(lab), F.lit(i))])
     t = _flags(df, pred_col, actual_col).withColumn("experience_tier", experience_tier(years_col))
     return (t.where(F.col("experience_tier").isNotNull()).groupBy("experience_tier")
             .agg(F.count(F.lit(1)).alias("n_employees"),
                  _pct_avg("_pred_high").alias("predicted_high_pct"),
                  _pct_avg("_actual_high").alias("actual_high_pct"))
-            .withColumn("tier_order", F.element_at(order, F.col("experience_tier"))))
+            .withColumn("tier_order", _tier_order()))
+
+
+def _tier_order():
+    order = F.create_map(*[x for i, (lab, _, _) in enumerate(EXPERIENCE_TIERS) for x in (F.lit(lab), F.lit(i))])
+    return F.element_at(order, F.col("experience_tier"))
 
 
 def _pct_avg(c: str):
@@ -82,6 +91,11 @@ def statistical_parity(df: DataFrame, group_col: str = "department", reference:
             [], "group_name string, high_rate_pct double, spd double, fairness_flag string")
     g = (_flags(df, pred_col, None).where(F.col(group_col).isNotNull())
          .groupBy(F.col(group_col).alias("group_name")).agg(F.avg("_pred_high").alias("_r")))
+    return _parity(g, reference)
+
+
+def _parity(g: DataFrame, reference: str) -> DataFrame:
+    """Aggregated groups (group_name, _r) against the reference group."""
     ref = F.max(F.when(F.col("group_name") == reference, F.col("_r"))).over(Window.partitionBy())
     spd = F.col("_r") - ref
     return g.select("group_name", _pct("_r").alias("high_rate_pct"), rnd(spd, 3).alias("spd"),
@@ -94,14 +108,34 @@ def bias_detected(audit: DataFrame, flag_col: str = "bias_flag", bad: str = "INV
     return audit.agg(F.coalesce(F.bool_or(F.col(flag_col) == bad), F.lit(False)).alias("bias_detected"))
 
 
+def group_counts(df: DataFrame, pred_col: str = "prediction", actual_col: str = TARGET_COL, group_col: str = "department",
+                 years_col: str = "experience_years") -> DataFrame:
+    """(group_name, experience_tier, n, n_high, n_actual, n_actual_high) of every group and every tier, by grouping sets:
+    one scan and one exchange of a row for each group and task."""
+    flagged = _flags(df, pred_col, actual_col).select(
+        (F.col(group_col) if group_col in df.columns else F.lit(None).cast("string")).alias("group_name"),
+        experience_tier(years_col).alias("experience_tier"), "_pred_high", "_actual_high")
+    sums = flagged.groupingSets([[F.col("group_name")], [F.col("experience_tier")]], "group_name", "experience_tier").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_pred_high").alias("n_high"), F.count("_actual_high").alias("n_actual"), F.sum("_actual_high").alias("n_actual_high"))
+    return sums.where(F.col("group_name").isNotNull() | F.col("experience_tier").isNotNull())
+
+
 def fairness_report(df: DataFrame, pred_col: str = "prediction", reference: str = "EUROPE") -> dict:
-    """the three audit tables plus the overall flags (lazy DataFrames)."""
-    dept = audit_by_group(df, "department", pred_col)
-    spd = statistical_parity(df, "department", reference, pred_col)
-    return {"department": dept.orderBy(F.col("predicted_high_pct").desc(), "group_name"),
-            "experience": audit_by_experience(df, pred_col).orderBy("tier_order"),
+    """the three audit tables plus the overall flags, all from the rows of one aggregate (a row for each group)."""
+    counts = group_counts(df, pred_col)
+    local = df.sparkSession.createDataFrame(counts.collect(), counts.schema)
+    high, actual = F.col("n_high") / F.col("n"), F.try_divide(F.col("n_actual_high"), F.col("n_actual"))
+    groups = local.where(F.col("group_name").isNotNull())
+    audited = _assessed(groups.select("group_name", F.col("n").alias("n_employees"), rnd(high * 100.0, 1).alias("predicted_high_pct"),
+                                      rnd(actual * 100.0, 1).alias("actual_high_pct"), rnd((high - actual) * 100.0, 1).alias("gap_pts")))
+    tiers = local.where(F.col("experience_tier").isNotNull()).select(
+        "experience_tier", F.col("n").alias("n_employees"), rnd(high * 100.0, 1).alias("predicted_high_pct"), rnd(actual * 100.0, 1).alias("actual_high_pct"),
+        _tier_order().alias("tier_order"))
+    spd = _parity(groups.select("group_name", high.alias("_r")), reference)
+    return {"department": audited.orderBy(F.col("predicted_high_pct").desc(), "group_name"),
+            "experience": tiers.orderBy("tier_order"),
             "parity": spd.orderBy("spd", "group_name"),
-            "bias_detected": bias_detected(dept),
+            "bias_detected": bias_detected(audited),
             "parity_flagged": bias_detected(spd, "fairness_flag", "REVIEW")}
 
 

@@ -2,10 +2,8 @@
 
 All of these reduce the panel with hash aggregates (partial + final), so the
 shuffled volume is one row per group per map task whatever the key skew.
-Exact quantiles (A6) use Spark's ``percentile``: its state is a count per
-*distinct* value, and the panel measures are rounded to 1-3 decimals inside
-clipped ranges, so that state is bounded by the value domain, not by the row
-count. ``approx=True`` switches to ``percentile_approx`` for unbounded domains.
+Exact quantiles (A6) take two scans (``operators.ranks``), the first of which
+computes the other statistics too; ``approx=True`` takes one.
 """
 
 from __future__ import annotations
@@ -14,9 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelsight.functions.scalars import quarter_key, rnd
-from panelsight.operators.ranks import quantiles
-from panelsight.sources.stored import materialize
 from panelsight.operators.joins import sized_broadcast
+from panelsight.operators.ranks import exact_quantiles
 from panelsight.schema import BAND_DISPLAY_ORDER, TARGET_COL
 
 # FIXED VALUES: column groups used by the insight reports
@@ -97,27 +94,25 @@ def band_feature_means(df: DataFrame, cols: list[str] = BAND_MEAN_FEATURES) -> D
 
 def describe_numeric(df: DataFrame, cols: list[str] = DESCRIBE_COLS, approx: bool = False) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max
-    per column, 2 dp. Quartiles are exact over sorted ranges, or with ``approx``
-    from a sketch in the same pass as the rest."""
+    per column, 2 dp. Quartiles are exact, in a second scan of what a
+    sketch leaves open, or with ``approx`` from a sketch in the same pass as the rest."""
     cols = _present(df, cols)
-    aggs = []
-    for i, c in enumerate(cols):
+    points = [0.25, 0.5, 0.75]
+
+    def moments(c: str, more=()):
         x = F.col(c).cast("double")
-        aggs.append(F.struct(
-            F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-            *([F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).alias("q")] if approx else []), F.max(x).alias("max")).alias(f"_s{i}"))
-    stack = ", ".join(f"'{c}', _s{i}" for i, c in enumerate(cols))
-    long = df.agg(*aggs).selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, s)")
+        return F.struct(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"), *more)
+
     if approx:
-        q = [F.col("s.q")[i] for i in range(3)]
+        sketch = lambda c: F.percentile_approx(F.col(c).cast("double"), points, 100_000).alias("q")
+        row = df.agg(*[moments(c, [sketch(c)]).alias(f"_s{i}") for i, c in enumerate(cols)]).first()
+        q = [row[f"_s{i}"]["q"] or [None] * 3 for i in range(len(cols))]
     else:
-        long = long.join(quantiles(df, cols, [0.25, 0.5, 0.75]), "column_name", "left")
-        q = [F.col(f"q{i}") for i in range(3)]
-    return long.select(
-        "column_name",
-        F.col("s.count").alias("count"),
-        rnd("s.mean", 2).alias("mean"), rnd("s.std", 2).alias("std"),
-        rnd("s.min", 2).alias("min"), *[rnd(x, 2).alias(n) for x, n in zip(q, ("p25", "p50", "p75"))], rnd("s.max", 2).alias("max"))
+        q, row = exact_quantiles(df, cols, points, [moments(c).alias(f"_s{i}") for i, c in enumerate(cols)])
+    found = [(c, *[row[f"_s{i}"][k] for k in ("count", "mean", "std", "min")], *[float(v) if v is not None else None for v in q[i]], row[f"_s{i}"]["max"]) for i, c in enumerate(cols)]
+    names = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    local = df.sparkSession.createDataFrame(found, "column_name string, count bigint, " + ", ".join(f"{n} double" for n in names))  # a row for each column
+    return local.select("column_name", "count", *[rnd(n, 2).alias(n) for n in names])
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -220,7 +215,7 @@ def feature_histogram(df: DataFrame, cols: list[str] = HIST_FEATURES, bins: int
            .withColumn("lo", F.when(F.col("vmin") == F.col("vmax"), F.col("vmin") - 0.5).otherwise(F.col("vmin")))
            .withColumn("hi", F.when(F.col("vmin") == F.col("vmax"), F.col("vmax") + 0.5).otherwise(F.col("vmax")))
            .withColumn("width", (F.col("hi") - F.col("lo")) / bins))
-    rng = materialize(rng, "ranges")[0]  # one row per group, for the size check and both uses
+    rng = df.sparkSession.createDataFrame(rng.collect(), rng.schema)  # one row per (feature, band)
     # one row per (feature, band): broadcast after a size check -- a shuffle
     # join on this key would send each group's values to a single task
     ranges = sized_broadcast(rng.select("feature", "band", "lo", "width"))

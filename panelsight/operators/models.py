@@ -1,23 +1,25 @@
-"""Model training, scoring and comparison (M1-M4, M10, M11) on Spark ML.
+"""Model training, scoring and comparison.
 
-Labels are fixed 0/1/2 and carried with nominal metadata so every estimator
-sees three classes even when a class is absent from the training period; the
-probability of an absent class is forced to 0 and the rest renormalised.
+The linear model is fitted by Spark ML; forest and boosted trees by the
+histogram learners of ``operators.trees``, which give Spark's own model
+classes, so that scoring is Spark's for all three.
+
+Labels are fixed 0/1/2. A class absent from the training period has
+probability 0; the rest is renormalised.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, LogisticRegressionModel, OneVsRest, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelsight.functions.scalars import argmax_class, confidence_pct, decode_band
 from panelsight.operators import metrics as M
+from panelsight.operators import trees as TR
 from panelsight.schema import BANDS
 
 N_CLASSES = len(BANDS)
@@ -35,10 +37,13 @@ class TrainParams:
     rf_trees: int = 300
     rf_depth: int = 8
     rf_min_leaf: int = 10
+    rf_bins: int = 64
     gbt_rounds: int = 300
     gbt_depth: int = 6
     gbt_step: float = 0.05
     gbt_subsample: float = 0.8
+    gbt_columns: float = 0.8
+    gbt_bins: int = 256
     gbt_weighted: bool = False
     seed: int = 42
 
@@ -61,39 +66,34 @@ ROWS_PER_PARTITION = 50_000
 
 
 def training_partitions(n: int) -> int:
-    """Partitions for an iterative fit over ``n`` rows. Bagging and subsampling
-    draw per partition, so the number depends on the rows alone, never on cores."""
+    """Partitions of the linear fit over ``n`` rows; they bear on the rounding of its sums alone."""
     return max(1, -(-n // ROWS_PER_PARTITION))
 
 
-def training_frame(train: DataFrame, weighted: bool = True) -> tuple[DataFrame, dict]:
-    """The columns an iterative estimator reads, in a compact cached frame, and the rows of each class.
+def class_counts(train: DataFrame) -> dict[int, int]:
+    """Rows of each class that occurs, at most N_CLASSES."""
+    return {int(r["label"]): r["count"] for r in train.groupBy("label").count().orderBy("label").collect()}
 
-    Rows are dealt by a hash of their contents and sorted within partitions:
-    equal inputs give equal partitions, hence equal models, on any number of
-    cores. The caller releases the frame.
-    """
-    counts = {int(r["label"]): r["count"] for r in train.groupBy("label").count().collect()}  # at most N_CLASSES rows
+
+def balanced(counts: dict[int, int]) -> dict[int, float]:
+    """A18 as numbers: n / (classes * rows of the class)."""
     n = sum(counts.values())
-    t = train.select("features", "label")
-    if weighted:
-        weight = F.lit(None).cast("double")
-        for c, k in counts.items():
-            weight = F.when(F.col("label") == c, n / (len(counts) * k)).otherwise(weight)
-        t = t.withColumn("weight", weight)
-    contents = vector_to_array("features")
-    t = (t.repartition(training_partitions(n), F.xxhash64(contents, "label"))
-         .sortWithinPartitions(contents, "label"))
-    return with_label_meta(t).cache(), counts
+    return {c: n / (len(counts) * k) for c, k in counts.items()}
 
 
-def _fit(name: str, estimator, train: DataFrame, weighted: bool) -> FittedModel:
-    """``estimator(n)`` for n rows, fitted on the training frame."""
-    t, counts = training_frame(train, weighted)
-    try:
-        return FittedModel(name, estimator(sum(counts.values())).fit(t), sorted(counts))
-    finally:
-        t.unpersist()
+def training_frame(train: DataFrame, weights: dict[int, float], n: int) -> DataFrame:
+    """The columns the linear fit reads, in a compact cached frame that the caller releases.
+
+    Rows are dealt by a hash of their contents and sorted within partitions:
+    equal inputs give equal sums on any number of cores.
+    """
+    weight = F.lit(None).cast("double")
+    for c, w in weights.items():
+        weight = F.when(F.col("label") == c, w).otherwise(weight)
+    contents = vector_to_array("features")
+    t = train.select("features", "label", weight.alias("weight"))
+    t = t.repartition(training_partitions(n), F.xxhash64(contents, "label")).sortWithinPartitions(contents, "label")
+    return with_label_meta(t).cache()
 
 
 def train_logreg(train: DataFrame, p: TrainParams = TrainParams()) -> FittedModel:
@@ -103,33 +103,69 @@ def train_logreg(train: DataFrame, p: TrainParams = TrainParams()) -> FittedMode
     sum(w*loss)/sum(w) + regParam*||b||^2/2 with regParam = 1/(C*sum(w)); the
     balanced weights sum to n.
     """
-    def lr(n: int) -> LogisticRegression:
-        return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
-                                  family="multinomial", maxIter=p.lr_max_iter, regParam=1.0 / (p.lr_c * n),
-                                  elasticNetParam=0.0, standardization=False, tol=p.lr_tol)
-    return _fit("logistic_regression", lr, train, True)
+    counts = class_counts(train)
+    n = sum(counts.values())
+    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", family="multinomial",
+                            maxIter=p.lr_max_iter, regParam=1.0 / (p.lr_c * n), elasticNetParam=0.0, standardization=False, tol=p.lr_tol)
+    t = training_frame(train, balanced(counts), n)
+    try:
+        return FittedModel("logistic_regression", lr.fit(t), sorted(counts))
+    finally:
+        t.unpersist()
+
+
+def _n_features(train: DataFrame) -> int:
+    """From the vector's metadata, where the assembler leaves it."""
+    attributes = train.schema["features"].metadata.get("ml_attr", {})
+    return attributes.get("num_attrs") or train.select(F.size(vector_to_array("features"))).first()[0]
 
 
 def train_random_forest(train: DataFrame, p: TrainParams = TrainParams()) -> FittedModel:
-    """M2: random forest, balanced class weights, sqrt feature subsets."""
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
-                                numTrees=p.rf_trees, maxDepth=p.rf_depth,
-                                minInstancesPerNode=p.rf_min_leaf, featureSubsetStrategy="sqrt",
-                                seed=p.seed)
-    return _fit("random_forest", lambda n: rf, train, True)
+    """M2: random forest, balanced class weights, root of the features per node."""
+    counts, d = class_counts(train), _n_features(train)
+    params = TR.ForestParams(trees=p.rf_trees, depth=p.rf_depth, least_rows=p.rf_min_leaf, bins=p.rf_bins, seed=p.seed)
+    trees = TR.forest(train, d, N_CLASSES, balanced(counts), params)
+    return FittedModel("random_forest", TR.as_spark_model(train.sparkSession, trees, d, N_CLASSES), sorted(counts))
+
+
+class BoostedTreesModel:
+    """Margins by class, each one of Spark's tree ensembles; probabilities are their softmax."""
+
+    def __init__(self, margins: list, n_features: int):
+        self.margins, self.numFeatures = margins, n_features
+
+    def transform(self, df: DataFrame, classes: list[int], out: str) -> DataFrame:
+        """``df`` with ``out``: probabilities of all N_CLASSES, 0 for those not in ``classes``."""
+        scored = df
+        for c, m in zip(classes, self.margins):
+            scored = m.copy().setPredictionCol(f"_m{c}").transform(scored)
+        # a projection of its own between margins and softmax: each ensemble is walked once
+        scored = scored.withColumn("_top", F.greatest(*[F.col(f"_m{c}") for c in classes]) if len(classes) > 1 else F.col(f"_m{classes[0]}"))
+        e = [F.exp(F.col(f"_m{c}") - F.col("_top")) if c in classes else F.lit(0.0) for c in range(N_CLASSES)]
+        scored = scored.withColumn("_e", F.array(*e))
+        total = F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)
+        scored = scored.withColumn(out, F.transform("_e", lambda x: x / total))
+        return scored.drop("_top", "_e", *[f"_m{c}" for c in classes])
+
+    def save(self, path: str) -> None:
+        for i, m in enumerate(self.margins):
+            m.write().overwrite().save(f"{path}/margin-{i}")
+
+    @classmethod
+    def load(cls, path: str, count: int) -> "BoostedTreesModel":
+        from pyspark.ml.regression import GBTRegressionModel
+        margins = [GBTRegressionModel.load(f"{path}/margin-{i}") for i in range(count)]
+        return cls(margins, margins[0].numFeatures)
 
 
 def train_boosted_trees(train: DataFrame, p: TrainParams = TrainParams()) -> FittedModel:
-    """M3: one-vs-rest gradient-boosted trees (Spark GBT is binary); the three
-    binary fits run concurrently (``parallelism``)."""
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=p.gbt_rounds,
-                        maxDepth=p.gbt_depth, stepSize=p.gbt_step, subsamplingRate=p.gbt_subsample,
-                        featureSubsetStrategy="0.8", seed=p.seed)
-    ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label", parallelism=N_CLASSES)
-    if p.gbt_weighted:
-        gbt.setWeightCol("weight")
-        ovr.setWeightCol("weight")
-    return _fit("boosted_trees", lambda n: ovr, train, p.gbt_weighted)
+    """M3: multi-class boosting with second-order steps, rows drawn per round and columns per tree."""
+    counts, d = class_counts(train), _n_features(train)
+    classes = sorted(counts)
+    params = TR.BoostParams(rounds=p.gbt_rounds, depth=p.gbt_depth, step=p.gbt_step, rows=p.gbt_subsample, columns=p.gbt_columns, bins=p.gbt_bins, seed=p.seed)
+    rounds = TR.boost(train, d, classes, params, balanced(counts) if p.gbt_weighted else None)
+    margins = [TR.as_spark_model(train.sparkSession, [r[k] for r in rounds], d, step=p.gbt_step) for k in range(len(classes))]
+    return FittedModel("boosted_trees", BoostedTreesModel(margins, d), classes)
 
 
 def linear_model(spark, coefficients: list[list[float]], intercepts: list[float]) -> FittedModel:
@@ -153,41 +189,25 @@ def linear_model(spark, coefficients: list[list[float]], intercepts: list[float]
     return FittedModel("logistic_regression", model, list(range(rows)))
 
 
-def fixed_coefficients(n_features: int) -> tuple[list[list[float]], list[float]]:
-    """Coefficients and intercepts by a rule, for checks against SQL."""
-    return ([[((13 * k + 7 * j) % 11 - 5) / 10 for j in range(n_features)] for k in range(N_CLASSES)],
-            [(k - 1) / 10 for k in range(N_CLASSES)])
-
-
 TRAINERS = {"logistic_regression": train_logreg, "random_forest": train_random_forest,
             "boosted_trees": train_boosted_trees}
 
 
-def _raw_probs(fm: FittedModel, df: DataFrame) -> tuple[DataFrame, object]:
+def _raw_probs(fm: FittedModel, df: DataFrame) -> DataFrame:
     """Adds ``_probs`` (ARRAY<DOUBLE>, one entry per class) before masking."""
-    from pyspark.ml.classification import OneVsRestModel
-    m = fm.model
-    if isinstance(m, OneVsRestModel):
-        out = df
-        parts = []
-        for i, sub in enumerate(m.models):
-            sub = sub.copy()
-            sub.setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setPredictionCol(f"_y{i}")
-            out = sub.transform(out)
-            parts.append(vector_to_array(F.col(f"_p{i}"))[1])
-        out = out.withColumn("_probs", F.array(*parts))
-        return out.drop(*[f"_{k}{i}" for i in range(len(m.models)) for k in "pry"]), None
-    mm = m.copy()
+    if isinstance(fm.model, BoostedTreesModel):
+        return fm.model.transform(df, fm.classes, "_probs")
+    mm = fm.model.copy()
     mm.setProbabilityCol("_prob_vec").setRawPredictionCol("_raw_vec").setPredictionCol("_pred_raw")
     out = mm.transform(df)
-    return out.withColumn("_probs", vector_to_array("_prob_vec")).drop("_prob_vec", "_raw_vec", "_pred_raw"), None
+    return out.withColumn("_probs", vector_to_array("_prob_vec")).drop("_prob_vec", "_raw_vec", "_pred_raw")
 
 
 def predict(fm: FittedModel, df: DataFrame) -> DataFrame:
     """M4 + P11-P13: ``probs`` (3 entries, absent classes 0, sums to 1),
     ``prediction`` (argmax, first wins), ``predicted_band``, ``confidence``,
     ``confidence_pct``. One narrow projection after ``model.transform``."""
-    out, _ = _raw_probs(fm, df)
+    out = _raw_probs(fm, df)
     present = set(fm.classes)
     mask = F.array(*[F.lit(1.0 if i in present else 0.0) for i in range(N_CLASSES)])
     masked = F.zip_with(F.col("_probs"), mask, lambda a, b: a * b)

@@ -3,7 +3,8 @@ feature assembly (C3-C11, P16, P19, A15, A18).
 
 Fitting is a handful of aggregates over the *training* rows. A number per
 column (median, mean, deviation) comes back to the driver once and is applied
-as a literal; the encoder is a stored table, joined by value, of any size.
+as a literal. The encoder is a table; columns of up to ``MAP_VALUES`` values
+are applied as a literal map, others joined by value, whatever their size.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelsight.functions.scalars import encode_target, quarter_key
-from panelsight.operators.ranks import quantiles, running_total
+from panelsight.operators.joins import sized_broadcast
+from panelsight.operators.ranks import exact_quantiles, quantiles, running_total
 from panelsight.schema import (
     CATEGORICAL_FEATURES, DEFAULT_CUTOFF, FEATURE_COLS, IMPUTE_COLS, NUMERIC_FEATURES,
     TARGET_COL,
 )
+from panelsight.session import remove
 from panelsight.sources.stored import materialize
 
 
@@ -68,6 +71,11 @@ class PrepStats:
     stds: dict = field(default_factory=dict)
     features: list = field(default_factory=lambda: list(FEATURE_COLS))
     encoder: DataFrame | None = None
+    codes: dict = field(default_factory=dict)  # of the encoder's columns of few values: value -> code
+
+    def __post_init__(self):
+        if self.encoder is not None and not self.codes:
+            self.codes = few_codes(self.encoder)
 
     def to_json(self) -> str:
         return json.dumps({k: getattr(self, k) for k in ("medians", "means", "stds", "features")}, sort_keys=True)
@@ -90,8 +98,8 @@ def fit_median_imputer(train: DataFrame, cols: list[str] = IMPUTE_COLS, approx:
     if approx:
         row = train.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 100_000).alias(c) for c in cols]).first()
         return {c: row[c] for c in cols}
-    found = {r["column_name"]: r["median"] for r in median_table(train, cols).collect()}  # a row for each column
-    return {c: found.get(c) for c in cols}
+    found, _ = exact_quantiles(train, cols, [0.5])
+    return {c: q[0] for c, q in zip(cols, found)}
 
 
 def median_table(train: DataFrame, cols: list[str] = IMPUTE_COLS) -> DataFrame:
@@ -108,43 +116,72 @@ def apply_median_imputer(df: DataFrame, medians: dict) -> DataFrame:
 
 # --- C5 / C6 / C7: label encoder -------------------------------------------------
 
+LOCAL_VALUES = 20_000  # distinct values of all columns together that the driver sorts
+MAP_VALUES = 64  # values of a column that go into a literal map
+
+
 def _cat(c: str):
     return F.coalesce(F.col(c).cast("string"), F.lit("nan"))
 
 
 def fit_label_encoder(train: DataFrame, cols: list[str] = CATEGORICAL_FEATURES) -> DataFrame:
-    """(column_name, value, code), codes in the order of the values (NULL is the text ``nan``), as a stored table.
+    """(column_name, value, code), codes in the order of the values (NULL is the text ``nan``).
 
-    Distinct values are ranked over sorted ranges: any number of categories,
-    none of them on the driver.
+    Up to ``LOCAL_VALUES`` values come as a local table; more are ranked over
+    sorted ranges into a stored one: any number of categories.
     """
     cols = [c for c in cols if c in train.columns]
     pairs = ", ".join(f"'{c}', coalesce(CAST(`{c}` AS STRING), 'nan')" for c in cols)
-    values = train.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, value)").distinct().withColumn("n", F.lit(1))
-    ranked = running_total(values, ["column_name"], ["value"], "n")
-    return materialize(ranked.select("column_name", "value", F.col("before").cast("int").alias("code")), "encoder")[0]
+    values = train.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, value)").distinct()
+    found = values.limit(LOCAL_VALUES + 1).collect()
+    if len(found) <= LOCAL_VALUES:
+        rows = []
+        for c in cols:
+            rows += [(c, v, k) for k, v in enumerate(sorted(r["value"] for r in found if r["column_name"] == c))]
+        return train.sparkSession.createDataFrame(rows, "column_name string, value string, code int")
+    ranked, path = running_total(values.withColumn("n", F.lit(1)), ["column_name"], ["value"], "n")
+    encoder = materialize(ranked.select("column_name", "value", F.col("before").cast("int").alias("code")), "encoder")[0]
+    remove(train.sparkSession, path)
+    return encoder
+
+
+def few_codes(encoder: DataFrame) -> dict[str, dict[str, int]]:
+    """value -> code of the encoder's columns, those of at most MAP_VALUES values."""
+    rows = encoder.where(F.col("code") <= MAP_VALUES).limit(LOCAL_VALUES + 1).collect()
+    if len(rows) > LOCAL_VALUES:
+        return {}
+    found: dict[str, dict[str, int]] = {}
+    for r in rows:
+        found.setdefault(r["column_name"], {})[r["value"]] = r["code"]
+    return {c: m for c, m in found.items() if len(m) <= MAP_VALUES}
 
 
 def apply_label_encoder(df: DataFrame, encoder: DataFrame, unseen: str = "error",
-                        cols: list[str] = CATEGORICAL_FEATURES) -> DataFrame:
-    """Value -> code by a join with the encoder's table.
+                        cols: list[str] = CATEGORICAL_FEATURES, codes: dict | None = None) -> DataFrame:
+    """Value -> code, by a literal map where ``codes`` (``few_codes`` if None) has the column, else by a join.
 
     ``unseen='error'`` fails the job on a value the encoder never saw (C6);
     ``unseen='zero'`` maps it to 0 (C7, scoring path).
     """
+    codes = few_codes(encoder) if codes is None else codes
     for c in cols:
         if c not in df.columns:
             if unseen == "zero":
                 df = df.withColumn(f"{c}_enc", F.lit(0))
                 continue
             raise ValueError(f"column {c} missing for encoding")
-        codes = encoder.where(F.col("column_name") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
-        df = df.join(codes, _cat(c) == F.col("_value"), "left")
+        if c in codes:
+            table = F.create_map(*[F.lit(x) for pair in codes[c].items() for x in pair])
+            found = F.try_element_at(table, _cat(c))
+        else:
+            side = encoder.where(F.col("column_name") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+            df = df.join(sized_broadcast(side), _cat(c) == F.col("_value"), "left")
+            found = F.col("_code")
         if unseen == "zero":
-            code = F.coalesce("_code", F.lit(0))
+            code = F.coalesce(found, F.lit(0))
         else:
-            code = F.when(F.col("_code").isNull(), F.raise_error(
-                F.concat(F.lit(f"unseen value in {c}: "), _cat(c)))).otherwise(F.col("_code")).cast("int")
+            code = F.when(found.isNull(), F.raise_error(
+                F.concat(F.lit(f"unseen value in {c}: "), _cat(c)))).otherwise(found).cast("int")
         df = df.withColumn(f"{c}_enc", code).drop("_value", "_code")
     return df
 
@@ -216,17 +253,18 @@ def fit_prep(train_clean: DataFrame, approx_median: bool = False) -> PrepStats:
     ``approx_median=True`` uses a quantile sketch for the medians."""
     medians = fit_median_imputer(train_clean, approx=approx_median)
     encoder = fit_label_encoder(train_clean)
-    encoded = apply_label_encoder(apply_median_imputer(train_clean, medians), encoder)
+    codes = few_codes(encoder)
+    encoded = apply_label_encoder(apply_median_imputer(train_clean, medians), encoder, codes=codes)
     features = [c for c in FEATURE_COLS if c in encoded.columns]
     means, stds = fit_standard_scaler(encoded, features)
-    return PrepStats(medians=medians, means=means, stds=stds, features=features, encoder=encoder)
+    return PrepStats(medians=medians, means=means, stds=stds, features=features, encoder=encoder, codes=codes)
 
 
 def transform_prep(df: DataFrame, stats: PrepStats, unseen: str = "error",
                    vector: bool = True) -> DataFrame:
     """Apply C4 -> C6 -> C10 (-> P19) and the target label (P10)."""
     out = apply_median_imputer(df, stats.medians)
-    out = apply_label_encoder(out, stats.encoder, unseen=unseen)
+    out = apply_label_encoder(out, stats.encoder, unseen=unseen, codes=stats.codes)
     out = apply_standard_scaler(out, stats.means, stats.stds)
     if TARGET_COL in out.columns:
         out = out.withColumn("label", encode_target(TARGET_COL).cast("double"))

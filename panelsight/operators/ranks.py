@@ -1,22 +1,23 @@
-"""Ranks and exact quantiles over sorted ranges, so that no task holds all values of a column."""
+"""Exact quantiles in two scans, and running totals over sorted ranges."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 
 from panelsight.sources.stored import materialize
 
 
-def running_total(df: DataFrame, group: list[str], order: list[str], count: str) -> DataFrame:
-    """``df`` with ``before`` (sum of ``count`` over the group's rows of lesser order) and ``total`` (of the group).
+def running_total(df: DataFrame, group: list[str], order: list[str], count: str) -> tuple[DataFrame, str]:
+    """``df`` with ``before`` (sum of ``count`` over the group's rows of lesser order) and ``total`` (of the group), and the
+    folder of the copy that it reads, which the caller removes.
 
     Rows are dealt by ranges of (group, order) and numbered within each range;
     a range then adds what the ranges before it hold, one row for each.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt, _ = materialize(df.repartitionByRange(n, *group, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    dealt, path = materialize(df.repartitionByRange(n, *group, *order).withColumn("_range", F.spark_partition_id()), "ranges")
     ahead = Window.partitionBy("_range", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     sums = dealt.groupBy("_range", *group).agg(F.sum(count).alias("_sum"))
     ranges = Window.partitionBy(*group).orderBy("_range")
@@ -25,27 +26,121 @@ def running_total(df: DataFrame, group: list[str], order: list[str], count: str)
         F.sum("_sum").over(Window.partitionBy(*group)).alias("total"))
     inside = dealt.withColumn("_inside", F.coalesce(F.sum(count).over(ahead), F.lit(0)))
     return (inside.join(offsets, ["_range", *group]).withColumn("before", F.col("_offset") + F.col("_inside"))
-            .drop("_range", "_offset", "_inside"))
+            .drop("_range", "_offset", "_inside")), path
+
+
+SKETCH = 10_000  # accuracy of the sketch: ranks are off by a share of 1 / SKETCH at most
+FEW = 20_000  # values of a bracket that the driver sorts
+MOST_NARROWED = 4  # times; each leaves a few ten thousandths of the rows
+
+
+class _Bracket:
+    """A value range that holds the order statistics on both sides of a quantile's place."""
+
+    def __init__(self, column: int, point: float, n: int):
+        self.column, self.point, self.n = column, point, n
+        self.place = point * (n - 1)
+        self.low, self.high, self.below, self.inside = float("-inf"), float("inf"), 0, n
+        self.slack, self.narrowed = 1, 0
+
+    def probes(self) -> list[float]:
+        """Shares of the bracket's values between which the places lie, with room for the sketch's error."""
+        room = self.slack * (2 / SKETCH + 2 / self.inside)
+        at = (self.place - self.below) / self.inside
+        return [min(max(at - room, 0.0), 1.0), min(max(at + room, 0.0), 1.0)]
+
+    def holds(self, below: int, inside: int) -> bool:
+        return below <= int(self.place) and -(-self.place // 1) < below + inside
+
+    def found(self, values: list[tuple[float, int]]) -> float:
+        """The quantile, from the bracket's (value, count) in order."""
+        def at(k: int) -> float:
+            seen = self.below
+            for v, c in values:
+                seen += c
+                if k < seen:
+                    return v
+            raise ValueError("a bracket lacks its quantile")
+        k = int(self.place // 1)
+        share = self.place - k
+        return at(k) if share == 0 else (1 - share) * at(k) + share * at(k + 1)
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], points: list[float], more: list[Column] = ()) -> tuple[list[list], Row]:
+    """Per column its exact quantiles by linear interpolation (None without a value), and the row of the aggregates ``more``.
+
+    The first scan sketches, for each column and point, two values with the
+    quantile between them, and computes ``more``. The second counts what lies
+    below them and collects the counted values between: a few ten thousandths
+    of the rows. Where that is still more than FEW, the bracket is narrowed
+    again by a sketch of its own. Nothing is written or shuffled but counts.
+    NULL and NaN take no part.
+    """
+    x = [F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double")) for c in cols]
+    share = 2 / SKETCH
+    shares = [s for p in points for s in (max(p - share, 0.0), min(p + share, 1.0))]
+    first = df.agg(*[F.struct(F.count(v).alias("n"), F.percentile_approx(v, shares, SKETCH).alias("q")).alias(f"_q{i}") for i, v in enumerate(x)], *more).first()
+    brackets = [_Bracket(i, p, first[f"_q{i}"]["n"]) for i in range(len(cols)) for p in points if first[f"_q{i}"]["n"]]
+    for b in brackets:
+        lo, hi = first[f"_q{b.column}"]["q"][2 * points.index(b.point) :][:2]
+        # beside the sketch's values the places may be one value further
+        if b.n > SKETCH:
+            b.low, b.high = (lo if b.point > share else b.low), (hi if b.point < 1 - share else b.high)
+    if any(b.n <= SKETCH for b in brackets):  # too few values for shares: brackets by rank
+        _narrow(df, x, [b for b in brackets if 64 < b.n <= SKETCH])
+    pending = brackets
+    while pending:
+        pending = _counted(df, x, pending)
+    done = {(b.column, b.point): b.value for b in brackets}
+    return [[done.get((i, p)) for p in points] for i in range(len(cols))], first
+
+
+def _narrow(df: DataFrame, x: list[Column], brackets: list[_Bracket]) -> None:
+    """New ends for the brackets, by a sketch of the values inside each."""
+    if not brackets:
+        return
+    inside = [F.when((x[b.column] >= b.low) & (x[b.column] <= b.high), x[b.column]) for b in brackets]
+    row = df.agg(*[F.percentile_approx(v, b.probes(), SKETCH).alias(f"_{k}") for k, (v, b) in enumerate(zip(inside, brackets))]).first()
+    for k, b in enumerate(brackets):
+        p, (lo, hi) = b.probes(), row[f"_{k}"]
+        b.low, b.high = (lo if p[0] > 0 else b.low), (hi if p[1] < 1 else b.high)
+        b.narrowed += 1
+
+
+def _counted(df: DataFrame, x: list[Column], brackets: list[_Bracket]) -> list[_Bracket]:
+    """Count below and inside the brackets and sort the values of those that hold few; the others, narrowed."""
+    # a bracket that stays large holds few values, each of many rows
+    few = [b for b in brackets if b.narrowed >= MOST_NARROWED or min(b.n, 6 * b.inside // SKETCH + 64) <= FEW]
+    observed = Observation()
+    counts = [F.count_if(x[b.column] < b.low).alias(f"_b{k}") for k, b in enumerate(brackets)]
+    counts += [F.count_if((x[b.column] >= b.low) & (x[b.column] <= b.high)).alias(f"_i{k}") for k, b in enumerate(brackets)]
+    entry = [F.when((x[b.column] >= b.low) & (x[b.column] <= b.high), F.struct(F.lit(k).alias("k"), x[b.column].alias("v"))) for k, b in enumerate(brackets) if b in few]
+    if entry:
+        held = df.observe(observed, *counts).select(F.inline(F.filter(F.array(*entry), lambda s: s.isNotNull())))
+        values: dict[int, list] = {}
+        for r in held.groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")).collect():  # FEW values a bracket, about
+            values.setdefault(r["k"], []).append((r["v"], r["c"]))
+        got = observed.get
+    else:
+        got, values = df.agg(*counts).first().asDict(), {}
+    rest = []
+    for k, b in enumerate(brackets):
+        below, inside = got[f"_b{k}"], got[f"_i{k}"]
+        if not b.holds(below, inside):  # the sketch was further off than it should: wider
+            b.low, b.high, b.below, b.inside, b.slack = float("-inf"), float("inf"), 0, b.n, b.slack * 16
+            rest.append(b)
+            continue
+        b.below, b.inside = below, inside
+        if k in values:
+            b.value = b.found(sorted(values[k]))
+        else:
+            rest.append(b)
+    _narrow(df, x, rest)
+    return rest
 
 
 def quantiles(df: DataFrame, cols: list[str], points: list[float]) -> DataFrame:
-    """(column_name, q0, q1, ...): exact quantiles by linear interpolation; NULLs and NaN take no part."""
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    values = (df.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, value)").where("value IS NOT NULL AND NOT isnan(value)")
-              .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
-    ranked = running_total(values, ["column_name"], ["value"], "n")
-    found = []
-    for i, p in enumerate(points):
-        place = F.lit(p) * (F.col("total") - 1)
-        low, high = F.floor(place), F.ceil(place)
-
-        def at(k):
-            return F.max(F.when((F.col("before") <= k) & (k < F.col("before") + F.col("n")), F.col("value")))
-        found.append((F.max(place).alias(f"_p{i}"), at(low).alias(f"_l{i}"), at(high).alias(f"_h{i}")))
-    one = ranked.groupBy("column_name").agg(*[x for f in found for x in f])
-
-    def between(i):
-        p, a, b = (F.col(f"_{k}{i}") for k in "plh")
-        share = p - F.floor(p)
-        return F.when(share == 0, a).otherwise((1 - share) * a + share * b).alias(f"q{i}")
-    return one.select("column_name", *[between(i) for i in range(len(points))])
+    """``exact_quantiles`` as a DataFrame (column_name, q0, q1, ...); columns without a value are left out."""
+    found, _ = exact_quantiles(df, cols, points)
+    rows = [(c, *q) for c, q in zip(cols, found) if q[0] is not None]
+    return df.sparkSession.createDataFrame(rows, ", ".join(["column_name string", *[f"q{i} double" for i in range(len(points))]]))

@@ -35,7 +35,7 @@ def prepare_batch(df: DataFrame, stats: PrepStats, null_policy: str = "median")
     for c in CATEGORICAL_FEATURES:
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast("string"))
-    out = apply_label_encoder(out, stats.encoder, unseen="zero")
+    out = apply_label_encoder(out, stats.encoder, unseen="zero", codes=stats.codes)
     fill = stats.medians if null_policy == "median" else {}
     # keep the raw values for the rules; fill a copy for the model
     raw = {c: F.col(c) for c in NUMERIC_FEATURES if c in out.columns}

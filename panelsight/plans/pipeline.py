@@ -65,7 +65,7 @@ def save_outputs(spark: SparkSession, out: dict, out_dir: str, permutation: bool
 
     Reports: decisions, model comparison, feature importance of the best
     model, permutation importance, the three fairness tables. Bundles: one per
-    model plus ``best`` (a copy of the best model's bundle).
+    model plus ``best``, another name of the best model's version.
     """
     from panelsight.operators import explain as X
     from panelsight.sources import files as FS
@@ -86,7 +86,7 @@ def save_outputs(spark: SparkSession, out: dict, out_dir: str, permutation: bool
     paths = {name: FS.write_report(df, name, f"{out_dir}/reports") for name, df in reports.items()}
     for name, fm in out["models"].items():
         paths[f"model:{name}"] = MS.save_bundle(spark, fm, out["stats"], f"{out_dir}/models/{name}")
-    paths["model:best"] = MS.save_bundle(spark, best, out["stats"], f"{out_dir}/models/best")
+    paths["model:best"] = MS.point(spark, f"{out_dir}/models/best", MS.current(spark, paths[f"model:{out['best']}"]))
     return paths
 
 

@@ -24,11 +24,12 @@ from panelsight.operators import metrics as M
 from panelsight.operators import models as MD
 from panelsight.operators import prep as P
 from panelsight.operators import scoring as SC
-from panelsight.schema import FEATURE_COLS, IMPUTE_COLS
+from panelsight.plans import fixed_models as FX
+from panelsight.schema import FEATURE_COLS, IMPUTE_COLS, KEY_COLS, RULE_DEFAULTS
 from panelsight.sources import files as FS
 from panelsight.sources import model_store as MS
 from panelsight.sources.panel import load_panel, read_table
-from panelsight.sources.stored import inputs_stamp, stored_clean_panel, stored_panel
+from panelsight.sources.stored import inputs_stamp, stored_bucketed, stored_clean_panel, stored_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -56,13 +57,13 @@ def clean_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("review_panel")
 def q_review_panel(spark, sf_dir):
     """The panel build itself, straight from the warehouse tables."""
-    return load_panel(spark, sf_dir)
+    return load_panel(spark, sf_dir, with_defects=True)
 
 
 @register("clean_panel")
 def q_clean_panel(spark, sf_dir):
     """Cleaning over the freshly built panel (dedup -> drop -> coerce)."""
-    return C.clean_panel(load_panel(spark, sf_dir))
+    return C.clean_panel(load_panel(spark, sf_dir, with_defects=True))
 
 
 def review_feed(spark, sf_dir):
@@ -490,6 +491,16 @@ def q_rule_defaults(spark, sf_dir):
     return D.decide(p).select("employee_id", "quarter_label", "retention_points", "wellbeing_flag")
 
 
+@register("rule_defaults_all")
+def q_rule_defaults_all(spark, sf_dir):
+    """A frame with none of the nine rule features."""
+    p = (clean_panel(spark, sf_dir).drop(*RULE_DEFAULTS)
+         .withColumns({"predicted_band": F.col("performance_band"), "confidence": F.lit(1.0)}))
+    d = D.decide(p)
+    return d.select("employee_id", "quarter_label", "training_needed", "promotion_ready", F.array_join("pip_goals_arr", "; ").alias("pip_goals"),
+                    "retention_points", "wellbeing_flag", F.array_join("actions_arr", "; ").alias("actions"), "priority")
+
+
 @register("priority_counts")
 def q_priority_counts(spark, sf_dir):
     return D.priority_counts(q_decision_report(spark, sf_dir))
@@ -634,6 +645,35 @@ def q_attach(spark, sf_dir):
     return SC.attach_decisions(scored, D.decide(p)).drop("row_key")
 
 
+def bucketed_panel(spark, sf_dir):
+    return stored_bucketed(spark, sf_dir, "panel-bucketed", raw_panel, KEY_COLS)
+
+
+@register("dedup_bucketed")
+def q_dedup_bucketed(spark, sf_dir):
+    """C1 on the bucketed panel: no exchange."""
+    return C.dedup_reviews(bucketed_panel(spark, sf_dir))
+
+
+@register("attach_bucketed")
+def q_attach_bucketed(spark, sf_dir):
+    """J1 by the panel's keys between two bucketed readings: no exchange on either side."""
+    p = C.dedup_reviews(bucketed_panel(spark, sf_dir)).where(F.col("performance_band").isNotNull())
+    scored = p.select(*KEY_COLS, "quarter_label", F.col("performance_band").alias("predicted_band"))
+    decided = D.decide(p.withColumns({"predicted_band": F.col("performance_band"), "confidence": F.lit(1.0)}))
+    return scored.join(decided.select(*KEY_COLS, "training_needed", "promotion_ready"), KEY_COLS, "left").drop("review_year", "review_quarter")
+
+
+@register("densify_bucketed")
+def q_densify_bucketed(spark, sf_dir):
+    """J2 with the facts bucketed by the join's keys: only the calendar is dealt."""
+    from panelsight.sources.panel import densify_panel
+    quarter = F.col("review_year") * 4 + F.col("review_quarter")
+    gaps = (F.substring("employee_id", 4, 20).cast("long") + quarter) % 3 == 0
+    facts = bucketed_panel(spark, sf_dir).where(F.col("performance_band").isNotNull() & ~gaps)
+    return densify_panel(facts, employees(spark, sf_dir))
+
+
 def flagship(spark, sf_dir):
     """Panel -> prep -> logistic regression -> decisions -> department audit."""
     from panelsight.plans.pipeline import flagship_slice
@@ -657,12 +697,19 @@ def fitted(spark, sf_dir, name: str = "logistic_regression"):
     return _FITTED[key][1]
 
 
-def fixed(spark, sf_dir):
-    """(model, stats, train, test): a linear model of fixed coefficients in Spark's own model class, for queries
-    whose results SQL can compute as well."""
-    train, test, stats = prepared(spark, sf_dir)
-    coefficients, intercepts = MD.fixed_coefficients(len(stats.features))
-    return MD.linear_model(spark, coefficients, intercepts), stats, train, test
+_FIXED: dict = {}
+
+
+def fixed(spark, sf_dir, kind: str = "linear"):
+    """(model, stats, train, test): a model of given numbers in the library's model classes, for queries whose results
+    SQL can compute as well; prepared once for each session, data folder and state of its files."""
+    key, stamp = (spark.sparkContext.applicationId, sf_dir.rstrip("/")), inputs_stamp(spark, sf_dir)
+    if key not in _FIXED or _FIXED[key][0] != stamp:
+        _FIXED[key] = stamp, prepared(spark, sf_dir), {}
+    _, (train, test, stats), models = _FIXED[key]
+    if kind not in models:
+        models[kind] = getattr(FX, kind)(spark, len(stats.features))
+    return models[kind], stats, train, test
 
 
 def _pred_rows(spark, sf_dir, name):
@@ -716,6 +763,12 @@ def q_prob_breakdown(spark, sf_dir):
 
 @register("compare_models")
 def q_compare(spark, sf_dir):
+    """M10 over the three model classes with given numbers."""
+    return MD.compare_models([fixed(spark, sf_dir, k)[0] for k in ("linear", "forest", "boosted")], fixed(spark, sf_dir)[3])
+
+
+@register("compare_fitted_models")
+def q_compare_fitted(spark, sf_dir):
     fms = [fitted(spark, sf_dir, n)[0] for n in MD.MODEL_ORDER]
     test = fitted(spark, sf_dir, "logistic_regression")[3]
     return MD.compare_models(fms, test)
@@ -745,8 +798,26 @@ def q_linear_importance(spark, sf_dir):
         "feature", S.rnd("importance", 6).alias("importance"), S.rnd(F.col("importance") * F.col("spread"), 6).alias("in_data"))
 
 
+@register("boosted_importance")
+def q_boosted_importance(spark, sf_dir):
+    """X1 of the boosted model: mean gain of a split on each feature."""
+    fm, stats, _, _ = fitted(spark, sf_dir, "boosted_trees")
+    return X.importance_table(spark, fm, stats.features)
+
+
 @register("top_k_importance")
 def q_top_k(spark, sf_dir):
+    """W1 of the forest of given numbers, with the features' spread in the test period."""
+    fm, stats, _, test = fixed(spark, sf_dir, "forest")
+    top = X.top_k_importance(X.importance_table(spark, fm, stats.features), 8)
+    spread = test.agg(*[F.stddev_pop(vector_to_array("features")[i]).alias(f) for i, f in enumerate(stats.features)])
+    pairs = ", ".join(f"'{f}', `{f}`" for f in stats.features)
+    return top.join(spread.selectExpr(f"stack({len(stats.features)}, {pairs}) AS (feature, spread)"), "feature").select(
+        "feature", S.rnd("importance", 6).alias("importance"), S.rnd("spread", 6).alias("spread"))
+
+
+@register("top_k_fitted_importance")
+def q_top_k_fitted(spark, sf_dir):
     fm, stats, _, _ = fitted(spark, sf_dir, "random_forest")
     return X.top_k_importance(X.importance_table(spark, fm, stats.features), 12)
 
@@ -768,19 +839,65 @@ def q_shapley(spark, sf_dir):
     return _shapley(spark, sf_dir)[0]
 
 
+@register("shapley_forest")
+def q_shapley_forest(spark, sf_dir):
+    """X4 exact for the fitted forest: probabilities of all test rows, features and classes."""
+    fm, stats, _, test = fitted(spark, sf_dir, "random_forest")
+    return X.tree_contributions(fm, test, len(stats.features))
+
+
+@register("shapley_boosted")
+def q_shapley_boosted(spark, sf_dir):
+    """X4 exact for the fitted boosted trees: margins of all test rows, features and classes."""
+    fm, stats, _, test = fitted(spark, sf_dir, "boosted_trees")
+    return X.tree_contributions(fm, test, len(stats.features))
+
+
+@register("shapley_kernel")
+def q_shapley_kernel(spark, sf_dir):
+    """X4 by least squares over coalitions, for a model used as a black box."""
+    fm, stats, train, test = fitted(spark, sf_dir, "logistic_regression")
+    return X.kernel_contributions(fm, test, X.background_sample(train, 10), len(stats.features), n_coalitions=128)
+
+
+def _linear_shapley(spark, sf_dir):
+    """Exact contributions to the margins; the scaled training features have mean 0."""
+    fm, stats, _, test = fixed(spark, sf_dir)
+    return X.linear_contributions(fm, test, [0.0] * len(stats.features)), stats
+
+
+@register("shapley_linear")
+def q_shapley_linear(spark, sf_dir):
+    c, _ = _linear_shapley(spark, sf_dir)
+    return c.select("employee_id", "quarter_label", "feature_index", *[S.rnd(x, 6).alias(x) for x in X.CONTRIBUTIONS])
+
+
 @register("shapley_global")
 def q_shapley_global(spark, sf_dir):
+    """X5 over the exact contributions of the linear margins."""
+    c, stats = _linear_shapley(spark, sf_dir)
+    return X.shapley_global(c, stats.features).withColumn("mean_abs", S.rnd("mean_abs", 6))
+
+
+@register("shapley_global_sampled")
+def q_shapley_global_sampled(spark, sf_dir):
     c, stats = _shapley(spark, sf_dir)
     return X.shapley_global(c, stats.features)
 
 
+_BATCHES: dict = {}
+
+
 def _batch_file(spark, sf_dir):
-    """The test period written as a scoring CSV (14 columns) and read back."""
-    _, test = split_frames(spark, sf_dir)
+    """The test period as a scoring CSV (14 columns), written once for each session and state of the tables, and read back."""
     from panelsight.session import work_dir
-    path = work_dir(spark, "batch-input")
-    test.select(*FS.BATCH_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
-    return FS.read_batch_csv(spark, path, strict=True)
+    key, stamp = (spark.sparkContext.applicationId, sf_dir.rstrip("/")), inputs_stamp(spark, sf_dir)
+    if key not in _BATCHES or _BATCHES[key][0] != stamp:
+        _, test = split_frames(spark, sf_dir)
+        path = work_dir(spark, "batch-input")
+        test.select(*FS.BATCH_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
+        _BATCHES[key] = stamp, path
+    return FS.read_batch_csv(spark, _BATCHES[key][1], strict=True)
 
 
 @register("scan_batch_csv")
@@ -816,6 +933,15 @@ def q_score_batch(spark, sf_dir):
     return _scored_batch(spark, sf_dir).drop("row_key")
 
 
+@register("score_batch_zero")
+def q_score_batch_zero(spark, sf_dir):
+    """M12 with fill-with-0: an absent feature and empty cells count as 0."""
+    fm, stats, _, _ = fixed(spark, sf_dir)
+    _, test = split_frames(spark, sf_dir)
+    scored = SC.score_batch(test.select("quarter_label", *FS.BATCH_COLUMNS).drop("salary"), fm, stats, null_policy="zero")
+    return scored.select("employee_id", "quarter_label", "predicted_band", "confidence_pct")
+
+
 @register("scored_summary")
 def q_scored_summary(spark, sf_dir):
     fm, stats, _, _ = fixed(spark, sf_dir)
@@ -884,6 +1010,57 @@ def q_sink_panel(spark, sf_dir):
     return spark.read.parquet(path).select(*PANEL_COLS)
 
 
+FEED_COLUMNS = ["employee_id", "quarter_label", "role", "salary", "goal_achievement_pct"]
+
+
+def _faulty_feed(spark, sf_dir) -> str:
+    """The panel as CSV text with faults by a rule: short and long records, records without an id, cells that are no
+    numbers, and good cells with line breaks, quotes and commas."""
+    from panelsight.session import work_dir
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    kind = (F.substring("employee_id", 4, 20).cast("long") + F.col("review_year") * 4 + F.col("review_quarter")) % 20
+    role = F.when(kind == 4, F.concat("role", F.lit('\nsaid "yes", twice'))).otherwise(F.col("role"))
+    cells = [quoted(F.when(kind == 2, "").otherwise(F.col("employee_id"))), F.col("quarter_label"), quoted(role), F.col("salary").cast("string"),
+             F.when(kind == 3, "n/a").otherwise(F.coalesce(F.col("goal_achievement_pct").cast("string"), F.lit("")))]
+    line = F.when(kind == 0, F.concat_ws(",", *cells[:-1])).when(kind == 1, F.concat_ws(",", *cells, F.lit("more"))).otherwise(F.concat_ws(",", *cells))
+    header = ",".join(FEED_COLUMNS)
+
+    def with_header(batches):
+        import pyarrow as pa
+        schema = None
+        for batch in batches:
+            if schema is None:  # every part file starts with the header
+                schema = batch.schema
+                yield pa.RecordBatch.from_arrays([pa.array([header], schema.field(0).type)], schema=schema)
+            yield batch
+
+    path = work_dir(spark, "feed")
+    raw_panel(spark, sf_dir).select(line.alias("value")).mapInArrow(with_header, "value string").write.text(path)
+    return path
+
+
+def _scan(spark, sf_dir):
+    from pyspark.sql.types import StructType
+    from panelsight.schema import PANEL_SCHEMA
+    from panelsight.session import work_dir
+    schema = StructType([f for f in PANEL_SCHEMA.fields if f.name in FEED_COLUMNS])
+    return FS.scan_csv_with_rejects(spark, _faulty_feed(spark, sf_dir), schema, work_dir(spark, "scan"), required=["employee_id", "quarter_label"])
+
+
+@register("scan_rejects")
+def q_scan_rejects(spark, sf_dir):
+    """What a scan keeps of a faulty feed."""
+    return _scan(spark, sf_dir).rows.select(*FEED_COLUMNS)
+
+
+@register("scan_reject_counts")
+def q_scan_reject_counts(spark, sf_dir):
+    """The scan's counts, and its quarantine by reason."""
+    scan = _scan(spark, sf_dir)
+    return scan.rejects.agg(F.count_if(F.col("reason") == "ragged").alias("n_ragged"), F.count_if(F.col("reason") == "required").alias("n_required")).select(
+        *[F.lit(getattr(scan, c)).cast("bigint").alias(c) for c in ("n_in", "n_out", "n_rejected", "n_bad_cells")], "n_ragged", "n_required")
+
+
 REPORT_SCHEMA = ("employee_id string, quarter_label string, predicted_band string, confidence_pct double, "
                  "training_needed boolean, training_topics string, promotion_ready boolean, "
                  "pip_required boolean, pip_goals string, retention_risk string, wellbeing_flag boolean, "
@@ -966,6 +1143,34 @@ def q_explain_rows(spark, sf_dir):
                     F.array_join("concerns_arr", " | ").alias("concerns"), "summary")
 
 
+def _model_contrib(spark, sf_dir):
+    fm, stats, _, test = fixed(spark, sf_dir)
+    return MD.predict(fm, test).withColumn("contrib", X.model_contributions(fm, F.col("prediction"))), stats
+
+
+@register("model_contributions")
+def q_model_contributions(spark, sf_dir):
+    """X6 by the coefficients of the class predicted for the row."""
+    df, _ = _model_contrib(spark, sf_dir)
+    return df.select("employee_id", "quarter_label", F.posexplode("contrib").alias("feature_index", "c")).select(
+        "employee_id", "quarter_label", F.col("feature_index").cast("int").alias("feature_index"), S.rnd("c", 6).alias("contribution"))
+
+
+@register("explain_model_rows")
+def q_explain_model_rows(spark, sf_dir):
+    """X7 by the model: its probabilities, and drivers by the predicted class."""
+    df, stats = _model_contrib(spark, sf_dir)
+    e = X.explain_rows(df, stats.features, "contrib", RAW_FOR_FEATURES)
+    return e.select("employee_id", "quarter_label", "predicted_band", *[F.col("probabilities")[b].alias(f"p_{b.lower()}") for b in MD.BANDS],
+                    F.array_join("strengths_arr", " | ").alias("strengths"), F.array_join("concerns_arr", " | ").alias("concerns"), "summary")
+
+
+@register("model_shortlists")
+def q_model_shortlists(spark, sf_dir):
+    """W4 on the model's bands, ranked by the probability of the band."""
+    return I.performer_shortlists(_fixed_rows(spark, sf_dir), score_col="confidence")
+
+
 @register("feature_messages")
 def q_feature_messages(spark, sf_dir):
     """The code pair of every feature that carries a contribution in the

@@ -77,8 +77,12 @@ def employee_dim(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> D
 
 
 def build_panel(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame,
-                region: DataFrame, with_repeats: bool = True) -> DataFrame:
-    """Raw review panel (with ~0.5 % repeated rows and ~3 % nulls in 4 columns)."""
+                region: DataFrame, with_defects: bool = False) -> DataFrame:
+    """The review panel of the warehouse tables.
+
+    ``with_defects`` plants the defects that the cleaning operators are checked
+    on: about 0.5 % repeated rows and 3 % blanks in four measures.
+    """
     agg = supplier_quarters(lineitem)
     dim = employee_dim(supplier, nation, region)
     n = F.col("n").cast("double")
@@ -102,29 +106,31 @@ def build_panel(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame,
     score = kpi_score("goal_achievement_pct", "manager_rating", "peer_score",
                       "attendance_rate", "training_hours", "projects_completed",
                       "overtime_hours")
+    panel = base.withColumn("performance_score", score).withColumn("performance_band", performance_band("performance_score"))
+    return (planted_defects(panel) if with_defects else panel).select(*PANEL_COLS)
+
+
+def planted_defects(panel: DataFrame) -> DataFrame:
+    """A panel before its last projection with blanks and repeated rows, by a rule over supplier and quarter."""
     nul = F.lit(None).cast("double")
-    panel = (base
-             .withColumn("performance_score", score)
-             .withColumn("performance_band", performance_band("performance_score"))
+    panel = (panel
              .withColumn("training_hours", F.when(F.col("_h") == 0, nul).otherwise(F.col("training_hours")))
              .withColumn("overtime_hours", F.when(F.col("_h") == 11, nul).otherwise(F.col("overtime_hours")))
              .withColumn("peer_score", F.when(F.col("_h") == 17, nul).otherwise(F.col("peer_score")))
              .withColumn("goal_achievement_pct", F.when(F.col("_h") == 23, nul).otherwise(F.col("goal_achievement_pct"))))
-    if with_repeats:
-        # Repeated rows (identical copies) are generated in place -- a
-        # narrow Generate, not a union with a second scan of the line items
-        copies = F.when(F.pmod(7 * F.col("sk") + F.col("_t"), F.lit(200)) == 0, 2).otherwise(1)
-        panel = panel.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
-    return panel.select(*PANEL_COLS)
+    # Repeated rows (identical copies) are generated in place -- a
+    # narrow Generate, not a union with a second scan of the line items
+    copies = F.when(F.pmod(7 * F.col("sk") + F.col("_t"), F.lit(200)) == 0, 2).otherwise(1)
+    return panel.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
 
 
-def load_panel(spark: SparkSession, sf_dir: str, with_repeats: bool = True) -> DataFrame:
-    """Panel view over ``sf_dir`` (the flagship source of every query)."""
+def load_panel(spark: SparkSession, sf_dir: str, with_defects: bool = False) -> DataFrame:
+    """Panel view over ``sf_dir``."""
     return build_panel(read_table(spark, sf_dir, "lineitem"),
                        read_table(spark, sf_dir, "supplier"),
                        read_table(spark, sf_dir, "nation"),
                        read_table(spark, sf_dir, "region"),
-                       with_repeats=with_repeats)
+                       with_defects=with_defects)
 
 
 def densify_panel(panel: DataFrame, employees: DataFrame) -> DataFrame:

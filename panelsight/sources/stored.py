@@ -57,10 +57,31 @@ def refresh(spark: SparkSession, sf_dir: str) -> None:
 
 
 def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel with planted defects, which the registered queries and their SQL share."""
     from panelsight.sources.panel import load_panel
-    return stored(spark, sf_dir, "panel", load_panel)
+    return stored(spark, sf_dir, "panel", lambda s, d: load_panel(s, d, with_defects=True))
 
 
 def stored_clean_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelsight.operators.clean import clean_panel
     return stored(spark, sf_dir, "clean-panel", lambda s, d: clean_panel(stored_panel(s, d)))
+
+
+def stored_bucketed(spark: SparkSession, sf_dir: str, name: str, build, keys: list[str], buckets: int | None = None) -> DataFrame:
+    """``build(spark, sf_dir)`` as a table bucketed and sorted by ``keys``, written once like ``stored``.
+
+    Aggregates and joins on these keys then need no exchange of it. A bucket
+    counts as one task: ``buckets`` (the session's shuffle partitions if None)
+    has to grow with the table.
+    """
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key, stamp = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), f"{name}-{buckets}"), inputs_stamp(spark, sf_dir)
+    if key in _STORE and _STORE[key][0] != stamp:
+        refresh(spark, sf_dir)
+    if key not in _STORE:
+        path = work_dir(spark, name)
+        table = path.rsplit("/", 1)[1].replace("-", "_")
+        dealt = build(spark, sf_dir).repartition(buckets, *keys)
+        dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(table)
+        _STORE[key] = (stamp, spark.table(table), path)
+    return _STORE[key][1]

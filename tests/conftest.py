@@ -13,10 +13,7 @@ MEDIUM = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from panelsight.operators.models import TrainParams
-    from panelsight.plans import queries
     from panelsight.session import get_spark
-    queries.REGISTRY_PARAMS = TrainParams(gbt_rounds=10)  # the registered queries fit 300 rounds
     s = get_spark(master="local[*]", shuffle_partitions=8)
     yield s
     s.stop()

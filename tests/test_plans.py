@@ -43,11 +43,11 @@ def test_model_comparison_is_one_shuffle(spark):
     assert len([ln for ln in plan.splitlines() if "Exchange" in ln and "Broadcast" not in ln]) <= 1
 
 
-def test_permutation_importance_has_no_join(spark):
-    from panelsight.operators import explain as X
-    from panelsight.plans import queries as Q
-    from panelsight.sources.stored import materialize
-    fm, stats, _, test = Q.fixed(spark, SMALL)
-    rows, _ = materialize(test.select("label", "features"), "plan-test")
-    plan = _plan(X.permutation_importance(fm, rows, stats.features))
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan and "ShuffledHashJoin" not in plan
+def test_model_comparison_by_fitted_models_is_one_shuffle(spark):
+    plan = _plan(E.queries()["compare_fitted_models"](spark, SMALL))
+    assert len([ln for ln in plan.splitlines() if "Exchange" in ln and "Broadcast" not in ln]) <= 1
+
+
+def test_exact_shapley_is_narrow(spark):
+    for name in ("shapley_linear", "shapley_forest", "shapley_boosted"):
+        assert "Exchange" not in _plan(E.queries()[name](spark, SMALL)), name

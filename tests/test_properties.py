@@ -219,27 +219,14 @@ def test_stream_scorer_scores_each_file_once(spark, prepared, lr):
     assert spark.read.parquet(out).count() == 17
 
 
-def test_donors_are_a_rearrangement_of_the_rows(prepared, monkeypatch):
-    """In each repeat the donors are the rows themselves, in another order."""
-    _, test, _ = prepared
-    monkeypatch.setattr(X, "BUCKET_ROWS", 300)
-    d = X.donor_rows(test, n_repeats=2)
-    for r in range(2):
-        one = d.where(F.col("r") == r)
-        assert one.select("x").exceptAll(one.select("donor")).count() == 0
-        assert one.count() == test.count()
-        assert one.where("x <> donor").count() > 0.9 * test.count()
-
-
 def test_forest_does_not_depend_on_input_partitions(prepared, monkeypatch):
-    """Bagging draws per partition; partitions follow from the rows alone."""
     train, test, _ = prepared
-    monkeypatch.setattr(MD, "ROWS_PER_PARTITION", 400)
     params = MD.TrainParams(rf_trees=8)
     probs = []
-    for k in (1, 5):
+    for k, rows in ((1, 5000), (5, 400)):
+        monkeypatch.setattr(MD.TR, "ROWS_PER_TASK", rows)
         fm = MD.train_random_forest(train.repartition(k), params)
-        probs.append([[round(p, 9) for p in r.probs] for r in MD.predict(fm, test).orderBy("employee_id", "quarter_label").collect()])
+        probs.append([list(r.probs) for r in MD.predict(fm, test).orderBy("employee_id", "quarter_label").collect()])
     assert probs[0] == probs[1]
 
 
