@@ -111,8 +111,8 @@ def donated(test: DataFrame, n_features: int, n_repeats: int = 10, seed: int = 4
     base = test.select(F.col("label").cast("double").alias("label"), vector_to_array("features").alias("x"))
     ranked, n, path = PM.with_ranks(base, [F.xxhash64("x", "label", F.lit(seed)), F.col("label"), F.col("x")])
     every = F.explode(F.sequence(F.lit(0), F.lit(n_repeats * n_features - 1)))
-    sent = (ranked.select("rank", "x", every.alias("k"))
-            .select("k", PM.permuted(F.col("rank"), n, F.lit(seed), F.col("k")).alias("to"), F.element_at("x", (F.col("k") % n_features + 1).cast("int")).alias("value")))
+    own = ranked.select("rank", "x", every.alias("k")).select("rank", "k", F.element_at("x", (F.col("k") % n_features + 1).cast("int")).alias("value"))
+    sent = PM.permuted(own, "rank", n, ["k"], "to", seed).select("k", "to", "value")
     got = sent.groupBy("to").agg(F.collect_list(F.struct("k", "value")).alias("got"))
     return ranked.join(got, F.col("rank") == F.col("to")).drop("to"), n, path
 

@@ -37,15 +37,31 @@ def with_ranks(df: DataFrame, order: list[Column]) -> tuple[DataFrame, int, str]
     return ranked.drop("_place", "_part", "_before"), n, path
 
 
-def permuted(rank: Column, n: int, *key: Column) -> Column:
-    """The image of ``rank`` (0 .. n - 1) in the permutation of that key."""
+def permuted(df: DataFrame, rank: str, n: int, key: list[str], out: str, seed: int = 0) -> DataFrame:
+    """``df`` with ``out``, the image of ``rank`` (0 .. n - 1) in the permutation of the row's ``key`` columns.
+
+    The network is a chain of projections of two numbers each. Only the few
+    rows that leave the range go on, in one expression.
+    """
     side = max(2, math.isqrt(max(n - 1, 0)) + 1)
+    keys = [F.col(c) for c in key]
+
+    def mixed(right: Column, i: int) -> Column:
+        return F.pmod(F.xxhash64(right, F.lit(i), F.lit(seed), *keys), F.lit(side))
 
     def once(x: Column) -> Column:
         left, right = x % side, F.floor(x / side)
         for i in range(FEISTEL_ROUNDS):
-            left, right = right, (left + F.pmod(F.xxhash64(right, F.lit(i), *key), F.lit(side))) % side
+            left, right = right, (left + mixed(right, i)) % side
         return right * side + left
 
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), once(rank), lambda y, _: F.when(y >= n, once(y)).otherwise(y))
-    return F.when(walked < n, walked).otherwise(F.raise_error(F.lit("a permutation left its range")).cast("bigint"))
+    x = F.col(rank).cast("bigint")
+    df = df.withColumns({"_l0": x % side, "_r0": F.floor(x / side)})
+    for i in range(FEISTEL_ROUNDS):
+        left, right = F.col(f"_l{i}"), F.col(f"_r{i}")
+        df = df.withColumns({f"_l{i + 1}": right, f"_r{i + 1}": (left + mixed(right, i)) % side}).drop(f"_l{i}", f"_r{i}")
+    df = df.withColumn("_y", F.col(f"_r{FEISTEL_ROUNDS}") * side + F.col(f"_l{FEISTEL_ROUNDS}")).drop(f"_l{FEISTEL_ROUNDS}", f"_r{FEISTEL_ROUNDS}")
+    y = F.col("_y")
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), y, lambda a, _: F.when(a >= n, once(a)).otherwise(a))
+    df = df.withColumn("_y", F.when(y < n, y).otherwise(walked))
+    return df.withColumn(out, F.when(y < n, y).otherwise(F.raise_error(F.lit("a permutation left its range")).cast("bigint"))).drop("_y")

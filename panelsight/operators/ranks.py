@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from panelsight.sources.stored import materialize
@@ -76,10 +76,13 @@ def exact_quantiles(df: DataFrame, cols: list[str], points: list[float], more: l
     again by a sketch of its own. Nothing is written or shuffled but counts.
     NULL and NaN take no part.
     """
-    x = [F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double")) for c in cols]
+    value = lambda c: F.col(f"`{c}`").cast("double")
+    whole, df = df, df.select(*[F.nullif(value(c), F.lit(float("nan"))).alias(f"_x{i}") for i, c in enumerate(cols)])
+    x = [F.col(f"_x{i}") for i in range(len(cols))]
     share = 2 / SKETCH
     shares = [s for p in points for s in (max(p - share, 0.0), min(p + share, 1.0))]
-    first = df.agg(*[F.struct(F.count(v).alias("n"), F.percentile_approx(v, shares, SKETCH).alias("q")).alias(f"_q{i}") for i, v in enumerate(x)], *more).first()
+    sketched = [F.struct(F.count(v).alias("n"), F.percentile_approx(v, shares, SKETCH).alias("q")).alias(f"_q{i}") for i, v in enumerate(F.nullif(value(c), F.lit(float("nan"))) for c in cols)]
+    first = whole.agg(*sketched, *more).first()
     brackets = [_Bracket(i, p, first[f"_q{i}"]["n"]) for i in range(len(cols)) for p in points if first[f"_q{i}"]["n"]]
     for b in brackets:
         lo, hi = first[f"_q{b.column}"]["q"][2 * points.index(b.point) :][:2]
@@ -108,31 +111,48 @@ def _narrow(df: DataFrame, x: list[Column], brackets: list[_Bracket]) -> None:
 
 
 def _counted(df: DataFrame, x: list[Column], brackets: list[_Bracket]) -> list[_Bracket]:
-    """Count below and inside the brackets and sort the values of those that hold few; the others, narrowed."""
+    """Count below and inside the brackets and sort the values of those that hold few; the others, narrowed.
+
+    One scan: the brackets of a column, merged where they overlap, cut its
+    values into numbered regions. Rows are counted by (column, region, value),
+    the value only inside a bracket that holds few.
+    """
     # a bracket that stays large holds few values, each of many rows
     few = [b for b in brackets if b.narrowed >= MOST_NARROWED or min(b.n, 6 * b.inside // SKETCH + 64) <= FEW]
-    observed = Observation()
-    counts = [F.count_if(x[b.column] < b.low).alias(f"_b{k}") for k, b in enumerate(brackets)]
-    counts += [F.count_if((x[b.column] >= b.low) & (x[b.column] <= b.high)).alias(f"_i{k}") for k, b in enumerate(brackets)]
-    entry = [F.when((x[b.column] >= b.low) & (x[b.column] <= b.high), F.struct(F.lit(k).alias("k"), x[b.column].alias("v"))) for k, b in enumerate(brackets) if b in few]
-    if entry:
-        held = df.observe(observed, *counts).select(F.inline(F.filter(F.array(*entry), lambda s: s.isNotNull())))
-        values: dict[int, list] = {}
-        for r in held.groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")).collect():  # FEW values a bracket, about
-            values.setdefault(r["k"], []).append((r["v"], r["c"]))
-        got = observed.get
-    else:
-        got, values = df.agg(*counts).first().asDict(), {}
+    cells, places = [], {}
+    for i in sorted({b.column for b in brackets}):
+        merged: list[list] = []  # disjoint [low, high, brackets]
+        for b in sorted((b for b in brackets if b.column == i), key=lambda b: (b.low, b.high)):
+            if merged and b.low <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], b.high)
+                merged[-1][2].append(b)
+            else:
+                merged.append([b.low, b.high, [b]])
+        region, shown = F.lit(0), F.lit(None).cast("double")
+        for j, (low, high, held) in enumerate(merged):
+            region = region + (x[i] >= low).cast("int") + (x[i] > high).cast("int")
+            if any(b in few for b in held):
+                shown = F.when((x[i] >= low) & (x[i] <= high), x[i]).otherwise(shown)
+            for b in held:
+                b.low, b.high = low, high
+                places[id(b)] = (i, 2 * j + 1)
+        cells += [F.lit(i), region, shown]
+    # regions number the values in order: even ones lie between the brackets, odd ones in them
+    found = df.select(*[c.alias(f"_{n}") for n, c in enumerate(cells)]).selectExpr(f"stack({len(cells) // 3}, {', '.join(f'_{n}' for n in range(len(cells)))}) AS (k, r, v)")
+    rows = found.where("r IS NOT NULL").groupBy("k", "r", "v").agg(F.count(F.lit(1)).alias("c")).collect()  # FEW values a bracket, about
     rest = []
-    for k, b in enumerate(brackets):
-        below, inside = got[f"_b{k}"], got[f"_i{k}"]
+    for b in brackets:
+        k, r = places[id(b)]
+        below = sum(row["c"] for row in rows if row["k"] == k and row["r"] < r)
+        own = [(row["v"], row["c"]) for row in rows if row["k"] == k and row["r"] == r]
+        inside = sum(c for _, c in own)
         if not b.holds(below, inside):  # the sketch was further off than it should: wider
             b.low, b.high, b.below, b.inside, b.slack = float("-inf"), float("inf"), 0, b.n, b.slack * 16
             rest.append(b)
             continue
         b.below, b.inside = below, inside
-        if k in values:
-            b.value = b.found(sorted(values[k]))
+        if own[0][0] is not None:
+            b.value = b.found(sorted(own))
         else:
             rest.append(b)
     _narrow(df, x, rest)

@@ -321,7 +321,9 @@ def test_linear_margins(spark, prepared):
 
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 997, 5000])
 def test_permutations_are_bijections(spark, n):
-    df = spark.range(n).select("id", *[PM.permuted(F.col("id"), n, F.lit(7), F.lit(k)).alias(f"p{k}") for k in range(3)])
+    df = spark.range(n)
+    for k in range(3):
+        df = PM.permuted(df.withColumn("k", F.lit(k)), "id", n, ["k"], f"p{k}", seed=7)
     rows = df.collect()
     for k in range(3):
         assert sorted(r[f"p{k}"] for r in rows) == list(range(n))
@@ -334,7 +336,12 @@ def test_permutations_are_bijections(spark, n):
 
 def test_permutations_are_uniform(spark):
     """Of five rows over 6000 keys, every row goes everywhere alike, and all 120 orders occur; of 40 rows every pair does."""
-    df = spark.range(6000).withColumn("key", F.col("id")).select("key", F.array(*[PM.permuted(F.lit(i).cast("bigint"), 5, F.col("key")) for i in range(5)]).alias("p"))
+    def of(rows: int, keys: int, some) -> object:
+        df = spark.range(keys).withColumnRenamed("id", "key")
+        for i in some:
+            df = PM.permuted(df.withColumn("i", F.lit(i)), "i", rows, ["key"], f"p{i}")
+        return df
+    df = of(5, 6000, range(5)).select(F.array(*[f"p{i}" for i in range(5)]).alias("p"))
     orders = {tuple(r.p): r["count"] for r in df.groupBy("p").count().collect()}
     assert len(orders) == 120 and sum(orders.values()) == 6000
     assert min(orders.values()) > 15 and max(orders.values()) < 120
@@ -344,7 +351,7 @@ def test_permutations_are_uniform(spark):
             places[i, j] += n
     assert np.abs(places - 1200).max() < 150
     pairs = np.zeros((40, 40))
-    for r in spark.range(16_000).select(*[PM.permuted(F.lit(i).cast("bigint"), 40, F.col("id")).alias(f"p{i}") for i in (3, 31)]).collect():
+    for r in of(40, 16_000, (3, 31)).collect():
         pairs[r.p3, r.p31] += 1
     off = pairs[~np.eye(40, dtype=bool)]
     assert np.diag(pairs).sum() == 0 and abs(((off - off.mean()) ** 2 / off.mean()).sum() / len(off) - 1) < 0.2
