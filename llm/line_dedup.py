@@ -1,10 +1,16 @@
-"""Operator 4: removal of globally repeated chunks of lines, with boundaries chosen by content.
-
-A line's hash is the first 32 bits of its MD5. A rolling hash over the last
-``WINDOW`` line hashes ends a chunk where it divides by ``DIVISOR``, so that
-an insertion moves the boundaries near it only. Of a chunk with at least two
-non-empty lines that occurs again, anywhere, the first occurrence stays (by
-doc_id, then position); the others go once their bytes have been compared.
+"""Operator 4: removal of globally repeated multi-line chunks.
+
+A chunk is two lines that follow each other, blank lines between them passed
+over, or one line of at least ``LONG`` words. A rolling hash over the hashes
+of the last two lines names the chunk that ends at a line: every line is a
+boundary, so that an insertion moves none but its own. (Boundaries where the
+rolling hash divides by a number were tried first. They leave the head and the
+tail of a passage in chunks with other text: of passages of 2 to 8 lines most
+stayed.) Of a chunk that occurs again, anywhere, the first occurrence stays (by
+doc_id, then position); the lines of the others go, with the blank ones
+between them, once their bytes have been compared. So a passage of two lines
+or more, or of one long line, is left once, and the first occurrence of a line
+always stays.
 
 Documents are dealt into batches of a few MB. A batch sends each distinct
 chunk hash once, so that a chunk in a third of all documents costs one row a
@@ -14,12 +20,15 @@ that read them use one exchange.
 
 Rows: a null text stays null and has no lines; an empty text has one empty
 line. A null doc_id comes after all others; rows that repeat a doc_id follow
-each other by the hash of their text. All columns of the input are kept.
+each other by the hash of their text. All columns of the input are kept, in one
+struct, so that their names clash with nothing. A very long text is in one
+batch and makes that batch larger. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -29,33 +38,38 @@ from pyspark.sql import functions as F
 from llm import _tables as T
 from llm import _words as W
 
-WINDOW, DIVISOR = 2, 4
+LONG = 50  # words of a line that is a chunk of its own
 BATCH = 4 << 20  # bytes of text in a batch
 NO_ID = np.iinfo(np.int64).max
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def chunks(lines: list[bytes]) -> list[tuple[int, int]]:
-    """(first line, line after the last) of each chunk."""
-    out, begin, hashes = [], 0, [0] * (WINDOW - 1)
-    for i, line in enumerate(lines):
-        hashes.append(int.from_bytes(hashlib.md5(line).digest()[:4], "big"))
-        roll = 0
-        for h in hashes[-WINDOW:]:
-            roll = roll * 3 + h
-        if roll % DIVISOR == 0 or i == len(lines) - 1:
-            out.append((begin, i + 1))
-            begin = i + 1
+    """(first line, line after the last) of each chunk, in order."""
+    full = [i for i, x in enumerate(lines) if x]
+    out = []
+    for k, i in enumerate(full):
+        if len(lines[i]) >= 2 * LONG - 1 and len(_WORD.findall(lines[i])) >= LONG:
+            out.append((i, i + 1))
+        if k + 1 < len(full):
+            out.append((i, full[k + 1] + 1))
     return out
 
 
+def body(lines: list[bytes], a: int, e: int) -> bytes:
+    """The bytes that are compared: the chunk's lines but blank ones."""
+    return b"\n".join(filter(None, lines[a:e]))
+
+
 def _documents(t):
-    """(id, hash of the text, lines, chunks, hash of each multi-line chunk) of a batch's rows, in the order that decides who is first."""
+    """(id, hash of the text, row, lines, chunks, hash of each chunk) of a batch's rows, in the order that decides who is first."""
     rows = []
     for k, (i, x) in enumerate(zip(t.column("__id").to_pylist(), t.column("__text").to_pylist())):
         digest = int.from_bytes(hashlib.blake2b(x or b"", digest_size=8).digest(), "little", signed=True)
         lines = x.split(b"\n") if x is not None else []
         cut = chunks(lines)
-        hashes = [hashlib.md5(b"\n".join(lines[a:e])).digest() if sum(map(bool, lines[a:e])) > 1 else None for a, e in cut]
+        of = [hashlib.md5(x).digest() for x in lines]
+        hashes = [of[a] if e == a + 1 else hashlib.md5(of[a] + of[e - 1]).digest() for a, e in cut]
         rows.append((NO_ID if i is None else i, digest, k, lines, cut, hashes))
     return sorted(rows, key=lambda r: r[:3])
 
@@ -65,9 +79,8 @@ def _found(key, t):
     first, count = {}, {}
     for r, (i, digest, _, _, _, hashes) in enumerate(_documents(t)):
         for c, h in enumerate(hashes):
-            if h is not None:
-                first.setdefault(h, (i, digest, r, c))
-                count[h] = count.get(h, 0) + 1
+            first.setdefault(h, (i, digest, r, c))
+            count[h] = count.get(h, 0) + 1
     return pa.table([[key[0].as_py()] * len(first), list(first), *([v[j] for v in first.values()] for j in range(4)), list(count.values())], schema=FOUND)
 
 
@@ -79,7 +92,7 @@ def _texts(key, docs, repeated):
         for (a, e), h in zip(cut, hashes):
             if h in wanted:  # of texts with one hash, should there be two, the one met first is the source
                 of = out.setdefault(h, {})
-                of.setdefault(b"\n".join(lines[a:e]), wanted[h] and not of)
+                of.setdefault(body(lines, a, e), wanted[h] and not of)
     rows = [(key[0].as_py(), h, x, first) for h, of in out.items() for x, first in of.items()]
     return pa.table([list(x) for x in zip(*rows)] or [[]] * 4, schema=TEXTS)
 
@@ -89,16 +102,20 @@ def _kept(schema: pa.Schema):
     def run(key, docs, confirmed):
         gone = dict(zip(zip(confirmed.column("hash").to_pylist(), confirmed.column("text").to_pylist()), confirmed.column("first").to_pylist()))
         texts, n_lines, n_removed = [None] * docs.num_rows, [0] * docs.num_rows, [0] * docs.num_rows
+        repeated = {h for h, _ in gone}
         stays = {k for k, first in gone.items() if first}  # the first occurrence is in this batch
         for _, _, k, lines, cut, hashes in _documents(docs):
-            left = []
+            goes = bytearray(len(lines))
             for (a, e), h in zip(cut, hashes):
-                chunk = (h, b"\n".join(lines[a:e])) if h is not None else None
-                if chunk in gone and chunk not in stays:
-                    n_removed[k] += e - a
-                else:
+                if h not in repeated:
+                    continue
+                chunk = (h, body(lines, a, e))
+                if chunk in stays:
                     stays.discard(chunk)
-                    left += lines[a:e]
+                elif chunk in gone:
+                    goes[a:e] = b"\1" * (e - a)
+            left = [x for x, g in zip(lines, goes) if not g]
+            n_removed[k] = sum(goes)
             n_lines[k] = len(lines)
             texts[k] = b"\n".join(left) if lines else None
         W.release()

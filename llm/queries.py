@@ -23,19 +23,18 @@ QUERIES = {f.__name__: shipped(f) for f in (
 )}
 
 ORACLES: dict[str, str] = {
-    # line hash: first 8 hex digits of MD5; a chunk ends where 3 * previous + own divides by 4
+    # chunks: a full line with the next full one, or alone if it has 50 words; all but a chunk's first occurrence lose their lines
     "op4_line_dedup": """
 WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
-lines AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS i, len(parts) AS n_lines FROM docs),
-hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines),
-ends AS (SELECT *, (3 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) + h) % 4 = 0 AS last FROM hashed),
-numbered AS (SELECT *, coalesce(sum(last::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM ends),
-chunks AS (SELECT doc_id, n_lines, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS size, count(*) FILTER (WHERE line <> '') AS full_lines
-           FROM numbered GROUP BY doc_id, n_lines, chunk),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) > 1 AS again FROM chunks WHERE full_lines > 1
-           UNION ALL SELECT *, false FROM chunks WHERE full_lines <= 1),
-kept AS (SELECT doc_id, any_value(n_lines)::BIGINT AS n_lines, coalesce(sum(size) FILTER (WHERE again), 0)::BIGINT AS n_removed,
-                coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (WHERE NOT again), '') AS text FROM ranked GROUP BY doc_id)
+lines AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS i FROM docs),
+full_lines AS (SELECT *, lead(line) OVER w AS line2, lead(i) OVER w AS i2 FROM lines WHERE line <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+units AS (SELECT doc_id, i AS a, i2 AS b, line || chr(10) || line2 AS body FROM full_lines WHERE line2 IS NOT NULL
+          UNION ALL SELECT doc_id, i, i, line FROM full_lines WHERE len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= 50),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, a) > 1 AS again FROM units),
+gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM ranked WHERE again),
+marked AS (SELECT l.*, g.i IS NOT NULL AS goes FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i),
+kept AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE goes) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT goes), '') AS text
+         FROM marked GROUP BY doc_id)
 SELECT d.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed, CASE WHEN d.text IS NOT NULL THEN k.text END AS text
 FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """,

@@ -57,19 +57,24 @@ def without_repeats(rows: list[tuple[int, str | None]], length: int = 50) -> dic
     return out
 
 
-def without_repeated_chunks(rows: list[tuple[int, str]], chunks) -> dict[int, str]:
-    """doc_id -> what line dedup leaves of the text; ids are distinct."""
+def without_repeated_lines(rows: list[tuple[int, str]]) -> dict[int, str]:
+    """doc_id -> what line dedup leaves: runs of two full lines that were there before go, and single lines of 50 words; ids are distinct."""
     seen, out = set(), {}
     for i, t in sorted(rows):
-        lines, left = t.encode().split(b"\n"), []
-        for a, e in chunks(lines):
-            body = b"\n".join(lines[a:e])
-            if sum(map(bool, lines[a:e])) > 1:
-                if body in seen:
-                    continue
-                seen.add(body)
-            left += lines[a:e]
-        out[i] = b"\n".join(left).decode()
+        lines = t.split("\n")
+        goes, last = [False] * len(lines), None
+        for k, line in enumerate(lines):
+            if not line:
+                continue
+            if len(re.findall(r"[^\x20\x09-\x0D]+", line)) >= 50:
+                goes[k] = goes[k] or line in seen
+                seen.add(line)
+            if last is not None:
+                if (lines[last], line) in seen:
+                    goes[last : k + 1] = [True] * (k + 1 - last)
+                seen.add((lines[last], line))
+            last = k
+        out[i] = "\n".join(x for x, g in zip(lines, goes) if not g)
     return out
 
 

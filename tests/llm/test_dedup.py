@@ -76,24 +76,47 @@ def test_repeated_bytes_of_awkward_rows(awkward):
 
 def test_line_dedup(spark, rows):
     got = {r.doc_id: r.text for r in L.op4_line_dedup(spark, SF).collect()}
-    assert got == brute.without_repeated_chunks(rows, L.chunks)
-
-
-def test_line_dedup_boundaries_resist_shifts():
-    lines = [f"line {i}".encode() for i in range(200)]
-    plain = {tuple(lines[a:e]) for a, e in L.chunks(lines)}
-    moved = lines[:50] + [b"inserted"] + lines[50:]
-    shifted = {tuple(moved[a:e]) for a, e in L.chunks(moved)}
-    assert len(plain - shifted) <= 2
-    assert [a for a, _ in L.chunks(lines)][1:] == [e for _, e in L.chunks(lines)][:-1]
-    assert L.chunks([]) == [] and L.chunks([b"x"]) == [(0, 1)]
+    assert got == brute.without_repeated_lines(rows)
+
+
+def test_line_chunks():
+    long = b" ".join(b"w%d" % k for k in range(50))
+    assert L.chunks([]) == L.chunks([b""]) == L.chunks([b"x"]) == [] and L.chunks([long]) == [(0, 1)]
+    assert L.chunks([b"a", b"", b"b", long]) == [(0, 3), (2, 4), (3, 4)]
+    assert L.chunks([long[:-1].rsplit(b" ", 1)[0]]) == []  # 49 words
+
+
+@pytest.mark.parametrize("batch", [1500, 4 << 20])
+def test_line_dedup_finds_passages(spark, monkeypatch, batch):
+    """Passages of 1 long to 8 lines, verbatim inside otherwise different documents: all but the first lose them, and nothing else."""
+    monkeypatch.setattr(L, "BATCH", batch)
+    rng = np.random.default_rng(4)
+    line = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), 5)) for _ in range(n))
+    passages = [[line(60)]] + [[line(int(rng.integers(1, 30))) for _ in range(n)] for n in range(2, 9)] + [[line(9), "", line(7)]]
+    docs, want = [], {}
+    for k in range(90):
+        before, after = ([line(int(rng.integers(1, 20))) for _ in range(int(rng.integers(0, 5)))] for _ in range(2))
+        passage = passages[k % 9]
+        docs.append((k, "\n".join([*before, *passage, *after])))
+        want[k] = "\n".join([*before, *(passage if k < 9 else []), *after])
+    got = {r["row"].doc_id: r.text for r in L.dedup_lines(spark.createDataFrame(docs, EMPTY)).collect()}
+    assert got == want
+
+
+def test_first_occurrences_stay(spark):
+    """Of every line at least one copy is left, however chunks overlap."""
+    rng = np.random.default_rng(1)
+    docs = [(k, "\n".join(rng.choice(["a", "b", "c", "", "d"], int(rng.integers(1, 12))))) for k in range(60)]
+    got = {r["row"].doc_id: r.text for r in L.dedup_lines(spark.createDataFrame(docs, EMPTY)).collect()}
+    assert got == brute.without_repeated_lines(docs)
+    assert {x for t in got.values() for x in t.split("\n")} >= {"a", "b", "c", "d"}
 
 
 def test_line_dedup_across_batches(spark, rows, monkeypatch):
     monkeypatch.setattr(L, "BATCH", 3000)
     some = rows[:60] + [(1000 + i, t) for i, t in rows[:20]]
     got = {r["row"].doc_id: r.text for r in L.dedup_lines(spark.createDataFrame(some, EMPTY)).collect()}
-    assert got == brute.without_repeated_chunks(some, L.chunks)
+    assert got == brute.without_repeated_lines(some)
 
 
 def test_line_dedup_of_awkward_rows(awkward):

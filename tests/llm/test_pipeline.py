@@ -3,7 +3,6 @@
 import corpus_pipeline as C
 from llm import _tables as T
 from llm import language_id as G
-from llm import line_dedup as L
 from tests.llm import brute
 from tests.llm.conftest import SF
 from tests.llm.test_text import _check_packing
@@ -22,7 +21,7 @@ def test_stages(spark, docs, rows):
             want = {i: t for i, t in now.items() if pred[i].lang_pred != "und" and pred[i].score >= 0.5}
             assert len(want) > 0.95 * len(now)
         elif name == "line_dedup":
-            want = {i: t for i, t in brute.without_repeated_chunks(list(now.items()), L.chunks).items() if t or not now[i]}
+            want = {i: t for i, t in brute.without_repeated_lines(list(now.items())).items() if t or not now[i]}
             assert all(r.n_chars == len(r.text) for r in frame.collect())
         elif name == "near_duplicates":
             want = {i: now[i] for i, (_, c) in brute.components(list(now.items())).items() if c == i}
@@ -57,7 +56,7 @@ def test_awkward_rows_pass_the_stages(spark, awkward):
 def test_registered():
     import __spark_entry__ as E
     names = [n for n in E.queries() if n.startswith("op") and n[2:3].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 def test_line_dedup_matches_sql(spark):
