@@ -7,8 +7,13 @@ nearly full are emitted; the rest go on as items of their fill, in fewer
 partitions, until one partition holds them or a round no longer helps. A task
 holds at most about ``ITEMS`` items, a few integers each.
 
+How many partitions there are follows from the number of items, so that the
+number of sequences doesn't depend on the session's settings.
+
 Rows: null text is empty: the end id alone. Null and repeated doc_ids are
-documents like others.
+documents like others. Very long texts are a batch of their own, then cut. Items
+of one length are alike; ties go to the earlier one. An empty table gives no
+rows. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ from llm import tokens
 
 SIZE, END = 1024, 2
 NEARLY = SIZE - 4  # bins so full are emitted
-ITEMS = 200_000  # items in a partition
+ITEMS = 100_000  # items in a partition
 FAN_IN = 8  # partitions that merge into one
 
 
@@ -93,9 +98,8 @@ def _packed(batches):
 
 def packed(items: DataFrame) -> DataFrame:
     """(uid, sequence_id, offset) of ``items(uid, length)``, lengths from 1 to SIZE."""
-    spark = items.sparkSession
     rounds, count = [], items.count()
-    width = T.partitions_for(spark, count, ITEMS)
+    width = max(1, -(-count // ITEMS))  # by the items alone: the session's partitions don't bear on the result
     while True:
         placed = T.store(items.repartition(width, "uid").mapInArrow(_packed, "uid long, bin long, offset long, fill long"), "bins")
         rounds.append(placed)

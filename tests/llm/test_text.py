@@ -117,7 +117,11 @@ def test_language_id_backs_off_to_grams(spark):
     rows = [(k, t, g) for k, (t, g) in enumerate([("haus maus laus baum", "de"), ("house mouse louse tree", "en")] * 30)]
     model = G.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     scores = G._Scores(model)
-    assert [g for g, _ in G._predict(["Maus", "mausbaum", "treehouse", "ж", "", None, "12 !"], scores, model["langs"])] == ["de", "de", "en", "de", "und", "und", "und"]
+    assert [g for g, _ in G._predict(["Maus", "mausbaum", "treehouse", "ж", "", None, "12 !", "½ ² ①", "x²"], scores, model["langs"])] == ["de", "de", "en", "de", "und", "und", "und", "und", "de"]
+
+
+def test_words_are_letters_only():
+    assert G.words("Ab½cd ²③ é_f 7g Ⅷ ꙮ") == ["ab", "cd", "é", "f", "g", "ꙮ"]
 
 
 def test_language_id_of_awkward_rows(awkward):
@@ -328,6 +332,22 @@ def test_packing(spark, rows):
     assert bins <= 1.05 * bound + 1
 
 
+def test_packing_does_not_depend_on_partitions(spark):
+    """sf0.01 on 4, 32 and 211 partitions: the same number of sequences, about the one best fit's."""
+    import builtins
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), set()
+    try:
+        for n in (4, 32, 211):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            pieces = P.pack(docs.repartition(n)).filter(f"length < {P.SIZE}").select("sequence_id", "length").collect()
+            found.add(len({r.sequence_id for r in pieces}))
+            bound = -(-builtins.sum(r.length for r in pieces) // P.SIZE)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(found) == 1 and found.pop() <= bound + 4
+
+
 def test_packing_in_rounds(spark, monkeypatch):
     """Many partitions, several rounds: offsets of bins within bins."""
     monkeypatch.setattr(P, "ITEMS", 200)
