@@ -11,7 +11,9 @@ per language (and length). Everything is then scored in one narrow pass.
 
 Rows: null texts and texts without a letter are ``und`` with score 0; so is
 everything if no row is labelled. Ties go to the first language by name. A
-null doc_id is neither held out nor learned from; repeated rows count each.
+null doc_id is neither held out nor learned from; repeated rows count each. Very
+long texts are a batch of their own. An empty table gives no rows. Other columns
+are kept by ``accepted`` and not looked at by ``identify``.
 """
 
 from __future__ import annotations
@@ -37,7 +39,11 @@ _RANGE = float(1 << 64)
 
 
 def words(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    """Runs of letters (category L), lower-cased."""
+    found = LETTERS.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for x in found for w in "".join(c if c.isalpha() else " " for c in x).split()]  # number signs such as ½ are no letters
 
 
 def grams(word: str, n: int) -> list[str]:
