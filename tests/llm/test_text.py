@@ -47,15 +47,61 @@ def test_licences_of_documents(spark, rows):
         assert (got[i].licence in want and got[i].origin == "own") if want else got[i].origin != "own"
 
 
-def test_template_cosines():
-    m = C.Model({"": 1000, "the": 900, "under": 500, "licensed": 20})
-    assert m.best(C.terms("Released under the MIT License.")) == ("MIT", 1.0)
-    assert m.best(C.terms("the of under")) is None and m.best(["mit"]) is None and m.best([]) is None
-    unit = C.terms("licensed under the apache license version 2 0 really")
-    weights = {w: n * m.idf.get(w, m.other) for w, n in collections.Counter(unit).items()}
-    template = {w: n * m.idf[w] for w, n in collections.Counter(C.terms(C.TEMPLATES["Apache-2.0"][0])).items()}
-    cosine = sum(v * template.get(w, 0) for w, v in weights.items()) / np.sqrt(sum(v * v for v in weights.values()) * sum(v * v for v in template.values()))
-    assert cosine < C.SIMILAR and m.best(unit) is None or abs(m.best(unit)[1] - cosine) < 1e-6
+def _plain_licences(texts):
+    """(licence, score) of each text by a plain TF-IDF cosine of every unit to every template sentence."""
+    files = [set(regex.findall(r"[^\W_]+", (t or "").lower())) for t in texts]
+    df = collections.Counter(w for f in files for w in f)
+
+    def vector(sentence):
+        return {w: n * (np.log((1 + len(texts)) / (1 + df[w])) + 1) for w, n in collections.Counter(regex.findall(r"[^\W_]+", sentence.lower())).items()}
+
+    def cosine(a, b):
+        return sum(v * b.get(w, 0) for w, v in a.items()) / np.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values()))
+    templates = [(k, vector(t)) for k in sorted(C.TEMPLATES) for t in C.TEMPLATES[k]]
+    out = []
+    for t in texts:
+        best = (0.0, None)
+        for unit in regex.split(r"\n|(?<=[.!?;:])\s+", t or ""):
+            u = vector(unit)
+            for licence, v in templates:
+                if len(u.keys() & v.keys()) > 1:
+                    c = round(cosine(u, v), 9)
+                    if c >= C.SIMILAR and c > best[0]:
+                        best = c, licence
+        out.append((best[1], min(1.0, best[0])))
+    return out
+
+
+def test_licences_equal_a_plain_cosine(spark, rows, monkeypatch):
+    """All documents, and made notices with other words around; frequencies by broadcast and by join."""
+    rng = np.random.default_rng(2)
+    words = [w for _, t in rows[:20] for w in C.terms(t)]
+    notices = [(1000 + k, " ".join([*rng.choice(words, k % 4), t, *rng.choice(words, k % 3)])) for k, t in enumerate(x for ts in C.TEMPLATES.values() for x in ts)]
+    data = [*rows, *notices, (5000, "x" + " license version" * 3000), (5001, None), (5002, "")]
+    want = dict(zip((i for i, _ in data), _plain_licences([t for _, t in data])))
+    assert len({w[0] for w in want.values()}) > 8
+    for frequent in (1000, 3):
+        monkeypatch.setattr(C, "FREQUENT", frequent)
+        found = C.scan(spark.createDataFrame(data, "doc_id long, text string").withColumn("path", F.lit("a/b"))).collect()
+        assert len(found) == len(data)
+        assert {r.doc_id for r in found if (r.own, round(r.score, 6)) != (want[r.doc_id][0], round(want[r.doc_id][1], 6))} == set()
+
+
+def test_notices_with_other_words_at_any_size():
+    """The same shares of files give the same notice, however many files there are."""
+    unit = collections.Counter(C.terms("This project is released under the MIT License."))
+    for n in (1000, 100_000, 10_000_000):
+        share = {"this": 0.5, "is": 0.7, "released": 0.02, "under": 0.2, "the": 0.9, "mit": 0.01, "license": 0.02}
+        m = C.Model({"": n, **{w: int(s * n) for w, s in share.items()}})
+        found = m.best(unit, {"project": C.idf(n, n // 20)})
+        assert found and found[0] == "MIT" and m.best(unit)[1] >= found[1]
+
+
+def test_licences_of_repeated_paths_and_ties(spark):
+    mit, apache = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."
+    files = [(1, "a/LICENSE", mit), (2, "a/LICENSE", apache), (3, "a/x.py", "code"), (4, "b/LICENSE", apache + "\n" + mit), (5, "b/x.py", None), (5, "b/x.py", None), (6, "c/z.txt", "prose " * 50_000 + "\n" + mit)]
+    got = sorted((r.doc_id, r.licence, r.origin) for r in C.licences(spark.createDataFrame(files, "doc_id long, path string, text string")).collect())
+    assert got == [(1, "MIT", "own"), (2, "Apache-2.0", "own"), (3, "Apache-2.0", "inherited"), (4, "Apache-2.0", "own"), (5, "Apache-2.0", "inherited"), (5, "Apache-2.0", "inherited"), (6, "MIT", "own")]
 
 
 def test_decontamination(spark, rows):
