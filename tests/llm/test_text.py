@@ -131,15 +131,18 @@ def test_decontamination_of_near_passages(spark, monkeypatch):
     assert left == {i for i, _ in docs} - {i for i, _ in want}
 
 
-def test_fingerprints_within_the_radius_share_a_block():
+def test_lookups_find_all_within_the_radius_and_few_others():
     rng = np.random.default_rng(1)
-    x = rng.integers(0, 2**64, (200, 2), dtype=np.uint64)
+    x = rng.integers(0, 2**64, (400, D.WORDS), dtype=np.uint64)
     bits = np.unpackbits(x.view(np.uint8), axis=1)
     for row in bits:
-        row[rng.choice(128, D.RADIUS, replace=False)] ^= 1
+        row[rng.choice(bits.shape[1], D.RADIUS, replace=False)] ^= 1
     y = np.packbits(bits, axis=1).view(np.uint64)
     assert (np.bitwise_count(x ^ y).sum(1) == D.RADIUS).all()
-    assert (D._blocks(x) == D._blocks(y)).any(1).all()
+    found = D.BlockIndex(x).lookup(y)
+    assert np.diag(found).all()
+    assert found[~np.eye(400, dtype=bool)].mean() < 0.2  # of unrelated ones
+    assert {(w, r) for w, r, _ in D.BlockIndex(x).within(y)} == {(k, k) for k in range(400)}
 
 
 def test_decontamination_of_awkward_rows(spark, awkward):
