@@ -27,21 +27,19 @@ batch and makes that batch larger. An empty table gives no rows.
 
 from __future__ import annotations
 
-import hashlib
-import re
-
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import _tables as T
 from llm import _words as W
 
+line_hash = xxhash.xxh3_128_digest
 LONG = 50  # words of a line that is a chunk of its own
 BATCH = 4 << 20  # bytes of text in a batch
 NO_ID = np.iinfo(np.int64).max
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def chunks(lines: list[bytes]) -> list[tuple[int, int]]:
@@ -49,7 +47,7 @@ def chunks(lines: list[bytes]) -> list[tuple[int, int]]:
     full = [i for i, x in enumerate(lines) if x]
     out = []
     for k, i in enumerate(full):
-        if len(lines[i]) >= 2 * LONG - 1 and len(_WORD.findall(lines[i])) >= LONG:
+        if len(lines[i]) >= 2 * LONG - 1 and len(lines[i].split()) >= LONG:  # words are runs of bytes other than 0x20 and 0x09-0x0D
             out.append((i, i + 1))
         if k + 1 < len(full):
             out.append((i, full[k + 1] + 1))
@@ -65,11 +63,11 @@ def _documents(t):
     """(id, hash of the text, row, lines, chunks, hash of each chunk) of a batch's rows, in the order that decides who is first."""
     rows = []
     for k, (i, x) in enumerate(zip(t.column("__id").to_pylist(), t.column("__text").to_pylist())):
-        digest = int.from_bytes(hashlib.blake2b(x or b"", digest_size=8).digest(), "little", signed=True)
+        digest = xxhash.xxh3_64_intdigest(x or b"") - (1 << 63)
         lines = x.split(b"\n") if x is not None else []
         cut = chunks(lines)
-        of = [hashlib.md5(x).digest() for x in lines]
-        hashes = [of[a] if e == a + 1 else hashlib.md5(of[a] + of[e - 1]).digest() for a, e in cut]
+        of = list(map(line_hash, lines))
+        hashes = [of[a] if e == a + 1 else line_hash(of[a] + of[e - 1]) for a, e in cut]
         rows.append((NO_ID if i is None else i, digest, k, lines, cut, hashes))
     return sorted(rows, key=lambda r: r[:3])
 
