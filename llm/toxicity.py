@@ -8,9 +8,13 @@ list, broadcast with the scoring tasks.
 It learns from about ``SAMPLE`` labelled rows, taken by a hash of doc_id, in
 one task and in a fixed order. Scoring is one narrow pass over whole texts.
 
+Rates and L1 were chosen inside the labels that may be learned from (crc32 of
+doc_id mod 5 from 1 to 4): fitted on remainders 2 to 4, least log loss on 1.
+
 Rows: null and empty texts have no features and score the bias. Labels other
 than 0 and 1, and null ids, are not learned from; if a doc_id has several
-labels the largest holds. Without labels every score is 0.5 and predicted 1.
+labels the largest holds. Repeated rows count each; very long texts are a batch
+of their own; other columns are not looked at; an empty table gives no rows. Without labels every score is 0.5 and predicted 1.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from llm.language_id import held_out
 
 SAMPLE = 20_000  # labelled rows learned from
 SLOTS = 1 << 20
-ALPHA, BETA, L1, L2, PASSES = 1.0, 1.0, 6.0, 0.0, 8
+ALPHA, BETA, L1, L2, PASSES = 2.0, 1.0, 6.0, 0.0, 8  # least log loss on the labels with remainder 1 of those learned from, fitted on 2 to 4
 GAP = np.ones(256, bool)  # words are runs of ASCII letters, digits and bytes beyond ASCII
 GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
