@@ -306,7 +306,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     for nearest in (True, False):
         member = tiles.select("h", "sid", "n").join(part, tiles.sid == part.node, "left").select("h", "sid", "n", F.coalesce("component", "sid").alias("component"))
         open_tiles = T.store(member.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo <> hi").select("h", "size"), "open")
-        rows_left = open_tiles.agg(F.sum("size")).first()[0] or 0
+        rows_left = open_tiles.agg(F.sum(F.col("size") * F.ceil(F.col("size") / TILE_ROWS))).first()[0] or 0  # a row is copied once for each part of its tile
         cut = (member.join(open_tiles, "h").withColumn("k", F.ceil(F.col("size") / TILE_ROWS).cast("int")).withColumn("part", F.pmod(F.xxhash64("sid"), F.col("k")).cast("int"))
                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
                .select("h", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "sid", "n", "component"))
