@@ -12,7 +12,7 @@ of the shard has been verified. The shards' best are merged.
 Queries meet shards in blocks of bounded size on both sides. Of equal vectors
 the k + 1 smallest ids take part, more can't be among a query's k nearest.
 
-Rows: vectors that are null, empty, zero or hold null or non-finite components
+Rows: an empty table gives no rows; other columns are not looked at. Vectors that are null, empty, zero or hold null or non-finite components
 take no part; only vectors of one length are compared. A query's own vec_id is
 left out. Rows that repeat a vec_id and vector are one; if the vectors differ,
 each is a row. Null ids take no part. Ties go to the smaller vec_id.
@@ -30,7 +30,8 @@ from llm import _tables as T
 LINES, COLLIDE, SHARE = 64, 0.75, 0.12
 FIRST, WIDER = 0.1, 1.35  # half-width of the first windows, and the factor of each step
 REACH = 1.5  # vectors at distance d collide on a line by half-width 1.5 d with probability 0.87, well over COLLIDE
-SHARD, BLOCK = 8192, 1024  # vectors in a shard, queries in a block
+SHARD = 8192  # vectors in a shard
+BLOCK_BYTES = 16 << 20  # of the vectors of a block of queries; a shard is indexed, and its vectors sent, once for each block
 SEED = 20
 
 
@@ -119,7 +120,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     same = Window.partitionBy("embedding").orderBy("vec_id")
     rows = T.store(usable(vectors).dropDuplicates(["vec_id", "embedding"]).withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1).select("dim", "vec_id", "embedding"), "vectors")
     asked = T.store(usable(queries).withColumn("query", F.xxhash64("vec_id", "embedding")).dropDuplicates(["vec_id", "query"]).select("dim", "vec_id", "query", "embedding"), "queries")
-    shards, blocks = (-(-max(t.count(), 1) // size) for t, size in ((rows, SHARD), (asked, BLOCK)))
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.sum("dim").alias("entries")).first()
+    shards, blocks = -(-max(rows.count(), 1) // SHARD), -(-max((size.entries or 0) * 8, 1) // BLOCK_BYTES)
     left = (rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
     right = (asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))

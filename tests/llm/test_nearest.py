@@ -35,7 +35,7 @@ def test_recall(spark):
 
 def test_shards_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(N, "SHARD", 40)
-    monkeypatch.setattr(N, "BLOCK", 7)
+    monkeypatch.setattr(N, "BLOCK_BYTES", 7 * 8 * 8)
     rng = np.random.default_rng(2)
     rows = [(i, rng.standard_normal(8).tolist(), 0) for i in range(200)]
     df = spark.createDataFrame(rows, KIND)
