@@ -52,10 +52,10 @@ def _plain_boost(x, y, keys, p):
         v, c = np.unique(x[:, f], return_counts=True)
         bins = (np.concatenate([[0], np.cumsum(c)[:-1]]) * p.bins) // n
         edges.append([v[bins == b].min() for b in np.unique(bins)][1:])
-    f_of, out = np.zeros((n, 3)), []
+    margins = np.zeros((n, 3))
     unit = float(1 << min(TR.FIXED_POINT, 62 - math.ceil(math.log2(n))))
     for r in range(p.rounds):
-        prob = np.exp(f_of - f_of.max(1, keepdims=True))
+        prob = np.exp(margins - margins.max(1, keepdims=True))
         prob /= prob.sum(1, keepdims=True)
         used = TR._uniform(keys, p.seed, 2, r) < p.rows
         trees = []
@@ -82,30 +82,18 @@ def _plain_boost(x, y, keys, p):
                 f, e = best[1]
                 return {"f": f, "e": e, "two": (grow(at[x[at, f] < e], depth + 1), grow(at[x[at, f] >= e], depth + 1))}
 
-            def add(node, at):
-                if "value" in node:
-                    f_of[at, c] += p.step * node["value"]
-                else:
-                    go = x[at, node["f"]] < node["e"]
-                    add(node["two"][0], at[go])
-                    add(node["two"][1], at[~go])
-            tree = grow(np.arange(n), 0)
-            trees.append((tree, add))
-        for tree, add in trees:
-            pass
-        snapshot = f_of.copy()
-        for c, (tree, _) in enumerate(trees):
-            def score(node, at, c=c):
-                if "value" in node:
-                    snapshot[at, c] += p.step * node["value"]
-                else:
-                    go = x[at, node["f"]] < node["e"]
-                    score(node["two"][0], at[go])
-                    score(node["two"][1], at[~go])
-            score(tree, np.arange(n))
-        f_of = snapshot
-        out.append([t for t, _ in trees])
-    return f_of
+            trees.append(grow(np.arange(n), 0))
+
+        def add(node, at, c):
+            if "value" in node:
+                margins[at, c] += p.step * node["value"]
+            else:
+                left = x[at, node["f"]] < node["e"]
+                add(node["two"][0], at[left], c)
+                add(node["two"][1], at[~left], c)
+        for c, tree in enumerate(trees):
+            add(tree, np.arange(n), c)
+    return margins
 
 
 def _margins(rounds, x, step):
