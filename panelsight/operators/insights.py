@@ -8,7 +8,7 @@ computes the other statistics too; ``approx=True`` takes one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelsight.functions.scalars import quarter_key, rnd
@@ -99,16 +99,15 @@ def describe_numeric(df: DataFrame, cols: list[str] = DESCRIBE_COLS, approx: boo
     cols = _present(df, cols)
     points = [0.25, 0.5, 0.75]
 
-    def moments(c: str, more=()):
-        x = F.col(c).cast("double")
-        return F.struct(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"), *more)
+    def moments(i: int, more: str = "") -> Column:
+        x = f"CAST(`{cols[i]}` AS DOUBLE)"
+        return F.expr(f"struct(count({x}) AS count, avg({x}) AS mean, stddev_samp({x}) AS std, min({x}) AS min, max({x}) AS max{more.format(x=x)}) AS _s{i}")
 
     if approx:
-        sketch = lambda c: F.percentile_approx(F.col(c).cast("double"), points, 100_000).alias("q")
-        row = df.agg(*[moments(c, [sketch(c)]).alias(f"_s{i}") for i, c in enumerate(cols)]).first()
+        row = df.agg(*[moments(i, ", percentile_approx({x}, array(0.25, 0.5, 0.75), 100000) AS q") for i in range(len(cols))]).first()
         q = [row[f"_s{i}"]["q"] or [None] * 3 for i in range(len(cols))]
     else:
-        q, row = exact_quantiles(df, cols, points, [moments(c).alias(f"_s{i}") for i, c in enumerate(cols)])
+        q, row = exact_quantiles(df, cols, points, [moments(i) for i in range(len(cols))])
     found = [(c, *[row[f"_s{i}"][k] for k in ("count", "mean", "std", "min")], *[float(v) if v is not None else None for v in q[i]], row[f"_s{i}"]["max"]) for i, c in enumerate(cols)]
     names = ["mean", "std", "min", "p25", "p50", "p75", "max"]
     local = df.sparkSession.createDataFrame(found, "column_name string, count bigint, " + ", ".join(f"{n} double" for n in names))  # a row for each column

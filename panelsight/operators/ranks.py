@@ -76,12 +76,14 @@ def exact_quantiles(df: DataFrame, cols: list[str], points: list[float], more: l
     again by a sketch of its own. Nothing is written or shuffled but counts.
     NULL and NaN take no part.
     """
-    value = lambda c: F.col(f"`{c}`").cast("double")
-    whole, df = df, df.select(*[F.nullif(value(c), F.lit(float("nan"))).alias(f"_x{i}") for i, c in enumerate(cols)])
-    x = [F.col(f"_x{i}") for i in range(len(cols))]
+    # expressions as text: one call to the JVM for each instead of one for each part
+    value = [f"nullif(CAST(`{c}` AS DOUBLE), {_double(float('nan'))})" for c in cols]
+    x = [f"_x{i}" for i in range(len(cols))]
+    whole, df = df, df.selectExpr(*[f"{v} AS {n}" for v, n in zip(value, x)])
     share = 2 / SKETCH
     shares = [s for p in points for s in (max(p - share, 0.0), min(p + share, 1.0))]
-    sketched = [F.struct(F.count(v).alias("n"), F.percentile_approx(v, shares, SKETCH).alias("q")).alias(f"_q{i}") for i, v in enumerate(F.nullif(value(c), F.lit(float("nan"))) for c in cols)]
+    probes = ", ".join(_double(p) for p in shares)
+    sketched = [F.expr(f"struct(count({v}) AS n, percentile_approx({v}, array({probes}), {SKETCH}) AS q) AS _q{i}") for i, v in enumerate(value)]
     first = whole.agg(*sketched, *more).first()
     brackets = [_Bracket(i, p, first[f"_q{i}"]["n"]) for i in range(len(cols)) for p in points if first[f"_q{i}"]["n"]]
     for b in brackets:
@@ -98,19 +100,23 @@ def exact_quantiles(df: DataFrame, cols: list[str], points: list[float], more: l
     return [[done.get((i, p)) for p in points] for i in range(len(cols))], first
 
 
-def _narrow(df: DataFrame, x: list[Column], brackets: list[_Bracket]) -> None:
+def _double(v: float) -> str:
+    return f"CAST('{v!r}' AS DOUBLE)"
+
+
+def _narrow(df: DataFrame, x: list[str], brackets: list[_Bracket]) -> None:
     """New ends for the brackets, by a sketch of the values inside each."""
     if not brackets:
         return
-    inside = [F.when((x[b.column] >= b.low) & (x[b.column] <= b.high), x[b.column]) for b in brackets]
-    row = df.agg(*[F.percentile_approx(v, b.probes(), SKETCH).alias(f"_{k}") for k, (v, b) in enumerate(zip(inside, brackets))]).first()
+    inside = [f"CASE WHEN {x[b.column]} BETWEEN {_double(b.low)} AND {_double(b.high)} THEN {x[b.column]} END" for b in brackets]
+    row = df.agg(*[F.expr(f"percentile_approx({v}, array({', '.join(map(_double, b.probes()))}), {SKETCH}) AS _{k}") for k, (v, b) in enumerate(zip(inside, brackets))]).first()
     for k, b in enumerate(brackets):
         p, (lo, hi) = b.probes(), row[f"_{k}"]
         b.low, b.high = (lo if p[0] > 0 else b.low), (hi if p[1] < 1 else b.high)
         b.narrowed += 1
 
 
-def _counted(df: DataFrame, x: list[Column], brackets: list[_Bracket]) -> list[_Bracket]:
+def _counted(df: DataFrame, x: list[str], brackets: list[_Bracket]) -> list[_Bracket]:
     """Count below and inside the brackets and sort the values of those that hold few; the others, narrowed.
 
     One scan: the brackets of a column, merged where they overlap, cut its
@@ -128,23 +134,25 @@ def _counted(df: DataFrame, x: list[Column], brackets: list[_Bracket]) -> list[_
                 merged[-1][2].append(b)
             else:
                 merged.append([b.low, b.high, [b]])
-        region, shown = F.lit(0), F.lit(None).cast("double")
+        region, shown = "0", []
         for j, (low, high, held) in enumerate(merged):
-            region = region + (x[i] >= low).cast("int") + (x[i] > high).cast("int")
+            region += f" + CAST({x[i]} >= {_double(low)} AS INT) + CAST({x[i]} > {_double(high)} AS INT)"
             if any(b in few for b in held):
-                shown = F.when((x[i] >= low) & (x[i] <= high), x[i]).otherwise(shown)
+                shown.append(f"{x[i]} BETWEEN {_double(low)} AND {_double(high)}")
             for b in held:
                 b.low, b.high = low, high
                 places[id(b)] = (i, 2 * j + 1)
-        cells += [F.lit(i), region, shown]
+        cells.append(f"{i}, {region}, CASE WHEN {' OR '.join(shown) or 'false'} THEN {x[i]} END")
     # regions number the values in order: even ones lie between the brackets, odd ones in them
-    found = df.select(*[c.alias(f"_{n}") for n, c in enumerate(cells)]).selectExpr(f"stack({len(cells) // 3}, {', '.join(f'_{n}' for n in range(len(cells)))}) AS (k, r, v)")
+    found = df.selectExpr(f"stack({len(cells)}, {', '.join(cells)}) AS (k, r, v)")
     rows = found.where("r IS NOT NULL").groupBy("k", "r", "v").agg(F.count(F.lit(1)).alias("c")).collect()  # FEW values a bracket, about
-    rest = []
+    rest, of_column = [], {}
+    for row in rows:
+        of_column.setdefault(row["k"], []).append((row["r"], row["v"], row["c"]))
     for b in brackets:
         k, r = places[id(b)]
-        below = sum(row["c"] for row in rows if row["k"] == k and row["r"] < r)
-        own = [(row["v"], row["c"]) for row in rows if row["k"] == k and row["r"] == r]
+        below = sum(c for q, _, c in of_column[k] if q < r)
+        own = [(v, c) for q, v, c in of_column[k] if q == r]
         inside = sum(c for _, c in own)
         if not b.holds(below, inside):  # the sketch was further off than it should: wider
             b.low, b.high, b.below, b.inside, b.slack = float("-inf"), float("inf"), 0, b.n, b.slack * 16
