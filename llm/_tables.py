@@ -39,22 +39,34 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+MOST_BROADCAST = 1 << 20  # rows of two numbers (16 MB)
+
+
+def small(table: DataFrame) -> DataFrame:
+    """A stored table of a few numbers a row, to be broadcast if it has at most MOST_BROADCAST rows."""
+    return F.broadcast(table) if table.count() <= MOST_BROADCAST else table
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: (node, component), component = smallest node.
 
     Every round takes the smallest label among a node's neighbours and then the
     label of that label. Messages are combined before they are shuffled, so a
-    node with very many neighbours costs one row for each task.
+    node with very many neighbours costs one row for each task. Each label is
+    looked up once, however many nodes bear it, and handed back by broadcast
+    while the labels that have moved are few.
     """
     both = store(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = store(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")), "labels")
     while True:
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("m"))
-        step = labels.join(near, labels.node == near.a).select("node", F.least("component", "m").alias("new"), F.col("component").alias("old"))
-        far = step.select(F.col("node").alias("via"), F.col("new").alias("root"))
-        new = store(step.join(far, step.new == far.via, "left").select("node", F.least("new", F.coalesce("root", "new")).alias("component"), "old"), "labels")
+        step = store(labels.join(near, labels.node == near.a).select("node", F.least("component", "m").alias("new"), F.col("component").alias("old")), "step")
+        borne = step.select(F.col("new").alias("via")).distinct()
+        far = step.filter("new < node").select(F.col("node").alias("of"), F.col("new").alias("root"))
+        jumps = store(borne.join(far, borne.via == far.of).select("via", "root"), "jumps")
+        new = store(step.join(small(jumps), step.new == jumps.via, "left").select("node", F.least("new", F.coalesce("root", "new")).alias("component"), "old"), "labels")
         moved = new.filter("component <> old").limit(1).count()
-        drop(labels)
+        drop(labels, step, jumps)
         labels = new.select("node", "component")
         if not moved:
             drop(both)

@@ -20,7 +20,9 @@ compared in step 2.
 
 Rows: null text or no words: empty set, linked with nothing. Null doc_id: set
 size given, component null, linked with nothing. Rows that repeat a doc_id
-each stand for their own text. Shingles and sets are identified by 64-bit
+each stand for their own text. Very long texts are a batch of their own; an
+empty table gives no rows; other columns are kept by ``one_of_each`` and not
+looked at elsewhere. Shingles and sets are identified by 64-bit
 hashes (sets with their size as well). Which shingles count as rare is read
 from a sample of the documents; that order changes the cost, never the result.
 """
@@ -317,8 +319,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         part = T.components(links)
 
     group = owner.join(part, owner.sid == part.node, "left").select("sid", "doc_id", F.coalesce("component", "sid").alias("component"))
-    first = group.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_set = group.join(first, "component").select(F.col("sid").alias("set"), "component_id")
+    first = group.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    first = T.small(T.store(first.select(F.col("component").alias("of"), "component_id"), "first"))
+    of_set = group.join(first, F.col("component") == F.col("of"), "left").select(F.col("sid").alias("set"), F.coalesce("component_id", "doc_id").alias("component_id"))
     alone = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.join(of_set, (rows.sid == of_set.set) & (rows.n_shingles > 0), "left").select("doc_id", "n_shingles", alone.alias("component_id"), "sid")
 

@@ -12,9 +12,9 @@ of the shard has been verified. The shards' best are merged.
 Queries meet shards in blocks of bounded size on both sides. Of equal vectors
 the k + 1 smallest ids take part, more can't be among a query's k nearest.
 
-Rows: an empty table gives no rows; other columns are not looked at. Vectors that are null, empty, zero or hold null or non-finite components
-take no part; only vectors of one length are compared. A query's own vec_id is
-left out. Rows that repeat a vec_id and vector are one; if the vectors differ,
+Rows: an empty table gives no rows; other columns are not looked at. Vectors
+that are null, empty, zero or hold null or non-finite components take no part;
+only vectors of one length are compared. A query's own vec_id is left out. Rows that repeat a vec_id and vector are one; if the vectors differ,
 each is a row. Null ids take no part. Ties go to the smaller vec_id.
 """
 

@@ -19,7 +19,9 @@ Texts are shuffled once: the three steps that read them use one exchange. A
 group of copies costs one string for each batch, whatever its size.
 
 Rows: null text is empty. A null doc_id counts as larger than all. Rows that
-repeat a doc_id don't cover each other. Texts under 50 bytes stay whole. Marks
+repeat a doc_id don't cover each other. An empty table gives no rows; other
+columns are not looked at; a very long text is in one batch and makes that
+batch larger. Texts under 50 bytes stay whole. Marks
 and strings are identified by 64-bit hashes; the windows themselves by bytes.
 """
 
