@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelsight.sources.stored import materialize
+from panelsight.sources.stored import ROWS_PER_FILE, materialize
 
 FEISTEL_ROUNDS = 6
 WALK = 64  # a walk leaves the range with probability 2 / sqrt(n) at most each time; under 1000 rows it can't be longer
@@ -25,7 +25,7 @@ def with_ranks(df: DataFrame, order: list[Column]) -> tuple[DataFrame, int, str]
     """``df`` with ``rank`` (0 .. n - 1, by ``order``), n, and the folder of the stored copy, which the caller removes."""
     spark = df.sparkSession
     dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
-    stored, path = materialize(dealt, "ranked")
+    stored, path = materialize(dealt, "ranked", rows_per_file=ROWS_PER_FILE)
     part = F.shiftright("_place", 33)
     sizes = sorted((r["p"], r["n"]) for r in stored.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())  # a row for each task
     before, n = [], 0
